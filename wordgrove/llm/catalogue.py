@@ -7,13 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wordgrove.llm.bpe import op8_bpe_round_trip
+from wordgrove.llm.language_id import op9_language_id
+from wordgrove.llm.nearest import op5_nearest
+from wordgrove.llm.secrets import op6_secret_spans
 from wordgrove.llm.simhash import op2_simhash
+from wordgrove.llm.suffix_dedup import op10_suffix_dedup
 from wordgrove.llm.token_counts import op3_token_counts
+from wordgrove.llm.url_filter import OP7_SQL, op7_url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_simhash, op3_token_counts, op8_bpe_round_trip)}
+    registered = (
+        op2_simhash,
+        op3_token_counts,
+        op5_nearest,
+        op6_secret_spans,
+        op7_url_filter,
+        op8_bpe_round_trip,
+        op9_language_id,
+        op10_suffix_dedup,
+    )
+    return {f.__name__: f for f in registered}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_url_filter": OP7_SQL}
