@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wordgrove.llm.bpe import op8_bpe_round_trip
+from wordgrove.llm.licences import op1_licence_scan
+from wordgrove.llm.decontaminate import op4_decontaminate
 from wordgrove.llm.language_id import op9_language_id
 from wordgrove.llm.nearest import op5_nearest
 from wordgrove.llm.secrets import op6_secret_spans
@@ -18,8 +20,10 @@ from wordgrove.llm.url_filter import OP7_SQL, op7_url_filter
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = (
+        op1_licence_scan,
         op2_simhash,
         op3_token_counts,
+        op4_decontaminate,
         op5_nearest,
         op6_secret_spans,
         op7_url_filter,
