@@ -57,13 +57,13 @@ def t05(spark, sf_dir):
     "t06_has_ancestor",
     f"WITH RECURSIVE {F_SQL}, rel AS (SELECT parent AS source, node AS target FROM f WHERE parent IS NOT NULL UNION SELECT node // 5, node FROM f WHERE node > 0), "
     "up(node, top) AS (SELECT target, source FROM rel UNION SELECT up.node, rel.source FROM up JOIN rel ON up.top = rel.target) "
-    "SELECT DISTINCT up.node FROM up JOIN f w ON w.node = up.top WHERE w.pos LIKE '%BRASS%' OR w.n = 7",
+    "SELECT DISTINCT up.node FROM up JOIN f w ON w.node = up.top WHERE w.pos LIKE 'SM%' OR w.n = 7",
 )
 def t06(spark, sf_dir):
     f = forest(spark, sf_dir)
     second = f.where("node > 0").select(F.floor(F.col("node") / 5).cast("long").alias("source"), F.col("node").alias("target"))
     relations = f.where("parent IS NOT NULL").select(F.col("parent").alias("source"), F.col("node").alias("target")).unionByName(second)
-    return op.has_ancestor(relations, f.select("node"), f.where("pos LIKE '%BRASS%' OR n = 7").select("node"))
+    return op.has_ancestor(relations, f.select("node"), f.where("pos LIKE 'SM%' OR n = 7").select("node"))
 
 
 @query(

@@ -54,10 +54,10 @@ def x07(spark, sf_dir):
     return words(spark, sf_dir).select("lemma", "pos", fn.common_prefix_length(F.col("lemma"), other).alias("shared"))
 
 
-@query("x08_tag_features", f"WITH {F_SQL} SELECT node, CASE substr(pos, 1, 1) WHEN 'S' THEN 'Standard' WHEN 'P' THEN 'Promo' END AS class, CASE substr(pos, 2, 1) WHEN 'T' THEN 'T' WHEN 'R' THEN 'R' END AS second, CASE WHEN contains(pos, 'BRASS') THEN 'Br' WHEN contains(pos, 'TIN') THEN 'Sn' END AS metal FROM f")
+@query("x08_tag_features", f"WITH {F_SQL} SELECT node, CASE substr(pos, 1, 1) WHEN 'S' THEN 'Standard' WHEN 'P' THEN 'Promo' END AS class, CASE substr(pos, 2, 1) WHEN 'T' THEN 'T' WHEN 'R' THEN 'R' END AS second, CASE WHEN contains(pos, 'LARGE') THEN 'Br' WHEN contains(pos, 'SMALL') THEN 'Sn' END AS metal FROM f")
 def x08(spark, sf_dir):
     features = fn.tag_features(F.col("pos"), {1: ("class", {"S": "Standard", "P": "Promo"}), 2: ("second", {"T": "T", "R": "R"})})
-    marks = fn.mark_features(F.col("pos"), {"BRASS": ("metal", "Br"), "TIN": ("metal", "Sn")})
+    marks = fn.mark_features(F.col("pos"), {"LARGE": ("metal", "Br"), "SMALL": ("metal", "Sn")})
     return forest(spark, sf_dir).select("node", features.alias("f"), marks.alias("m")).select("node", F.col("f")["class"].alias("class"), F.col("f")["second"].alias("second"), F.col("m")["metal"].alias("metal"))
 
 
