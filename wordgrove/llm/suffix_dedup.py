@@ -345,12 +345,45 @@ def _with_text(texts: DataFrame, places: DataFrame, value_type: str) -> DataFram
     return ordered.mapInArrow(gathered, f"text_id long, raw binary, positions array<int>, values array<{value_type}>")
 
 
-def _stretches(contexts: DataFrame, length: int, gram: int) -> DataFrame:
-    """Repeated stretches (``text_id``, ``position``, ``value``: start and end) of anchors' contexts, by gram."""
+def _contexts(anchored: DataFrame, length: int, gram: int) -> DataFrame:
+    """For each anchor its gram and what stands before and after it, as far as a repeat around it can reach."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams, ids, places, lefts, rights = [], [], [], [], []
+            for text_id, raw, positions, values in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                raw = raw.as_py()
+                # a text whose copies lie in several blocks has its anchors several times over
+                for position, value in dict(zip(positions, values)).items():
+                    grams.append(value)
+                    ids.append(text_id)
+                    places.append(position)
+                    lefts.append(raw[max(0, position - length + gram) : position])
+                    rights.append(raw[position : position + length])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(grams, pa.int64()), pa.array(ids, pa.int64()), pa.array(places, pa.int32()), pa.array(lefts, pa.binary()), pa.array(rights, pa.binary())],
+                names=["gram", "text_id", "position", "left", "right"],
+            )
+
+    return anchored.mapInArrow(cut, "gram long, text_id long, position int, left binary, right binary")
+
+
+def _matches(contexts: DataFrame, length: int, gram: int) -> DataFrame:
+    """From contexts in the order of ``gram``: repeated stretches, and for ``hot`` grams the digests of their windows.
+
+    A stretch has ``text_id``, ``position`` and ``value`` (start and end); a window
+    has its start and a ``digest``.
+    """
 
     def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, rows = None, {}
-        ids, starts, ends = [], [], []
+        ids, starts, ends, digests = [], [], [], []
+
+        def add(text_id: int, start: int, end: int, digest: bytes | None = None) -> None:
+            ids.append(text_id)
+            starts.append(start)
+            ends.append(end)
+            digests.append(digest)
 
         def close() -> None:
             # places with equal contexts repeat each other as far as these reach; one of them stands for all in the sort
@@ -363,18 +396,24 @@ def _stretches(contexts: DataFrame, length: int, gram: int) -> DataFrame:
                     own = [(len(left), len(right))]
                 for text_id, position in places:
                     for a, b in own:
-                        ids.append(text_id)
-                        starts.append(position - a)
-                        ends.append(position + b)
+                        add(text_id, position - a, position + b)
 
         def flush() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], names=["text_id", "position", "value"])
-            for x in (ids, starts, ends):
+            made = pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(digests, pa.binary())], names=["text_id", "position", "value", "digest"]
+            )
+            for x in (ids, starts, ends, digests):
                 x.clear()
             return made
 
         for batch in batches:
-            for key, text_id, position, left, right in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            for key, text_id, position, left, right, hot in zip(*(batch.column(i).to_pylist() for i in range(6))):
+                if hot:
+                    whole = left + right
+                    for i in range(min(len(left), len(whole) - length) + 1):
+                        start = position - len(left) + i
+                        add(text_id, start, start + length, hashlib.blake2b(whole[i : i + length], digest_size=16).digest())
+                    continue
                 if key != now:
                     close()
                     now, rows = key, {}
@@ -384,26 +423,7 @@ def _stretches(contexts: DataFrame, length: int, gram: int) -> DataFrame:
         close()
         yield flush()
 
-    return contexts.mapInArrow(matched, "text_id long, position int, value int")
-
-
-def _counted_windows(contexts: DataFrame, length: int) -> DataFrame:
-    """The same for grams with very many contexts: windows of ``length`` bytes counted by a 128-bit digest."""
-
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            digests, ids, starts = [], [], []
-            for text_id, position, left, right in zip(*(batch.column(i).to_pylist() for i in range(1, 5))):
-                whole = left + right
-                for i in range(min(len(left), len(whole) - length) + 1):
-                    digests.append(hashlib.blake2b(whole[i : i + length], digest_size=16).digest())
-                    ids.append(text_id)
-                    starts.append(position - len(left) + i)
-            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(ids, pa.int64()), pa.array(starts, pa.int32())], names=["digest", "text_id", "position"])
-
-    found = written(contexts.mapInArrow(windows, "digest binary, text_id long, position int").dropDuplicates(["text_id", "position"]))
-    repeated = found.groupBy("digest").count().where("count > 1").select("digest")
-    return found.join(repeated, "digest", "left_semi").select("text_id", "position", (F.col("position") + length).alias("value"))
+    return contexts.mapInArrow(matched, "text_id long, position int, value int, digest binary")
 
 
 def remove_repeats(
@@ -432,19 +452,15 @@ def remove_repeats(
     places = told.where("repeated AND marker = 0").select("text_id", "position", F.col("gram").alias("value"))
     anchored = written(_with_text(long_enough, places, "long"))
 
-    back = length - gram
-    # a text whose copies lie in several blocks has its anchors several times over
-    each = anchored.select("text_id", "raw", F.explode(F.array_distinct(F.arrays_zip("positions", "values"))).alias("a")).select(
-        "text_id", "raw", F.col("a.positions").alias("position"), F.col("a.values").alias("gram")
-    )
-    left = F.substring("raw", F.greatest(F.col("position") - back, F.lit(0)) + 1, F.least("position", F.lit(back)))
-    contexts = each.select("gram", "text_id", "position", left.alias("left"), F.substring("raw", F.col("position") + 1, F.lit(length)).alias("right"))
-    hot = checkpointed(each.groupBy("gram").count().where(F.col("count") > hot_gram).select("gram"))
+    # grams too frequent for one task, of which there are at most as many as anchors by ``hot_gram``
+    hot = anchored.select(F.explode("values").alias("gram")).groupBy("gram").count().where(F.col("count") > hot_gram).select("gram", F.lit(True).alias("hot"))
+    flagged = _contexts(anchored, length, gram).join(checkpointed(hot), "gram", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    spread = F.when(F.col("hot"), F.xxhash64("text_id", "position")).otherwise(0)
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    usual = contexts.join(hot, "gram", "left_anti").repartition(parts, "gram").sortWithinPartitions("gram")
-    stretches = _stretches(usual, length, gram)
-    if hot.take(1):
-        stretches = stretches.unionByName(_counted_windows(contexts.join(hot, "gram", "left_semi"), length))
+    met = written(_matches(flagged.repartition(parts, F.col("gram"), spread).sortWithinPartitions("gram"), length, gram))
+    windows = met.where("digest IS NOT NULL").dropDuplicates(["text_id", "position"])
+    repeated = windows.groupBy("digest").count().where("count > 1").select("digest")
+    stretches = met.where("digest IS NULL").drop("digest").unionByName(windows.join(repeated, "digest", "left_semi").drop("digest"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -22,7 +22,9 @@ from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
+import public_tokenizers
 import pyarrow as pa
+import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,10 +36,23 @@ from wordgrove.llm.common import session_of, written
 #: Bound of the broadcast: so many pre-tokens of so many UTF-8 bytes at most.
 HEAD_ENTRIES, HEAD_BYTES = 1 << 18, 24
 #: Distinct words and pre-tokens that a task holds before it hands them on.
-HELD = 200_000
+HELD = 300_000
 
-#: White space that a cut at a single space must not touch.
-_AMBIGUOUS = re.compile(r"\s \s|^ \s|\s $")
+#: White space beside a space, where a cut at that space might not be a boundary.
+_DOUBTFUL = ("  ", "\n ", "\t ", "\r ", "\x0b ", "\x0c ")
+_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u3000\ufeff]")
+#: Below, Unicode's letters and digits are settled, so that any matcher finds the same pre-tokens.
+_SETTLED = "\u0250"
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letters that byte-level vocabularies write bytes with: printable ones as they are, the rest from U+0100 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(0x100 + i) for i, b in enumerate(rest)}
+
+
+_BYTE_LETTERS = _byte_letters()
 
 
 class PreTokens:
@@ -55,38 +70,42 @@ class PreTokens:
         if any(x["lstrip"] or x["rstrip"] or x["single_word"] or x["normalized"] for x in made["added_tokens"]):
             raise ValueError(f"{name} has added tokens that take in what stands beside them")
         self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
-        self.of_word: dict[str, tuple[str, ...]] = {}
-
-    def split(self, text: str) -> list[str]:
-        """The library's own pre-tokens, as byte-level strings."""
-        return [piece for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
-
-    def words(self, text: str) -> tuple[int, Counter[str]]:
-        """Special strings in a text, and its stretches between certain boundaries with their frequencies."""
-        parts = self.special.split(text) if self.special else [text]
-        words: Counter[str] = Counter()
-        for part in parts:
-            if "  " in part or _AMBIGUOUS.search(part):
-                words[part] += 1
+        self.matcher = regex.compile(public_tokenizers.PATTERN)
+        self.remembered: dict[str, tuple[str, ...]] = {}
+
+    def split(self, text: str) -> tuple[str, ...]:
+        """The pre-tokens of a text without special strings."""
+        if text[:1] == " " and text[1:].isalpha() and max(text) < _SETTLED:
+            return (text,)
+        if not text or max(text) < _SETTLED:
+            return tuple(self.matcher.findall(text))
+        return tuple(text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text))
+
+    def parts(self, text: str) -> tuple[int, list[str], list[str]]:
+        """Special strings in a text, its stretches to be split as they are, and its words that follow a single space."""
+        stretches = self.special.split(text) if self.special else [text]
+        whole, words = [], []
+        for stretch in stretches:
+            if any(x in stretch for x in _DOUBTFUL) or not stretch.isascii() and _ODD_SPACE.search(stretch):
+                whole.append(stretch)
             else:
-                first, *rest = part.split(" ")
-                words[first] += 1
-                words.update(" " + word for word in rest)
-        del words[""]
-        return len(parts) - 1, words
+                first, *rest = stretch.split(" ")
+                whole.append(first)
+                words = words + rest if words else rest
+        return len(stretches) - 1, whole, words
 
     def of(self, word: str) -> tuple[str, ...]:
-        """The pre-tokens of such a stretch, remembered."""
-        found = self.of_word.get(word)
+        """The pre-tokens of a word and the space before it, remembered."""
+        found = self.remembered.get(word)
         if found is None:
-            if len(self.of_word) >= HELD:
-                self.of_word.clear()
-            found = self.of_word[word] = tuple(self.split(word))
+            if len(self.remembered) >= HELD:
+                self.remembered.clear()
+            found = self.remembered[word] = self.split(" " + word)
         return found
 
     def pieces(self, pre_token: str) -> int:
         """How many tokens the model makes of a pre-token."""
-        return len(self.tokenizer.model.tokenize(pre_token))
+        return len(self.tokenizer.model.tokenize(pre_token.encode().decode("latin-1").translate(_BYTE_LETTERS)))
 
 
 @lru_cache(maxsize=2)
@@ -99,21 +118,25 @@ def piece_table(texts: DataFrame, tokenizer: str) -> DataFrame:
     """``pre_token``, ``n`` (in the whole corpus) and ``pieces`` of every distinct pre-token of the column ``text``."""
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter, counts = pre_tokens(tokenizer), Counter()
+        splitter, counts, words = pre_tokens(tokenizer), Counter(), Counter()
 
         def batch_of() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["pre_token", "n"])
+            for word, n in words.items():
+                for pre_token in splitter.of(word):
+                    counts[pre_token] += n
+            words.clear()
+            made = pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["pre_token", "n"])
+            counts.clear()
+            return made
 
-        words: Counter[str] = Counter()
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                words.update(splitter.words(text)[1])
-                if len(words) >= HELD:
-                    _spread(words, counts, splitter)
-                    if len(counts) >= HELD:
-                        yield batch_of()
-                        counts.clear()
-        _spread(words, counts, splitter)
+            for text in batch.column(0):
+                _, whole, rest = splitter.parts(text.as_py())
+                for stretch in whole:
+                    counts.update(splitter.split(stretch))
+                words.update(rest)
+                if len(words) + len(counts) >= HELD:
+                    yield batch_of()
         yield batch_of()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,11 +148,22 @@ def piece_table(texts: DataFrame, tokenizer: str) -> DataFrame:
     return texts.mapInArrow(tally, "pre_token string, n long").groupBy("pre_token").agg(F.sum("n").alias("n")).mapInArrow(count, "pre_token string, n long, pieces int")
 
 
-def _spread(words: Counter[str], counts: Counter[str], splitter: PreTokens) -> None:
-    for word, n in words.items():
-        for pre_token in splitter.of(word):
-            counts[pre_token] += n
-    words.clear()
+def head_of(table: DataFrame, entries: int) -> dict[str, int]:
+    """Pieces of the most frequent pre-tokens: at most so many entries of at most ``HEAD_BYTES`` bytes.
+
+    Frequencies are binned first, so that only rows of the bins that fit come to the driver.
+    """
+    small = table.where(F.octet_length("pre_token") <= HEAD_BYTES).withColumn("bin", F.floor(F.log2("n") * 16).cast("int"))
+    cut, held = None, 0
+    for row in small.groupBy("bin").count().orderBy(F.desc("bin")).collect():
+        held += row["count"]
+        if held > entries:
+            break
+        cut = row.bin
+    if cut is None:
+        return {}
+    found = small.where(F.col("bin") >= cut).select("pre_token", "pieces").toArrow()
+    return dict(zip(found["pre_token"].to_pylist(), found["pieces"].to_pylist()))
 
 
 def count_tokens(df: DataFrame, *, tokenizer: str = "byte_bpe_50k.json", id_col: str = "doc_id", text_col: str = "text", head_entries: int = HEAD_ENTRIES) -> DataFrame:
@@ -143,27 +177,34 @@ def count_tokens(df: DataFrame, *, tokenizer: str = "byte_bpe_50k.json", id_col:
     texts = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     id_type = dict(texts.dtypes)["doc_id"]
     table = written(piece_table(texts.select("text"), tokenizer))
-    head = table.where(F.octet_length("pre_token") <= HEAD_BYTES).orderBy(F.desc("n"), "pre_token").limit(head_entries)
-    known = spark.sparkContext.broadcast({row.pre_token: row.pieces for row in head.select("pre_token", "pieces").collect()})
+    known = spark.sparkContext.broadcast(head_of(table, head_entries))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row with what the head gives for each text, then one for each of its other pre-tokens."""
         splitter, pieces = pre_tokens(tokenizer), known.value
         of_word: dict[str, tuple[int, tuple[str, ...]]] = {}
+
+        def looked_up(parts: tuple[str, ...]) -> tuple[int, tuple[str, ...]]:
+            return sum(pieces.get(x, 0) for x in parts), tuple(x for x in parts if x not in pieces)
+
         for batch in batches:
             rows, bits, n_bytes, sums, names, freqs = [], [], [], [], [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
+            for i, text in enumerate(batch.column(1)):
+                text = text.as_py()
                 raw = text.encode()
                 digest = xxhash.xxh3_64_intdigest(raw) - (1 << 63)
-                total, words = splitter.words(text)
+                total, whole, words = splitter.parts(text)
                 rest: Counter[str] = Counter()
-                for word, n in words.items():
+                for stretch in whole:
+                    n, unknown = looked_up(splitter.split(stretch))
+                    total += n
+                    rest.update(unknown)
+                for word, n in Counter(words).items():
                     found = of_word.get(word)
                     if found is None:
                         if len(of_word) >= HELD:
                             of_word.clear()
-                        parts = splitter.split(word)
-                        found = of_word[word] = (sum(pieces.get(x, 0) for x in parts), tuple(x for x in parts if x not in pieces))
+                        found = of_word[word] = looked_up(splitter.split(" " + word))
                     total += n * found[0]
                     for x in found[1]:
                         rest[x] += n
@@ -185,8 +226,8 @@ def count_tokens(df: DataFrame, *, tokenizer: str = "byte_bpe_50k.json", id_col:
             )
 
     rows = texts.mapInArrow(frequencies, f"doc_id {id_type}, digest long, n_bytes long, known long, pre_token string, freq long")
-    # Rows without a pre-token join nothing; a key of their own spreads them.  No pre-token has a space as a byte-level string.
-    rows = rows.withColumn("key", F.coalesce("pre_token", F.concat(F.lit(" "), F.col("digest").cast("string"), F.lit(" "), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
+    # Rows without a pre-token join nothing; a key of their own spreads them.  No pre-token holds letters and digits together.
+    rows = rows.withColumn("key", F.coalesce("pre_token", F.concat(F.lit("row"), F.col("digest").cast("string"), F.lit(" "), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
     joined = rows.join(table.select(F.col("pre_token").alias("key"), "pieces"), "key", "left")
     summed = joined.groupBy("doc_id", "digest").agg(
         F.count("n_bytes").alias("copies"), F.max("n_bytes").alias("n_bytes"), F.sum(F.col("known") + F.col("freq") * F.coalesce("pieces", F.lit(0))).alias("all_tokens")
