@@ -268,3 +268,22 @@ def root_conflicts(edges: DataFrame, annotations: DataFrame) -> DataFrame:
     top = annotations.select(F.col("node").alias("root"), F.col("values").alias("root_values"))
     both = placed.where("node <> root").join(top, "root")
     return both.where((F.size(F.array_except("values", "root_values")) > 0) & (F.size(F.array_except("root_values", "values")) > 0)).select("node", "root")
+
+
+def connected(pairs: DataFrame, max_rounds: int = 60) -> DataFrame:
+    """``node`` and ``component`` (its smallest node) of every end of the pairs ``a``, ``b``, by alternating star contractions."""
+    edges = checkpointed(pairs.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    before = None
+    for _ in range(max_rounds):
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        floor = large.groupBy("a").agg(F.min("b").alias("m"))
+        star = large.join(floor, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.*")
+        edges = checkpointed(star.where("a <> b").distinct())
+        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
+        if now == before:
+            tops = edges.select(F.col("b").alias("node")).distinct()
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(tops.select("node", F.col("node").alias("component")))
+        before = now
+    raise RuntimeError("components haven't settled")
