@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordgrove.functions.text import common_prefix_length
-from wordgrove.operators.forest import closure, connected, descendants, find_cycles, roots_of
+from wordgrove.operators.forest import closure, connected, descendants, on_cycles, roots_of
 from wordgrove.operators.resolve import resolve_all
 
 
@@ -54,6 +54,8 @@ def _replayed(edges: DataFrame, edits: DataFrame, on_cycle: str) -> DataFrame:
         parent = {r.node: r.parent for r in rows[rows.line < 0].itertuples() if pd.notna(r.parent)}
         nodes = list(rows[rows.line < 0].node)
         for r in rows[rows.line >= 0].sort_values("line", kind="stable").itertuples():
+            if on_cycle == "reject" and r.node in parent:
+                continue
             at, seen = r.parent, set()
             while at is not None and at != r.node and at not in seen:
                 seen.add(at)
@@ -70,10 +72,13 @@ def _replayed(edges: DataFrame, edits: DataFrame, on_cycle: str) -> DataFrame:
 
 
 def _with_edits(edges: DataFrame, chosen: DataFrame, edits: DataFrame, on_cycle: str) -> DataFrame:
-    """Edges with the chosen parents; where that makes a cycle, all ``edits`` of the components are replayed instead."""
+    """Edges with the chosen parents; where old and new edges together hold a cycle, the component's ``edits`` are replayed.
+
+    Without such a cycle no order of the lines can close one on the way.
+    """
     changed = edges.select("node", F.col("parent").alias("_old")).join(chosen.select("node", F.col("parent").alias("_new")), "node", "left")
     after = changed.select("node", F.coalesce("_new", "_old").alias("parent"))
-    loops = find_cycles(after)
+    loops = on_cycles(edges.where("parent IS NOT NULL").select("node", "parent").unionByName(edits.select("node", "parent")).distinct())
     if loops.isEmpty():
         return after
     linked = edges.where("parent IS NOT NULL").select(F.col("node").alias("a"), F.col("parent").alias("b")).unionByName(edits.select(F.col("node").alias("a"), F.col("parent").alias("b")))
@@ -100,7 +105,7 @@ def fill_parent(edges: DataFrame, edits: DataFrame) -> DataFrame:
     """Roots hung on parents, the first line of a node counting; edits that would close a cycle are left out."""
     free = edits.join(edges.where("parent IS NULL").select("node"), "node", "left_semi")
     first = free.groupBy("node").agg(F.min("line").alias("line"), F.min_by("parent", "line").alias("parent"))
-    return _with_edits(edges, first, first.select("line", "parent", "node"), "reject")
+    return _with_edits(edges, first, free.select("line", "parent", "node"), "reject")
 
 
 def reverse_edges(edges: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -61,15 +61,25 @@ def find_cycles(edges: DataFrame) -> DataFrame:
     _, moved = _doubled(edges)
     if not moved:
         return edges.select("node").limit(0)
-    # peel off nodes without children, and nodes below roots, until only cycles are left
-    left = checkpointed(edges.where("parent IS NOT NULL").select("node", "parent"))
+    return on_cycles(edges.where("parent IS NOT NULL").select("node", "parent"))
+
+
+def on_cycles(pairs: DataFrame) -> DataFrame:
+    """Nodes of pairs (``node``, ``parent``), of which a node may have several, on or between cycles.
+
+    Pairs whose node is nobody's parent, or whose parent is no node, are peeled
+    off until no more go.
+    """
+    left = checkpointed(pairs.select("node", "parent"))
     count = left.count()
-    while True:
-        left = checkpointed(left.join(left.select(F.col("parent").alias("node")).distinct(), "node", "left_semi").join(left.select(F.col("node").alias("parent")).distinct(), "parent", "left_semi").select("node", "parent"))
+    while count:
+        left = left.join(left.select(F.col("parent").alias("node")).distinct(), "node", "left_semi").join(left.select(F.col("node").alias("parent")).distinct(), "parent", "left_semi")
+        left = checkpointed(left.select("node", "parent"))
         now = left.count()
         if now == count:
-            return left.select("node").distinct()
+            break
         count = now
+    return left.select("node").distinct()
 
 
 def closure(edges: DataFrame, seeds: DataFrame | None = None, include_self: bool = True) -> DataFrame:
