@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -27,7 +26,3 @@ def checkpointed(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
-
-def long_count() -> "F.Column":
-    """The number of rows as a long."""
-    return F.count(F.lit(1)).cast("long")
