@@ -122,9 +122,11 @@ def train(df: DataFrame, *, text_col: str = "text", templates=TEMPLATES, unknown
     telling = telling_words(grams)
     families = (*dict.fromkeys(family for family, _ in templates), UNKNOWN)
     paragraphs = df.select(F.explode(F.split(text_col, r"\n")).alias("paragraph")).where("length(paragraph) BETWEEN 1 AND 4000").select(F.xxhash64("paragraph", F.lit(7)).alias("draw"), "paragraph")
-    # a repeated paragraph has one draw and comes once
-    sample = paragraphs.groupBy("draw").agg(F.min("paragraph").alias("paragraph")).orderBy("draw").limit(4 * unknown_paragraphs)
-    sample = checkpointed(sample.where(~F.arrays_overlap(words_of(F.col("paragraph")), F.lit(telling))).orderBy("draw").limit(unknown_paragraphs).select("paragraph"))
+    # about four times as many different paragraphs as are wanted, by their hashes; a repeated one has one hash and comes once
+    different = paragraphs.agg(F.approx_count_distinct("draw").alias("n")).first().n
+    share = min(1.0, 4 * unknown_paragraphs / max(1, different))
+    drawn = paragraphs.where(F.pmod("draw", F.lit(1 << 30)) < int(share * (1 << 30))).groupBy("draw").agg(F.min("paragraph").alias("paragraph"))
+    sample = checkpointed(drawn.where(~F.arrays_overlap(words_of(F.col("paragraph")), F.lit(telling))).orderBy("draw").limit(unknown_paragraphs).select("paragraph"))
     rows = _training(df.sparkSession, sample, templates, telling, variants)
     rows = rows.select(ngrams_of(words_of(F.col("paragraph"))).alias("grams"), (F.array_position(F.lit(list(families)), F.col("family")) - 1).cast("double").alias("label"), "held")
     rows = checkpointed(CountVectorizerModel.from_vocabulary(vocabulary, inputCol="grams", outputCol="features").setBinary(True).transform(rows))
