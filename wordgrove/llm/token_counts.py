@@ -75,9 +75,13 @@ class PreTokens:
 
     def split(self, text: str) -> tuple[str, ...]:
         """The pre-tokens of a text without special strings."""
-        if text[:1] == " " and text[1:].isalpha() and max(text) < _SETTLED:
-            return (text,)
-        if not text or max(text) < _SETTLED:
+        if not text or text.isascii() or max(text) < _SETTLED:
+            # most are a word, or a word and a full stop or comma
+            body = text[1:] if text[:1] == " " else text
+            if body.isalpha():
+                return (text,)
+            if body[-1:] in ".,!?:;" and body[:-1].isalpha():
+                return (text[:-1], text[-1])
             return tuple(self.matcher.findall(text))
         return tuple(text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text))
 
