@@ -17,8 +17,8 @@ A byte goes if a string of N bytes that covers it also starts anywhere else.
    together, the whole stretch is repeated.
 4. The stretches of a document are merged and its remaining bytes hashed.
 
-Texts that occur more than once as a whole are sorted once, for all.  A gram with
-more than ``HOT_GRAM`` different contexts isn't sorted in one task: the N-byte
+Texts that occur more than once as a whole are sorted once, for all.  A gram in
+more than ``HOT_GRAM`` different texts isn't sorted in one task: the N-byte
 windows of its anchors are counted across the cluster instead.
 """
 
@@ -34,13 +34,15 @@ from pyspark.sql import functions as F
 
 from wordgrove.llm.common import checkpointed, session_of, written
 
-LENGTH, GRAM = 200, 64
+LENGTH, GRAM = 200, 100
 #: Multikey quicksort goes so deep; groups that agree up to here go to blind tries.
 SHALLOW = 32
 HOT_GRAM = 20_000
 #: Anchors that a task compares before it hands them on.
-BLOCK_ANCHORS = 1 << 20
+BLOCK_ANCHORS = 1 << 18
 
+#: A place and how far its windows reach before it are packed as place * _REACH + reach.
+_REACH = 1 << 16
 _POSITION_BITS = 26
 _P = np.uint64(0x9E3779B97F4A7C15)
 _P_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -79,11 +81,15 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(right[: n - width + 1], left[width - 1 : n])
 
 
-def anchors(raw: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and gram hashes of the anchors that the windows of a byte array name."""
+def anchors(raw: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions of the anchors that the windows of a byte array name, how far before each its first window starts, and gram hashes.
+
+    Every window names one anchor, so what stands farther before an anchor than
+    its first window needn't be looked at with it.
+    """
     width = length - gram + 1
     if len(raw) < length:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     hashed = gram_hashes(raw, gram)
     stretch = (1 << _POSITION_BITS) - width
     found = []
@@ -91,9 +97,11 @@ def anchors(raw: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np
         part = hashed[start : start + stretch + width - 1]
         place = np.arange(len(part), dtype=np.uint64)
         least = _sliding_min((part >> np.uint64(_POSITION_BITS) << np.uint64(_POSITION_BITS)) | place, width) & np.uint64((1 << _POSITION_BITS) - 1)
-        found.append(least[np.flatnonzero(np.diff(least, prepend=np.uint64(1 << _POSITION_BITS)))].astype(np.int64) + start)
-    positions = np.unique(np.concatenate(found))
-    return positions, hashed[positions]
+        first = np.flatnonzero(np.diff(least, prepend=np.uint64(1 << _POSITION_BITS)))
+        found.append(np.stack([least[first].astype(np.int64), first]) + start)
+    positions, firsts = np.concatenate(found, axis=1)
+    positions, at = np.unique(positions, return_index=True)
+    return positions, positions - firsts[at], hashed[positions]
 
 
 # --- deep-shallow sorting -------------------------------------------------------------------------------------------
@@ -232,10 +240,10 @@ def repeated_stretches(lefts: list[bytes], rights: list[bytes], length: int = LE
     pending = [by_left[0]]
     for i, depth in enumerate([*shared, -1]):
         while stack and stack[-1][0] > depth:
-            joined_depth, before = stack.pop()
-            pending = sorted([*before, *pending], key=rank.__getitem__)
+            joined_depth, parts = stack[-1][0], [pending]
             while stack and stack[-1][0] == joined_depth:
-                pending = sorted([*stack.pop()[1], *pending], key=rank.__getitem__)
+                parts.append(stack.pop()[1])
+            pending = sorted((x for part in parts for x in part), key=rank.__getitem__)
             group(pending, joined_depth)
         if depth >= 0:
             stack.append((depth, pending))
@@ -272,7 +280,7 @@ def _anchor_rows(texts: DataFrame, length: int, gram: int) -> DataFrame:
     """
 
     def anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # places with their reach, and grams
         size = 0
 
         def flush() -> pa.RecordBatch:
@@ -287,7 +295,7 @@ def _anchor_rows(texts: DataFrame, length: int, gram: int) -> DataFrame:
                     pa.array(np.concatenate([grams, grams[marked]])),
                     pa.array(np.concatenate([salt, np.zeros(len(marked), np.int64)])),
                     pa.array(np.concatenate([ids, ids[marked]])),
-                    pa.array(np.concatenate([at, at[marked]]).astype(np.int32)),
+                    pa.array(np.concatenate([at, at[marked]])),
                     pa.array(np.concatenate([np.zeros(len(ids), np.int8), np.ones(len(marked), np.int8)])),
                 ],
                 names=["gram", "salt", "text_id", "position", "marker"],
@@ -296,20 +304,21 @@ def _anchor_rows(texts: DataFrame, length: int, gram: int) -> DataFrame:
         for batch in batches:
             for text_id, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if text_id not in held:
-                    held[text_id] = anchors(np.frombuffer(raw.as_buffer(), np.uint8), length, gram)
+                    at, before, grams = anchors(np.frombuffer(raw.as_buffer(), np.uint8), length, gram)
+                    held[text_id] = (at * _REACH + before, grams)
                     size += len(held[text_id][0]) + 1
                     if size >= BLOCK_ANCHORS:
                         yield flush()
                         held, size = {}, 0
         yield flush()
 
-    return texts.select("text_id", "raw").mapInArrow(anchored, "gram long, salt long, text_id long, position int, marker byte")
+    return texts.select("text_id", "raw").mapInArrow(anchored, "gram long, salt long, text_id long, position long, marker byte")
 
 
-def _with_text(texts: DataFrame, places: DataFrame, value_type: str) -> DataFrame:
+def _with_text(texts: DataFrame, places: DataFrame) -> DataFrame:
     """``text_id``, ``raw``, ``positions`` and ``values`` of each text that has a place: one row however many copies there are."""
     empty = lambda kind: F.lit(None).cast(kind)
-    stream = texts.select("text_id", F.lit(0).alias("kind"), "raw", empty("int").alias("position"), empty(value_type).alias("value")).unionByName(
+    stream = texts.select("text_id", F.lit(0).alias("kind"), "raw", empty("long").alias("position"), empty("long").alias("value")).unionByName(
         places.select("text_id", F.lit(1).alias("kind"), empty("binary").alias("raw"), "position", "value")
     )
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -321,7 +330,7 @@ def _with_text(texts: DataFrame, places: DataFrame, value_type: str) -> DataFram
 
         def flush() -> pa.RecordBatch:
             columns = list(zip(*done)) or [(), (), (), ()]
-            kinds = (pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64() if value_type == "long" else pa.int32()))
+            kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["text_id", "raw", "positions", "values"])
 
         for batch in batches:
@@ -342,30 +351,38 @@ def _with_text(texts: DataFrame, places: DataFrame, value_type: str) -> DataFram
             done.append((now, raw, positions, values))
         yield flush()
 
-    return ordered.mapInArrow(gathered, f"text_id long, raw binary, positions array<int>, values array<{value_type}>")
+    return ordered.mapInArrow(gathered, "text_id long, raw binary, positions array<long>, values array<long>")
 
 
-def _contexts(anchored: DataFrame, length: int, gram: int) -> DataFrame:
-    """For each anchor its gram and what stands before and after it, as far as a repeat around it can reach."""
+def _contexts(anchored: DataFrame, length: int) -> DataFrame:
+    """For each anchor its gram and what stands before and after it, as far as its windows reach.
+
+    Anchors of a text with equal contexts, as in a stretch that repeats a short
+    one over and over, are one row with all their ``places``.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             grams, ids, places, lefts, rights = [], [], [], [], []
             for text_id, raw, positions, values in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 raw = raw.as_py()
+                equal: dict[tuple[int, bytes, bytes], list[int]] = {}
                 # a text whose copies lie in several blocks has its anchors several times over
-                for position, value in dict(zip(positions, values)).items():
+                for packed, value in dict(zip(positions, values)).items():
+                    position, before = divmod(packed, _REACH)
+                    equal.setdefault((value, raw[position - before : position], raw[position : position + length]), []).append(position)
+                for (value, left, right), own in equal.items():
                     grams.append(value)
                     ids.append(text_id)
-                    places.append(position)
-                    lefts.append(raw[max(0, position - length + gram) : position])
-                    rights.append(raw[position : position + length])
+                    places.append(own)
+                    lefts.append(left)
+                    rights.append(right)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(grams, pa.int64()), pa.array(ids, pa.int64()), pa.array(places, pa.int32()), pa.array(lefts, pa.binary()), pa.array(rights, pa.binary())],
-                names=["gram", "text_id", "position", "left", "right"],
+                [pa.array(grams, pa.int64()), pa.array(ids, pa.int64()), pa.array(places, pa.list_(pa.int64())), pa.array(lefts, pa.binary()), pa.array(rights, pa.binary())],
+                names=["gram", "text_id", "places", "left", "right"],
             )
 
-    return anchored.mapInArrow(cut, "gram long, text_id long, position int, left binary, right binary")
+    return anchored.mapInArrow(cut, "gram long, text_id long, places array<long>, left binary, right binary")
 
 
 def _matches(contexts: DataFrame, length: int, gram: int) -> DataFrame:
@@ -385,45 +402,52 @@ def _matches(contexts: DataFrame, length: int, gram: int) -> DataFrame:
             ends.append(end)
             digests.append(digest)
 
+        def whole(text_id: int, places: list[int], left: bytes, right: bytes) -> None:
+            if len(left) + len(right) >= length:
+                for position in places:
+                    add(text_id, position - len(left), position + len(right))
+
         def close() -> None:
             # places with equal contexts repeat each other as far as these reach; one of them stands for all in the sort
-            if len(rows) == 1 and len(next(iter(rows.values()))) == 1:
-                return
             kinds = list(rows)
             found = repeated_stretches([x[0][::-1] for x in kinds], [x[1] for x in kinds], length, gram)
-            for (left, right), own, places in zip(kinds, found, rows.values()):
-                if len(places) > 1 and len(left) + len(right) >= length:
-                    own = [(len(left), len(right))]
-                for text_id, position in places:
+            for (left, right), own, texts in zip(kinds, found, rows.values()):
+                repeated = len(texts) > 1 or len(texts[0][1]) > 1
+                for text_id, places in texts:
+                    if repeated:
+                        whole(text_id, places, left, right)
+                        continue
                     for a, b in own:
-                        add(text_id, position - a, position + b)
+                        add(text_id, places[0] - a, places[0] + b)
 
         def flush() -> pa.RecordBatch:
             made = pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(digests, pa.binary())], names=["text_id", "position", "value", "digest"]
+                [pa.array(ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64()), pa.array(digests, pa.binary())], names=["text_id", "position", "value", "digest"]
             )
             for x in (ids, starts, ends, digests):
                 x.clear()
             return made
 
         for batch in batches:
-            for key, text_id, position, left, right, hot in zip(*(batch.column(i).to_pylist() for i in range(6))):
+            for key, text_id, places, left, right, hot in zip(*(batch.column(i).to_pylist() for i in range(6))):
                 if hot:
-                    whole = left + right
-                    for i in range(min(len(left), len(whole) - length) + 1):
-                        start = position - len(left) + i
-                        add(text_id, start, start + length, hashlib.blake2b(whole[i : i + length], digest_size=16).digest())
+                    if len(places) > 1:
+                        whole(text_id, places, left, right)
+                    both = left + right
+                    for i in range(min(len(left), len(both) - length) + 1):
+                        start = places[0] - len(left) + i
+                        add(text_id, start, start + length, hashlib.blake2b(both[i : i + length], digest_size=16).digest())
                     continue
                 if key != now:
                     close()
                     now, rows = key, {}
-                rows.setdefault((left, right), []).append((text_id, position))
+                rows.setdefault((left, right), []).append((text_id, places))
             if ids:
                 yield flush()
         close()
         yield flush()
 
-    return contexts.mapInArrow(matched, "text_id long, position int, value int, digest binary")
+    return contexts.mapInArrow(matched, "text_id long, position long, value long, digest binary")
 
 
 def remove_repeats(
@@ -438,8 +462,8 @@ def remove_repeats(
     each give a row.  Other columns are ignored.
     """
     session_of(df)
-    if not 8 <= gram < length:
-        raise ValueError("a gram has 8 bytes at least and fewer than the repeats to be found")
+    if not 8 <= gram < length <= _REACH:
+        raise ValueError("a gram has 8 bytes at least and fewer than the repeats to be found, which have 65,536 at most")
     raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     texts = df.select(F.col(id_col).alias("doc_id"), F.xxhash64(raw).alias("text_id"), raw.alias("raw"))
     long_enough = texts.where(F.octet_length("raw") >= length)
@@ -450,12 +474,12 @@ def remove_repeats(
         "repeated", (F.col("salt") != 0) | (F.max("marker").over(meeting) == 1) | (F.min("text_id").over(meeting) != F.max("text_id").over(meeting)) | (F.min("position").over(meeting) != F.max("position").over(meeting))
     )
     places = told.where("repeated AND marker = 0").select("text_id", "position", F.col("gram").alias("value"))
-    anchored = written(_with_text(long_enough, places, "long"))
+    anchored = written(_with_text(long_enough, places))
 
-    # grams too frequent for one task, of which there are at most as many as anchors by ``hot_gram``
-    hot = anchored.select(F.explode("values").alias("gram")).groupBy("gram").count().where(F.col("count") > hot_gram).select("gram", F.lit(True).alias("hot"))
-    flagged = _contexts(anchored, length, gram).join(checkpointed(hot), "gram", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
-    spread = F.when(F.col("hot"), F.xxhash64("text_id", "position")).otherwise(0)
+    # grams in too many texts for one task, of which there are at most as many as anchors by ``hot_gram``
+    hot = anchored.select(F.explode(F.array_distinct("values")).alias("gram")).groupBy("gram").count().where(F.col("count") > hot_gram).select("gram", F.lit(True).alias("hot"))
+    flagged = _contexts(anchored, length).join(checkpointed(hot), "gram", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    spread = F.when(F.col("hot"), F.xxhash64("text_id", "left", "right")).otherwise(0)
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = written(_matches(flagged.repartition(parts, F.col("gram"), spread).sortWithinPartitions("gram"), length, gram))
     windows = met.where("digest IS NOT NULL").dropDuplicates(["text_id", "position"])
@@ -486,7 +510,7 @@ def remove_repeats(
             )
 
     kept_type = "string" if digest_only else "binary"
-    shortened = _with_text(anchored, stretches, "int").mapInArrow(cut, f"text_id long, gone long, runs long, rest {kept_type}")
+    shortened = _with_text(anchored, stretches).mapInArrow(cut, f"text_id long, gone long, runs long, rest {kept_type}")
     whole = F.sha2("raw", 256) if digest_only else F.col("raw")
     nothing = F.sha2(F.lit(b""), 256) if digest_only else F.lit(b"")
     base = texts.select("doc_id", "text_id", F.octet_length("raw").cast("long").alias("n_bytes"), whole.alias("whole"))
