@@ -5,10 +5,11 @@
 2. A randomised SVD of TF-IDF passages gives a latent space.  Its passages are all
    items and a bounded sample of the corpus's windows; their products with the
    random and the refined bases are summed over the cluster.
-3. Every text is cut in windows that overlap.  A window with fewer answer words
-   (those of an item with the highest inverse document frequency) than any item
-   needs is passed over; the others are projected and compared with all items by
-   their cosine.
+3. Every text is cut in windows that overlap.  An item is a candidate in a window
+   of one and a half times its length that holds enough of its answer words
+   (those of an item with the highest inverse document frequency).  For passages
+   that are spread out, windows of a wider class are projected too, and compared
+   with the items of that class by their cosine.
 4. A candidate counts if the longest common subsequence of words covers enough
    of the item, and if enough of its answer words stand in the window.
 """
@@ -33,8 +34,10 @@ FIT_WINDOWS = 4096
 BLOCK_ITEMS = 5000
 MIN_COSINE, MIN_COMMON, MIN_ANSWERS = 0.4, 0.6, 0.6
 ANSWER_WORDS = 6
-#: Shortest window in words; it grows with the longest item.
+#: Wide windows in words: so many for items of up to two thirds of that, twice as many for longer ones, and so on.
 WINDOW = 96
+#: Words of a text whose answer words are counted by item at once.
+SPAN = 4096
 #: Bytes that words are made of stay, all others become spaces.
 _WORD_BYTES = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
@@ -70,8 +73,14 @@ class Index:
     items: list[list[int]]
     answers: list[list[int]]
     answer_words: frozenset[bytes]
-    window: int
-    stride: int
+    #: Stride of each item's own windows, which are three strides long.
+    strides: np.ndarray
+    #: Of each term, where its items begin in ``holders``; items, and the term's places among their answer words.
+    held_from: np.ndarray
+    holders: np.ndarray
+    slots: np.ndarray
+    #: Wide windows in words, and the items held against them.
+    classes: list[tuple[int, np.ndarray]]
 
 
 def _windows(n: int, window: int, stride: int) -> np.ndarray:
@@ -81,6 +90,17 @@ def _windows(n: int, window: int, stride: int) -> np.ndarray:
     return np.unique(np.append(np.arange(0, n - window, stride), n - window))
 
 
+def _classes(lengths: list[int]) -> list[tuple[int, np.ndarray]]:
+    """Wide windows, smallest first, and the items of which each holds one and a half times the length."""
+    sizes = []
+    for n in lengths:
+        size = WINDOW
+        while 2 * size < 3 * n:
+            size *= 2
+        sizes.append(size)
+    return [(size, np.flatnonzero(np.array(sizes) == size)) for size in sorted(set(sizes))]
+
+
 def _tfidf(places: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Terms and unit-length TF-IDF weights of the known words among places."""
     terms, counts = np.unique(places[places >= 0], return_counts=True)
@@ -164,7 +184,8 @@ def build_index(texts: DataFrame, item_ids: list, item_texts: list[str], *, rank
     frequency, n_texts = document_frequencies(texts, vocabulary)
     idf = np.log((n_texts + 1) / (frequency + 1)) + 1e-3
     items = [[vocabulary[w] for w in words] for words in split]
-    window = max(WINDOW, 3 * max(map(len, items)) // 2)
+    classes = _classes(list(map(len, items)))
+    window = classes[-1][0]
     stride = window // 3
     fit = spark.sparkContext.broadcast((vocabulary, idf))
 
@@ -193,7 +214,11 @@ def build_index(texts: DataFrame, item_ids: list, item_texts: list[str], *, rank
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
     listed = list(vocabulary)
     answers = [sorted(set(x), key=lambda t: (-idf[t], t))[:ANSWER_WORDS] for x in items]
-    return Index(vocabulary, idf, basis.astype(np.float32), latent.astype(np.float32), list(item_ids), items, answers, frozenset(listed[t] for own in answers for t in own), window, stride)
+    strides = np.array([(len(x) + 1) // 2 for x in items])
+    postings = sorted((t, i, slot) for i, own_answers in enumerate(answers) for slot, t in enumerate(own_answers))
+    terms, holders, slots = np.array(postings, np.int64).T
+    held_from = np.searchsorted(terms, np.arange(len(vocabulary) + 1))
+    return Index(vocabulary, idf, basis.astype(np.float32), latent.astype(np.float32), list(item_ids), items, answers, frozenset(listed[t] for own in answers for t in own), strides, held_from, holders, slots, classes)
 
 
 def best_match(text: str | None, index: Index, min_cosine: float = MIN_COSINE, min_common: float = MIN_COMMON, min_answers: float = MIN_ANSWERS) -> tuple[int, float, float] | None:
@@ -203,27 +228,76 @@ def best_match(text: str | None, index: Index, min_cosine: float = MIN_COSINE, m
     if len(index.answer_words.intersection(words)) < needed:
         return None
     found = np.array([index.vocabulary.get(w, -1) for w in words], np.int64)
-    starts = _windows(len(found), index.window, index.stride)
-    told = np.concatenate([[0], np.cumsum([w in index.answer_words for w in words])])
-    heavy = starts[told[np.minimum(starts + index.window, len(found))] - told[starts] >= needed]
     best = None
-    for start in heavy.tolist():
-        part = found[start : start + index.window]
-        terms, values = _tfidf(part, index.idf)
-        if not len(terms):
-            continue
-        latent = values @ index.basis[terms]
-        cosines = index.latent @ latent / max(float(np.linalg.norm(latent)), 1e-12)
-        inside = part.tolist()
-        for i in np.flatnonzero(cosines >= min_cosine).tolist():
-            if len(set(index.answers[i]).intersection(inside)) < min_answers * len(index.answers[i]):
-                continue
-            common = common_subsequence(index.items[i], inside) / len(index.items[i])
-            if common >= min_common and (best is None or (common, float(cosines[i]), -i) > (best[2], best[1], -best[0])):
-                best = (i, float(cosines[i]), common)
+
+    def judge(i: int, cosine: float, inside: list[int]) -> None:
+        nonlocal best
+        common = common_subsequence(index.items[i], inside) / len(index.items[i])
+        if common >= min_common and (best is None or (common, cosine, -i) > (best[2], best[1], -best[0])):
+            best = (i, cosine, common)
+
+    for i, start, end in _answered(found, index, min_answers):
+        part = found[start:end]
+        judge(i, float(_cosines(part, index, np.array([i]))[0]), part.tolist())
+    told = np.concatenate([[0], np.cumsum([w in index.answer_words for w in words])])
+    for window, members in index.classes:
+        starts = _windows(len(found), window, window // 3)
+        heavy = starts[told[np.minimum(starts + window, len(found))] - told[starts] >= needed]
+        for start in heavy.tolist():
+            part = found[start : start + window]
+            cosines = _cosines(part, index, members)
+            inside = part.tolist()
+            for at in np.flatnonzero(cosines >= min_cosine).tolist():
+                i = int(members[at])
+                if len(set(index.answers[i]).intersection(inside)) >= min_answers * len(index.answers[i]):
+                    judge(i, float(cosines[at]), inside)
     return best
 
 
+def _cosines(part: np.ndarray, index: Index, members: np.ndarray) -> np.ndarray:
+    """Cosines of a window with some items in the latent space; zero for a window without known words."""
+    terms, values = _tfidf(part, index.idf)
+    if not len(terms):
+        return np.zeros(len(members))
+    latent = values @ index.basis[terms]
+    return index.latent[members] @ latent / max(float(np.linalg.norm(latent)), 1e-12)
+
+
+def _answered(found: np.ndarray, index: Index, min_answers: float) -> Iterator[tuple[int, int, int]]:
+    """(item, start, end) of every item's own windows that hold enough of its answer words.
+
+    An item is at most two strides long, and every run of so many words lies
+    in the window that begins at or before it.
+    """
+    needed = min_answers * np.array([len(x) for x in index.answers])
+    held = np.where(found >= 0, index.held_from[found + 1] - index.held_from[found], 0)
+
+    def expanded(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in the text, each as often as items have its word as an answer, and their places in ``holders``."""
+        n = held[places]
+        return np.repeat(places, n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(index.held_from[found[places]], n)
+
+    told = np.flatnonzero(held)
+    once = told[np.unique(found[told], return_index=True)[1]]
+    likely = np.bincount(index.holders[expanded(once)[1]], minlength=len(needed)) >= needed
+    if not likely.any():
+        return
+    longest = 3 * int(index.strides.max())
+    for base in range(0, len(found), SPAN):
+        at, posting = expanded(told[(told >= base) & (told < base + SPAN + longest)])
+        kept = likely[index.holders[posting]]
+        at, posting = at[kept] - base, posting[kept]
+        item = index.holders[posting]
+        last = at // index.strides[item]
+        keys = [((item * (SPAN + longest) + last - back) * ANSWER_WORDS + index.slots[posting])[last >= back] for back in range(3)]
+        windows, counts = np.unique(np.unique(np.concatenate(keys)) // ANSWER_WORDS, return_counts=True)
+        items, places = np.divmod(windows, SPAN + longest)
+        enough = counts >= needed[items]
+        for i, place in zip(items[enough].tolist(), places[enough].tolist()):
+            stride = int(index.strides[i])
+            yield i, base + place * stride, base + (place + 3) * stride
+
+
 def find_leaks(
     df: DataFrame,
     benchmark: DataFrame,
@@ -242,22 +316,27 @@ def find_leaks(
 
     ``leaked_item`` is the item that the text holds most of (ties: the higher
     cosine, then the smaller id), null where none is found.  Null and empty texts
-    hold nothing; items without a word and items with a null id are left out; an
-    empty benchmark leaves every row clean.  Input columns of those four names are
+    hold nothing; items without a word are left out; an empty benchmark leaves
+    every row clean.  Every text of an id that has several is an item, and so is
+    that of a null id: a row that holds it is a leak whose ``leaked_item`` is null.  Input columns of those four names are
     replaced.  Items come to the driver in blocks of ``block_items``.
     """
     spark = session_of(df)
     df = df.drop("leak", "leaked_item", "leak_cosine", "leak_common")
     item_type = dict(benchmark.dtypes)[item_id_col]
-    listed = benchmark.select(F.col(item_id_col).alias("item_id"), F.col(item_text_col).alias("item_text")).where("item_id IS NOT NULL AND item_text IS NOT NULL")
-    listed = listed.groupBy("item_id").agg(F.min("item_text").alias("item_text")).where(F.col("item_text").rlike(r"[\p{L}\p{N}]"))
+    listed = benchmark.select(F.col(item_id_col).alias("item_id"), F.col(item_text_col).alias("item_text")).where("item_text IS NOT NULL")
+    listed = listed.distinct().where(F.col("item_text").rlike(r"[\p{L}\p{N}]"))
     blocks, last = [], None
     while True:
-        more = listed if last is None else listed.where(F.col("item_id") > F.lit(last))
-        rows = [r for r in more.orderBy("item_id").limit(block_items).collect()]
+        more = listed
+        if last is not None:
+            # null ids come first
+            later = F.col("item_id").isNotNull() if last.item_id is None else F.col("item_id") > F.lit(last.item_id)
+            more = listed.where(later | (F.col("item_id").eqNullSafe(F.lit(last.item_id)) & (F.col("item_text") > F.lit(last.item_text))))
+        rows = [r for r in more.orderBy("item_id", "item_text").limit(block_items).collect()]
         if not rows:
             break
-        last = rows[-1].item_id
+        last = rows[-1]
         kept = [r for r in rows if words_of(r.item_text)]
         if kept:
             blocks.append(build_index(df.select(F.col(text_col).alias("text")), [r.item_id for r in kept], [r.item_text for r in kept], rank=rank))
@@ -267,25 +346,25 @@ def find_leaks(
         return df.select("*", F.lit(False).alias("leak"), F.lit(None).cast(item_type).alias("leaked_item"), F.lit(None).cast("double").alias("leak_cosine"), F.lit(None).cast("double").alias("leak_common"))
     for index in blocks:
         df = _marked(df, spark.sparkContext.broadcast(index), text_col, item_type, min_cosine, min_common, min_answers)
-    return df.withColumn("leak", F.col("leaked_item").isNotNull()).select(*[c for c in df.columns if c not in ("leaked_item", "leak_cosine", "leak_common")], "leak", "leaked_item", "leak_cosine", "leak_common")
+    return df
 
 
 def _marked(df: DataFrame, held, text_col: str, item_type: str, min_cosine: float, min_common: float, min_answers: float) -> DataFrame:
     """The rows with the best item of one block, or of an earlier one."""
     if "leaked_item" not in df.columns:
-        df = df.select("*", F.lit(None).cast(item_type).alias("leaked_item"), F.lit(None).cast("double").alias("leak_cosine"), F.lit(None).cast("double").alias("leak_common"))
+        df = df.select("*", F.lit(False).alias("leak"), F.lit(None).cast(item_type).alias("leaked_item"), F.lit(None).cast("double").alias("leak_cosine"), F.lit(None).cast("double").alias("leak_common"))
     at, names = df.columns.index(text_col), df.columns
 
     def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = held.value
         for batch in batches:
-            columns = [list(batch.column(i).to_pylist()) for i in (-3, -2, -1)]
+            columns = [list(batch.column(i).to_pylist()) for i in (-4, -3, -2, -1)]
             for row, text in enumerate(batch.column(at)):
                 best = best_match(text.as_py(), index, min_cosine, min_common, min_answers)
-                if best and (columns[0][row] is None or (best[2], best[1]) > (columns[2][row], columns[1][row])):
-                    columns[0][row], columns[1][row], columns[2][row] = index.item_ids[best[0]], best[1], best[2]
-            kinds = [batch.schema.field(i).type for i in range(len(names) - 3, len(names))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-3], *(pa.array(c, k) for c, k in zip(columns, kinds))], names=names)
+                if best and (not columns[0][row] or (best[2], best[1]) > (columns[3][row], columns[2][row])):
+                    columns[0][row], columns[1][row], columns[2][row], columns[3][row] = True, index.item_ids[best[0]], best[1], best[2]
+            kinds = [batch.schema.field(i).type for i in range(len(names) - 4, len(names))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-4], *(pa.array(c, k) for c, k in zip(columns, kinds))], names=names)
 
     return df.mapInArrow(matched, df.schema)
 
