@@ -2,7 +2,7 @@
 
 import random
 
-from pyspark.sql import functions as F
+import numpy as np
 
 from tests.llm.test_operators import WORDS, prose
 from wordgrove.llm import decontaminate
@@ -27,3 +27,14 @@ def test_leaks_of_every_length(spark):
         assert all(found[i].leak and found[i].leak_common == 1 for i in range(len(texts)))
         assert [found[i].leaked_item for i in range(len(texts))] == [x for x, _ in items]
         assert not any(found[100 + i].leak for i in range(20))
+
+
+def test_latent_space_spans_the_items(spark):
+    """Every item keeps its length, and the space doesn't depend on which texts a draw would take."""
+    draw = random.Random(13)
+    items = [" ".join(rare(draw) for _ in range(20)) for _ in range(150)]
+    texts = spark.createDataFrame([(prose(i, 120) + " " + " ".join(items[i % 150].split()[:8]),) for i in range(600)], "text string")
+    index = decontaminate.build_index(texts, list(range(150)), items)
+    for own in items:
+        terms, weights = decontaminate._tfidf(np.array([index.vocabulary[w] for w in own.encode().split()]), index.idf)
+        assert np.linalg.norm(weights @ index.basis[terms]) >= 0.94

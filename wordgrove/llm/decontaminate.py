@@ -2,9 +2,9 @@
 
 1. Document frequencies of the benchmark's words are counted over the whole
    corpus.
-2. A randomised SVD of TF-IDF passages gives a latent space.  Its passages are all
-   items and a bounded sample of the corpus's windows; their products with the
-   random and the refined bases are summed over the cluster.
+2. A randomised SVD of the TF-IDF rows of all items gives a latent space, of as
+   many dimensions as every item needs to keep nearly all of its length.  The
+   corpus bears on it by the document frequencies alone, so no text is drawn.
 3. Every text is cut in windows that overlap.  An item is a candidate in a window
    of one and a half times its length that holds enough of its answer words
    (those of an item with the highest inverse document frequency).  For passages
@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 from wordgrove.llm.common import session_of
 
 RANK, OVERSAMPLE, POWER_ROUNDS = 128, 16, 2
-#: Bound of the sample of corpus windows that the latent space is learnt from.
-FIT_WINDOWS = 4096
-#: Items of one broadcast; more are taken in blocks of this size.
-BLOCK_ITEMS = 5000
+#: Share of its length that every item keeps in the latent space.
+MIN_KEPT = 0.95
+#: Items of one broadcast; more are taken in blocks of this size, which bounds the dimensions.
+BLOCK_ITEMS = 500
 MIN_COSINE, MIN_COMMON, MIN_ANSWERS = 0.4, 0.6, 0.6
 ANSWER_WORDS = 6
 #: Wide windows in words: so many for items of up to two thirds of that, twice as many for longer ones, and so on.
@@ -163,7 +163,7 @@ def latent_basis(passages: DataFrame, n_terms: int, rank: int = RANK, seed: int
         found = passages.mapInArrow(partial, schema).repartition(4, "term").mapInArrow(summed, schema).toArrow()
         whole = np.zeros(basis.shape)
         if found.num_rows:
-            whole[found["term"].to_numpy()] = np.array(found["row"].to_pylist())
+            whole[found["term"].to_numpy()] = found["row"].combine_chunks().flatten().to_numpy().reshape(-1, basis.shape[1])
         return whole
 
     basis = np.linalg.qr(np.random.default_rng(seed).normal(size=(n_terms, width)))[0]
@@ -176,8 +176,11 @@ def latent_basis(passages: DataFrame, n_terms: int, rank: int = RANK, seed: int
     return basis @ vectors[:, order]
 
 
-def build_index(texts: DataFrame, item_ids: list, item_texts: list[str], *, rank: int = RANK, fit_windows: int = FIT_WINDOWS) -> Index:
-    """An index of items, with statistics of the column ``text``."""
+def build_index(texts: DataFrame, item_ids: list, item_texts: list[str], *, rank: int = RANK, min_kept: float = MIN_KEPT) -> Index:
+    """An index of items, with document frequencies of the column ``text``.
+
+    The latent space has ``rank`` dimensions, or more where an item would keep less than ``min_kept`` of its length.
+    """
     spark: SparkSession = session_of(texts)
     split = [words_of(t) for t in item_texts]
     vocabulary = {w: i for i, w in enumerate(sorted({w for words in split for w in words}))}
@@ -185,32 +188,14 @@ def build_index(texts: DataFrame, item_ids: list, item_texts: list[str], *, rank
     idf = np.log((n_texts + 1) / (frequency + 1)) + 1e-3
     items = [[vocabulary[w] for w in words] for words in split]
     classes = _classes(list(map(len, items)))
-    window = classes[-1][0]
-    stride = window // 3
-    fit = spark.sparkContext.broadcast((vocabulary, idf))
-
-    share = min(1.0, fit_windows / max(n_texts, 1))
-    chosen = texts.where(F.pmod(F.xxhash64("text", F.lit(3)), F.lit(1 << 30)) < int(share * (1 << 30)))
-
-    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, weights = fit.value
-        for batch in batches:
-            terms, values = [], []
-            for text in batch.column(0):
-                found = np.array([words.get(w, -1) for w in words_of(text.as_py())], np.int64)
-                starts = _windows(len(found), window, stride)
-                at = int(starts[len(found) % len(starts)])
-                t, w = _tfidf(found[at : at + window], weights)
-                terms.append(t.tolist())
-                values.append(w.tolist())
-            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.list_(pa.int64())), pa.array(values, pa.list_(pa.float64()))], names=["terms", "weights"])
-
     own = [_tfidf(np.array(x, np.int64), idf) for x in items]
     schema = "terms array<long>, weights array<double>"
-    passages = chosen.select("text").mapInArrow(sampled, schema).unionByName(spark.createDataFrame([(t.tolist(), w.tolist()) for t, w in own], schema)).repartition(8).cache()
-    basis = latent_basis(passages, len(vocabulary), rank)
-    passages.unpersist()
+    passages = spark.createDataFrame([(t.tolist(), w.tolist()) for t, w in own], schema)
+    basis = latent_basis(passages, len(vocabulary), max(rank, len(items)))
     latent = np.array([w @ basis[t] for t, w in own])
+    kept = np.sqrt(np.cumsum(latent * latent, axis=1)) >= min_kept
+    wanted = max(rank, int((~kept).sum(axis=1).max()) + 1)
+    basis, latent = basis[:, :wanted], latent[:, :wanted]
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
     listed = list(vocabulary)
     answers = [sorted(set(x), key=lambda t: (-idf[t], t))[:ANSWER_WORDS] for x in items]
