@@ -5,7 +5,7 @@ import random
 import numpy as np
 
 from tests.llm.test_operators import WORDS, prose
-from wordgrove.llm import decontaminate
+from wordgrove.llm import decontaminate, secrets
 
 
 def rare(draw):
@@ -38,3 +38,14 @@ def test_latent_space_spans_the_items(spark):
     for own in items:
         terms, weights = decontaminate._tfidf(np.array([index.vocabulary[w] for w in own.encode().split()]), index.idf)
         assert np.linalg.norm(weights @ index.basis[terms]) >= 0.94
+
+
+def test_secrets_of_letters_only_and_short_ones(spark):
+    draw = random.Random(14)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    keys = ["".join(draw.choice(letters) for _ in range(20 + i % 20)) for i in range(200)] + ["".join(draw.choice(letters + "0123456789") for _ in range(18)) for _ in range(200)]
+    names = ["getUserNameById", "HttpServletRequestWrapperFactory", "src/main/java/org/apache/commons", "Donaudampfschifffahrtsgesellschaft", "UTF-8-BOM-encoded", "12345678901234567890"]
+    frame = spark.createDataFrame([(i, f"key {x} here") for i, x in enumerate(keys + names)], "doc_id long, text string")
+    found = {r.doc_id: r.n_random for r in secrets.scan(frame).collect()}
+    assert sum(found[i] for i in range(200)) >= 190 and sum(found[i] for i in range(200, 400)) >= 100
+    assert not any(found[400 + i] for i in range(len(names)))

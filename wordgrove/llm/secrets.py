@@ -4,8 +4,8 @@ Three kinds of fixed patterns are found as they are.  Beyond them, every run of
 characters that keys are made of is encoded with a byte-level BPE vocabulary:
 text that a vocabulary was made for takes few tokens, a random string takes
 nearly one for every character or two.  A run with a low ratio of characters to
-tokens is reported unless it is a known digest, a UUID or an identifier made of
-words and numbers.
+tokens (a lower one for short runs) is reported unless it is a known digest, a
+UUID, a number or an identifier made of words and numbers.
 """
 
 from __future__ import annotations
@@ -24,8 +24,12 @@ from wordgrove.llm.common import session_of
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: A run with fewer characters a token than this is random.
 MAX_RATIO = 2.0
-#: Shortest run that is tried, in code points.
+#: Shortest run that is tried against MAX_RATIO, in code points.
 MIN_RUN = 20
+#: Shorter runs, down to this length, are tried against a stricter ratio.
+SHORT_RUN, SHORT_RATIO = 12, 1.5
+#: Letters of a part that makes a run of letters only word-like: on average and at most.
+WORD_LETTERS, LONGEST_WORD = 4, 15
 REPLACEMENT = "[SECRET]"
 
 #: Order of kinds where spans start together.
@@ -34,7 +38,7 @@ KINDS = ("assign", "access", "hex", "random")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 _WORDS = ("password", "passwd", "secret", "token", "api")
 #: Every access key, long hex string and candidate lies in one of these.
-_RUN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+_RUN = re.compile(r"[A-Za-z0-9+/_.=-]{12,}")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+")
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]+")
@@ -45,15 +49,24 @@ _UUID = re.compile(r"[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}\Z")
 #: Words in one case or capitalised, and numbers, with separators.
 _IDENTIFIER = re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]{1,8}(?![0-9])|[+/_=-])*\Z")
 
+#: The parts of a run of letters: in one case or capitalised.
+_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+
 
 def is_known(run: str) -> bool:
-    """Whether a run is a digest by its length, a UUID, or an identifier of words and numbers."""
+    """Whether a run is a digest by its length, a UUID, a number, or an identifier of words and numbers.
+
+    Letters alone are an identifier only if their parts are as long as words.
+    """
     if len(run) in _DIGEST_LENGTHS and _DIGEST.match(run):
         return True
     if _UUID.match(run):
         return True
-    if not any(c.isdigit() for c in run) or not any(c.isalpha() for c in run):
+    if not any(c.isalpha() for c in run):
         return True
+    if not any(c.isdigit() for c in run):
+        parts = [len(x) for x in _PARTS.findall(run)]
+        return max(parts) <= LONGEST_WORD and sum(parts) >= WORD_LETTERS * len(parts)
     changes = sum(a.isdigit() != b.isdigit() for a, b in zip(run, run[1:]))
     return changes <= 2 and _IDENTIFIER.match(run) is not None
 
@@ -70,12 +83,12 @@ def spans(text: str, encoder, max_ratio: float = MAX_RATIO) -> list[tuple[int, i
         if "AKIA" in whole:
             found += [(at + m.start(), 1, at + m.end()) for m in _ACCESS.finditer(whole) if len(m[0]) >= 18]
         found += [(at + m.start(), 2, at + m.end()) for m in _HEX.finditer(whole) if len(m[0]) >= 16]
-        candidates += [(at + m.start(), at + m.end(), m[0]) for m in _CANDIDATE.finditer(whole) if len(m[0]) >= MIN_RUN]
+        candidates += [(at + m.start(), at + m.end(), m[0]) for m in _CANDIDATE.finditer(whole) if len(m[0]) >= SHORT_RUN]
     base = list(found)
     for start, end, run in candidates:
         if any(s < end and start < e for s, _, e in base) or is_known(run):
             continue
-        if len(run) < max_ratio * len(encoder.encode_ordinary(run)):
+        if len(run) < (max_ratio if len(run) >= MIN_RUN else min(max_ratio, SHORT_RATIO)) * len(encoder.encode_ordinary(run)):
             found.append((start, 3, end))
     return sorted(found)
 
