@@ -28,10 +28,14 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near duplicates: the one with the smallest id; one row of equal ids."""
-    groups = simhash.near_duplicates(docs)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(kept, docs.doc_id.eqNullSafe(kept.doc_id), "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """Keeps one row of each group of near duplicates: the one with the smallest id, null ids last.
+
+    Rows are told apart by id, text and the other columns, so ids may be null or repeated.
+    """
+    key = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), F.xxhash64("text", F.lit(1)), F.xxhash64(*docs.columns))
+    groups = simhash.near_duplicates(docs.select(key.alias("key"), "text"), id_col="key")
+    kept = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("key")).distinct()
+    return docs.withColumn("key", key).join(kept, "key", "left_semi").dropDuplicates(["key"]).select(*docs.columns)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

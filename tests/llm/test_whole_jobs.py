@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 
+import corpus_pipeline
 from tests.llm.test_operators import WORDS, prose
 from wordgrove.llm import decontaminate, secrets
 
@@ -49,3 +50,17 @@ def test_secrets_of_letters_only_and_short_ones(spark):
     found = {r.doc_id: r.n_random for r in secrets.scan(frame).collect()}
     assert sum(found[i] for i in range(200)) >= 190 and sum(found[i] for i in range(200, 400)) >= 100
     assert not any(found[400 + i] for i in range(len(names)))
+
+
+def test_near_duplicates_with_null_and_repeated_ids(spark):
+    """One row of each group of near duplicates stays, whatever the ids."""
+    texts = [prose(300 + i, 90) for i in range(12)]
+    rows = [(7, texts[i], "en", "s", 0) for i in range(4)] + [(None, texts[i], "en", "s", i) for i in range(4, 8)]
+    rows += [(i, texts[i], "en", "s", 0) for i in range(8, 12)] + [(20, texts[0], "en", "s", 0), (5, texts[9], "en", "s", 0), (None, texts[10], "fr", "s", 0), rows[1], (None, texts[4], "en", "t", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    found = sorted((r.text, r.doc_id) for r in kept.collect())
+    assert [x for x, _ in found] == sorted(texts)
+    ids = dict(found)
+    assert [ids[x] for x in texts] == [7, 7, 7, 7, None, None, None, None, 8, 5, 10, 11]
