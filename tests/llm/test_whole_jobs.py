@@ -6,7 +6,7 @@ import numpy as np
 
 import corpus_pipeline
 from tests.llm.test_operators import WORDS, prose
-from wordgrove.llm import decontaminate, secrets
+from wordgrove.llm import decontaminate, licences, secrets
 
 
 def rare(draw):
@@ -64,3 +64,15 @@ def test_near_duplicates_with_null_and_repeated_ids(spark):
     assert [x for x, _ in found] == sorted(texts)
     ids = dict(found)
     assert [ids[x] for x in texts] == [7, 7, 7, 7, None, None, None, None, 8, 5, 10, 11]
+
+
+def test_short_and_wrapped_licences(spark):
+    gpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License"
+    mit = "# Permission is hereby granted,\n# free of charge, to any person\n# obtaining a copy of this software\n# and associated documentation files"
+    rows = [(i, prose(i, 60)) for i in range(40)]
+    rows += [(100, prose(50, 20) + "\nAll rights reserved.\n" + prose(51, 20)), (101, prose(52, 20) + "\n" + gpl + "\n" + prose(53, 20)), (102, mit), (103, mit + "\nAll rights reserved.\n\n" + gpl), (104, "the reserved seats\nof the licence office")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    model = licences.train(frame, unknown_paragraphs=200)
+    found = {r.doc_id: [x.family for x in r.licences] for r in licences.scan(frame, model).collect()}
+    assert [found[i] for i in range(100, 105)] == [["proprietary"], ["gpl"], ["mit"], ["mit", "proprietary", "gpl"], []]
+    assert not any(found[i] for i in range(40))

@@ -12,6 +12,8 @@
    the unknown ones is left alone.
 4. A prediction counts only if the paragraph holds enough of the n-grams of one
    template of the predicted family.
+5. Lines near a telling word are also judged together with their neighbours, so
+   that a notice that is wrapped over several lines is found whole.
 
 Scoring stays inside each row: a text is split in paragraphs, those without a
 telling word are passed over, and the rest are scored with array functions.
@@ -52,6 +54,10 @@ TEMPLATES = (
     ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("cc0", "To the extent possible under law, the author has waived all copyright and related rights under CC0 1.0 Universal."),
     ("proprietary", "All rights reserved. No part of this work may be reproduced without the prior written permission of the publisher."),
+    ("proprietary", "All rights reserved."),
+    ("bsd", "Released under the BSD 3-Clause License."),
+    ("mpl", "Licensed under the Mozilla Public License, version 2.0."),
+    ("cc0", "Released under CC0 1.0."),
 )
 #: Words that stand in ordinary prose as well: they are features, but don't make a paragraph worth scoring.
 ORDINARY = frozenset("a all and any are as author be by except for form forms free hereby in is it law may no not of or part person possible program project source terms the this to under use with without work you your".split())
@@ -61,6 +67,8 @@ UNKNOWN_PARAGRAPHS, VARIANTS = 2000, 24
 SPECIFICITY = 0.995
 #: Share of a template's n-grams that confirms a prediction.
 CONFIRMED = 0.6
+#: Neighbouring lines that are judged together, at most: the longest template at about 25 characters a line.
+WRAPPED = 6
 
 
 def words_of(text: Column) -> Column:
@@ -149,32 +157,52 @@ def _scored(grams: Column, model: LicenceModel) -> Column:
     return F.element_at(F.transform(ranked, lambda r: F.struct(place(r).alias("place"), (F.lit(1.0) / odds(r)).alias("score"))), 1)
 
 
-def scan(df: DataFrame, model: LicenceModel, *, id_col: str = "doc_id", text_col: str = "text", confirmed: float = CONFIRMED) -> DataFrame:
+def scan(df: DataFrame, model: LicenceModel, *, id_col: str = "doc_id", text_col: str = "text", confirmed: float = CONFIRMED, wrapped: int = WRAPPED) -> DataFrame:
     """``doc_id``, ``n_paragraphs``, ``n_scored`` and ``licences`` (``family``, ``score``, ``paragraph``) of every row.
 
     Paragraphs are lines; blank ones don't count.  A paragraph is listed if its
     likeliest class isn't ``unknown``, the confidence is above the calibrated one
-    and a template of that family confirms it.  A null or empty text has no
-    paragraphs.  Equal rows each give a row; other columns are ignored.
+    and a template of that family confirms it.  Up to ``wrapped`` lines one after
+    another are listed as one paragraph where they fulfil that together, and no
+    fewer of them do.  A null or empty text has no paragraphs.  Equal rows each
+    give a row; other columns are ignored.
     """
     vocabulary, telling = F.lit(list(model.vocabulary)), F.lit(telling_words(model.templates))
     lines = F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), r"\n"), lambda p: F.trim(p) != "")
     rows = df.select(F.col(id_col).alias("doc_id"), lines.alias("lines"))
-    rows = rows.select("doc_id", F.size("lines").cast("long").alias("n_paragraphs"), F.filter("lines", lambda p: F.arrays_overlap(words_of(p), telling)).alias("kept"))
-    known = F.transform("kept", lambda p: F.struct(p.alias("paragraph"), F.array_intersect(ngrams_of(words_of(p)), vocabulary).alias("grams")))
-    rows = rows.select("doc_id", "n_paragraphs", F.size("kept").cast("long").alias("n_scored"), known.alias("known"))
-    judged = F.transform("known", lambda k: F.struct(k["paragraph"].alias("paragraph"), k["grams"].alias("grams"), _scored(k["grams"], model).alias("s")))
-    rows = rows.select("doc_id", "n_paragraphs", "n_scored", judged.alias("judged"))
+    # places of the lines with a telling word, from 1; nothing else is joined or scored
+    told = F.filter(F.transform("lines", lambda p, i: F.when(F.arrays_overlap(words_of(p), telling), i + 1)), lambda i: i.isNotNull())
+    rows = rows.select("doc_id", "lines", F.size("lines").cast("long").alias("n_paragraphs"), told.alias("told"))
+    spans = F.flatten(F.transform("told", lambda t: F.flatten(F.array(*[F.transform(F.sequence(t - n + 1, t), lambda a, n=n: F.struct(F.lit(n).alias("n"), a.alias("at"))) for n in range(1, wrapped + 1)]))))
+    inside = F.array_sort(F.array_distinct(F.filter(spans, lambda x: (x["at"] >= 1) & (x["at"] + x["n"] - 1 <= F.size("lines")))))
+    rows = rows.select("doc_id", "lines", "n_paragraphs", F.size("told").cast("long").alias("n_scored"), inside.alias("spans"))
+    joined = F.transform("spans", lambda x: F.struct(x["n"].alias("n"), x["at"].alias("at"), F.array_join(F.slice("lines", x["at"], x["n"]), "\n").alias("paragraph")))
+    rows = rows.select("doc_id", "n_paragraphs", "n_scored", joined.alias("kept"))
+    known = F.transform("kept", lambda k: F.struct(k["n"].alias("n"), k["at"].alias("at"), k["paragraph"].alias("paragraph"), F.array_intersect(ngrams_of(words_of(k["paragraph"])), vocabulary).alias("grams")))
+    rows = rows.select("doc_id", "n_paragraphs", "n_scored", known.alias("known"))
     place = {family: i for i, family in enumerate(model.families)}
     templates = F.array(*[F.struct(F.lit(place[family]).alias("place"), F.lit(list(grams)).alias("grams")) for family, grams in model.templates])
 
+    share = lambda t, k: F.size(F.array_intersect(t["grams"], k["grams"])) >= F.lit(confirmed) * F.size(t["grams"])
+    rows = rows.select("doc_id", "n_paragraphs", "n_scored", F.filter("known", lambda k: F.exists(templates, lambda t: share(t, k))).alias("known"))
+    judged = F.transform("known", lambda k: F.struct(k["n"].alias("n"), k["at"].alias("at"), k["paragraph"].alias("paragraph"), k["grams"].alias("grams"), _scored(k["grams"], model).alias("s")))
+    rows = rows.select("doc_id", "n_paragraphs", "n_scored", judged.alias("judged"))
+
     def is_confirmed(j: Column) -> Column:
-        share = lambda t: F.size(F.array_intersect(t["grams"], j["grams"])) >= F.lit(confirmed) * F.size(t["grams"])
-        return (j["s"]["place"] < len(place) - 1) & (j["s"]["score"] > model.least) & F.exists(templates, lambda t: (t["place"] == j["s"]["place"]) & share(t))
+        return (j["s"]["place"] < len(place) - 1) & (j["s"]["score"] > model.least) & F.exists(templates, lambda t: (t["place"] == j["s"]["place"]) & share(t, j))
 
     families = F.lit(list(model.families))
-    named = F.transform(F.filter("judged", is_confirmed), lambda j: F.struct(F.element_at(families, j["s"]["place"] + 1).alias("family"), j["s"]["score"].alias("score"), j["paragraph"].alias("paragraph")))
-    return rows.select("doc_id", "n_paragraphs", "n_scored", named.alias("licences"))
+    named = F.transform(
+        F.filter("judged", is_confirmed),
+        lambda j: F.struct(j["at"].alias("at"), j["n"].alias("n"), F.element_at(families, j["s"]["place"] + 1).alias("family"), j["s"]["score"].alias("score"), j["paragraph"].alias("paragraph")),
+    )
+    rows = rows.select("doc_id", "n_paragraphs", "n_scored", named.alias("named"))
+    # fewest lines first; a line is listed once
+    meets = lambda x, y: (x["at"] < y["at"] + y["n"]) & (y["at"] < x["at"] + x["n"])
+    apart = F.aggregate("named", F.slice("named", 1, 0), lambda taken, x: F.when(F.exists(taken, lambda y: meets(x, y)), taken).otherwise(F.concat(taken, F.array(x))))
+    rows = rows.select("doc_id", "n_paragraphs", "n_scored", F.array_sort(apart).alias("named"))
+    listed = F.transform("named", lambda x: F.struct(x["family"].alias("family"), x["score"].alias("score"), x["paragraph"].alias("paragraph")))
+    return rows.select("doc_id", "n_paragraphs", "n_scored", listed.alias("licences"))
 
 
 def op1_licence_scan(spark, sf_dir: str) -> DataFrame:
