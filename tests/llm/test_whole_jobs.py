@@ -6,7 +6,7 @@ import numpy as np
 
 import corpus_pipeline
 from tests.llm.test_operators import WORDS, prose
-from wordgrove.llm import decontaminate, licences, secrets
+from wordgrove.llm import decontaminate, language_id, licences, secrets
 
 
 def rare(draw):
@@ -76,3 +76,23 @@ def test_short_and_wrapped_licences(spark):
     found = {r.doc_id: [x.family for x in r.licences] for r in licences.scan(frame, model).collect()}
     assert [found[i] for i in range(100, 105)] == [["proprietary"], ["gpl"], ["mit"], ["mit", "proprietary", "gpl"], []]
     assert not any(found[i] for i in range(40))
+
+
+def test_rare_languages_are_learnt(spark):
+    """A language with a row or two is in the model, and long texts in it aren't outweighed by its prior."""
+    made = {"en": "the of and that with for", "de": "der und die nicht mit ein", "fr": "le des une dans pour que"}
+    draw = random.Random(15)
+    text = lambda lang, n: " ".join(draw.choice(made[lang].split()) for _ in range(n))
+    rows = [(i, text("en", 12), "en") for i in range(6000)] + [(6000 + i, text(lang, 40), lang) for i, lang in enumerate(("de", "fr", "fr"))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    wanted = {100 + i: lang for i, lang in enumerate(list(made) * 10)}
+    model = language_id.train(frame, max_rows=600)
+    found = language_id.predict(spark.createDataFrame([(i, text(lang, 30)) for i, lang in wanted.items()], "doc_id long, text string"), model).collect()
+    assert {r.doc_id: r.lang_pred for r in found} == wanted and all(0.3 < r.score <= 1 for r in found)
+
+
+def test_rows_for_each_language():
+    assert language_id.rows_for_each([5, 100, 10_000], 1105, 10) == 1000
+    assert language_id.rows_for_each([5, 100], 1000) == 100
+    assert language_id.rows_for_each([50_000] * 4, 40_000) == 10_000
+    assert language_id.rows_for_each([50_000] * 500, 40_000) == 1000

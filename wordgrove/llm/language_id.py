@@ -22,9 +22,11 @@ from wordgrove.llm.common import session_of
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
 SMOOTHING = 0.5
-#: The model learns from about so many labelled rows at most, chosen by a hash of their id.
+#: The model learns from about so many labelled rows at most, chosen by a hash of their id and text.
 MAX_TRAINING_ROWS = 40_000
-#: The log likelihood is taken as that of so many n-grams, so that scores of long texts stay apart.
+#: But each language has about so many rows at least, or all that it has.
+LANGUAGE_ROWS = 1000
+#: For the score, the log posterior is taken as that of so many n-grams, so that scores of long texts stay apart.
 EVIDENCE = 30
 UNDETERMINED = "und"
 #: Bound of the broadcast matrix.
@@ -57,6 +59,16 @@ class Model:
     matrix: np.ndarray
 
 
+def rows_for_each(sizes: list[int], max_rows: int, least: int = LANGUAGE_ROWS) -> int:
+    """The number of rows up to which every language is used, so that all together come to ``max_rows`` at most; ``least`` at least."""
+    left = max_rows
+    for i, size in enumerate(sorted(sizes)):
+        if size * (len(sizes) - i) > left:
+            return max(left // (len(sizes) - i), least)
+        left -= size
+    return max(sizes)
+
+
 def train(
     df: DataFrame,
     *,
@@ -68,7 +80,10 @@ def train(
     orders: tuple[int, ...] = ORDERS,
     smoothing: float = SMOOTHING,
 ) -> Model:
-    """A model from rows with a text and a label; without any, one without languages."""
+    """A model from rows with a text and a label; without any, one without languages.
+
+    Of rare languages all rows are used, of the others about as many as of each other.
+    """
     spark = session_of(df)
     labelled = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(label_col).alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
     sizes = {row.lang: row["count"] for row in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES + 1).collect()}
@@ -76,8 +91,10 @@ def train(
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not sizes:
         return Model((), np.zeros(0), np.zeros((buckets, 0), np.float32))
-    share = min(1.0, max_rows / sum(sizes.values()))
-    sample = labelled.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))) if share < 1 else labelled
+    most = rows_for_each(list(sizes.values()), max_rows)
+    shares = [x for lang, n in sizes.items() if n > most for x in (F.lit(lang), F.lit(int(most / n * (1 << 30))))]
+    bound = F.coalesce(F.create_map(*shares)[F.col("lang")], F.lit(1 << 30)) if shares else None
+    sample = labelled.where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) < bound) if shares else labelled
     languages = tuple(sorted(sizes))
     place = {lang: i for i, lang in enumerate(languages)}
 
@@ -100,6 +117,8 @@ def train(
 def predict(df: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", orders: tuple[int, ...] = ORDERS) -> DataFrame:
     """All columns of every row, ``lang_pred`` and ``score`` (the tempered posterior, 0 to 1).
 
+    The language is that of the highest posterior of the whole text; only the
+    score is tempered.
     ``lang_pred`` is ``und``, with a score of 0, for a null text, a text without a
     letter, and a model without languages.  Ties go to the first language by name.
     Columns of those two names in the input are replaced.
@@ -115,7 +134,7 @@ def predict(df: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
             return UNDETERMINED, 0.0
         found = buckets_of(text, len(model.matrix), orders)
         likelihood = model.matrix[found].sum(axis=0, dtype=np.float64)
-        tempered = likelihood / len(found) * min(len(found), EVIDENCE) + model.priors
+        tempered = (likelihood + model.priors) / len(found) * min(len(found), EVIDENCE)
         odds = np.exp(tempered - tempered.max())
         best = int(np.argmax(odds))
         return model.languages[best], float(odds[best] / odds.sum())
