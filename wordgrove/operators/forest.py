@@ -167,17 +167,20 @@ def dfs_ids(edges: DataFrame, sort_cols: list[str], max_depth: int = 200) -> Dat
     A node's path holds the rank of each step among its siblings, so the order of
     paths is that of a depth-first walk.  Numbers are given by tree; the order of
     roots is taken from a range-partitioned sort with counts of the ranges before.
+    A tree of more than ``max_depth`` levels below its root raises an error.
     """
     siblings = Window.partitionBy("parent").orderBy(*sort_cols, "node")
     ranked = edges.where("parent IS NOT NULL").withColumn("rank", F.row_number().over(siblings)).select("node", "parent", "rank")
     tops = numbered(edges.where("parent IS NULL").select("node", *sort_cols), [*sort_cols, "node"]).select("node", (F.col("number") - 1).alias("tree"))
     front = checkpointed(tops.select("node", "tree", F.array(F.lit(0)).alias("path")))
     found = front
-    for _ in range(max_depth):
+    for _ in range(max_depth + 1):
         front = checkpointed(front.select(F.col("node").alias("parent"), "tree", "path").join(ranked, "parent").select("node", "tree", F.concat("path", F.array("rank")).alias("path")))
         if front.isEmpty():
             break
         found = found.unionByName(front)
+    else:
+        raise RuntimeError(f"a tree is deeper than {max_depth} levels")
     return found.select("node", "tree", (F.row_number().over(Window.partitionBy("tree").orderBy("path")) - 1).cast("long").alias("pos"), "path")
 
 
