@@ -10,6 +10,7 @@ split by the rows' ids, so one host may fill many ranges.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,15 +30,22 @@ DEFAULT_VERDICT = "allow"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def _rest(url: Column) -> Column:
+    """What follows the first ``://`` of a URL, without what ``?`` or ``#`` begin; empty where there is none."""
+    at = F.instr(url, "://")
+    rest = F.when(at > 0, F.substring(url, at + 3, F.length(url))).otherwise("")
+    return F.substring_index(F.substring_index(F.coalesce(rest, F.lit("")), "?", 1), "#", 1)
+
+
 def host_of(url: Column) -> Column:
     """What stands between the first ``://`` and the next ``/``, ``?``, ``#`` or the end, A-Z lower-cased; else empty."""
-    found = F.regexp_extract(url, r"(?s)^(?:(?!://).)*://([^/?#]*)", 1)
-    return F.translate(F.coalesce(found, F.lit("")), _UPPER, _LOWER)
+    return F.translate(F.substring_index(_rest(url), "/", 1), _UPPER, _LOWER)
 
 
 def path_of(url: Column) -> Column:
     """What follows the host up to ``?``, ``#`` or the end; else empty."""
-    return F.coalesce(F.regexp_extract(url, r"(?s)^(?:(?!://).)*://[^/?#]*([^?#]*)", 1), F.lit(""))
+    rest = _rest(url)
+    return F.substring(rest, F.length(F.substring_index(rest, "/", 1)) + 1, F.length(rest))
 
 
 def host_key(host: Column) -> Column:
@@ -63,15 +71,28 @@ def judge(pages: DataFrame, rules: DataFrame, *, id_col: str = "page_id", url_co
     urls = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path")).withColumn("key", host_key(F.col("host")))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = written(urls.repartitionByRange(parts, "key", F.xxhash64("page_id")).withColumn("part", F.spark_partition_id()))
-    ranges = dealt.groupBy("part").agg(F.min("key").alias("low"), F.max("key").alias("high"))
+    # at most one range for each shuffle partition, so these are few whatever the input
+    ranges = [r for r in dealt.groupBy("part").agg(F.min("key").alias("low"), F.max("key").alias("high")).orderBy("part").collect()]
+    held = spark.sparkContext.broadcast(([r.part for r in ranges], [r.low for r in ranges], [r.high for r in ranges]))
     keyed = rules.select("verdict", F.translate("host", _UPPER, _LOWER).alias("host"), F.coalesce("path", F.lit("")).alias("path")).dropDuplicates().withColumn("key", host_key(F.col("host")))
-    # at most one range for each shuffle partition, so this side is small whatever the input
-    touching = keyed.join(F.broadcast(ranges), (F.col("key") <= F.col("high")) & (F.concat("key", F.lit(_LAST)) >= F.col("low")))
+
+    def touched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each range that a rule's interval of keys meets, found by bisection: ranges follow each other."""
+        numbers, lows, highs = held.value
+        for batch in batches:
+            rows, parts = [], []
+            for i, key in enumerate(batch.column(3).to_pylist()):
+                meets = numbers[bisect_left(highs, key) : bisect_right(lows, key + _LAST)]
+                rows += [i] * len(meets)
+                parts += meets
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), *batch.take(pa.array(rows, pa.int64())).columns], names=["part", *batch.schema.names])
+
+    touching = keyed.mapInArrow(touched, "part int, verdict string, host string, path string, key string")
     page_type = dict(urls.dtypes)["page_id"]
     stream = dealt.select("part", "key", F.lit(1).alias("kind"), "page_id", "host", "path", F.lit(None).cast("string").alias("verdict")).unionByName(
         touching.select("part", "key", F.lit(0).alias("kind"), F.lit(None).cast(page_type).alias("page_id"), "host", "path", "verdict")
     )
-    ordered = stream.repartition(parts, "part").sortWithinPartitions("part", "key", "kind", "path")
+    ordered = stream.repartitionById(parts, "part").sortWithinPartitions("part", "key", "kind", "path")
 
     def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, stack = None, []  # of (key, host, {path: verdict}, lengths of paths)
