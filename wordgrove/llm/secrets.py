@@ -11,7 +11,9 @@ UUID, a number or an identifier made of words and numbers.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import public_tokenizers
 import pyarrow as pa
@@ -46,8 +48,8 @@ _DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 #: Lengths of MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512 in hex digits.
 _DIGEST_LENGTHS = frozenset((32, 40, 56, 64, 96, 128))
 _UUID = re.compile(r"[0-9A-Fa-f]{8}-(?:[0-9A-Fa-f]{4}-){3}[0-9A-Fa-f]{12}\Z")
-#: Words in one case or capitalised, and numbers, with separators.
-_IDENTIFIER = re.compile(r"(?:[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]{1,8}(?![0-9])|[+/_=-])*\Z")
+#: Words in one case or capitalised, and numbers, with separators.  No part is taken back once it is matched, so a long run costs its length.
+_IDENTIFIER = re.compile(r"(?:[A-Z]?[a-z]++|(?>[A-Z]+(?![a-z]))|[0-9]{1,8}+(?![0-9])|[+/_=-])*+\Z")
 
 #: The parts of a run of letters: in one case or capitalised.
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
@@ -84,9 +86,13 @@ def spans(text: str, encoder, max_ratio: float = MAX_RATIO) -> list[tuple[int, i
             found += [(at + m.start(), 1, at + m.end()) for m in _ACCESS.finditer(whole) if len(m[0]) >= 18]
         found += [(at + m.start(), 2, at + m.end()) for m in _HEX.finditer(whole) if len(m[0]) >= 16]
         candidates += [(at + m.start(), at + m.end(), m[0]) for m in _CANDIDATE.finditer(whole) if len(m[0]) >= SHORT_RUN]
-    base = list(found)
+    # a candidate meets a span of the fixed patterns if, of those that start before its end, one reaches beyond its start
+    base = sorted((s, e) for s, _, e in found)
+    starts = [s for s, _ in base]
+    reached = list(accumulate((e for _, e in base), max))
     for start, end, run in candidates:
-        if any(s < end and start < e for s, _, e in base) or is_known(run):
+        before = bisect_left(starts, end)
+        if (before and reached[before - 1] > start) or is_known(run):
             continue
         if len(run) < (max_ratio if len(run) >= MIN_RUN else min(max_ratio, SHORT_RATIO)) * len(encoder.encode_ordinary(run)):
             found.append((start, 3, end))
