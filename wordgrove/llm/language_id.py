@@ -2,8 +2,10 @@
 
 A multinomial model counts the n-grams of lower-cased text in a fixed number of
 hashed buckets for each language.  Its matrix of log probabilities has a size
-that only the number of buckets and languages sets; it is broadcast, and texts
-are scored in numpy by gathering and summing rows of it.
+that only the number of buckets and languages sets; it is broadcast.  The
+n-grams of a batch of texts are a sparse matrix of rows and buckets, of which a
+bounded number of entries is held at a time; its product with the broadcast
+matrix, a language after the other, gives the scores of all texts of the batch.
 """
 
 from __future__ import annotations
@@ -29,25 +31,66 @@ LANGUAGE_ROWS = 1000
 #: For the score, the log posterior is taken as that of so many n-grams, so that scores of long texts stay apart.
 EVIDENCE = 30
 UNDETERMINED = "und"
+#: Code points whose n-grams are scored at once.
+BLOCK_POINTS = 1 << 17
 #: Bound of the broadcast matrix.
 MAX_LANGUAGES = 512
 
 _MULTIPLIERS = np.array([2654435761, 2246822519, 3266489917, 668265263, 374761393], dtype=np.uint32)
 
 
+def _hashed(points: np.ndarray, order: int, buckets: int) -> np.ndarray:
+    """The bucket of the n-gram of one order that starts at each code point."""
+    hashed = np.full(len(points) - order + 1, order, dtype=np.uint32)
+    for i in range(order):
+        hashed = (hashed ^ points[i : len(points) - order + 1 + i]) * _MULTIPLIERS[i % len(_MULTIPLIERS)]
+        hashed ^= hashed >> np.uint32(15)
+    return hashed & np.uint32(buckets - 1)
+
+
+def _points(text: str) -> np.ndarray:
+    """The code points of a text, lower-cased and framed by spaces."""
+    return np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "replace"), dtype=np.uint32)
+
+
 def buckets_of(text: str, buckets: int = BUCKETS, orders: tuple[int, ...] = ORDERS) -> np.ndarray:
     """The hashed buckets of all n-grams of a text, lower-cased and framed by spaces."""
-    points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "replace"), dtype=np.uint32)
-    parts = []
-    for order in orders:
-        if len(points) < order:
-            continue
-        hashed = np.full(len(points) - order + 1, order, dtype=np.uint32)
-        for i in range(order):
-            hashed = (hashed ^ points[i : len(points) - order + 1 + i]) * _MULTIPLIERS[i % len(_MULTIPLIERS)]
-            hashed ^= hashed >> np.uint32(15)
-        parts.append(hashed & np.uint32(buckets - 1))
-    return np.concatenate(parts)
+    points = _points(text)
+    return np.concatenate([_hashed(points, order, buckets) for order in orders if len(points) >= order])
+
+
+def sparse_rows(texts: list[str], buckets: int = BUCKETS, orders: tuple[int, ...] = ORDERS, block: int = BLOCK_POINTS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The n-grams of texts as entries (row, bucket) of a sparse matrix, those of about ``block`` code points at a time.
+
+    A text longer than a block is cut in pieces, each with so many more points as
+    the n-grams that start in it reach over its end.
+    """
+    longest = max(orders)
+    held: list[tuple[int, np.ndarray, int]] = []  # row, points, how many n-grams may start there
+    size = 0
+
+    def entries() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        lengths = np.array([len(points) for _, points, _ in held])
+        flat = np.concatenate([points for _, points, _ in held])
+        row = np.repeat(np.array([r for r, _, _ in held]), lengths)
+        place = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        left = np.repeat(lengths, lengths) - place
+        starts = place < np.repeat(np.array([n for _, _, n in held]), lengths)
+        for order in orders:
+            if len(flat) >= order:
+                kept = np.flatnonzero(starts & (left >= order))
+                yield row[kept], _hashed(flat, order, buckets)[kept]
+
+    for i, text in enumerate(texts):
+        points = _points(text)
+        for at in range(0, len(points), block):
+            held.append((i, points[at : at + block + longest - 1], min(block, len(points) - at)))
+            size += len(held[-1][1])
+            if size >= block:
+                yield from entries()
+                held, size = [], 0
+    if held:
+        yield from entries()
 
 
 @dataclass(frozen=True)
@@ -129,21 +172,27 @@ def predict(df: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
     at = kept.columns.index(text_col)
     names = [*kept.columns, "lang_pred", "score"]
 
-    def one(text: str | None, model: Model) -> tuple[str, float]:
-        if not text or not model.languages or not any(map(str.isalpha, text)):
-            return UNDETERMINED, 0.0
-        found = buckets_of(text, len(model.matrix), orders)
-        likelihood = model.matrix[found].sum(axis=0, dtype=np.float64)
-        tempered = (likelihood + model.priors) / len(found) * min(len(found), EVIDENCE)
-        odds = np.exp(tempered - tempered.max())
-        best = int(np.argmax(odds))
-        return model.languages[best], float(odds[best] / odds.sum())
-
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
+        by_language = np.ascontiguousarray(model.matrix.T)
         for batch in batches:
-            found = [one(x.as_py(), model) for x in batch.column(at)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], names=names)
+            texts = [x.as_py() for x in batch.column(at)]
+            told = [i for i, text in enumerate(texts) if text and model.languages and any(map(str.isalpha, text))]
+            likelihood, grams = np.zeros((len(told), len(model.languages))), np.zeros(len(told), np.int64)
+            for rows, found in sparse_rows([texts[i] for i in told], len(model.matrix), orders):
+                first, last = int(rows[0]) if len(rows) else 0, int(rows[-1]) + 1 if len(rows) else 0
+                grams[first:last] += np.bincount(rows - first, minlength=last - first)
+                for j, column in enumerate(by_language):
+                    likelihood[first:last, j] += np.bincount(rows - first, weights=column[found], minlength=last - first)
+            names_of, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+            if told:
+                tempered = (likelihood + model.priors) * (np.minimum(grams, EVIDENCE) / grams)[:, None]
+                odds = np.exp(tempered - tempered.max(axis=1, keepdims=True))
+                best = odds.argmax(axis=1)
+                scores[told] = odds[np.arange(len(told)), best] / odds.sum(axis=1)
+                for i, j in zip(told, best.tolist()):
+                    names_of[i] = model.languages[j]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names_of, pa.string()), pa.array(scores)], names=names)
 
     schema = T.StructType([*kept.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return kept.mapInArrow(scored, schema)
