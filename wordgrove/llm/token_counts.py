@@ -5,9 +5,10 @@
 2. The library's model splits each distinct pre-token once; its number of
    pieces is kept in a table of the shared folder.
 3. Per-document pre-token frequencies are joined to that table and summed.  The
-   most frequent pre-tokens, of a bounded number and length, are joined by
+   most frequent pre-tokens, of a bounded number and however long, are joined by
    broadcast inside the task; the rest go through a shuffled join, so that every
-   pre-token is counted, however rare.
+   pre-token is counted, however rare.  Long pre-tokens go by a digest of 128
+   bits, which bounds the broadcast and the rows of the join in bytes.
 
 A pre-token never reaches over a single space that follows or precedes a
 character other than white space, so texts are first cut there with
@@ -33,8 +34,8 @@ from tokenizers import Tokenizer
 from wordgrove.llm.bpe import vocabulary_path
 from wordgrove.llm.common import session_of, written
 
-#: Bound of the broadcast: so many pre-tokens of so many UTF-8 bytes at most.
-HEAD_ENTRIES, HEAD_BYTES = 1 << 18, 24
+#: Bound of the broadcast: so many pre-tokens, under keys of so many code points at most (see ``key_of``).
+HEAD_ENTRIES, KEY_CHARS = 1 << 18, 24
 #: Distinct words and pre-tokens that a task holds before it hands them on.
 HELD = 300_000
 
@@ -112,6 +113,11 @@ class PreTokens:
         return len(self.tokenizer.model.tokenize(pre_token.encode().decode("latin-1").translate(_BYTE_LETTERS)))
 
 
+def key_of(pre_token: str) -> str:
+    """A pre-token itself, or 32 hex digits of a digest for a long one; none of the former is so long."""
+    return pre_token if len(pre_token) <= KEY_CHARS else xxhash.xxh3_128_hexdigest(pre_token.encode())
+
+
 @lru_cache(maxsize=2)
 def pre_tokens(name: str) -> PreTokens:
     """The splitter of a tokenizer file, loaded once in each Python worker."""
@@ -119,7 +125,7 @@ def pre_tokens(name: str) -> PreTokens:
 
 
 def piece_table(texts: DataFrame, tokenizer: str) -> DataFrame:
-    """``pre_token``, ``n`` (in the whole corpus) and ``pieces`` of every distinct pre-token of the column ``text``."""
+    """``key``, ``n`` (in the whole corpus) and ``pieces`` of every distinct pre-token of the column ``text``."""
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter, counts, words = pre_tokens(tokenizer), Counter(), Counter()
@@ -146,28 +152,29 @@ def piece_table(texts: DataFrame, tokenizer: str) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter = pre_tokens(tokenizer)
         for batch in batches:
-            pieces = [splitter.pieces(x) for x in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pieces, pa.int32())], names=["pre_token", "n", "pieces"])
+            found = batch.column(0).to_pylist()
+            pieces = pa.array([splitter.pieces(x) for x in found], pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(map(key_of, found), pa.string()), batch.column(1), pieces], names=["key", "n", "pieces"])
 
-    return texts.mapInArrow(tally, "pre_token string, n long").groupBy("pre_token").agg(F.sum("n").alias("n")).mapInArrow(count, "pre_token string, n long, pieces int")
+    return texts.mapInArrow(tally, "pre_token string, n long").groupBy("pre_token").agg(F.sum("n").alias("n")).mapInArrow(count, "key string, n long, pieces int")
 
 
 def head_of(table: DataFrame, entries: int) -> dict[str, int]:
-    """Pieces of the most frequent pre-tokens: at most so many entries of at most ``HEAD_BYTES`` bytes.
+    """Pieces of the most frequent pre-tokens by their keys: at most so many entries.
 
     Frequencies are binned first, so that only rows of the bins that fit come to the driver.
     """
-    small = table.where(F.octet_length("pre_token") <= HEAD_BYTES).withColumn("bin", F.floor(F.log2("n") * 16).cast("int"))
+    binned = table.withColumn("bin", F.floor(F.log2("n") * 16).cast("int"))
     cut, held = None, 0
-    for row in small.groupBy("bin").count().orderBy(F.desc("bin")).collect():
+    for row in binned.groupBy("bin").count().orderBy(F.desc("bin")).collect():
         held += row["count"]
         if held > entries:
             break
         cut = row.bin
     if cut is None:
         return {}
-    found = small.where(F.col("bin") >= cut).select("pre_token", "pieces").toArrow()
-    return dict(zip(found["pre_token"].to_pylist(), found["pieces"].to_pylist()))
+    found = binned.where(F.col("bin") >= cut).select("key", "pieces").toArrow()
+    return dict(zip(found["key"].to_pylist(), found["pieces"].to_pylist()))
 
 
 def count_tokens(df: DataFrame, *, tokenizer: str = "byte_bpe_50k.json", id_col: str = "doc_id", text_col: str = "text", head_entries: int = HEAD_ENTRIES) -> DataFrame:
@@ -189,7 +196,8 @@ def count_tokens(df: DataFrame, *, tokenizer: str = "byte_bpe_50k.json", id_col:
         of_word: dict[str, tuple[int, tuple[str, ...]]] = {}
 
         def looked_up(parts: tuple[str, ...]) -> tuple[int, tuple[str, ...]]:
-            return sum(pieces.get(x, 0) for x in parts), tuple(x for x in parts if x not in pieces)
+            keys = [x if len(x) <= KEY_CHARS else key_of(x) for x in parts]
+            return sum(pieces.get(x, 0) for x in keys), tuple(x for x in keys if x not in pieces)
 
         for batch in batches:
             rows, bits, n_bytes, sums, names, freqs = [], [], [], [], [], []
@@ -226,13 +234,13 @@ def count_tokens(df: DataFrame, *, tokenizer: str = "byte_bpe_50k.json", id_col:
             ids = batch.column(0).take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(bits, pa.int64()), pa.array(n_bytes, pa.int64()), pa.array(sums, pa.int64()), pa.array(names, pa.string()), pa.array(freqs, pa.int64())],
-                names=["doc_id", "digest", "n_bytes", "known", "pre_token", "freq"],
+                names=["doc_id", "digest", "n_bytes", "known", "key", "freq"],
             )
 
-    rows = texts.mapInArrow(frequencies, f"doc_id {id_type}, digest long, n_bytes long, known long, pre_token string, freq long")
-    # Rows without a pre-token join nothing; a key of their own spreads them.  No pre-token holds letters and digits together.
-    rows = rows.withColumn("key", F.coalesce("pre_token", F.concat(F.lit("row"), F.col("digest").cast("string"), F.lit(" "), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
-    joined = rows.join(table.select(F.col("pre_token").alias("key"), "pieces"), "key", "left")
+    rows = texts.mapInArrow(frequencies, f"doc_id {id_type}, digest long, n_bytes long, known long, key string, freq long")
+    # Rows without a pre-token join nothing; a key of their own spreads them.  No other key holds letters, digits and a space.
+    rows = rows.withColumn("key", F.coalesce("key", F.concat(F.lit("row"), F.col("digest").cast("string"), F.lit(" "), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
+    joined = rows.join(table.select("key", "pieces"), "key", "left")
     summed = joined.groupBy("doc_id", "digest").agg(
         F.count("n_bytes").alias("copies"), F.max("n_bytes").alias("n_bytes"), F.sum(F.col("known") + F.col("freq") * F.coalesce("pieces", F.lit(0))).alias("all_tokens")
     )
