@@ -280,11 +280,12 @@ def _anchor_rows(texts: DataFrame, length: int, gram: int) -> DataFrame:
     """
 
     def anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # places with their reach, and grams
+        held: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}  # places with their reach, and grams
         size = 0
 
         def flush() -> pa.RecordBatch:
-            ids = np.repeat(np.array(list(held), np.int64), [len(at) for at, _ in held.values()])
+            owner = np.repeat(np.arange(len(held)), [len(at) for at, _ in held.values()])
+            ids = np.frombuffer(b"".join(held), np.int64)[::2][owner]  # the first half of each text's digest
             at = np.concatenate([x for x, _ in held.values()] or [np.zeros(0, np.int64)])
             grams = np.concatenate([x for _, x in held.values()] or [np.zeros(0, np.uint64)]).view(np.int64)
             _, first, inverse, counts = np.unique(grams, return_index=True, return_inverse=True, return_counts=True)
@@ -294,7 +295,7 @@ def _anchor_rows(texts: DataFrame, length: int, gram: int) -> DataFrame:
                 [
                     pa.array(np.concatenate([grams, grams[marked]])),
                     pa.array(np.concatenate([salt, np.zeros(len(marked), np.int64)])),
-                    pa.array(np.concatenate([ids, ids[marked]])),
+                    pa.array(list(held), pa.binary()).take(pa.array(np.concatenate([owner, owner[marked]]), pa.int64())),
                     pa.array(np.concatenate([at, at[marked]])),
                     pa.array(np.concatenate([np.zeros(len(ids), np.int8), np.ones(len(marked), np.int8)])),
                 ],
@@ -312,7 +313,7 @@ def _anchor_rows(texts: DataFrame, length: int, gram: int) -> DataFrame:
                         held, size = {}, 0
         yield flush()
 
-    return texts.select("text_id", "raw").mapInArrow(anchored, "gram long, salt long, text_id long, position long, marker byte")
+    return texts.select("text_id", "raw").mapInArrow(anchored, "gram long, salt long, text_id binary, position long, marker byte")
 
 
 def _with_text(texts: DataFrame, places: DataFrame) -> DataFrame:
@@ -330,7 +331,7 @@ def _with_text(texts: DataFrame, places: DataFrame) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             columns = list(zip(*done)) or [(), (), (), ()]
-            kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            kinds = (pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["text_id", "raw", "positions", "values"])
 
         for batch in batches:
@@ -351,7 +352,7 @@ def _with_text(texts: DataFrame, places: DataFrame) -> DataFrame:
             done.append((now, raw, positions, values))
         yield flush()
 
-    return ordered.mapInArrow(gathered, "text_id long, raw binary, positions array<long>, values array<long>")
+    return ordered.mapInArrow(gathered, "text_id binary, raw binary, positions array<long>, values array<long>")
 
 
 def _contexts(anchored: DataFrame, length: int) -> DataFrame:
@@ -378,11 +379,11 @@ def _contexts(anchored: DataFrame, length: int) -> DataFrame:
                     lefts.append(left)
                     rights.append(right)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(grams, pa.int64()), pa.array(ids, pa.int64()), pa.array(places, pa.list_(pa.int64())), pa.array(lefts, pa.binary()), pa.array(rights, pa.binary())],
+                [pa.array(grams, pa.int64()), pa.array(ids, pa.binary()), pa.array(places, pa.list_(pa.int64())), pa.array(lefts, pa.binary()), pa.array(rights, pa.binary())],
                 names=["gram", "text_id", "places", "left", "right"],
             )
 
-    return anchored.mapInArrow(cut, "gram long, text_id long, places array<long>, left binary, right binary")
+    return anchored.mapInArrow(cut, "gram long, text_id binary, places array<long>, left binary, right binary")
 
 
 def _matches(contexts: DataFrame, length: int, gram: int) -> DataFrame:
@@ -396,13 +397,13 @@ def _matches(contexts: DataFrame, length: int, gram: int) -> DataFrame:
         now, rows = None, {}
         ids, starts, ends, digests = [], [], [], []
 
-        def add(text_id: int, start: int, end: int, digest: bytes | None = None) -> None:
+        def add(text_id: bytes, start: int, end: int, digest: bytes | None = None) -> None:
             ids.append(text_id)
             starts.append(start)
             ends.append(end)
             digests.append(digest)
 
-        def whole(text_id: int, places: list[int], left: bytes, right: bytes) -> None:
+        def whole(text_id: bytes, places: list[int], left: bytes, right: bytes) -> None:
             if len(left) + len(right) >= length:
                 for position in places:
                     add(text_id, position - len(left), position + len(right))
@@ -422,7 +423,7 @@ def _matches(contexts: DataFrame, length: int, gram: int) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             made = pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64()), pa.array(digests, pa.binary())], names=["text_id", "position", "value", "digest"]
+                [pa.array(ids, pa.binary()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64()), pa.array(digests, pa.binary())], names=["text_id", "position", "value", "digest"]
             )
             for x in (ids, starts, ends, digests):
                 x.clear()
@@ -447,7 +448,7 @@ def _matches(contexts: DataFrame, length: int, gram: int) -> DataFrame:
         close()
         yield flush()
 
-    return contexts.mapInArrow(matched, "text_id long, position long, value long, digest binary")
+    return contexts.mapInArrow(matched, "text_id binary, position long, value long, digest binary")
 
 
 def remove_repeats(
@@ -465,7 +466,8 @@ def remove_repeats(
     if not 8 <= gram < length <= _REACH:
         raise ValueError("a gram has 8 bytes at least and fewer than the repeats to be found, which have 65,536 at most")
     raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    texts = df.select(F.col(id_col).alias("doc_id"), F.xxhash64(raw).alias("text_id"), raw.alias("raw"))
+    # half of a SHA-256: different texts don't share it at any size of corpus
+    texts = df.select(F.col(id_col).alias("doc_id"), F.unhex(F.substring(F.sha2(raw, 256), 1, 32)).alias("text_id"), raw.alias("raw"))
     long_enough = texts.where(F.octet_length("raw") >= length)
 
     meeting = Window.partitionBy("gram", "salt")
@@ -510,7 +512,7 @@ def remove_repeats(
             )
 
     kept_type = "string" if digest_only else "binary"
-    shortened = _with_text(anchored, stretches).mapInArrow(cut, f"text_id long, gone long, runs long, rest {kept_type}")
+    shortened = _with_text(anchored, stretches).mapInArrow(cut, f"text_id binary, gone long, runs long, rest {kept_type}")
     whole = F.sha2("raw", 256) if digest_only else F.col("raw")
     nothing = F.sha2(F.lit(b""), 256) if digest_only else F.lit(b"")
     base = texts.select("doc_id", "text_id", F.octet_length("raw").cast("long").alias("n_bytes"), whole.alias("whole"))
