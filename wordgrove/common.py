@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,3 +27,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
+
+
+def scratch_path(spark: SparkSession) -> str:
+    """A name for a new table or folder in the shared folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The frame as a Parquet table in the shared folder.
+
+    For loops whose state is computed from itself: a checkpoint still carries what
+    the optimiser knows of the columns, which doubles with every round there.
+    """
+    path = scratch_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

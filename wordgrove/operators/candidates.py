@@ -9,7 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wordgrove.common import checkpointed
 from wordgrove.functions.text import common_prefix_length, title_case
+from wordgrove.operators.forest import numbered
+
+#: Words of one window when suffix rules are mined.
+BLOCK_WORDS = 50_000
 
 
 def _ending(word: str, size: str) -> Column:
@@ -20,41 +25,65 @@ def _without(word: str, size: str) -> Column:
     return F.substring(word, F.lit(1), F.length(word) - F.col(size))
 
 
+def endings(words: DataFrame, col: str, sizes: DataFrame, least: int = 1) -> DataFrame:
+    """Words with ``_ending`` and ``_stem`` for each of some lengths (``_size``) that leaves a stem of ``least`` letters."""
+    # the lengths that a rule table has are few, whatever its rows
+    cut = words.join(F.broadcast(sizes.select("_size").distinct()), F.length(col) >= F.col("_size") + least)
+    return cut.withColumn("_ending", _ending(col, "_size")).withColumn("_stem", _without(col, "_size"))
+
+
 def mine_suffix_rules(words: DataFrame, window: int = 6, min_prefix: int = 2) -> DataFrame:
     """Pairs of endings (``from_pos``, ``from_suffix``, ``to_pos``, ``to_suffix``) of words (``lemma``, ``pos``) that follow each other closely in order, with counts.
 
-    Words are ordered within their first letters: a pair shares at least so many.
+    A pair shares so many first letters at least.  Words are numbered in a
+    range-partitioned sort and looked at in blocks, each with the last words of the
+    block before it, so that a frequent beginning is spread over many tasks.
     """
-    near = Window.partitionBy(F.substring("lemma", 1, min_prefix)).orderBy("lemma", "pos").rowsBetween(-window, -1)
-    before = words.where(F.length("lemma") >= min_prefix).withColumn("others", F.collect_list(F.struct("lemma", "pos")).over(near))
-    pairs = before.select("lemma", "pos", F.explode("others").alias("o")).select("lemma", "pos", F.col("o.lemma").alias("other"), F.col("o.pos").alias("other_pos"))
-    cut = pairs.withColumn("k", common_prefix_length(F.col("lemma"), F.col("other")))
+    placed = numbered(words.where(F.length("lemma") >= min_prefix).select("lemma", "pos"), ["lemma", "pos"], "_i").withColumn("_block", F.floor((F.col("_i") - 1) / BLOCK_WORDS))
+    carried = placed.where((F.col("_i") - 1) % BLOCK_WORDS >= BLOCK_WORDS - window).withColumn("_block", F.col("_block") + 1).withColumn("_own", F.lit(False))
+    near = Window.partitionBy("_block").orderBy("_i").rowsBetween(-window, -1)
+    before = placed.withColumn("_own", F.lit(True)).unionByName(carried).withColumn("others", F.collect_list(F.struct("lemma", "pos")).over(near))
+    pairs = before.where("_own").select("lemma", "pos", F.explode("others").alias("o")).select("lemma", "pos", F.col("o.lemma").alias("other"), F.col("o.pos").alias("other_pos"))
+    cut = pairs.where(F.substring("lemma", 1, min_prefix) == F.substring("other", 1, min_prefix)).withColumn("k", common_prefix_length(F.col("lemma"), F.col("other")))
     rest = lambda c: F.substring(c, F.col("k") + 1, F.length(c))
     return cut.groupBy(F.col("other_pos").alias("from_pos"), rest("other").alias("from_suffix"), F.col("pos").alias("to_pos"), rest("lemma").alias("to_suffix")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def apply_suffix_rules(words: DataFrame, rules: DataFrame, changes: list[tuple[str, str]] | None = None) -> DataFrame:
+def apply_suffix_rules(words: DataFrame, rules: DataFrame, changes: list[tuple[str, str]] | None = None, edges: DataFrame | None = None, capitalised: bool = False) -> DataFrame:
     """``source``, ``target``, ``rule`` and ``changed``: words made of other words by rules
-    (``rule``, ``from_suffix``, ``from_pos``, ``to_suffix``, ``to_pos``), with optional sound changes of the stem's end."""
-    sized = rules.withColumn("_size", F.length("to_suffix"))
-    sizes = F.broadcast(sized.select("_size").distinct())
-    keyed = words.select(F.col("lemma").alias("target"), F.col("pos").alias("to_pos")).join(sizes, F.length("target") > F.col("_size"))
-    cut = keyed.withColumn("to_suffix", _ending("target", "_size")).withColumn("_stem", _without("target", "_size")).join(sized, ["to_suffix", "to_pos", "_size"])
-    made = cut.select("target", "rule", "from_pos", F.concat("_stem", "from_suffix").alias("source"), F.lit(False).alias("changed"))
+    (``rule``, ``from_suffix``, ``from_pos``, ``to_suffix``, ``to_pos``), with optional sound changes of the stem's end.
+
+    ``edges`` (``source``, ``target``) adds ``linked``: whether the pair is one already.
+    ``capitalised`` also tries lower-case stems with a capital and adds a flag of that name.
+    """
+    sized = rules.withColumn("_size", F.length("to_suffix")).withColumnRenamed("to_suffix", "_ending")
+    cut = endings(words.select(F.col("lemma").alias("target"), F.col("pos").alias("to_pos")), "target", sized).join(sized, ["_ending", "to_pos", "_size"])
+    made = cut.select("target", "rule", "from_pos", "from_suffix", "_stem", F.lit(False).alias("changed"))
     for old, new in changes or []:
         stem = F.concat(F.substring("_stem", F.lit(1), F.length("_stem") - len(old)), F.lit(new))
-        made = made.unionByName(cut.where(F.endswith("_stem", F.lit(old))).select("target", "rule", "from_pos", F.concat(stem, "from_suffix").alias("source"), F.lit(True).alias("changed")))
+        made = made.unionByName(cut.where(F.endswith("_stem", F.lit(old))).select("target", "rule", "from_pos", "from_suffix", stem.alias("_stem"), F.lit(True).alias("changed")))
+    made = made.withColumn("capitalised", F.lit(False))
+    if capitalised:
+        made = made.unionByName(made.where(F.col("_stem") == F.lower("_stem")).withColumn("_stem", title_case(F.col("_stem"))).withColumn("capitalised", F.lit(True)))
+    made = made.select("target", "rule", "from_pos", F.concat("_stem", "from_suffix").alias("source"), "changed", "capitalised")
     known = words.select(F.col("lemma").alias("source"), F.col("pos").alias("from_pos")).distinct()
-    return made.join(known, ["source", "from_pos"], "left_semi").where("source <> target").select("source", "target", "rule", "changed")
+    found = made.join(known, ["source", "from_pos"], "left_semi").where("source <> target")
+    flags = ["changed", *(["capitalised"] if capitalised else [])]
+    if edges is not None:
+        there = edges.select("source", "target", F.lit(True).alias("_there")).distinct()
+        found = found.join(there, ["source", "target"], "left").withColumn("linked", F.coalesce("_there", F.lit(False)))
+        flags.append("linked")
+    return found.select("source", "target", "rule", *flags)
 
 
 def open_stem_candidates(words: DataFrame, suffixes: DataFrame, min_stem: int = 3, max_cut: int = 4) -> DataFrame:
     """For each word the best source whose stem it shares: score -2 for each letter cut and -1 for each of the suffix (``suffix``)."""
     cuts = words.select(F.col("lemma").alias("target"), F.explode(F.sequence(F.lit(0), F.lit(max_cut))).alias("cut"))
-    stems = cuts.select("target", "cut", F.substring("target", F.lit(1), F.length("target") - F.col("cut")).alias("stem")).where(F.length("stem") >= min_stem)
-    # rules are few and known beforehand
-    made = stems.join(F.broadcast(suffixes.select("suffix"))).select("target", F.concat("stem", "suffix").alias("source"), (-2 * F.col("cut") - F.length("suffix")).alias("score"))
-    found = made.where("source <> target").join(words.select(F.col("lemma").alias("source")).distinct(), "source", "left_semi")
+    stems = cuts.select("target", "cut", F.substring("target", F.lit(1), F.length("target") - F.col("cut")).alias("_stem")).where(F.length("_stem") >= min_stem)
+    # words are cut by the suffixes too, so that stems meet on equal keys
+    sized = suffixes.select(F.col("suffix").alias("_ending"), F.length("suffix").alias("_size")).distinct()
+    sources = endings(words.select(F.col("lemma").alias("source")).distinct(), "source", sized, min_stem).join(sized, ["_ending", "_size"])
+    found = stems.join(sources, "_stem").where("source <> target").select("target", "source", (-2 * F.col("cut") - F.col("_size")).alias("score"))
     best = Window.partitionBy("target").orderBy(F.desc("score"), "source")
     return found.withColumn("k", F.row_number().over(best)).where("k = 1").select("source", "target", "score")
 
@@ -62,7 +91,7 @@ def open_stem_candidates(words: DataFrame, suffixes: DataFrame, min_stem: int =
 def unexploited(words: DataFrame, linked: DataFrame, rules: DataFrame) -> DataFrame:
     """Rule candidates for words (``lemma``) that have no parent (not in ``linked``), the longest ending first."""
     found = apply_suffix_rules(words, rules).join(linked.select(F.col("lemma").alias("target")).distinct(), "target", "left_anti")
-    found = found.join(F.broadcast(rules.select("rule", F.length("to_suffix").alias("_size"))), "rule")
+    found = found.join(rules.select("rule", F.length("to_suffix").alias("_size")).distinct(), "rule")
     best = Window.partitionBy("target").orderBy(F.desc("_size"), "rule", "source")
     return found.withColumn("k", F.row_number().over(best)).where("k = 1").select("source", "target", "rule")
 
@@ -97,8 +126,9 @@ def rules_with_exceptions(words: DataFrame, rules: DataFrame, exceptions: DataFr
     ``situation``: 0 the rule's source is there, 1 an exception's is, 2 the source is missing, 3 forbidden.
     """
     sized = rules.withColumn("_size", F.length("to_suffix"))
-    cut = words.select(F.col("lemma").alias("target")).distinct().join(F.broadcast(sized), F.endswith("target", "to_suffix") & (F.length("target") > F.col("_size")))
-    ruled = cut.select("target", "rule", F.concat(_without("target", "_size"), "from_suffix").alias("by_rule"))
+    sized = sized.withColumnRenamed("to_suffix", "_ending")
+    cut = endings(words.select(F.col("lemma").alias("target")).distinct(), "target", sized).join(sized, ["_ending", "_size"])
+    ruled = cut.select("target", "rule", F.concat("_stem", "from_suffix").alias("by_rule"))
     with_ex = ruled.join(exceptions.select("target", F.col("source").alias("by_exception"), F.lit(True).alias("_ex")), "target", "left").withColumn("source", F.when(F.col("_ex"), F.col("by_exception")).otherwise(F.col("by_rule")))
     known = words.select(F.col("lemma").alias("source"), F.lit(True).alias("_known")).distinct()
     situation = F.when(F.col("_ex") & F.col("by_exception").isNull(), 3).when(F.col("_known").isNull(), 2).when(F.col("_ex"), 1).otherwise(0)
@@ -158,13 +188,15 @@ def sibling_patterns(nodes: DataFrame, a: str, b: str) -> DataFrame:
 
 def group_by_suffix(words: DataFrame, max_len: int = 10, min_len: int = 1) -> DataFrame:
     """Words grouped by ending, the longest first: a word leaves with the first ending that it shares with another left word."""
-    left, found = words.select("lemma").distinct(), None
+    left, found = checkpointed(words.select("lemma").distinct()), None
     for k in range(max_len, min_len - 1, -1):
         keyed = left.where(F.length("lemma") >= k).withColumn("suffix", F.right("lemma", F.lit(k)))
-        shared = keyed.groupBy("suffix").agg(F.count(F.lit(1)).alias("n")).where("n >= 2").select("suffix")
-        hit = keyed.join(shared, "suffix").select("suffix", "lemma")
+        shared = keyed.groupBy("suffix").agg(F.count(F.lit(1)).alias("n")).where("n >= 2").select("suffix", F.lit(True).alias("_shared"))
+        # each round is kept, so that the next doesn't repeat those before it
+        told = checkpointed(left.withColumn("suffix", F.when(F.length("lemma") >= k, F.right("lemma", F.lit(k)))).join(shared, "suffix", "left"))
+        hit = told.where("_shared").select("suffix", "lemma")
         found = hit if found is None else found.unionByName(hit)
-        left = left.join(hit.select("lemma"), "lemma", "left_anti")
+        left = told.where("_shared IS NULL").select("lemma")
     return found
 
 

@@ -13,16 +13,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordgrove.functions.text import common_prefix_length
-from wordgrove.operators.forest import closure, connected, descendants, on_cycles, roots_of
+from wordgrove.operators.candidates import endings
+from wordgrove.operators.forest import below, closure, connected, dfs_ids, on_cycles, roots_of, subtree_agg
 from wordgrove.operators.resolve import resolve_all
 
 
 def append_relations(relations: DataFrame, edits: DataFrame) -> DataFrame:
-    """Relations with those of edits (``line``, ``source``, ``target``, ``type``) after them; one that is there already is no change."""
-    new = edits.groupBy("source", "target").agg(F.min(F.struct("line", "type")).alias("e")).join(relations.select("source", "target"), ["source", "target"], "left_anti")
+    """Relations with those of edits (``line``, ``source``, ``target``, ``type``) after them.
+
+    The first relation of a target is its main one.  An edit equal to the main one
+    is no change; any other is one more relation, also if it is there already.
+    """
+    main = relations.where("ord = 0").select("target", F.struct("source", "type").alias("_main"))
     had = relations.groupBy("target").agg(F.max("ord").alias("_last"))
-    order = Window.partitionBy("target").orderBy("e.line")
-    more = new.join(had, "target", "left").select("source", "target", F.col("e.type").alias("type"), (F.coalesce(F.col("_last"), F.lit(-1)) + F.row_number().over(order)).cast("int").alias("ord"))
+    order = Window.partitionBy("target").orderBy("line")
+    own = F.struct("source", "type")
+    # where a target has no main relation yet, its first edit becomes that
+    marked = edits.join(main, "target", "left").withColumn("_main", F.coalesce("_main", F.first(own).over(order))).withColumn("_k", F.row_number().over(order))
+    new = marked.join(had, "target", "left").where(~(own == F.col("_main")) | (F.col("_last").isNull() & (F.col("_k") == 1)))
+    more = new.select("source", "target", "type", (F.coalesce(F.col("_last"), F.lit(-1)) + F.row_number().over(order)).cast("int").alias("ord"))
     return relations.select("source", "target", "type", F.col("ord").cast("int").alias("ord")).unionByName(more)
 
 
@@ -90,9 +99,16 @@ def _with_edits(edges: DataFrame, chosen: DataFrame, edits: DataFrame, on_cycle:
 
 
 def check_cycles(edges: DataFrame, edits: DataFrame) -> DataFrame:
-    """Edits (``line``, ``parent``, ``node``) whose node is already an ancestor of the parent, or the parent itself."""
-    above = closure(edges, edits.select(F.col("parent").alias("node")))
-    return edits.join(above.select(F.col("node").alias("parent"), F.col("ancestor").alias("node")), ["parent", "node"], "left_semi").select("line", "parent", "node")
+    """Edits (``line``, ``parent``, ``node``) whose node is already an ancestor of the parent, or the parent itself.
+
+    A node is an ancestor of those that are numbered after it, depth first, as far
+    as its subtree goes; no path is walked.
+    """
+    places = dfs_ids(edges, []).join(subtree_agg(edges, edges.select("node", F.lit(1).cast("long").alias("size")), sums=("size",)), "node")
+    side = lambda c: places.select(F.col("node").alias(c), *[F.col(x).alias(f"_{c}_{x}") for x in ("tree", "pos", "size")])
+    placed = edits.join(side("parent"), "parent", "left").join(side("node"), "node", "left")
+    inside = (F.col("_parent_tree") == F.col("_node_tree")) & (F.col("_parent_pos") >= F.col("_node_pos")) & (F.col("_parent_pos") < F.col("_node_pos") + F.col("_node_size"))
+    return placed.where((F.col("node") == F.col("parent")) | inside).select("line", "parent", "node")
 
 
 def replace_parent(edges: DataFrame, edits: DataFrame) -> DataFrame:
@@ -214,6 +230,48 @@ def merge_variants(edges: DataFrame, sets: DataFrame) -> DataFrame:
     return done
 
 
+def merge_labelled_variants(edges: DataFrame, sets: DataFrame) -> DataFrame:
+    """``node``, ``parent`` and ``label``: variants hung on the first node of their set by edges labelled ``Variant``, their children lifted to it.
+
+    The representative keeps its parent, unless that lies in the subtree of one of
+    its variants: then it becomes a root.  A variant of two sets goes with the
+    first of them.
+    """
+    once = sets.groupBy("node").agg(F.min(F.struct("set_id", "seq")).alias("s")).select("node", "s.set_id", "s.seq")
+    rep = once.groupBy("set_id").agg(F.min_by("node", "seq").alias("rep"))
+    variant = once.join(rep, "set_id").where("node <> rep").select("node", "rep")
+    above = closure(edges, rep.select(F.col("rep").alias("node")), include_self=False).join(variant.select(F.col("node").alias("ancestor"), F.col("rep").alias("node")), ["ancestor", "node"], "left_semi")
+    freed = above.select("node").distinct().withColumn("_freed", F.lit(True))
+    into = lambda c: variant.select(F.col("node").alias(c), F.col("rep").alias(f"_{c}"))
+    out = edges.join(into("node"), "node", "left").join(into("parent"), "parent", "left").join(freed, "node", "left")
+    up = F.when(F.col("_node").isNotNull(), F.col("_node")).when(F.col("_freed"), None).otherwise(F.coalesce("_parent", "parent"))
+    return out.select("node", up.alias("parent"), F.when(F.col("_node").isNotNull(), "Variant").alias("label"))
+
+
+def parents_from_suffix_codes(lexemes: DataFrame, edges: DataFrame) -> DataFrame:
+    """Roots hung on the word that a code in their technical lemma makes of them.
+
+    ``lexemes`` has ``node``, ``seq``, ``lemma`` and ``techlemma``, for instance
+    ``word-2_^(*3er)``: three letters off, ``er`` on; ``**`` replaces the whole
+    word.  Of the words so called the first with the same homonym number is taken,
+    else the first; a word that makes itself is left alone.
+    """
+    plain, odd = r"_\^?\(\*(\d+)([^)]*)\)", r"_\^.*\(\^[^*]*\*(\*|\d+)([^)]*)\)"
+    pattern = F.when(F.col("techlemma").rlike(plain), 1).when(F.col("techlemma").rlike(odd), 2)
+    part = lambda i: F.when(pattern == 1, F.regexp_extract("techlemma", plain, i)).when(pattern == 2, F.regexp_extract("techlemma", odd, i))
+    bare = F.regexp_replace("techlemma", r"[_`].*$", "")
+    number = lambda c: F.regexp_extract(c, r"^.+-(\d+)$", 1)
+    off = F.when(part(1) == "*", F.length(bare)).otherwise(part(1).try_cast("int"))
+    made = F.concat(F.substring(bare, F.lit(1), F.length(bare) - off), part(2))
+    short = lambda c: F.regexp_replace(c, r"^(.+)-\d+$", "$1")
+    coded = lexemes.where(pattern.isNotNull()).select("node", F.col("seq").alias("line"), number(bare).alias("_number"), short(made).alias("_lemma"), short(bare).alias("_own")).where("_lemma <> _own")
+    known = lexemes.select(F.col("node").alias("parent"), F.col("lemma").alias("_lemma"), F.col("seq").alias("_seq"), number(F.regexp_replace("techlemma", r"[_`].*$", "")).alias("_parent_number"))
+    # a code's own number first; of equal ones the first
+    rank = F.struct((F.col("_number") != F.col("_parent_number")).alias("other"), "_seq", "parent")
+    edits = coded.join(known, "_lemma").where("node <> parent").groupBy("node", "line").agg(F.min(rank)["parent"].alias("parent"))
+    return fill_parent(edges, edits.select("line", "parent", "node"))
+
+
 def parents_from_codes(lexemes: DataFrame, edges: DataFrame, parent_lemma: Column) -> DataFrame:
     """Roots hung on the first node of the lemma that a code in their own names (``parent_lemma`` is an expression over ``lexemes``)."""
     wanted = lexemes.select("node", "seq", parent_lemma.alias("_lemma")).where("_lemma IS NOT NULL")
@@ -238,8 +296,14 @@ def edges_from_solutions(lexemes: DataFrame, lines: DataFrame) -> DataFrame:
 
 def restructure_clusters(members: DataFrame, patterns: DataFrame) -> DataFrame:
     """Edges within clusters (``cluster``, ``node``, ``lemma``, ``pos``) by pattern pairs (``source_pos``, ``source_suffix``, ``target_pos``, ``target_suffix``, ``drop``)."""
-    left, right = members.select("cluster", F.col("node").alias("parent"), F.col("lemma").alias("_s"), F.col("pos").alias("source_pos")), members.select("cluster", "node", F.col("lemma").alias("_t"), F.col("pos").alias("target_pos"))
-    hit = left.join(F.broadcast(patterns), "source_pos").where(F.endswith("_s", "source_suffix")).join(right, ["cluster", "target_pos"]).where(F.endswith("_t", "target_suffix") & (F.col("node") != F.col("parent")))
+    # members meet patterns by their endings, and each other only under one pattern
+    keyed = patterns.select(F.xxhash64("source_pos", "source_suffix", "target_pos", "target_suffix").alias("_pattern"), "*")
+
+    def fitting(side: str, name: str) -> DataFrame:
+        wanted = keyed.select("_pattern", "drop", F.col(f"{side}_pos").alias("pos"), F.col(f"{side}_suffix").alias("_ending"), F.length(f"{side}_suffix").alias("_size"))
+        return endings(members, "lemma", wanted, 0).join(wanted, ["pos", "_ending", "_size"]).select("cluster", "_pattern", "drop", F.col("node").alias(name))
+
+    hit = fitting("source", "parent").join(fitting("target", "node").drop("drop"), ["cluster", "_pattern"]).where("node <> parent")
     return hit.select("cluster", "node", "parent", "drop").distinct()
 
 
@@ -249,9 +313,9 @@ def reconnect_by_rules(nodes: DataFrame, rules: DataFrame) -> DataFrame:
     A node that ends in ``suffix`` hangs on the sibling with the same stem and
     ``sibling_suffix``.  Gives ``node`` and the new ``parent``.
     """
-    stem = lambda w, s: F.substring(w, F.lit(1), F.length(w) - F.length(s))
-    cut = nodes.where("parent IS NOT NULL").join(F.broadcast(rules), F.endswith("lemma", "suffix")).select("node", "parent", "sibling_suffix", stem("lemma", "suffix").alias("stem"))
-    wanted = cut.select("node", F.col("parent").alias("_p"), F.concat("stem", "sibling_suffix").alias("_l"))
+    sized = rules.select(F.col("suffix").alias("_ending"), F.length("suffix").alias("_size"), "sibling_suffix")
+    cut = endings(nodes.where("parent IS NOT NULL").select("node", "parent", "lemma"), "lemma", sized, 0).join(sized, ["_ending", "_size"])
+    wanted = cut.select("node", F.col("parent").alias("_p"), F.concat("_stem", "sibling_suffix").alias("_l"))
     return wanted.join(nodes.select(F.col("node").alias("parent"), F.col("parent").alias("_p"), F.col("lemma").alias("_l")), ["_p", "_l"]).where("node <> parent").groupBy("node").agg(F.min("parent").alias("parent"))
 
 
@@ -265,26 +329,30 @@ def edges_from_brackets(lines: DataFrame, known: DataFrame | None = None, bridge
     """Edges of nested trees ``a ( b c ( d ) )`` (``line``, ``value``): ``line``, ``place``, ``lemma`` and ``parent_lemma``.
 
     The parent is the last word one level up.  With ``known`` (``lemma``), words
-    that aren't known are bridged by their own parent, or cut off.
+    that aren't known are left out; their children hang on the nearest known
+    ancestor with ``bridge``, and on nothing without.
     """
     tokens = F.filter(F.split(F.regexp_replace("value", r"([()])", " $1 "), r"\s+"), lambda t: t != "")
-    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<struct<depth:int,word:string>>").alias("out"))
+    empty = F.array().cast("array<struct<place:int,word:string>>")
+    # the path holds, for each level, the last word on it; what stands on a level is dropped when a word comes on it or above
+    start = F.struct(F.lit(0).alias("depth"), empty.alias("path"), F.array().cast("array<struct<word:string,above:array<struct<place:int,word:string>>>>").alias("out"))
 
     def walk(acc: Column, t: Column) -> Column:
-        depth = F.when(t == "(", acc["depth"] + 1).when(t == ")", acc["depth"] - 1).otherwise(acc["depth"]).cast("int")
-        out = F.when(t.isin("(", ")"), acc["out"]).otherwise(F.concat(acc["out"], F.array(F.struct(acc["depth"].alias("depth"), t.alias("word")))))
-        return F.struct(depth.alias("depth"), out.alias("out"))
-
-    words = lines.select("line", F.posexplode(F.aggregate(tokens, start, walk, lambda a: a["out"])).alias("place", "w")).select("line", "place", "w.depth", F.col("w.word").alias("lemma"))
-    above = words.select("line", F.col("place").alias("p_place"), F.col("depth").alias("p_depth"), F.col("lemma").alias("p_lemma"))
-    if known is not None:
-        above = above.join(known.select(F.col("lemma").alias("p_lemma")).distinct(), "p_lemma", "left_semi")
-        words = words.join(known.select("lemma").distinct(), "lemma", "left_semi")
-    level = F.col("p_depth") < F.col("depth") if bridge else F.col("p_depth") == F.col("depth") - 1
-    both = words.join(above, "line").where((F.col("p_place") < F.col("place")) & level)
-    # of the words before it on lower levels, the ancestor is the last one on the highest level among those after which no lower one stands
-    best = both.groupBy("line", "place", "lemma").agg(F.max_by("p_lemma", "p_place").alias("parent_lemma"))
-    return words.select("line", "place", "lemma").join(best, ["line", "place", "lemma"], "left")
+        depth = F.when(t == "(", acc["depth"] + 1).when(t == ")", F.greatest(acc["depth"] - 1, F.lit(0))).otherwise(acc["depth"]).cast("int")
+        bracket = t.isin("(", ")")
+        above = F.filter(acc["path"], lambda x: x["place"] < acc["depth"])
+        path = F.when(bracket, acc["path"]).otherwise(F.concat(above, F.array(F.struct(acc["depth"].alias("place"), t.alias("word")))))
+        out = F.when(bracket, acc["out"]).otherwise(F.concat(acc["out"], F.array(F.struct(t.alias("word"), above.alias("above")))))
+        return F.struct(depth.alias("depth"), path.alias("path"), out.alias("out"))
+
+    words = lines.select("line", F.posexplode(F.aggregate(tokens, start, walk, lambda a: a["out"])).alias("place", "w")).select("line", "place", F.col("w.word").alias("lemma"), F.col("w.above").alias("above"))
+    if known is None:
+        return words.select("line", "place", "lemma", F.try_element_at("above", F.lit(-1))["word"].alias("parent_lemma"))
+    listed = known.select("lemma").distinct()
+    kept = words.join(listed, "lemma", "left_semi").select("line", "place", "lemma", F.size("above").alias("n"), F.posexplode_outer("above").alias("level", "a"))
+    met = kept.join(listed.select(F.col("lemma").alias("_l"), F.lit(True).alias("_there")), F.col("a.word") == F.col("_l"), "left")
+    nearest = F.col("_there") if bridge else F.col("_there") & (F.col("level") == F.col("n") - 1)
+    return met.groupBy("line", "place", "lemma").agg(F.max(F.when(nearest, F.struct("level", F.col("a.word").alias("word"))))["word"].alias("parent_lemma"))
 
 
 def single_parent(relations: DataFrame) -> DataFrame:
@@ -322,11 +390,11 @@ def delete_nodes(nodes: DataFrame, doomed: DataFrame, cascade: bool = True) -> t
 
 def delete_subtrees(nodes: DataFrame, tops: DataFrame) -> DataFrame:
     """Nodes without those below, and at, ``tops``."""
-    return nodes.join(descendants(nodes.select("node", "parent"), tops).select("node").distinct(), "node", "left_anti")
+    return nodes.join(below(nodes.select("node", "parent"), tops), "node", "left_anti")
 
 
 def prune_unattested(nodes: DataFrame) -> DataFrame:
     """Nodes with an attested node (``n`` above 0 or null) in their subtree."""
-    attested = nodes.where("n > 0 OR n IS NULL").select("node")
-    kept = closure(nodes.select("node", "parent"), attested).select(F.col("ancestor").alias("node")).distinct()
+    flags = nodes.select("node", (F.col("n").isNull() | (F.col("n") > 0)).alias("attested"))
+    kept = subtree_agg(nodes.select("node", "parent"), flags, maxima=("attested",)).where("attested")
     return nodes.join(kept, "node", "left_semi")

@@ -6,10 +6,12 @@ state with ``checkpoint()`` and stop when a round changes nothing.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordgrove.common import checkpointed
+from wordgrove.common import checkpointed, written
 
 #: Pointer doubling reaches 2**MAX_ROUNDS generations.
 MAX_ROUNDS = 40
@@ -114,14 +116,67 @@ def descendants(edges: DataFrame, seeds: DataFrame) -> DataFrame:
         found = found.unionByName(front)
 
 
+def path_fold(edges: DataFrame, values: DataFrame, merge: dict[str, Callable[[Column, Column], Column]]) -> DataFrame:
+    """``node`` and columns of ``values`` folded from the root down to each node, itself included.
+
+    ``merge`` names the columns, each with an associative function of the upper and
+    the lower part of a path.  By pointer doubling: log2(depth) rounds over all
+    nodes, however deep the trees are.  Nodes on or below a cycle are left out; a
+    parent that isn't a node counts as none.
+    """
+    nodes = edges.select("node")
+    known = edges.where("parent IS NOT NULL").select("node", F.col("parent").alias("_up")).join(nodes.select(F.col("node").alias("_up")), "_up", "left_semi")
+    state = written(nodes.join(known, "node", "left").join(values.select("node", *merge), "node", "left"))
+    left, limit = state.where("_up IS NOT NULL").count(), max(1, state.count()).bit_length() + 1
+    for _ in range(limit):
+        if not left:
+            break
+        upper = state.select(F.col("node").alias("_up"), F.col("_up").alias("_next"), F.lit(True).alias("_has"), *[F.col(c).alias(f"_of_{c}") for c in merge])
+        folded = state.join(upper, "_up", "left")
+        state = written(folded.select("node", F.col("_next").alias("_up"), *[F.when(F.col("_has"), f(F.col(f"_of_{c}"), F.col(c))).otherwise(F.col(c)).alias(c) for c, f in merge.items()]))
+        left = state.where("_up IS NOT NULL").count()
+    return state.where("_up IS NULL").select("node", *merge)
+
+
+def subtree_agg(edges: DataFrame, nodes: DataFrame, sums: tuple[str, ...] = (), maxima: tuple[str, ...] = (), height: str | None = None) -> DataFrame:
+    """Sums and greatest values of columns of ``nodes`` (keyed by ``node``) over the subtree of each node, itself included.
+
+    ``height`` names a column for the generations below the node.  What a node has
+    gathered from fewer than 2**k generations below it goes to its ancestor 2**k
+    above: log2(depth) rounds over all nodes, and no row for each pair of node and
+    ancestor.  Nodes on or below a cycle are left out.
+    """
+    own = edges.select("node")
+    known = edges.where("parent IS NOT NULL").select("node", F.col("parent").alias("_up")).join(own.select(F.col("node").alias("_up")), "_up", "left_semi")
+    state = own.join(known, "node", "left").join(nodes.select("node", *sums, *maxima), "node", "left")
+    tall = [height] if height else []
+    if height:
+        state = state.withColumn(height, F.lit(0).cast("long"))
+    state = written(state)
+    left, limit = state.where("_up IS NOT NULL").count(), max(1, state.count()).bit_length() + 1
+    for k in range(limit):
+        if not left:
+            break
+        rising = state.where("_up IS NOT NULL")
+        gains = [F.sum(c).alias(f"_of_{c}") for c in sums] + [F.max(c).alias(f"_of_{c}") for c in maxima] + [(F.max(c) + (1 << k)).alias(f"_of_{c}") for c in tall]
+        gained = rising.groupBy(F.col("_up").alias("node")).agg(*gains)
+        steps = rising.select("node", "_up").join(state.select(F.col("node").alias("_up"), F.col("_up").alias("_next")), "_up").select("node", "_next")
+        added = [F.coalesce(F.col(c) + F.col(f"_of_{c}"), F.col(c), F.col(f"_of_{c}")).alias(c) for c in sums]
+        higher = [F.greatest(c, f"_of_{c}").alias(c) for c in (*maxima, *tall)]
+        state = written(state.drop("_up").join(gained, "node", "left").join(steps, "node", "left").select("node", F.col("_next").alias("_up"), *added, *higher))
+        left = state.where("_up IS NOT NULL").count()
+    return state.where("_up IS NULL").drop("_up")
+
+
 def heights(edges: DataFrame, leaf: int = 1) -> DataFrame:
     """``node`` and ``height``: ``leaf`` at a node without children, one more than the highest child elsewhere."""
-    return closure(edges).groupBy(F.col("ancestor").alias("node")).agg((F.max("dist") + leaf).alias("height"))
+    return subtree_agg(edges, edges, height="height").select("node", (F.col("height") + leaf).alias("height"))
 
 
-def subtree_agg(edges: DataFrame, nodes: DataFrame, *aggs: Column) -> DataFrame:
-    """Aggregates of ``nodes`` (keyed by ``node``) over the subtree of each node, itself included."""
-    return closure(edges).join(nodes, "node").groupBy(F.col("ancestor").alias("node")).agg(*aggs)
+def below(edges: DataFrame, seeds: DataFrame) -> DataFrame:
+    """``node`` of everything in the subtrees of ``seeds`` (``node``), themselves included."""
+    flags = edges.select("node").join(seeds.select("node", F.lit(True).alias("_in")).distinct(), "node", "left")
+    return path_fold(edges, flags, {"_in": lambda upper, lower: F.coalesce(upper, lower)}).where("_in").select("node")
 
 
 def roots(edges: DataFrame) -> DataFrame:
@@ -161,50 +216,48 @@ def has_ancestor(relations: DataFrame, nodes: DataFrame, wanted: DataFrame) -> D
     return nodes.select("node").limit(0) if found is None else found.distinct()
 
 
-def dfs_ids(edges: DataFrame, sort_cols: list[str], max_depth: int = 200) -> DataFrame:
+def dfs_ids(edges: DataFrame, sort_cols: list[str]) -> DataFrame:
     """``node``, ``tree`` and ``pos``: roots numbered in order, and nodes of a tree depth first, siblings in order.
 
-    A node's path holds the rank of each step among its siblings, so the order of
-    paths is that of a depth-first walk.  Numbers are given by tree; the order of
-    roots is taken from a range-partitioned sort with counts of the ranges before.
-    A tree of more than ``max_depth`` levels below its root raises an error.
+    A node comes after its parent and the subtrees of its earlier siblings, so its
+    place is the sum of such offsets down its path.  Siblings are summed up in a
+    range-partitioned sort and paths by pointer doubling: neither a wide nor a deep
+    tree comes into one task.
     """
-    siblings = Window.partitionBy("parent").orderBy(*sort_cols, "node")
-    ranked = edges.where("parent IS NOT NULL").withColumn("rank", F.row_number().over(siblings)).select("node", "parent", "rank")
-    tops = numbered(edges.where("parent IS NULL").select("node", *sort_cols), [*sort_cols, "node"]).select("node", (F.col("number") - 1).alias("tree"))
-    front = checkpointed(tops.select("node", "tree", F.array(F.lit(0)).alias("path")))
-    found = front
-    for _ in range(max_depth + 1):
-        front = checkpointed(front.select(F.col("node").alias("parent"), "tree", "path").join(ranked, "parent").select("node", "tree", F.concat("path", F.array("rank")).alias("path")))
-        if front.isEmpty():
-            break
-        found = found.unionByName(front)
-    else:
-        raise RuntimeError(f"a tree is deeper than {max_depth} levels")
-    return found.select("node", "tree", (F.row_number().over(Window.partitionBy("tree").orderBy("path")) - 1).cast("long").alias("pos"), "path")
+    tops = numbered(edges.where("parent IS NULL").select("node", *sort_cols), [*sort_cols, "node"]).select(F.col("node").alias("root"), (F.col("number") - 1).alias("tree"))
+    sizes = subtree_agg(edges, edges.select("node", F.lit(1).cast("long").alias("size")), sums=("size",))
+    siblings = running_sum(edges.where("parent IS NOT NULL").join(sizes, "node"), ["parent", *sort_cols, "node"], "size", "before")
+    first = siblings.groupBy("parent").agg(F.min("before").alias("_first"))
+    offsets = siblings.join(first, "parent").select("node", (F.col("before") - F.col("_first") + 1).alias("pos"), F.lit(None).cast(dict(edges.dtypes)["node"]).alias("root"))
+    start = edges.where("parent IS NULL").select("node", F.lit(0).cast("long").alias("pos"), F.col("node").alias("root")).unionByName(offsets)
+    placed = path_fold(edges, start, {"pos": lambda upper, lower: upper + lower, "root": lambda upper, lower: F.coalesce(upper, lower)})
+    return placed.join(tops, "root").select("node", "tree", "pos")
+
+
+def running_sum(df: DataFrame, order: list[str], value: str, name: str) -> DataFrame:
+    """Rows with the sum of a column over the rows before them in an order, without bringing them into one task."""
+    dealt = checkpointed(df.repartitionByRange(*[F.col(c) for c in order]).withColumn("_part", F.spark_partition_id()))
+    sizes = dealt.groupBy("_part").agg(F.sum(value).alias("_n"))
+    # one row for each partition
+    before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    within = F.sum(value).over(Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    return dealt.join(F.broadcast(before), "_part").withColumn(name, (F.col("_before") + F.coalesce(within, F.lit(0))).cast("long")).drop("_part", "_before")
 
 
 def numbered(df: DataFrame, order: list[str], name: str = "number") -> DataFrame:
     """Rows with a running number from 1 in an order, without bringing them into one task."""
-    dealt = checkpointed(df.repartitionByRange(*[F.col(c) for c in order]).withColumn("_part", F.spark_partition_id()))
-    sizes = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    # one row for each partition
-    before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
-    within = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    return dealt.join(F.broadcast(before), "_part").withColumn(name, (F.col("_before") + within).cast("long")).drop("_part", "_before")
+    return running_sum(df.withColumn("_one", F.lit(1).cast("long")), order, "_one", name).withColumn(name, F.col(name) + 1).drop("_one")
 
 
 def render_trees(edges: DataFrame, label: str, sort_cols: list[str]) -> DataFrame:
     """``tree``, ``line_no`` and ``text``: every tree drawn with lines, one row for each node."""
     order = dfs_ids(edges, sort_cols)
-    siblings = Window.partitionBy("parent").orderBy(F.desc("rank"))
-    ranks = Window.partitionBy("parent").orderBy(*sort_cols, "node")
-    last = edges.where("parent IS NOT NULL").withColumn("rank", F.row_number().over(ranks)).withColumn("last", F.row_number().over(siblings) == 1).select("node", "last")
-    up = closure(edges).where("dist >= 0").join(last.withColumnRenamed("node", "ancestor"), "ancestor", "left")
-    flags = up.groupBy("node").agg(F.array_sort(F.collect_list(F.when(F.col("last").isNotNull(), F.struct((-F.col("dist")).alias("d"), "last")))).alias("flags"))
-    stem = F.array_join(F.transform(F.expr("slice(flags, 1, greatest(size(flags) - 1, 0))"), lambda f: F.when(f["last"], "  ").otherwise("│ ")), "")
-    own = F.when(F.size("flags") == 0, "").when(F.element_at("flags", -1)["last"], "└─").otherwise("├─")
-    return order.join(flags, "node").join(edges.select("node", F.col(label).alias("label")), "node").select("tree", F.col("pos").alias("line_no"), F.concat(stem, own, F.col("label").cast("string")).alias("text"))
+    ends = edges.where("parent IS NOT NULL").groupBy("parent").agg(F.max(F.struct(*sort_cols, "node"))["node"].alias("_last"))
+    drawn = edges.join(ends, "parent", "left").select("node", "parent", F.col(label).cast("string").alias("label"), (F.col("node") == F.col("_last")).alias("last"))
+    stems = path_fold(edges, drawn.select("node", F.when(F.col("last"), "  ").when(~F.col("last"), "│ ").otherwise("").alias("stem")), {"stem": F.concat})
+    own = F.when(F.col("parent").isNull(), "").when(F.col("last"), "└─").otherwise("├─")
+    lines = drawn.join(stems.select(F.col("node").alias("parent"), "stem"), "parent", "left").select("node", F.concat(F.coalesce("stem", F.lit("")), own, "label").alias("text"))
+    return order.join(lines, "node").select("tree", F.col("pos").alias("line_no"), "text")
 
 
 def signatures(edges: DataFrame, label: str) -> DataFrame:
@@ -234,25 +287,31 @@ def propagate(edges: DataFrame, annotations: DataFrame, gate: DataFrame) -> Data
     and down to children that ``gate`` (``node``, ``open``) lets through."""
     placed = depths(edges)
     best = placed.join(annotations, "node").groupBy("root").agg(F.min(F.struct("depth", "value"))["value"].alias("value"))
-    step = edges.where("parent IS NOT NULL").join(gate.where("open"), "node", "left_semi").select("node", "parent")
-    front = checkpointed(best.select(F.col("root").alias("node"), "value"))
-    found = front
-    while True:
-        front = checkpointed(front.withColumnRenamed("node", "parent").join(step, "parent").select("node", "value"))
-        if front.isEmpty():
-            return found
-        found = found.unionByName(front)
+    shut = edges.join(gate.where("open").select("node", F.lit(True).alias("_open")), "node", "left").select("node", (F.col("parent").isNotNull() & F.col("_open").isNull()).alias("shut"))
+    reached = path_fold(edges, shut, {"shut": lambda upper, lower: upper | lower}).where("NOT shut")
+    return reached.join(placed.select("node", "root"), "node").join(best, "root").select("node", "value")
 
 
-def lift_marks(edges: DataFrame, marks: DataFrame) -> DataFrame:
-    """Marks of nodes (``node``) moved to their topmost marked ancestor: (``node``, ``moved_to``, ``dropped``).
+def lift_marks(edges: DataFrame, marks: DataFrame, word: str | None = None) -> DataFrame:
+    """Marks of nodes (``node``) moved up their trees: ``node``, ``moved_to``, ``dropped`` and ``held_by``.
 
-    A mark below another one is dropped; the others go to the root of their tree.
+    A mark below another one is dropped.  The others rise to the root, or, with
+    ``word`` (a column of ``edges``), stop at the first node on the way whose word
+    holds its parent's word: that edge, named by its parent in ``held_by``, may be
+    wrong.
     """
-    above = closure(edges, marks, include_self=False).join(marks.select(F.col("node").alias("ancestor")), "ancestor", "left_semi").select("node").distinct().withColumn("below", F.lit(True))
-    return marks.select("node").join(above, "node", "left").join(roots_of(edges), "node").select(
-        "node", F.when(F.col("below"), None).otherwise(F.col("root")).alias("moved_to"), F.coalesce("below", F.lit(False)).alias("dropped")
-    )
+    flags = edges.select("node").join(marks.select("node", F.lit(True).alias("_mark")).distinct(), "node", "left").select("node", F.coalesce("_mark", F.lit(False)).alias("mark"))
+    up = edges.select("node", "parent").join(flags.select(F.col("node").alias("parent"), F.col("mark").alias("_above")), "parent", "left")
+    over = path_fold(edges, up.select("node", F.coalesce("_above", F.lit(False)).alias("under")), {"under": lambda upper, lower: upper | lower})
+    if word is None:
+        stops = edges.select("node", F.when(F.col("parent").isNull(), F.col("node")).alias("stop"), F.lit(None).cast(dict(edges.dtypes)["parent"]).alias("held_by"))
+    else:
+        parents = edges.select(F.col("node").alias("parent"), F.col(word).alias("_w"))
+        held = F.col("parent").isNotNull() & F.contains(F.col(word), F.col("_w"))
+        stops = edges.join(parents, "parent", "left").select("node", F.when(F.col("parent").isNull() | held, F.col("node")).alias("stop"), F.when(held, F.col("parent")).alias("held_by"))
+    at = path_fold(edges, stops.select("node", F.when(F.col("stop").isNotNull(), F.struct("stop", "held_by")).alias("to")), {"to": lambda upper, lower: F.coalesce(lower, upper)})
+    found = marks.select("node").distinct().join(over, "node").join(at, "node")
+    return found.select("node", F.when(~F.col("under"), F.col("to.stop")).alias("moved_to"), F.col("under").alias("dropped"), F.when(~F.col("under"), F.col("to.held_by")).alias("held_by"))
 
 
 def largest_trees(edges: DataFrame, n: int) -> DataFrame:
@@ -269,8 +328,8 @@ def families_of(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def families_with(edges: DataFrame, labels: DataFrame, excluded: DataFrame) -> DataFrame:
     """Members (``root``, ``node``, ``label``) of trees with a true label, labels below ``excluded`` nodes being false."""
-    below = descendants(edges, excluded).select("node").distinct().withColumn("out", F.lit(True))
-    placed = roots_of(edges).join(labels, "node", "left").join(below, "node", "left").withColumn("label", F.coalesce("label", F.lit(False)) & F.col("out").isNull())
+    out = below(edges, excluded).withColumn("out", F.lit(True))
+    placed = roots_of(edges).join(labels, "node", "left").join(out, "node", "left").withColumn("label", F.coalesce("label", F.lit(False)) & F.col("out").isNull())
     kept = placed.groupBy("root").agg(F.max("label").alias("any")).where("any").select("root")
     return placed.join(kept, "root", "left_semi").select("root", "node", "label")
 

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wordgrove.operators.forest import below
+
 
 def lookup(lexemes: DataFrame, keys: DataFrame, on: list[str], fuzzy: str | None = None) -> DataFrame:
     """Lexemes that match each key (``key_id`` and the columns ``on``).
@@ -91,10 +93,10 @@ def set_label(nodes: DataFrame, marks: DataFrame, keys: list[str]) -> DataFrame:
     return nodes.join(last, keys, "left")
 
 
-def clear_label_below(nodes: DataFrame, closure: DataFrame, marked: DataFrame) -> DataFrame:
+def clear_label_below(nodes: DataFrame, edges: DataFrame, marked: DataFrame) -> DataFrame:
     """``nodes`` with a null ``label`` wherever one of ``marked`` (``node``) is an ancestor or the node itself."""
-    below = closure.join(marked.select(F.col("node").alias("ancestor")), "ancestor", "left_semi").select("node").distinct().withColumn("_below", F.lit(True))
-    return nodes.join(below, "node", "left").withColumn("label", F.when(F.col("_below").isNull(), F.col("label"))).drop("_below")
+    inside = below(edges, marked).withColumn("_below", F.lit(True))
+    return nodes.join(inside, "node", "left").withColumn("label", F.when(F.col("_below").isNull(), F.col("label"))).drop("_below")
 
 
 def chains3(nodes: DataFrame, predicate: Column) -> DataFrame:

@@ -127,7 +127,7 @@ def project_roots(nodes: DataFrame, seeds: DataFrame, stops: DataFrame, allomorp
     open_nodes = nodes.join(stops.select("node"), "node", "left_anti").select("node", "parent", "lemma")
     own = open_nodes.join(seeds, "node").select("node", "lemma", "start", "end", F.lit("own").alias("how"))
     top = open_nodes.where("parent IS NULL").select("node", "lemma")
-    hits = open_nodes.join(allomorphs.select("allomorph").distinct(), F.contains("lemma", "allomorph"))
+    hits = _occurrences(open_nodes, "node", allomorphs.select("allomorph").distinct()).select("node", "lemma", "allomorph").distinct()
     only = hits.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("allomorph").alias("allomorph"), F.first("lemma").alias("lemma")).where("n = 1")
     matched = only.select("node", "lemma", (F.instr("lemma", F.col("allomorph")) - 1).alias("start"), (F.instr("lemma", F.col("allomorph")) - 1 + F.length("allomorph")).alias("end"), F.lit("allomorph").alias("how"))
     fixed = checkpointed(own)
@@ -149,16 +149,22 @@ def project_roots(nodes: DataFrame, seeds: DataFrame, stops: DataFrame, allomorp
         found = found.unionByName(front.where("how IS NOT NULL").select("node", "start", "end", "how"))
 
 
+def _occurrences(words: DataFrame, key: str, allomorphs: DataFrame) -> DataFrame:
+    """Every place (``start``, ``size``) at which an ``allomorph`` stands in a ``lemma``: substrings of the lengths that allomorphs have, joined on them."""
+    spans = words.select(key, "lemma", F.explode(F.sequence(F.lit(1), F.length("lemma"))).alias("start"))
+    # the lengths of allomorphs are few, whatever their number
+    sizes = F.broadcast(allomorphs.select(F.length("allomorph").alias("size")).distinct())
+    spans = spans.join(sizes, F.col("start") + F.col("size") - 1 <= F.length("lemma"))
+    return spans.select(key, "lemma", (F.col("start") - 1).alias("start"), "size", F.substring("lemma", F.col("start"), F.col("size")).alias("allomorph")).join(allomorphs, "allomorph")
+
+
 def induce_roots(lex: DataFrame, allomorphs: DataFrame) -> DataFrame:
     """For each word the longest allomorph that occurs in it, less its penalty, with its first place; ties are left out.
 
     ``allomorphs`` has ``allomorph`` and ``penalty``.  Words are matched by all
     their substrings of the lengths that allomorphs have.
     """
-    spans = lex.select("lex_id", "lemma", F.explode(F.sequence(F.lit(1), F.length("lemma"))).alias("start"))
-    spans = spans.select("lex_id", "lemma", "start", F.explode(F.sequence(F.lit(1), F.length("lemma") - F.col("start") + 1)).alias("size"))
-    spans = spans.join(F.broadcast(allomorphs.select(F.length("allomorph").alias("size")).distinct()), "size", "left_semi")
-    hits = spans.select("lex_id", "lemma", (F.col("start") - 1).alias("start"), "size", F.substring("lemma", F.col("start"), F.col("size")).alias("allomorph")).join(allomorphs, "allomorph")
+    hits = _occurrences(lex, "lex_id", allomorphs)
     scored = hits.withColumn("score", F.col("size") - F.col("penalty"))
     best = Window.partitionBy("lex_id").orderBy(F.desc("score"))
     top = scored.withColumn("k", F.rank().over(best)).where("k = 1")

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Sets of one block of an element that many sets hold.
+BLOCK_SETS = 2048
+
 
 def resolve(refs: DataFrame, lexemes: DataFrame, on: list[str], policy: str = "first", ref_id: str = "ref_id") -> tuple[DataFrame, DataFrame]:
     """References resolved (``ref_id``, ``node``) and those that aren't (``ref_id``, ``reason``).
@@ -31,14 +34,15 @@ def resolve(refs: DataFrame, lexemes: DataFrame, on: list[str], policy: str = "f
 
 def resolve_cascade(refs: DataFrame, lexemes: DataFrame, levels: list[list[tuple[str, str]]], ref_id: str = "ref_id") -> DataFrame:
     """``ref_id``, ``node`` and ``level``: the first list of (reference column, node column) pairs that matches; its first node by ``seq``."""
-    found = None
+    joined = refs
     for level, pairs in enumerate(levels):
-        keys = [f"_k{i}" for i in range(len(pairs))]
-        left = refs.select(ref_id, *[F.col(r).alias(k) for (r, _), k in zip(pairs, keys)])
-        right = lexemes.select("node", "seq", *[F.col(c).alias(k) for (_, c), k in zip(pairs, keys)])
-        hit = left.join(right, keys).groupBy(ref_id).agg(F.min_by("node", "seq").alias("node")).withColumn("level", F.lit(level))
-        found = hit if found is None else found.unionByName(hit)
-    return found.groupBy(ref_id).agg(F.min(F.struct("level", "node")).alias("b")).select(ref_id, "b.node", "b.level")
+        keys = [F.col(c).alias(f"_r{i}") for i, (_, c) in enumerate(pairs)]
+        # one row for each key, so a level adds a column to the references and no row
+        first = lexemes.groupBy(*keys).agg(F.min_by("node", "seq").alias(f"_node{level}"))
+        joined = joined.join(first, [F.col(r) == F.col(f"_r{i}") for i, (r, _) in enumerate(pairs)], "left").drop(*[f"_r{i}" for i in range(len(pairs))])
+    hits = F.filter(F.array(*[F.struct(F.lit(i).alias("level"), F.col(f"_node{i}").alias("node")) for i in range(len(levels))]), lambda h: h["node"].isNotNull())
+    found = joined.select(ref_id, F.get(hits, F.lit(0)).alias("b")).where("b IS NOT NULL")
+    return found.groupBy(ref_id).agg(F.min("b").alias("b")).select(ref_id, "b.node", "b.level")
 
 
 def best_pair(pairs: DataFrame, lexemes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -97,14 +101,21 @@ def mark_listed(table: DataFrame, listed: DataFrame, on: list[str], name: str =
 def overlap_pairs(sets: DataFrame, across: str | None = None) -> DataFrame:
     """Pairs of sets (``set_id``, ``element``) that share an element: ``a``, ``b``, ``shared``; only across batches if a column is named.
 
-    Elements are an inverted index; nothing else is compared.
+    Elements are an inverted index; nothing else is compared.  Those of many sets
+    are dealt out in pairs of blocks of ``BLOCK_SETS`` sets, so that an element
+    that a third of all sets hold isn't one task.
     """
     cols = ["set_id", "element", *([across] if across else [])]
-    left = sets.select(*cols).distinct()
-    right = left.select(F.col("set_id").alias("b"), "element", *([F.col(across).alias("_other")] if across else []))
-    pairs = left.withColumnRenamed("set_id", "a").join(right, "element").where("a < b")
+    each = sets.select(*cols).distinct()
+    sizes = each.groupBy("element").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(BLOCK_SETS))).cast("int").alias("_blocks"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    dealt = each.join(sizes, "element").withColumn("_own", F.pmod(F.xxhash64("set_id"), F.col("_blocks")).cast("int"))
+    dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    extra = [F.col(across)] if across else []
+    left = dealt.select(F.col("set_id").alias("a"), "element", F.col("_own").alias("_i"), F.col("_other").alias("_j"), *extra)
+    right = dealt.select(F.col("set_id").alias("b"), "element", F.col("_other").alias("_i"), F.col("_own").alias("_j"), *([F.col(across).alias("_batch")] if across else []))
+    pairs = left.join(right, ["element", "_i", "_j"]).where("a < b")
     if across:
-        pairs = pairs.where(F.col(across) != F.col("_other"))
+        pairs = pairs.where(F.col(across) != F.col("_batch"))
     return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordgrove.operators.forest import depths, heights, signatures
+from wordgrove.operators.forest import depths, heights, running_sum, signatures
 
 
 def count_values(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -14,12 +14,18 @@ def count_values(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def tag_masks(forms: DataFrame, keys: list[str], tag: str = "tag", count: str = "n") -> DataFrame:
-    """For each key one mask of its tags, ``?`` where they differ, and the sum of counts."""
-    length = F.max(F.length(tag)).alias("_length")
-    letters = forms.select(*keys, count, tag, F.posexplode(F.split(F.col(tag), "")).alias("place", "letter")).where("letter <> ''")
-    by_place = letters.groupBy(*keys, "place").agg(F.when(F.min("letter") == F.max("letter"), F.min("letter")).otherwise("?").alias("letter"))
-    masks = by_place.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "letter"))), lambda x: x["letter"]), "").alias("mask"))
-    return masks.join(forms.groupBy(*keys).agg(F.sum(count).alias("n"), length), keys).drop("_length")
+    """For each key one mask of its tags, ``?`` where they differ, and the sum of counts.
+
+    Null keys are keys like others.  A key whose tags are null or empty has an empty mask.
+    """
+    counted = forms.groupBy(*keys, F.col(tag).alias("_tag")).agg(F.sum(count).alias("_n"))
+    longest = counted.agg(F.max(F.length("_tag"))).first()[0] or 0
+    # a tag has as many letters as its scheme has places, so the masks are that many columns of one aggregation
+    letter = lambda i: F.when(F.length("_tag") >= i, F.substring("_tag", i, 1))
+    ends = [f(letter(i)).alias(f"_{name}{i}") for i in range(1, longest + 1) for name, f in (("a", F.min), ("b", F.max))]
+    wide = counted.groupBy(*keys).agg(F.sum("_n").alias("n"), *ends)
+    places = [F.when(F.col(f"_a{i}") == F.col(f"_b{i}"), F.col(f"_a{i}")).when(F.col(f"_a{i}").isNotNull(), "?").otherwise("") for i in range(1, longest + 1)]
+    return wide.select(*keys, F.concat(*places, F.lit("")).alias("mask"), "n")
 
 
 def import_counts(lexemes: DataFrame, counts: DataFrame, keys: list[str]) -> DataFrame:
@@ -49,15 +55,16 @@ def sparsity(df: DataFrame, rf: str = "rf", total: Column | None = None) -> Data
 
 
 def tie_percentile(df: DataFrame, col: str, name: str = "percentile") -> DataFrame:
-    """100 times the share of rows with a lower value; 0 where the value is 0.
+    """100 times the share of rows with a lower value; 0 where the value is 0, null where it is null.
 
-    Ranks come from the histogram of values, so only distinct values are ordered.
+    Ranks come from the histogram of values, summed up in a range-partitioned sort,
+    so no task orders them all.  Rows with a null value count for neither share.
     """
-    histogram = df.groupBy(col).agg(F.count(F.lit(1)).alias("_rows"))
-    order = Window.orderBy(col)
-    placed = histogram.withColumn("_below", F.sum("_rows").over(order) - F.col("_rows")).withColumn("_all", F.sum("_rows").over(Window.partitionBy()))
-    placed = placed.select(col, F.when(F.col(col) == 0, 0.0).otherwise(F.lit(100.0) * F.col("_below") / F.col("_all")).alias(name))
-    return df.join(placed, col)
+    histogram = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_rows"))
+    below = running_sum(histogram, [col], "_rows", "_below")
+    total = below.agg(F.sum("_rows").alias("_all"))
+    placed = below.join(F.broadcast(total)).select(col, F.when(F.col(col) == 0, 0.0).otherwise(F.lit(100.0) * F.col("_below") / F.col("_all")).alias(name))
+    return df.join(placed, col, "left")
 
 
 def network_stats(nodes: DataFrame) -> DataFrame:
@@ -83,9 +90,12 @@ def cluster_stats(edges: DataFrame) -> DataFrame:
 
 
 def signature_counts(edges: DataFrame, label: str, examples: int = 21) -> DataFrame:
-    """How many trees have each signature, with the first roots as examples."""
-    grouped = signatures(edges, label).groupBy("sig").agg(F.count(F.lit(1)).alias("trees"), F.min("root").alias("first_root"))
-    return grouped
+    """How many trees have each signature, with the first roots, so many at most, as examples."""
+    found = signatures(edges, label)
+    # the least roots of a signature are taken in each task before they are brought together
+    first = found.withColumn("_k", F.row_number().over(Window.partitionBy("sig").orderBy("root"))).where(F.col("_k") <= examples)
+    listed = first.groupBy("sig").agg(F.array_join(F.transform(F.array_sort(F.collect_list("root")), lambda x: x.cast("string")), ",").alias("examples"))
+    return found.groupBy("sig").agg(F.count(F.lit(1)).alias("trees")).join(listed, "sig")
 
 
 def node_report(nodes: DataFrame, subtree: DataFrame) -> DataFrame:

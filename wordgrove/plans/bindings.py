@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wordgrove.common import checkpointed
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -29,6 +31,11 @@ def words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens(spark, sf_dir).groupBy("lemma", "pos").agg(F.count(F.lit(1)).alias("n"))
 
 
+def kept_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W, computed once and kept, for queries that use it several times."""
+    return checkpointed(words(spark, sf_dir))
+
+
 W_SQL = TOKENS_SQL + ", w AS (SELECT lemma, pos, count(*) AS n FROM t GROUP BY lemma, pos)"
 
 
@@ -73,3 +80,9 @@ def chains(spark: SparkSession, sf_dir: str) -> DataFrame:
 C_SQL = """turns AS (SELECT conv_id, turn, min(role) AS role FROM conversations GROUP BY conv_id, turn),
 ch AS (SELECT a.conv_id, a.turn, a.role, a.conv_id || ':' || a.turn AS node, CASE WHEN b.turn IS NOT NULL THEN a.conv_id || ':' || (a.turn - 1) END AS parent
   FROM turns a LEFT JOIN turns b ON a.conv_id = b.conv_id AND a.turn = b.turn + 1)"""
+
+#: Signatures of F's trees by the first letter of the part of speech: the longest path has fewer than 16 nodes, as keys are divided by four.
+SIGNATURES_SQL = f"WITH {F_SQL}, g0 AS (SELECT node, parent, left(pos, 1) AS sig FROM f)" + "".join(
+    f", g{k} AS (SELECT f.node, f.parent, left(f.pos, 1) || coalesce('->(' || k.inner_sigs || ')', '') AS sig FROM f LEFT JOIN (SELECT parent, string_agg(sig, ',' ORDER BY sig) AS inner_sigs FROM g{k - 1} WHERE parent IS NOT NULL GROUP BY parent) k ON k.parent = f.node)"
+    for k in range(1, 16)
+)

@@ -6,14 +6,16 @@ from pyspark.sql import functions as F
 
 from wordgrove.operators import candidates as op
 from wordgrove.operators import sets as so
-from wordgrove.plans.bindings import F2_SQL, F_SQL, FOREST_SQL, W_SQL, forest, forest2, table, words
+from wordgrove.plans.bindings import F2_SQL, F_SQL, FOREST_SQL, W_SQL, forest, forest2, table
+from wordgrove.plans.bindings import kept_words as words
 from wordgrove.plans.registry import query
 
 #: Rules that suit the invented words: (rule, from_suffix, from_pos, to_suffix, to_pos).
 RULES = [("r1", "", "en", "en", "en"), ("r2", "", "en", "th", "en"), ("r3", "", "en", "er", "en"), ("r4", "an", "en", "at", "en"), ("r5", "", "de", "ung", "de"), ("r6", "o", "es", "a", "es")]
 RULES_SQL = "rules(rule, from_suffix, from_pos, to_suffix, to_pos) AS (VALUES " + ", ".join(str(r) for r in RULES) + ")"
 LINKED_SQL = "linked AS (SELECT DISTINCT lemma FROM w WHERE n % 3 = 0)"
-APPLY_SQL = "ap AS (SELECT s.lemma AS source, t.lemma AS target, r.rule, length(r.to_suffix) AS size FROM w t JOIN rules r ON t.pos = r.to_pos AND ends_with(t.lemma, r.to_suffix) AND length(t.lemma) > length(r.to_suffix) JOIN w s ON s.pos = r.from_pos AND s.lemma = left(t.lemma, length(t.lemma) - length(r.to_suffix)) || r.from_suffix WHERE s.lemma <> t.lemma)"
+#: Cut first and joined on the made word afterwards: DuckDB would else meet all pairs of words.
+APPLY_SQL = "cut AS MATERIALIZED (SELECT t.lemma AS target, r.rule, r.from_pos, left(t.lemma, length(t.lemma) - length(r.to_suffix)) AS stem, r.from_suffix, length(r.to_suffix) AS size FROM w t JOIN rules r ON t.pos = r.to_pos AND right(t.lemma, length(r.to_suffix)) = r.to_suffix AND length(t.lemma) > length(r.to_suffix)), made AS MATERIALIZED (SELECT *, stem || from_suffix AS source FROM cut), ap AS (SELECT m.source, m.target, m.rule, m.size FROM made m JOIN w s ON s.pos = m.from_pos AND s.lemma = m.source WHERE s.lemma <> m.target)"
 
 
 def rules(spark):
@@ -26,13 +28,20 @@ def c01(spark, sf_dir):
     return op.mine_suffix_rules(words(spark, sf_dir))
 
 
-@query("c02_apply_suffix_rules", f"WITH {W_SQL}, {RULES_SQL}, {APPLY_SQL}, ch AS (SELECT s.lemma AS source, t.lemma AS target, r.rule FROM w t JOIN rules r ON t.pos = r.to_pos AND ends_with(t.lemma, r.to_suffix) AND length(t.lemma) > length(r.to_suffix) JOIN w s ON s.pos = r.from_pos AND ends_with(left(t.lemma, length(t.lemma) - length(r.to_suffix)), 'ed') "
-       "AND s.lemma = left(t.lemma, length(t.lemma) - length(r.to_suffix) - 2) || 'th' || r.from_suffix WHERE s.lemma <> t.lemma) SELECT source, target, rule, false AS changed FROM ap UNION ALL SELECT source, target, rule, true FROM ch")
+@query("c02_apply_suffix_rules", f"WITH {W_SQL}, {RULES_SQL}, {APPLY_SQL}, mc AS MATERIALIZED (SELECT target, rule, from_pos, left(stem, length(stem) - 2) || 'th' || from_suffix AS source FROM cut WHERE ends_with(stem, 'ed')), "
+       "ch AS (SELECT m.source, m.target, m.rule FROM mc m JOIN w s ON s.pos = m.from_pos AND s.lemma = m.source WHERE m.source <> m.target) SELECT source, target, rule, false AS changed FROM ap UNION ALL SELECT source, target, rule, true FROM ch")
 def c02(spark, sf_dir):
     return op.apply_suffix_rules(words(spark, sf_dir), rules(spark), [("ed", "th")])
 
 
-@query("c03_open_stem_candidates", f"WITH {W_SQL}, x AS (SELECT DISTINCT lemma FROM w), s(suffix) AS (VALUES (''), ('en'), ('th')), m AS (SELECT x.lemma AS target, y.lemma AS source, (-2 * cut - length(suffix))::INTEGER AS score FROM x, range(0, 5) r(cut), s JOIN x y ON y.lemma = left(x.lemma, length(x.lemma) - cut) || suffix WHERE length(x.lemma) - cut >= 3 AND y.lemma <> x.lemma) "
+@query("c02_rule_flags", f"WITH {W_SQL}, {RULES_SQL}, {APPLY_SQL}, e AS (SELECT left(lemma, length(lemma) - 2) AS source, lemma AS target FROM w WHERE n % 2 = 0 AND length(lemma) > 2 GROUP BY lemma) SELECT ap.source, ap.target, ap.rule, false AS changed, false AS capitalised, e.target IS NOT NULL AS linked FROM ap LEFT JOIN e ON e.source = ap.source AND e.target = ap.target")
+def c02_flags(spark, sf_dir):
+    w = words(spark, sf_dir)
+    linked = w.where("n % 2 = 0 AND length(lemma) > 2").select(F.expr("substring(lemma, 1, length(lemma) - 2)").alias("source"), F.col("lemma").alias("target"))
+    return op.apply_suffix_rules(w, rules(spark), edges=linked, capitalised=True)
+
+
+@query("c03_open_stem_candidates", f"WITH {W_SQL}, x AS (SELECT DISTINCT lemma FROM w), s(suffix) AS (VALUES (''), ('en'), ('th')), k AS MATERIALIZED (SELECT x.lemma AS target, left(x.lemma, length(x.lemma) - cut) || suffix AS source, (-2 * cut - length(suffix))::INTEGER AS score FROM x, range(0, 5) r(cut), s WHERE length(x.lemma) - cut >= 3), m AS (SELECT k.target, k.source, k.score FROM k JOIN x ON x.lemma = k.source WHERE k.source <> k.target) "
        "SELECT source, target, score FROM m QUALIFY row_number() OVER (PARTITION BY target ORDER BY score DESC, source) = 1")
 def c03(spark, sf_dir):
     return op.open_stem_candidates(words(spark, sf_dir).select("lemma").distinct(), spark.createDataFrame([("",), ("en",), ("th",)], "suffix string"))
@@ -98,7 +107,13 @@ def c13(spark, sf_dir):
     return op.sibling_patterns(forest(spark, sf_dir), "ring", "bolt")
 
 
-@query("c14_group_by_suffix")
+#: Words leave the pool ending by ending, from six letters down to three.
+SUFFIX_SQL = f"WITH {W_SQL}, left6 AS (SELECT DISTINCT lemma FROM w)" + "".join(
+    f", hit{k} AS (SELECT right(lemma, {k}) AS suffix, lemma FROM left{k} WHERE length(lemma) >= {k} QUALIFY count(*) OVER (PARTITION BY right(lemma, {k})) >= 2), left{k - 1} AS (SELECT lemma FROM left{k} WHERE lemma NOT IN (SELECT lemma FROM hit{k}))" for k in range(6, 2, -1)
+)
+
+
+@query("c14_group_by_suffix", SUFFIX_SQL + " UNION ALL ".join(f" SELECT suffix, lemma FROM hit{k}" for k in range(6, 2, -1)))
 def c14(spark, sf_dir):
     return op.group_by_suffix(words(spark, sf_dir), max_len=6, min_len=3)
 

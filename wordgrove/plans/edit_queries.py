@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from wordgrove.functions.text import suffix_code_parent
 from wordgrove.operators import edits as op
-from wordgrove.plans.bindings import F2_SQL, F_SQL, FOREST_SQL, W_SQL, forest, forest2, words
+from wordgrove.plans.bindings import F2_SQL, F_SQL, FOREST_SQL, W_SQL, forest, forest2
+from wordgrove.plans.bindings import kept_words as words
 from wordgrove.plans.registry import query
 
 
@@ -18,10 +19,12 @@ def edits_of_f2(spark, sf_dir, condition):
     return forest2(spark, sf_dir).where("parent IS NOT NULL").where(condition).select(F.col("node").alias("line"), "parent", "node")
 
 
-@query("e01_append_relations", f"WITH {F_SQL}, {F2_SQL} SELECT parent AS source, node AS target, 'Derivation' AS type, 0 AS ord FROM f WHERE parent IS NOT NULL UNION ALL SELECT f2.parent, f2.node, 'Compounding', CASE WHEN f.parent IS NULL THEN 0 ELSE 1 END FROM f2 JOIN f ON f.node = f2.node WHERE f2.parent IS NOT NULL AND f2.parent IS DISTINCT FROM f.parent")
+@query("e01_append_relations", f"WITH {F_SQL}, {F2_SQL}, e AS (SELECT parent, node, CASE WHEN n % 2 = 0 THEN 'Derivation' ELSE 'Compounding' END AS type FROM f2 WHERE parent IS NOT NULL) SELECT parent AS source, node AS target, 'Derivation' AS type, 0 AS ord FROM f WHERE parent IS NOT NULL UNION ALL SELECT e.parent, e.node, e.type, CASE WHEN f.parent IS NULL THEN 0 ELSE 1 END FROM e JOIN f ON f.node = e.node WHERE e.parent IS DISTINCT FROM f.parent OR e.type <> 'Derivation'")
 def e01(spark, sf_dir):
     relations = forest(spark, sf_dir).where("parent IS NOT NULL").select(F.col("parent").alias("source"), F.col("node").alias("target"), F.lit("Derivation").alias("type"), F.lit(0).alias("ord"))
-    return op.append_relations(relations, edits_of_f2(spark, sf_dir, "true").select("line", F.col("parent").alias("source"), F.col("node").alias("target"), F.lit("Compounding").alias("type")))
+    kind = F.when(F.col("n") % 2 == 0, "Derivation").otherwise("Compounding")
+    edits = forest2(spark, sf_dir).where("parent IS NOT NULL").select(F.col("node").alias("line"), F.col("parent").alias("source"), F.col("node").alias("target"), kind.alias("type"))
+    return op.append_relations(relations, edits)
 
 
 @query("e02_check_arity", f"WITH {F_SQL}, {F2_SQL} SELECT f.node AS line, CASE WHEN f.n % 3 = 0 AND f.parent IS NULL THEN 'needs two sources' WHEN f.n % 3 <> 0 AND f.parent IS NOT NULL THEN 'needs one source' ELSE 'target among the sources' END AS problem FROM f WHERE (f.n % 3 = 0 AND f.parent IS NULL) OR (f.n % 3 <> 0 AND f.parent IS NOT NULL) OR (f.n % 3 <> 0 AND f.parent IS NULL)")
@@ -164,6 +167,26 @@ def e16(spark, sf_dir):
     return op.merge_variants(f.select("node", "parent"), f.where("parent IS NOT NULL AND n % 3 = 0").select(F.col("parent").alias("set_id"), "node", F.col("node").alias("seq")))
 
 
+@query("e17_labelled_variants", f"WITH {F_SQL}, s AS (SELECT parent AS set_id, node, node AS seq FROM f WHERE parent IS NOT NULL AND n % 3 = 0), p AS (SELECT set_id, min(node) AS rep FROM s GROUP BY set_id), v AS (SELECT s.node, p.rep FROM s JOIN p USING (set_id) WHERE s.node <> p.rep) "
+       "SELECT f.node, coalesce(v.rep, u.rep, f.parent) AS parent, CASE WHEN v.rep IS NOT NULL THEN 'Variant' END AS label FROM f LEFT JOIN v ON v.node = f.node LEFT JOIN v u ON u.node = f.parent")
+def e17(spark, sf_dir):
+    f = forest(spark, sf_dir)
+    return op.merge_labelled_variants(f.select("node", "parent"), f.where("parent IS NOT NULL AND n % 3 = 0").select(F.col("parent").alias("set_id"), "node", F.col("node").alias("seq")))
+
+
+@query("e19_parents_from_suffix_codes", f"WITH {F_SQL}, x AS (SELECT node, parent, lower(pos) || substr('abc', (node % 3)::INTEGER + 1, 1) AS lemma, n % 3 AS num FROM f WHERE node < 37 OR parent IS NULL), "
+       "c AS (SELECT a.node, b.node AS up, row_number() OVER (PARTITION BY a.node ORDER BY a.num <> b.num, b.node) AS k FROM x a JOIN x b ON b.lemma = left(a.lemma, length(a.lemma) - 1) || 'b' AND b.node < 37 WHERE a.parent IS NULL AND a.lemma NOT LIKE '%b' AND a.node > 37) "
+       "SELECT f.node, coalesce(f.parent, c.up) AS parent FROM f LEFT JOIN c ON c.node = f.node AND c.k = 1")
+def e19(spark, sf_dir):
+    f = forest(spark, sf_dir)
+    lemma = F.concat(F.lower("pos"), F.substring(F.lit("abc"), (F.col("node") % 3).cast("int") + 1, F.lit(1)))
+    # roots take their parents from the first tree, so that no two trees hang on each other
+    code = F.when(F.col("parent").isNull() & (F.col("node") > 37), "_^(*3b)").otherwise("")
+    x = f.where("node < 37 OR parent IS NULL").withColumn("lemma", lemma).withColumn("lemma", F.when((F.col("node") >= 37) & F.endswith("lemma", F.lit("b")), F.concat("lemma", F.lit("!"))).otherwise(F.col("lemma")))
+    lexemes = x.select("node", F.col("node").alias("seq"), "lemma", F.concat("lemma", F.lit("-"), (F.col("n") % 3).cast("string"), code).alias("techlemma"))
+    return op.parents_from_suffix_codes(lexemes, f.select("node", "parent"))
+
+
 @query("e18_parents_from_codes", f"WITH {F_SQL}, x AS (SELECT node, parent, lemma || '/' || substr('abcdefghijklmnop', (node % 16)::INTEGER + 1, 1) AS lemma FROM f), k AS (SELECT lemma, min(node) AS node FROM x GROUP BY lemma), c AS (SELECT x.node, k.node AS up FROM x JOIN k ON k.lemma = left(x.lemma, length(x.lemma) - 1) || 'b' WHERE x.parent IS NULL AND k.node < x.node) SELECT x.node, coalesce(x.parent, c.up) AS parent FROM x LEFT JOIN c ON c.node = x.node")
 def e18(spark, sf_dir):
     x = forest(spark, sf_dir).withColumn("lemma", F.concat_ws("/", "lemma", F.substring(F.lit("abcdefghijklmnop"), (F.col("node") % 16).cast("int") + 1, F.lit(1)))).withColumn("seq", F.col("node"))
@@ -217,6 +240,29 @@ def e25(spark, sf_dir):
     return op.edges_from_brackets(forest(spark, sf_dir).select(F.col("node").alias("line"), value.alias("value")))
 
 
+#: Trees whose second word is unknown for a third of the lines and whose fourth always is; its child must not hang on a neighbour.
+BRIDGED_SQL = f"WITH {F_SQL} SELECT node AS line, 0 AS place, 'w' || node AS lemma, NULL AS parent_lemma FROM f UNION ALL SELECT node, 1, 'a' || n, 'w' || node FROM f WHERE n % 3 <> 0 UNION ALL SELECT node, 2, 'b' || n, CASE WHEN n % 3 <> 0 THEN 'a' || n {{bridge}} END FROM f UNION ALL SELECT node, 4, 'd', {{far}} FROM f"
+
+
+def with_unknown(spark, sf_dir, bridge):
+    f = forest(spark, sf_dir)
+    n = F.col("n").cast("string")
+    value = F.concat(F.lit("w"), F.col("node").cast("string"), F.lit(" ( a"), n, F.lit(" ( b"), n, F.lit(" ) c ( d ) )"))
+    named = lambda letter, column, where: f.where(where).select(F.concat(F.lit(letter), F.col(column).cast("string")).alias("lemma"))
+    known = named("w", "node", "true").unionByName(named("a", "n", "n % 3 <> 0")).unionByName(named("b", "n", "true")).unionByName(f.select(F.lit("d").alias("lemma")))
+    return op.edges_from_brackets(f.select(F.col("node").alias("line"), value.alias("value")), known, bridge)
+
+
+@query("e25_bridged", BRIDGED_SQL.format(bridge="ELSE 'w' || node", far="'w' || node"))
+def e25_bridged(spark, sf_dir):
+    return with_unknown(spark, sf_dir, True)
+
+
+@query("e25_cut", BRIDGED_SQL.format(bridge="", far="NULL"))
+def e25_cut(spark, sf_dir):
+    return with_unknown(spark, sf_dir, False)
+
+
 @query("e26_single_parent", f"WITH {F_SQL}, {F2_SQL} SELECT f.parent AS source, f.node AS target, CASE WHEN f2.parent IS NOT NULL AND f2.parent <> f.parent THEN f2.parent::VARCHAR ELSE '' END AS omitted FROM f LEFT JOIN f2 ON f2.node = f.node WHERE f.parent IS NOT NULL")
 def e26(spark, sf_dir):
     relations = forest(spark, sf_dir).where("parent IS NOT NULL").select(F.col("parent").alias("source"), F.col("node").alias("target"), F.lit("D").alias("type"), F.lit(0).alias("ord"))

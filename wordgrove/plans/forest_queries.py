@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wordgrove.operators import forest as op
-from wordgrove.plans.bindings import C_SQL, F_SQL, FOREST_SQL, chains, forest
+from wordgrove.plans.bindings import C_SQL, F_SQL, FOREST_SQL, SIGNATURES_SQL, chains, forest
 from wordgrove.plans.registry import query
 
 
@@ -50,7 +50,8 @@ def t04(spark, sf_dir):
 )
 def t05(spark, sf_dir):
     f = forest(spark, sf_dir)
-    return op.subtree_agg(f.select("node", "parent"), f.select("node", "n"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("total"), F.max("n").alias("largest"), F.count_if(F.col("n") > 25).alias("big"))
+    values = f.select("node", F.lit(1).cast("long").alias("size"), F.col("n").cast("long").alias("total"), F.col("n").alias("largest"), (F.col("n") > 25).cast("long").alias("big"))
+    return op.subtree_agg(f.select("node", "parent"), values, sums=("size", "total", "big"), maxima=("largest",))
 
 
 @query(
@@ -88,12 +89,18 @@ def t08(spark, sf_dir):
     return op.dfs_ids(forest(spark, sf_dir), ["lemma"]).select("node", "tree", "pos")
 
 
-@query("t09_render_trees")
+@query(
+    "t09_render_trees",
+    f"WITH RECURSIVE {F_SQL}, s AS (SELECT *, row_number() OVER (PARTITION BY parent ORDER BY lemma, node) AS k, count(*) OVER (PARTITION BY parent) AS m FROM f), "
+    "d(node, tree, path, stem, text) AS (SELECT node, k - 1, [0::BIGINT], '', lemma FROM s WHERE parent IS NULL UNION ALL "
+    "SELECT s.node, d.tree, list_append(d.path, s.k), d.stem || CASE WHEN s.k = s.m THEN '  ' ELSE '│ ' END, d.stem || CASE WHEN s.k = s.m THEN '└─' ELSE '├─' END || s.lemma FROM d JOIN s ON s.parent = d.node) "
+    "SELECT tree, row_number() OVER (PARTITION BY tree ORDER BY path) - 1 AS line_no, text FROM d",
+)
 def t09(spark, sf_dir):
     return op.render_trees(forest(spark, sf_dir), "lemma", ["lemma"])
 
 
-@query("t11_signatures")
+@query("t11_signatures", SIGNATURES_SQL + " SELECT node AS root, sig FROM g15 WHERE parent IS NULL")
 def t11(spark, sf_dir):
     return op.signatures(forest(spark, sf_dir).withColumn("class", F.substring("pos", 1, 1)), "class")
 
@@ -111,12 +118,14 @@ def t12(spark, sf_dir):
 
 @query(
     "t13_lift_marks",
-    f"{FOREST_SQL}, m AS (SELECT node FROM f WHERE n % 6 = 0), b AS (SELECT DISTINCT c.node FROM c JOIN m ON m.node = c.ancestor WHERE c.dist > 0) "
-    "SELECT m.node, CASE WHEN b.node IS NULL THEN r.root END AS moved_to, b.node IS NOT NULL AS dropped FROM m JOIN r ON r.node = m.node LEFT JOIN b ON b.node = m.node",
+    f"{FOREST_SQL}, m AS (SELECT node FROM f WHERE n % 6 = 0), b AS (SELECT DISTINCT c.node FROM c JOIN m ON m.node = c.ancestor WHERE c.dist > 0), "
+    "st AS (SELECT f.node, p.node AS held FROM f LEFT JOIN f p ON p.node = f.parent WHERE f.parent IS NULL OR contains(split_part(f.lemma, ' ', 1), split_part(p.lemma, ' ', 1))), "
+    "z AS (SELECT c.node, min_by(st.node, c.dist) AS stop FROM c JOIN st ON st.node = c.ancestor GROUP BY c.node) "
+    "SELECT m.node, CASE WHEN b.node IS NULL THEN z.stop END AS moved_to, b.node IS NOT NULL AS dropped, CASE WHEN b.node IS NULL THEN st.held END AS held_by FROM m JOIN z ON z.node = m.node JOIN st ON st.node = z.stop LEFT JOIN b ON b.node = m.node",
 )
 def t13(spark, sf_dir):
     f = forest(spark, sf_dir)
-    return op.lift_marks(f.select("node", "parent"), f.where("n % 6 = 0").select("node"))
+    return op.lift_marks(f.select("node", "parent", F.split_part("lemma", F.lit(" "), F.lit(1)).alias("word")), f.where("n % 6 = 0").select("node"), "word")
 
 
 @query("t14_largest_trees", f"{FOREST_SQL} SELECT root, count(*) AS size FROM r GROUP BY root ORDER BY size DESC, root LIMIT 20")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from wordgrove.operators import lookup as op
 from wordgrove.operators import resolve as rs
-from wordgrove.operators.forest import closure, roots_of
+from wordgrove.operators.forest import roots_of
 from wordgrove.plans.bindings import F2_SQL, F_SQL, FOREST_SQL, W_SQL, forest, forest2, table, words
 from wordgrove.plans.registry import query
 
@@ -112,7 +112,7 @@ def p11(spark, sf_dir):
 @query("p12_clear_label_below", f"{FOREST_SQL}, b AS (SELECT DISTINCT c.node FROM c JOIN f ON f.node = c.ancestor WHERE f.n = 9) SELECT f.node, CASE WHEN b.node IS NULL THEN f.pos END AS label FROM f LEFT JOIN b ON b.node = f.node")
 def p12(spark, sf_dir):
     f = forest(spark, sf_dir)
-    return op.clear_label_below(f.select("node", F.col("pos").alias("label")), closure(f.select("node", "parent")), f.where("n = 9"))
+    return op.clear_label_below(f.select("node", F.col("pos").alias("label")), f.select("node", "parent"), f.where("n = 9"))
 
 
 @query("p13_chains3", f"WITH {F_SQL} SELECT a.node AS child, b.node AS parent, g.node AS grandparent FROM f a JOIN f b ON a.parent = b.node JOIN f g ON b.parent = g.node WHERE a.pos = g.pos AND a.pos <> b.pos AND NOT ends_with(b.lemma, a.lemma)")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from wordgrove.operators import stats as op
 from wordgrove.operators.forest import subtree_agg
-from wordgrove.plans.bindings import FOREST_SQL, F_SQL, TOKENS_SQL, W_SQL, forest, table, tokens, words
+from wordgrove.plans.bindings import FOREST_SQL, F_SQL, SIGNATURES_SQL, TOKENS_SQL, W_SQL, forest, table, tokens, words
 from wordgrove.plans.registry import query
 
 
@@ -17,13 +17,13 @@ def a01(spark, sf_dir):
 
 @query(
     "a02_tag_masks",
-    f"WITH {W_SQL}, g AS (SELECT pos, substr(lemma, 1, 2) AS stem, rpad(substr(lemma, 1, 6), 6, '-') AS tag, n FROM w), "
+    f"WITH {W_SQL}, g AS (SELECT pos, CASE WHEN n % 5 <> 4 THEN substr(lemma, 1, 2) END AS stem, rpad(substr(lemma, 1, 6), 6, '-') AS tag, n FROM w), "
     "p AS (SELECT pos, stem, i, CASE WHEN min(substr(tag, i, 1)) = max(substr(tag, i, 1)) THEN min(substr(tag, i, 1)) ELSE '?' END AS letter FROM g, range(1, 7) r(i) GROUP BY pos, stem, i), "
     "m AS (SELECT pos, stem, string_agg(letter, '' ORDER BY i) AS mask FROM p GROUP BY pos, stem), s AS (SELECT pos, stem, sum(n)::BIGINT AS n FROM g GROUP BY pos, stem) "
-    "SELECT m.pos, m.stem, m.mask, s.n FROM m JOIN s ON m.pos = s.pos AND m.stem = s.stem",
+    "SELECT m.pos, m.stem, m.mask, s.n FROM m JOIN s ON m.pos = s.pos AND m.stem IS NOT DISTINCT FROM s.stem",
 )
 def a02(spark, sf_dir):
-    forms = words(spark, sf_dir).select("pos", F.substring("lemma", 1, 2).alias("stem"), F.rpad(F.substring("lemma", 1, 6), 6, "-").alias("tag"), "n")
+    forms = words(spark, sf_dir).select("pos", F.when(F.col("n") % 5 != 4, F.substring("lemma", 1, 2)).alias("stem"), F.rpad(F.substring("lemma", 1, 6), 6, "-").alias("tag"), "n")
     return op.tag_masks(forms, ["pos", "stem"])
 
 
@@ -57,9 +57,9 @@ def a06(spark, sf_dir):
     return op.sparsity(rare, total=F.lit(1e6))
 
 
-@query("a07_tie_percentile", f"WITH {W_SQL} SELECT lemma, pos, n, CASE WHEN n = 0 THEN 0 ELSE 100.0::DOUBLE * (rank() OVER (ORDER BY n) - 1) / count(*) OVER () END AS percentile FROM w")
+@query("a07_tie_percentile", f"WITH {W_SQL}, v AS (SELECT lemma, pos, CASE WHEN n % 6 <> 5 THEN n - 1 END AS n FROM w), k AS (SELECT n, 100.0::DOUBLE * (rank() OVER (ORDER BY n) - 1) / count(*) OVER () AS p FROM v WHERE n IS NOT NULL), d AS (SELECT n, min(p) AS p FROM k GROUP BY n) SELECT v.lemma, v.pos, v.n, CASE WHEN v.n = 0 THEN 0 ELSE d.p END AS percentile FROM v LEFT JOIN d ON d.n = v.n")
 def a07(spark, sf_dir):
-    return op.tie_percentile(words(spark, sf_dir), "n")
+    return op.tie_percentile(words(spark, sf_dir).withColumn("n", F.when(F.col("n") % 6 != 5, F.col("n") - 1)), "n")
 
 
 @query(
@@ -84,7 +84,7 @@ def a09(spark, sf_dir):
     return op.cluster_stats(forest(spark, sf_dir).select("node", "parent"))
 
 
-@query("a09_signature_counts")
+@query("a09_signature_counts", SIGNATURES_SQL + " SELECT sig, count(*) AS trees, array_to_string(list_sort(list(node))[1:21], ',') AS examples FROM g15 WHERE parent IS NULL GROUP BY sig")
 def a09_signatures(spark, sf_dir):
     return op.signature_counts(forest(spark, sf_dir).withColumn("class", F.substring("pos", 1, 1)), "class")
 
@@ -97,7 +97,8 @@ def a09_signatures(spark, sf_dir):
 )
 def a10(spark, sf_dir):
     nodes = forest(spark, sf_dir).withColumn("n", F.when(F.col("n") % 4 == 0, 0).otherwise(F.col("n")))
-    subtree = subtree_agg(nodes.select("node", "parent"), nodes.select("node", "n"), F.count(F.lit(1)).alias("size"), F.count_if(F.col("n") > 0).alias("attested"))
+    counted = nodes.select("node", F.lit(1).cast("long").alias("size"), (F.col("n") > 0).cast("long").alias("attested"))
+    subtree = subtree_agg(nodes.select("node", "parent"), counted, sums=("size", "attested"))
     return op.node_report(nodes, subtree)
 
 
