@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordgrove.operators.forest import has_ancestor
+from wordgrove.operators.forest import has_ancestor, running_sum
 
 
 def check_file(lines: DataFrame, known_types: tuple[str, ...] = ("Derivation", "Compounding", "Conversion", "Variant", "Univerbisation")) -> DataFrame:
     """Problems (``line_no``, ``problem``) of a network file's lines (``line_no``, ``value``) that need more than one line to see.
 
     Blocks are stretches between blank lines; the number of a block is a running
-    count of blank lines, taken over one file at a time.
+    count of blank lines, taken in a range-partitioned sort.
     """
-    blocks = lines.withColumn("block", F.sum(F.when(F.col("value") == "", 1).otherwise(0)).over(Window.orderBy("line_no")))
+    blocks = running_sum(lines.select("line_no", "value", F.when(F.col("value") == "", 1).otherwise(0).cast("long").alias("_blank")), ["line_no"], "_blank", "block")
     rows = blocks.where("value <> '' AND NOT startswith(value, '#')").withColumn("f", F.split("value", "\t", 10)).where(F.size("f") == 10)
     rows = rows.select("line_no", "block", F.col("f")[0].alias("id"), F.col("f")[6].alias("parent"), F.col("f")[7].alias("rel"))
     rows = rows.withColumn("tree", F.split_part("id", F.lit("."), F.lit(1)))

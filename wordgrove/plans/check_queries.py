@@ -9,10 +9,24 @@ from wordgrove.operators import ml
 from wordgrove.operators import morphs as mo
 from wordgrove.operators import score as sc
 from wordgrove.operators import validate as va
-from wordgrove.plans.bindings import F2_SQL, F_SQL, W_SQL, forest, forest2, table, words
+from wordgrove.plans.bindings import F2_SQL, F_SQL, FOREST_SQL, W_SQL, forest, forest2, table, words
 from wordgrove.plans.registry import query
 
 
+@query("v02_check_file", f"WITH {F_SQL}, x AS (SELECT node, n, node % 10 AS k, node // 10 AS t FROM f) SELECT node * 2 AS line_no, CASE WHEN (t + 1) * 10 IN (SELECT node FROM f) THEN 'parent in another tree' ELSE 'unknown parent' END AS problem FROM x WHERE k > 0 AND n % 5 = 0 "
+       "UNION ALL SELECT node * 2, CASE n % 7 WHEN 0 THEN 'missing type' ELSE 'unknown type' END FROM x WHERE k > 0 AND n % 7 < 2 UNION ALL SELECT node * 2, 'duplicate id' FROM x WHERE k = 4 AND n % 3 = 0")
+def v02(spark, sf_dir):
+    node, tree, k, n = F.col("node"), F.floor(F.col("node") / 10), F.col("node") % 10, F.col("n")
+    named = lambda t, i: F.concat_ws(".", t.cast("string"), i.cast("string"))
+    own = named(tree, F.when((k == 4) & (n % 3 == 0), k - 1).otherwise(k))
+    parent = F.when(k == 0, "").when(n % 5 == 0, named(tree + 1, F.lit(0))).otherwise(named(tree, F.lit(0)))
+    kind = F.when((k == 0) | (n % 7 == 0), "").when(n % 7 == 1, "Type=Odd").otherwise("Type=Derivation")
+    value = F.concat_ws("\t", own, "lemma", "lemma", "pos", F.lit(""), F.lit(""), parent, kind, F.lit(""), F.lit("{}"))
+    f = forest(spark, sf_dir)
+    blanks = f.where("node % 10 = 0").select((node * 2 - 1).alias("line_no"), F.lit("").alias("value"))
+    return va.check_file(f.select((node * 2).alias("line_no"), value.alias("value")).unionByName(blanks))
+
+
 @query("v03_check_rules", f"WITH {F_SQL} SELECT node, unnest(list_filter([CASE WHEN parent IS NULL AND n > 40 THEN 'root too big' END, CASE WHEN pos = 'SMALL' AND n > 20 THEN 'small but large' END, CASE WHEN starts_with(lemma, 'red') AND n % 2 = 0 THEN 'even red' END], lambda x: x IS NOT NULL)) AS rule FROM f")
 def v03(spark, sf_dir):
     rules = [("root too big", F.col("parent").isNull() & (F.col("n") > 40)), ("small but large", (F.col("pos") == "SMALL") & (F.col("n") > 20)), ("even red", F.startswith("lemma", F.lit("red")) & (F.col("n") % 2 == 0))]
@@ -67,44 +81,59 @@ def d03(spark, sf_dir):
     return df_.missing_in(forest(spark, sf_dir).select("node", "lemma", "n"), forest2(spark, sf_dir), ["lemma", "n"]).select("node", "lemma")
 
 
-#: Gold decisions: the other version's parents, some of them replaced by marks and alternatives.
-GOLD_SQL = f"""WITH {F_SQL}, {F2_SQL}, x AS (SELECT node, parent, replace(lemma, ' ', '_') || '/' || node AS lemma FROM f), y AS (SELECT a.node, a.n, replace(a.lemma, ' ', '_') || '/' || a.node AS lemma, replace(b.lemma, ' ', '_') || '/' || b.node AS up FROM f2 a LEFT JOIN f2 b ON b.node = a.parent),
-gold AS (SELECT CASE WHEN n % 11 = 0 THEN 'gone/' || node ELSE lemma END AS lemma, CASE WHEN n % 13 = 0 THEN '?' WHEN n % 11 = 0 AND n % 2 = 0 THEN '!' WHEN up IS NULL OR n % 7 = 0 THEN '-' WHEN n % 3 = 0 THEN up || ', ' || split_part(lemma, '/', 1) || '/' || (node // 4) ELSE up END AS decision FROM y),
-h AS (SELECT x.lemma, p.lemma AS up, count(*) OVER (PARTITION BY x.lemma) AS n FROM x LEFT JOIN x p ON p.node = x.parent),
-det AS (SELECT g.lemma, g.decision, CASE WHEN g.decision = '!' THEN CASE WHEN h.n IS NULL THEN 'N' ELSE 'I' END WHEN h.n IS NULL THEN 'MD' WHEN g.decision = '-' THEN CASE WHEN h.up IS NOT NULL THEN 'I' ELSE 'N' END WHEN h.up IS NULL THEN 'M' WHEN list_contains(flatten(list_transform(string_split(g.decision, ', '), lambda a: string_split(a, ' '))), h.up) THEN 'C' ELSE 'I' END AS detail FROM gold g LEFT JOIN h ON h.lemma = g.lemma WHERE g.decision <> '?')"""
+#: Gold decisions: the other version's parents, some of them replaced by marks, alternatives and compounds; x has names without spaces, as those join the words of a compound.
+GOLD_SQL = f"""{FOREST_SQL}, {F2_SQL}, x AS (SELECT node, parent, n, pos, replace(lemma, ' ', '_') || '/' || node AS lemma FROM f), rel AS (SELECT a.node, CASE WHEN a.n % 4 = 0 THEN 'C:' || p.lemma || ' ' || q.lemma ELSE 'D:' || p.lemma END AS key FROM x a JOIN x p ON p.node = a.parent JOIN x q ON q.node = a.node // 9),
+y AS (SELECT a.node, a.n, replace(a.lemma, ' ', '_') || '/' || a.node AS lemma, replace(b.lemma, ' ', '_') || '/' || b.node AS up, replace(q.lemma, ' ', '_') || '/' || q.node AS other FROM f2 a LEFT JOIN f2 b ON b.node = a.parent JOIN f2 q ON q.node = a.node // 9),
+gold AS (SELECT CASE WHEN n % 11 = 0 THEN 'gone/' || node ELSE lemma END AS lemma, CASE WHEN n % 13 = 0 THEN '?' WHEN n % 11 = 0 AND n % 2 = 0 OR n = 1 THEN '!' WHEN up IS NULL OR n % 7 = 0 THEN '-' WHEN n % 3 = 0 THEN up || ', ' || split_part(lemma, '/', 1) || '/' || (node // 4) WHEN n % 4 = 0 THEN up || ' ' || other || ', -' ELSE up END AS decision FROM y),
+g AS (SELECT g.lemma, g.decision, x.node, list_transform(string_split(g.decision, ', '), lambda k: CASE WHEN k = '-' THEN k WHEN contains(k, ' ') THEN 'C:' || k ELSE 'D:' || k END) AS keys FROM gold g LEFT JOIN x ON x.lemma = g.lemma WHERE g.decision <> '?'),
+j AS (SELECT g.*, rel.key FROM g LEFT JOIN rel ON rel.node = g.node WHERE g.node IS NOT NULL AND g.decision <> '!'), wd AS (SELECT node, unnest(string_split(substr(k, 3), ' ')) AS lemma FROM (SELECT node, unnest(keys) AS k FROM j) WHERE k <> '-'),
+met AS (SELECT DISTINCT wd.node FROM wd JOIN x ON x.lemma = wd.lemma JOIN r a ON a.node = wd.node JOIN r b ON b.node = x.node WHERE a.root = b.root),
+ij AS (SELECT lemma, decision, CASE WHEN key IS NULL THEN CASE WHEN list_contains(keys, '-') THEN 'tn' ELSE 'fn' END WHEN list_contains(keys, key) THEN 'tp' ELSE 'fp' END AS outcome, node, key FROM j),
+det AS (SELECT 'lexeme' AS scope, lemma, decision, CASE WHEN node IS NULL THEN CASE WHEN decision = '!' THEN 'tn' ELSE 'fn' END WHEN decision = '!' THEN 'fp' ELSE 'tp' END AS outcome FROM g
+  UNION ALL SELECT 'gold', lemma, decision, 'fn' FROM g WHERE node IS NULL AND decision NOT IN ('!', '-') UNION ALL SELECT s, lemma, decision, outcome FROM ij, (VALUES ('internal'), ('gold')) v(s)
+  UNION ALL SELECT 'cluster', lemma, decision, CASE WHEN keys = ['-'] THEN CASE WHEN key IS NULL THEN 'tn' ELSE 'fp' END WHEN met.node IS NOT NULL THEN 'tp' WHEN key IS NULL THEN 'fn' ELSE 'fp' END FROM j LEFT JOIN met ON met.node = j.node)"""
 
 
-def gold(spark, sf_dir):
+def judged(spark, sf_dir):
+    """The details of the forest, some of its relations being compounds, against decisions taken from its other version."""
     named = lambda c, k: F.concat(F.replace(c, F.lit(" "), F.lit("_")), F.lit("/"), F.col(k).cast("string"))
-    # names without spaces, as spaces join the words of a compound
-    x = forest(spark, sf_dir).select("node", "parent", named("lemma", "node").alias("lemma"))
-    f2 = forest2(spark, sf_dir)
-    up = f2.select(F.col("node").alias("parent"), named("lemma", "node").alias("up"))
-    y = f2.join(up, "parent", "left").select("node", "n", named("lemma", "node").alias("lemma"), "up")
-    n = F.col("n")
-    other = F.concat("up", F.lit(", "), F.split_part("lemma", F.lit("/"), F.lit(1)), F.lit("/"), F.floor(F.col("node") / 4).cast("string"))
-    decision = F.when(n % 13 == 0, "?").when((n % 11 == 0) & (n % 2 == 0), "!").when(F.col("up").isNull() | (n % 7 == 0), "-").when(n % 3 == 0, other).otherwise(F.col("up"))
+    ninth = F.floor(F.col("node") / 9).cast("long")
+    f, f2, n = forest(spark, sf_dir), forest2(spark, sf_dir), F.col("n")
+    nodes = f.select("node", "pos", named("lemma", "node").alias("lemma"))
+    compound = n % 4 == 0
+    relations = f.where("parent IS NOT NULL").select(
+        F.col("node").alias("target"), F.lit(0).alias("ord"), F.when(compound, "Compounding").otherwise("Derivation").alias("type"), F.col("parent").alias("main"), F.when(compound, F.array(F.col("parent"), ninth)).otherwise(F.array("parent")).alias("sources")
+    )
+    names = f2.select("node", named("lemma", "node").alias("name"))
+    up = names.select(F.col("node").alias("parent"), F.col("name").alias("up"))
+    second = names.select(F.col("node").alias("ninth"), F.col("name").alias("other"))
+    y = f2.join(up, "parent", "left").withColumn("ninth", ninth).join(second, "ninth").select("node", "n", named("lemma", "node").alias("lemma"), "up", "other")
+    either = F.concat("up", F.lit(", "), F.split_part("lemma", F.lit("/"), F.lit(1)), F.lit("/"), F.floor(F.col("node") / 4).cast("string"))
+    decision = F.when(n % 13 == 0, "?").when((n % 11 == 0) & (n % 2 == 0) | (n == 1), "!").when(F.col("up").isNull() | (n % 7 == 0), "-").when(n % 3 == 0, either).when(compound, F.concat("up", F.lit(" "), "other", F.lit(", -"))).otherwise(F.col("up"))
     lemma = F.when(n % 11 == 0, F.concat(F.lit("gone/"), F.col("node").cast("string"))).otherwise(F.col("lemma"))
-    return x, y.select(lemma.alias("lemma"), decision.alias("decision"))
+    return sc.score_details(nodes, relations, y.select(lemma.alias("lemma"), decision.alias("decision")))
 
 
-@query("g01_score_details", GOLD_SQL + " SELECT lemma, decision, detail FROM det")
+@query("g01_score_details", GOLD_SQL + " SELECT scope, lemma, decision, outcome FROM det")
 def g01_details(spark, sf_dir):
-    return sc.score_details(*gold(spark, sf_dir))
+    return judged(spark, sf_dir).select("scope", "lemma", "decision", "outcome")
 
 
-SUMS_SQL = ", s AS (SELECT count(*) FILTER (WHERE detail = 'C')::DOUBLE AS c, count(*) FILTER (WHERE detail = 'I') AS i, count(*) FILTER (WHERE detail = 'M') AS m, count(*) FILTER (WHERE detail = 'N')::DOUBLE AS n, count(*) FILTER (WHERE detail = 'MD') AS md FROM det), v AS (SELECT c / (c + i) AS p, c / (c + m + md) AS r, n / (n + i) AS s, (c + n) / (c + i + m + n + md) AS a FROM s)"
+METRICS_SQL = ", s AS (SELECT scope, count(*) FILTER (WHERE outcome = 'tp')::DOUBLE AS tp, count(*) FILTER (WHERE outcome = 'fp')::DOUBLE AS fp, count(*) FILTER (WHERE outcome = 'tn')::DOUBLE AS tn, count(*) FILTER (WHERE outcome = 'fn')::DOUBLE AS fn FROM det GROUP BY scope)"
 
 
-@query("g01_score", GOLD_SQL + SUMS_SQL + " SELECT 'precision' AS metric, p AS value FROM v UNION ALL SELECT 'recall', r FROM v UNION ALL SELECT 'specificity', s FROM v UNION ALL SELECT 'accuracy', a FROM v UNION ALL SELECT 'f1', 2 * p * r / (p + r) FROM v")
+@query(
+    "g01_score",
+    GOLD_SQL + METRICS_SQL + " SELECT scope, 'precision' AS metric, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS value FROM s UNION ALL SELECT scope, 'recall', CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 1 END FROM s "
+    "UNION ALL SELECT scope, 'specificity', CASE WHEN tn + fp > 0 THEN tn / (tn + fp) ELSE 1 END FROM s UNION ALL SELECT scope, 'accuracy', (tp + tn) / (tp + fp + tn + fn) FROM s UNION ALL SELECT scope, 'f1', CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0 END FROM s",
+)
 def g01(spark, sf_dir):
-    return sc.score(*gold(spark, sf_dir))
+    return sc.score(judged(spark, sf_dir))
 
 
-@query("g02_score_by_creator", GOLD_SQL + ", cr AS (SELECT x.lemma, f.pos AS creator FROM x JOIN f ON f.node = x.node) SELECT creator, count(*) FILTER (WHERE detail = 'C') AS correct, count(*) FILTER (WHERE detail = 'I') AS incorrect, (count(*) FILTER (WHERE detail = 'C'))::DOUBLE / count(*) AS precision FROM det JOIN cr USING (lemma) WHERE detail IN ('C', 'I') GROUP BY creator")
+@query("g02_score_by_creator", GOLD_SQL + " SELECT f.pos AS creator, count(*) FILTER (WHERE outcome = 'tp') AS correct, count(*) FILTER (WHERE outcome = 'fp') AS incorrect, (count(*) FILTER (WHERE outcome = 'tp'))::DOUBLE / count(*) AS precision FROM ij JOIN f ON f.node = ij.node WHERE key IS NOT NULL GROUP BY f.pos")
 def g02(spark, sf_dir):
-    x, decisions = gold(spark, sf_dir)
-    return sc.score_by_creator(x, decisions, forest(spark, sf_dir).select("node", F.col("pos").alias("creator")))
+    return sc.score_by_creator(judged(spark, sf_dir), forest(spark, sf_dir).select("node", F.col("pos").alias("creator")))
 
 
 #: Two segmentations of words: cut after 2 and 4 letters, and after 2 and 5.
@@ -216,11 +245,67 @@ def m02(spark, sf_dir):
     return segmented(spark, sf_dir).select("lemma", spans.alias("spans"))
 
 
+@query("m03_drop_offsets", SEG_SQL + " SELECT lemma, '-:-,' || CASE WHEN length(lemma) % 2 = 0 THEN '-:-' ELSE '3:5' END AS spans FROM sg")
+def m03(spark, sf_dir):
+    morph = lambda s, e, m: F.struct(s.cast("int").alias("start"), e.cast("int").alias("end"), F.expr(m).alias("morph"))
+    made = F.array(morph(F.lit(0), F.lit(2), "substring(lemma, 1, 2)"), morph(F.length("lemma") % 2 + 2, F.lit(5), "substring(lemma, 3, 3)"))
+    bare = lambda m: F.concat(F.coalesce(m["start"].cast("string"), F.lit("-")), F.lit(":"), F.coalesce(m["end"].cast("string"), F.lit("-")))
+    return segmented(spark, sf_dir).select("lemma", F.array_join(F.transform(mo.drop_offsets(made), bare), ",").alias("spans"))
+
+
+BOUNDS_SQL = SEG_SQL + ", b AS (SELECT lemma AS lex_id, length(lemma) > 2 AS inside, length(lemma) % 3 = 0 AS differ FROM sg)"
+
+
+def bounds(spark, sf_dir):
+    lex = lex_of(spark, sf_dir)
+    flag = lambda df, place, allowed: df.select("lex_id", F.lit(place).alias("place"), F.lit(allowed).alias("allowed"))
+    return mo.merge_boundaries(lex, flag(lex, 2, True).unionByName(flag(lex.where("length(lemma) % 3 = 0"), 2, False)).unionByName(flag(lex, 99, True)))
+
+
+@query("m04_merge_boundaries", BOUNDS_SQL + " SELECT lex_id, 2 AS place, inside AS allowed FROM b WHERE NOT differ OR NOT inside UNION ALL SELECT lex_id, 99, false FROM b")
+def m04(spark, sf_dir):
+    return bounds(spark, sf_dir)[0]
+
+
+@query("m04_conflicts", BOUNDS_SQL + " SELECT lex_id, 2 AS place FROM b WHERE differ AND inside")
+def m04_conflicts(spark, sf_dir):
+    return bounds(spark, sf_dir)[1]
+
+
 @query("m05_morphs_from_splits", SEG_SQL + ", e AS (SELECT lemma, unnest(string_split(a, '-')) AS morph, generate_subscripts(string_split(a, '-'), 1) AS i, len(string_split(a, '-')) AS n FROM sg) SELECT lemma, (CASE i WHEN 1 THEN 0 WHEN 2 THEN 2 ELSE 4 END) AS start, morph, CASE WHEN n = 1 THEN 'Root' WHEN i = 1 THEN 'Prefix' WHEN i = n THEN 'Suffix' ELSE 'Root' END AS type FROM e")
 def m05(spark, sf_dir):
     return mo.morphs_from_splits(segmented(spark, sf_dir).select("lemma", F.replace("a", F.lit("-"), F.lit(" ")).alias("segments"))).select("lemma", "start", "morph", "type")
 
 
+@query("m06_morphs_from_typed", SEG_SQL + " SELECT lemma || '/' || pos AS lex_id, 0 AS place, left(lemma, 2) AS morph, left(lemma, 2) AS morph_lemma, 'Prefix' AS type FROM sg UNION ALL SELECT lemma || '/' || pos, 1, substr(lemma, 3), lemma, 'Root' FROM sg")
+def m06(spark, sf_dir):
+    """One line for each word, which goes to its first homonym."""
+    w = words(spark, sf_dir)
+    lex = w.select(F.concat_ws("/", "lemma", "pos").alias("lex_id"), "lemma", F.col("pos").alias("seq"))
+    lines = segmented(spark, sf_dir).select(F.lit(1).alias("line"), "lemma", F.concat(F.substring("lemma", 1, 2), F.lit(":"), F.substring("lemma", 1, 2), F.lit(":P|"), F.expr("substring(lemma, 3)"), F.lit(":"), "lemma", F.lit(":R")).alias("segments"))
+    return mo.morphs_from_typed(lex, lines, {"P": "Prefix", "R": "Root"})
+
+
+@query("m07_morphs_from_labels", SEG_SQL + ", e AS (SELECT lemma, unnest(string_split(a, '-')) AS morph, generate_subscripts(string_split(a, '-'), 1) AS i FROM sg) SELECT lemma, (CASE i WHEN 1 THEN 0 WHEN 2 THEN 2 ELSE 4 END) AS start, (CASE i WHEN 1 THEN 0 WHEN 2 THEN 2 ELSE 4 END + length(morph))::INTEGER AS \"end\", morph, CASE i WHEN 1 THEN 'P' WHEN 2 THEN 'R' END AS type FROM e")
+def m07(spark, sf_dir):
+    labelled = segmented(spark, sf_dir).select("lemma", F.translate(F.replace("a", F.lit("-"), F.lit(" ")), "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ").alias("segments"), F.lit("P R").alias("labels"))
+    return mo.morphs_from_labels(labelled).select("lemma", "start", "end", "morph", "type")
+
+
+@query(
+    "m08_project_roots",
+    f"WITH RECURSIVE {F_SQL}, o AS (SELECT * FROM f WHERE n % 13 <> 0), al(a) AS (VALUES ('ring'), ('bolt')), hit AS (SELECT o.node, min(al.a) AS a FROM o JOIN al ON contains(o.lemma, al.a) GROUP BY o.node HAVING count(*) = 1), "
+    "h AS (SELECT o.node, strpos(o.lemma, hit.a) - 1 AS s, strpos(o.lemma, hit.a) - 1 + length(hit.a) AS e FROM o JOIN hit ON hit.node = o.node), "
+    "d(node, lemma, s, e, how) AS (SELECT node, lemma, 0::BIGINT, 3::BIGINT, 'own' FROM o WHERE parent IS NULL UNION ALL SELECT o.node, o.lemma, CASE WHEN starts_with(o.lemma, left(d.lemma, d.e)) THEN d.s ELSE h.s END, CASE WHEN starts_with(o.lemma, left(d.lemma, d.e)) THEN d.e ELSE h.e END, "
+    "CASE WHEN starts_with(o.lemma, left(d.lemma, d.e)) THEN 'parent' WHEN h.node IS NOT NULL THEN 'allomorph' END FROM d JOIN o ON o.parent = d.node LEFT JOIN h ON h.node = o.node) SELECT node, s AS start, e AS \"end\", how FROM d WHERE how IS NOT NULL",
+)
+def m08(spark, sf_dir):
+    f = forest(spark, sf_dir)
+    seeds = f.where("parent IS NULL").select("node", F.lit(0).alias("start"), F.lit(3).alias("end"))
+    found = mo.project_roots(f, seeds, f.where("n % 13 = 0"), spark.createDataFrame([("ring",), ("bolt",)], "allomorph string"))
+    return found.select("node", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "how")
+
+
 @query("m09_induce_roots", f"WITH {W_SQL}, x AS (SELECT DISTINCT lemma FROM w), al(allomorph, penalty) AS (VALUES ('th', 0), ('ther', 1), ('tion', 0), ('lich', 0), ('en', 0)), h AS (SELECT x.lemma AS lex_id, i - 1 AS start, al.allomorph, length(al.allomorph) - al.penalty AS score FROM x JOIN al ON contains(x.lemma, al.allomorph), range(1, 41) r(i) WHERE substr(x.lemma, i, length(al.allomorph)) = al.allomorph AND i <= length(x.lemma)), "
        "tt AS (SELECT * FROM h QUALIFY rank() OVER (PARTITION BY lex_id ORDER BY score DESC) = 1) SELECT lex_id, min(start)::INTEGER AS start, min(allomorph) AS allomorph FROM tt GROUP BY lex_id HAVING count(*) = 1")
 def m09(spark, sf_dir):
@@ -228,6 +313,12 @@ def m09(spark, sf_dir):
     return mo.induce_roots(lex_of(spark, sf_dir), allomorphs)
 
 
+@query("m10_morphs_from_parts", SEG_SQL + " SELECT lemma, left(lemma, 2) || '-' || substr(lemma, 3, length(lemma) - 4) || '-' || right(lemma, 2) AS segments FROM sg WHERE length(lemma) > 5 AND NOT contains(lemma, 'zz')")
+def m10(spark, sf_dir):
+    parts = F.array(F.substring("lemma", 1, 2), F.lit("zz"), F.right("lemma", F.lit(2)))
+    return segmented(spark, sf_dir).where("length(lemma) > 5 AND NOT contains(lemma, 'zz')").select("lemma", F.array_join(mo.morphs_from_parts(F.col("lemma"), parts), "-").alias("segments"))
+
+
 @query("m11_merge_segmentations", SEG_SQL + " SELECT lemma AS word, CASE WHEN length(lemma) % 2 = 0 THEN a ELSE b || 'x' END AS segments, CASE WHEN length(lemma) % 2 = 0 THEN 'one' ELSE 'two' END AS source, length(lemma) % 2 = 0 AS rebuilds FROM sg")
 def m11(spark, sf_dir):
     s = segmented(spark, sf_dir)

@@ -93,9 +93,15 @@ def x14(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", fn.edit_distance(F.col("p_name"), F.col("p_type")).alias("distance"))
 
 
-@query("x15_lcs_length")
+@query(
+    "x15_lcs_length",
+    "WITH RECURSIVE t AS (SELECT conv_id, turn, string_split(text, ' ') AS w FROM conversations), pr AS (SELECT a.conv_id, a.turn, a.w, b.w AS v FROM t a JOIN t b ON b.conv_id = a.conv_id AND b.turn = a.turn + 1), "
+    "d(conv_id, turn, w, v, i, acc) AS (SELECT conv_id, turn, w, v, 0, list_transform(range(0, len(v) + 1), lambda j: 0) FROM pr UNION ALL "
+    "SELECT conv_id, turn, w, v, i + 1, list_prepend(0, list_transform(range(1, len(v) + 1), lambda j: list_max(list_transform(range(1, j + 1), lambda k: greatest(acc[k + 1], CASE WHEN v[k] = w[i + 1] THEN acc[k] + 1 ELSE 0 END))))) FROM d WHERE i < len(w)) "
+    "SELECT conv_id, turn, acc[len(acc)]::INTEGER AS common FROM d WHERE i = len(w)",
+)
 def x15(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.slice(F.split("text", " "), 1, 12).alias("w"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.split("text", " ").alias("w"))
     after = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("w").alias("v"))
     return turns.join(after, ["conv_id", "turn"]).select("conv_id", "turn", fn.lcs_length(F.col("w"), F.col("v")).alias("common"))
 

@@ -12,8 +12,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wordgrove.common import checkpointed
 from wordgrove.functions.text import kw_format, kw_parse, parse_v1_id, parse_v2_id
-from wordgrove.operators.forest import dfs_ids
+from wordgrove.operators.edits import check_cycles, fill_parent
+from wordgrove.operators.forest import dfs_ids, numbered
 
 
 @dataclass(frozen=True)
@@ -72,10 +74,10 @@ def write_forest_v1(lexemes: DataFrame, relations: DataFrame, path: str, on_err:
     """The reverse, ids renumbered from 0 by ``seq``; several parents are an error, or only the main one is written."""
     if on_err == "raise" and relations.where("ord > 0 OR size(sources) > 1").take(1):
         raise ValueError("nodes with several parents")
-    numbered = lexemes.withColumn("id", F.row_number().over(Window.orderBy("seq")) - 1)
+    given = numbered(lexemes, ["seq", "lex_id"], "id").withColumn("id", F.col("id") - 1)
     up = relations.where("ord = 0").select(F.col("target").alias("lex_id"), F.col("main_source").alias("_p"))
-    parent = numbered.select(F.col("lex_id").alias("_p"), F.col("id").alias("parent"))
-    rows = numbered.join(up, "lex_id", "left").join(parent, "_p", "left")
+    parent = given.select(F.col("lex_id").alias("_p"), F.col("id").alias("parent"))
+    rows = given.join(up, "lex_id", "left").join(parent, "_p", "left")
     pos = F.concat("pos", F.when(F.coalesce("is_compound", F.lit(False)), "C").otherwise(""), F.when(F.coalesce("unmotivated", F.lit(False)), "U").otherwise(""))
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     rows.select("id", F.concat_ws("\t", text("id"), text("lemma"), F.coalesce("techlemma", "lemma"), pos, text("parent")).alias("value")).coalesce(1).sortWithinPartitions("id").select("value").write.mode("overwrite").text(path)
@@ -159,18 +161,28 @@ def write_network_v2(lexemes: DataFrame, relations: DataFrame, path: str) -> Non
 
 
 def read_pairs_unimorph(spark: SparkSession, path: str, on_err: str = "raise") -> Bundle:
-    """Four columns: parent, child, ``P:C`` parts of speech, affix.  Both ends become lexemes; a word that derives itself is an error."""
-    rows = read_lines(spark, path).where("value <> ''").withColumn("f", F.split("value", "\t", -1))
+    """Four columns: parent, child, ``P:C`` parts of speech, affix.  Both ends become lexemes.
+
+    The first pair of a child that closes no cycle is its main relation; others are
+    further ones.  A word that derives itself, and a pair that closes a cycle of
+    main relations, are errors.
+    """
+    rows = numbered(read_lines(spark, path).where("value <> ''"), ["file", "line_no"], "line").withColumn("f", F.split("value", "\t", -1))
     field = lambda i: F.get("f", F.lit(i))
-    parsed = rows.select("line_no", F.size("f").alias("n"), field(0).alias("parent"), field(1).alias("child"), F.split_part(field(2), F.lit(":"), F.lit(1)).alias("p_pos"), F.split_part(field(2), F.lit(":"), F.lit(2)).alias("c_pos"), field(3).alias("affix"))
+    parsed = rows.select("line", "line_no", F.size("f").alias("n"), field(0).alias("parent"), field(1).alias("child"), F.split_part(field(2), F.lit(":"), F.lit(1)).alias("p_pos"), F.split_part(field(2), F.lit(":"), F.lit(2)).alias("c_pos"), field(3).alias("affix"))
     problem = F.when(F.col("n") != 4, "not four fields").when((F.col("parent") == "") | (F.col("child") == ""), "empty word").when(F.col("c_pos") == "", "bad parts of speech").when((F.col("parent") == F.col("child")) & (F.col("p_pos") == F.col("c_pos")), "derives itself")
     parsed = parsed.withColumn("problem", problem)
-    good = parsed.where("problem IS NULL")
-    ends = good.select(F.col("parent").alias("lemma"), F.col("p_pos").alias("pos"), "line_no").unionByName(good.select(F.col("child").alias("lemma"), F.col("c_pos").alias("pos"), "line_no"))
-    lexemes = ends.groupBy("lemma", "pos").agg(F.min("line_no").alias("seq")).withColumn("lex_id", F.concat_ws("#", "lemma", "pos"))
-    order = Window.partitionBy("child", "c_pos").orderBy("line_no")
-    relations = good.select(F.lit("Derivation").alias("type"), F.concat_ws("#", "parent", "p_pos").alias("main_source"), F.concat_ws("#", "child", "c_pos").alias("target"), (F.row_number().over(order) - 1).alias("ord"), "affix")
-    return _checked(Bundle(lexemes, relations.withColumn("sources", F.array("main_source")), parsed.where("problem IS NOT NULL").select("line_no", "problem")), on_err)
+    good = checkpointed(parsed.where("problem IS NULL").select("line", "line_no", "affix", F.concat_ws("#", "parent", "p_pos").alias("main_source"), F.concat_ws("#", "child", "c_pos").alias("target"), "parent", "p_pos", "child", "c_pos"))
+    ends = good.select(F.col("parent").alias("lemma"), F.col("p_pos").alias("pos"), "line").unionByName(good.select(F.col("child").alias("lemma"), F.col("c_pos").alias("pos"), "line"))
+    lexemes = ends.groupBy("lemma", "pos").agg(F.min("line").alias("seq")).withColumn("lex_id", F.concat_ws("#", "lemma", "pos"))
+    edits = good.select("line", F.col("main_source").alias("parent"), F.col("target").alias("node"))
+    forest = checkpointed(fill_parent(lexemes.select(F.col("lex_id").alias("node"), F.lit(None).cast("string").alias("parent")), edits))
+    cyclic = check_cycles(forest, edits).select("line", F.lit(True).alias("cyclic"))
+    told = good.join(cyclic, "line", "left").join(forest.select(F.col("node").alias("target"), F.col("parent").alias("_main")), "target")
+    order = Window.partitionBy("target").orderBy(F.col("main_source") != F.col("_main"), "line")
+    relations = told.where("cyclic IS NULL").select(F.lit("Derivation").alias("type"), "main_source", "target", (F.row_number().over(order) - 1).alias("ord"), "affix")
+    errors = parsed.where("problem IS NOT NULL").select("line_no", "problem").unionByName(told.where("cyclic").select("line_no", F.lit("closes a cycle").alias("problem")))
+    return _checked(Bundle(lexemes, relations.withColumn("sources", F.array("main_source")), errors), on_err)
 
 
 def read_annotations(spark: SparkSession, path: str, columns: list[str], sep: str = "\t", comment: str | None = "#", marks: str = "", header: bool = False) -> DataFrame:
