@@ -9,9 +9,12 @@ within a radius is therefore a union of joins on the cells of B - r blocks.
 Pairs in a cell are held against the Manhattan bound, then verified on the bits.
 
 Only distinct fingerprints take part.  A cell with few of them is joined with
-itself; a crowded one is dealt out in pairs of chunks of a fixed size, each of
-which gives the links of a spanning forest rather than all its pairs.  Links are
-contracted to components by alternating star operations.
+itself.  A crowded one, as popcounts make of many unlike fingerprints, is cut
+finer by the bits themselves: those within the radius agree wholly on one of
+radius + 1 parts of their bits.  What is crowded even then holds near copies; it
+is dealt out in pairs of chunks of a fixed size, each of which gives the links of
+a spanning forest rather than all its pairs.  Links are contracted to components
+by alternating star operations.
 """
 
 from __future__ import annotations
@@ -100,6 +103,26 @@ def _cell_masks(radius: int, blocks: int) -> list[int]:
     return [_signed(sum(masks[i] for i in chosen)) for chosen in combinations(range(blocks), blocks - radius)]
 
 
+def _bit_parts(parts: int) -> list[int]:
+    """Masks that cut 64 bits in so many parts."""
+    edges = [round(i * 64 / parts) for i in range(parts + 1)]
+    return [_signed(sum(1 << b for b in range(edges[i], edges[i + 1]))) for i in range(parts)]
+
+
+def _split(cells: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Cells of two to ``CROWDED`` fingerprints, and those of more, both with their size ``n``."""
+    sized = written(cells.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*key))).where("n > 1"))
+    return sized.where(F.col("n") <= CROWDED), sized.where(F.col("n") > CROWDED)
+
+
+def _paired(few: DataFrame, key: list[str], radius: int) -> DataFrame:
+    """Every link of cells with few fingerprints."""
+    left, right = (few.select(*key, *[F.col(c).alias(f"{c}_{side}") for c in ("fp", "v")]) for side in "ab")
+    both = left.join(right, key).where(F.col("fp_a") < F.col("fp_b"))
+    close = (manhattan(F.col("v_a"), F.col("v_b")) <= radius) & (F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= radius)
+    return both.where(close).select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b"))
+
+
 def links(distinct: DataFrame, *, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
     """Links (``a`` < ``b``) of distinct ``fp`` within a Hamming radius.
 
@@ -109,26 +132,17 @@ def links(distinct: DataFrame, *, radius: int = RADIUS, blocks: int = BLOCKS) ->
     masks = _cell_masks(radius, blocks)
     vector = segment_counts(F.col("fp"))
     cells = distinct.withColumn("v", vector).select("fp", "v", F.posexplode(F.array(*[F.col("v").bitwiseAND(F.lit(m)) for m in masks])).alias("grid", "cell"))
-    in_cell = Window.partitionBy("grid", "cell")
-    sized = cells.withColumn("n", F.count(F.lit(1)).over(in_cell)).where("n > 1")
-    sized = written(sized.select("fp", "v", "grid", "cell", "n"))
-    few = sized.where(F.col("n") <= CROWDED)
-    left, right = (few.select("grid", "cell", *[F.col(c).alias(f"{c}_{side}") for c in ("fp", "v")]) for side in "ab")
-    close = left.join(
-        right,
-        (left.grid == right.grid)
-        & (left.cell == right.cell)
-        & (F.col("fp_a") < F.col("fp_b"))
-        & (manhattan(F.col("v_a"), F.col("v_b")) <= radius)
-        & (F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= radius),
-    ).select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b"))
-
-    crowded = sized.where(F.col("n") > CROWDED)
+    few, crowded = _split(cells, ["grid", "cell"])
+    finer = crowded.select("fp", "v", "grid", "cell", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in _bit_parts(radius + 1)])).alias("part", "bits"))
+    key = ["grid", "cell", "part", "bits"]
+    few_finer, many = _split(finer, key)
+    close = _paired(few, ["grid", "cell"], radius).unionByName(_paired(few_finer, key, radius))
+
     chunks = F.ceil(F.col("n") / CHUNK).cast("int")
     # A fingerprint's chunk comes from its own bits, so no cell is ordered in one task.
-    dealt = crowded.withColumn("chunks", chunks).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
-    dealt = dealt.select("fp", "v", "grid", "cell", "own", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
-    dealt = dealt.select("fp", "v", "grid", "cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    dealt = many.withColumn("chunks", chunks).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
+    dealt = dealt.select("fp", "v", *key, "own", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+    dealt = dealt.select("fp", "v", *key, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
 
     def forest(rows: pd.DataFrame) -> pd.DataFrame:
         fps = rows.fp.to_numpy().view(np.uint64)
@@ -156,8 +170,8 @@ def links(distinct: DataFrame, *, radius: int = RADIUS, blocks: int = BLOCKS) ->
         one, two = signed[pairs[:, 0]], signed[pairs[:, 1]]
         return pd.DataFrame({"a": np.minimum(one, two), "b": np.maximum(one, two)})
 
-    many = dealt.groupBy("grid", "cell", "i", "j").applyInPandas(forest, "a long, b long")
-    return close.unionByName(many).distinct()
+    trees = dealt.groupBy(*key, "i", "j").applyInPandas(forest, "a long, b long")
+    return close.unionByName(trees).distinct()
 
 
 def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
