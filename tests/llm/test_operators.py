@@ -1,6 +1,5 @@
 """The operators for training text against plain versions, with nulls, empty and long texts, ties, repeats and clashing columns."""
 
-import hashlib
 import random
 import re
 from collections import Counter
@@ -283,7 +282,3 @@ def test_empty_tables(spark, name):
     empty = spark.createDataFrame([], "doc_id long, text string")
     run = {"bpe": bpe.encode, "tokens": token_counts.count_tokens, "simhash": simhash.near_duplicates, "suffix": suffix_dedup.remove_repeats, "secrets": secrets.scan}[name]
     assert run(empty).count() == 0
-
-
-def test_digests_of_the_queries(spark):
-    assert hashlib.sha256(b"").hexdigest() == spark.range(1).select(F.sha2(F.lit(""), 256)).first()[0]

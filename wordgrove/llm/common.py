@@ -53,17 +53,29 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()
 
 
-def written(df: DataFrame) -> DataFrame:
+def new_path(spark: SparkSession) -> str:
+    """A name for a table in the shared folder."""
+    return f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, path: str | None = None) -> DataFrame:
     """The frame as a Parquet table in the shared folder: its lineage is cut there.
 
-    Like checkpoint files, the table lies there until the folder is cleared.
+    Like checkpoint files, the table lies there until the folder is cleared, or
+    until ``remove_table`` is called on its path.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
+    path = path or new_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_table(spark: SparkSession, path: str) -> None:
+    """Deletes a table that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The frame, computed and kept in the shared folder."""
     shared_dir(df.sparkSession)
