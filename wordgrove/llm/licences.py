@@ -21,6 +21,7 @@ telling word are passed over, and the rest are scored with array functions.
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 
@@ -67,6 +68,8 @@ UNKNOWN_PARAGRAPHS, VARIANTS = 2000, 24
 SPECIFICITY = 0.995
 #: Share of a template's n-grams that confirms a prediction.
 CONFIRMED = 0.6
+#: Bits of a line's place in the number of a run of lines.
+_LINE_BITS = 40
 #: Neighbouring lines that are judged together, at most: the longest template at about 25 characters a line.
 WRAPPED = 6
 
@@ -170,23 +173,49 @@ def scan(df: DataFrame, model: LicenceModel, *, id_col: str = "doc_id", text_col
     vocabulary, telling = F.lit(list(model.vocabulary)), F.lit(telling_words(model.templates))
     lines = F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), r"\n"), lambda p: F.trim(p) != "")
     rows = df.select(F.col(id_col).alias("doc_id"), lines.alias("lines"))
-    # places of the lines with a telling word, from 1; nothing else is joined or scored
-    told = F.filter(F.transform("lines", lambda p, i: F.when(F.arrays_overlap(words_of(p), telling), i + 1)), lambda i: i.isNotNull())
-    rows = rows.select("doc_id", "lines", F.size("lines").cast("long").alias("n_paragraphs"), told.alias("told"))
-    spans = F.flatten(F.transform("told", lambda t: F.flatten(F.array(*[F.transform(F.sequence(t - n + 1, t), lambda a, n=n: F.struct(F.lit(n).alias("n"), a.alias("at"))) for n in range(1, wrapped + 1)]))))
-    inside = F.array_sort(F.array_distinct(F.filter(spans, lambda x: (x["at"] >= 1) & (x["at"] + x["n"] - 1 <= F.size("lines")))))
-    rows = rows.select("doc_id", "lines", "n_paragraphs", F.size("told").cast("long").alias("n_scored"), inside.alias("spans"))
-    joined = F.transform("spans", lambda x: F.struct(x["n"].alias("n"), x["at"].alias("at"), F.array_join(F.slice("lines", x["at"], x["n"]), "\n").alias("paragraph")))
-    rows = rows.select("doc_id", "n_paragraphs", "n_scored", joined.alias("kept"))
-    known = F.transform("kept", lambda k: F.struct(k["n"].alias("n"), k["at"].alias("at"), k["paragraph"].alias("paragraph"), F.array_intersect(ngrams_of(words_of(k["paragraph"])), vocabulary).alias("grams")))
-    rows = rows.select("doc_id", "n_paragraphs", "n_scored", known.alias("known"))
+    told = F.transform("lines", lambda p: F.arrays_overlap(words_of(p), telling))
+    rows = rows.select("doc_id", "lines", told.alias("told"))
+
+    # words of the lines that may stand in one run with a line with a telling word; nothing else is looked at
+    def near(i: Column) -> Column:
+        first = F.greatest(i - wrapped + 1, F.lit(0))
+        return F.exists(F.slice("told", first + 1, i + wrapped - first), lambda x: x)
+
+    words = F.transform("lines", lambda p, i: F.when(near(i), F.array_remove(words_of(p), "")))
+    rows = rows.select("doc_id", "lines", "told", words.alias("words"))
+    # each line is cut in n-grams once: what it has of the templates', and the words that meet those of its neighbours
+    part = lambda w: F.struct(F.array_intersect(ngrams_of(w), vocabulary).alias("grams"), F.get(w, F.lit(0)).alias("first"), F.try_element_at(w, F.lit(-1)).alias("last"))
+    at_told = F.filter(F.transform("told", lambda x, i: F.when(x, i + 1)), lambda i: i.isNotNull())
+    rows = rows.select("doc_id", "lines", F.size("lines").cast("long").alias("n_paragraphs"), at_told.alias("told"), F.transform("words", part).alias("parts"))
+
+    # a run is one number, its lines above its first line: so the shortest ones sort first
+    def runs(t: Column, n: int) -> Column:
+        """The runs of ``n`` lines that hold line ``t``."""
+        first, last = F.greatest(t - n + 1, F.lit(1)), F.least(t, F.size("lines") - n + 1)
+        inside = F.when(first <= last, F.sequence(first, F.greatest(first, last))).otherwise(F.array().cast("array<int>"))
+        return F.transform(inside, lambda a: a.cast("long") + F.lit(n << _LINE_BITS))
+
+    spans = F.flatten(F.transform("told", lambda t: F.flatten(F.array(*[runs(t, n) for n in range(1, wrapped + 1)]))))
+    rows = rows.select("doc_id", "lines", "parts", "n_paragraphs", F.size("told").cast("long").alias("n_scored"), F.array_sort(F.array_distinct(spans)).alias("spans"))
+    length, begin = lambda c: F.shiftright(c, _LINE_BITS).cast("int"), lambda c: c.bitwiseAND(F.lit((1 << _LINE_BITS) - 1)).cast("int")
+    taken = lambda c: F.struct(length(c).alias("n"), begin(c).alias("at"), F.filter(F.slice("parts", begin(c), length(c)), lambda p: p["first"].isNotNull()).alias("parts"))
+    rows = rows.select("doc_id", "lines", "n_paragraphs", "n_scored", F.transform("spans", taken).alias("runs"))
+
+    def grams(r: Column) -> Column:
+        rest = F.greatest(F.size(r["parts"]) - 1, F.lit(0))
+        over_ends = F.zip_with(F.slice(r["parts"], 1, rest), F.slice(r["parts"], 2, rest), lambda a, b: F.concat(a["last"], F.lit(" "), b["first"]))
+        return F.array_distinct(F.concat(F.flatten(F.transform(r["parts"], lambda p: p["grams"])), F.array_intersect(over_ends, vocabulary)))
+
+    fewest = min(math.ceil(confirmed * len(own)) for _, own in model.templates)
+    known = F.filter(F.transform("runs", lambda r: F.struct(r["n"].alias("n"), r["at"].alias("at"), grams(r).alias("grams"))), lambda k: F.size(k["grams"]) >= fewest)
+    rows = rows.select("doc_id", "lines", "n_paragraphs", "n_scored", known.alias("known"))
     place = {family: i for i, family in enumerate(model.families)}
     templates = F.array(*[F.struct(F.lit(place[family]).alias("place"), F.lit(list(grams)).alias("grams")) for family, grams in model.templates])
 
     share = lambda t, k: F.size(F.array_intersect(t["grams"], k["grams"])) >= F.lit(confirmed) * F.size(t["grams"])
-    rows = rows.select("doc_id", "n_paragraphs", "n_scored", F.filter("known", lambda k: F.exists(templates, lambda t: share(t, k))).alias("known"))
-    judged = F.transform("known", lambda k: F.struct(k["n"].alias("n"), k["at"].alias("at"), k["paragraph"].alias("paragraph"), k["grams"].alias("grams"), _scored(k["grams"], model).alias("s")))
-    rows = rows.select("doc_id", "n_paragraphs", "n_scored", judged.alias("judged"))
+    rows = rows.select("doc_id", "lines", "n_paragraphs", "n_scored", F.filter("known", lambda k: F.exists(templates, lambda t: share(t, k))).alias("known"))
+    judged = F.transform("known", lambda k: F.struct(k["n"].alias("n"), k["at"].alias("at"), k["grams"].alias("grams"), _scored(k["grams"], model).alias("s")))
+    rows = rows.select("doc_id", "lines", "n_paragraphs", "n_scored", judged.alias("judged"))
 
     def is_confirmed(j: Column) -> Column:
         return (j["s"]["place"] < len(place) - 1) & (j["s"]["score"] > model.least) & F.exists(templates, lambda t: (t["place"] == j["s"]["place"]) & share(t, j))
@@ -194,14 +223,14 @@ def scan(df: DataFrame, model: LicenceModel, *, id_col: str = "doc_id", text_col
     families = F.lit(list(model.families))
     named = F.transform(
         F.filter("judged", is_confirmed),
-        lambda j: F.struct(j["at"].alias("at"), j["n"].alias("n"), F.element_at(families, j["s"]["place"] + 1).alias("family"), j["s"]["score"].alias("score"), j["paragraph"].alias("paragraph")),
+        lambda j: F.struct(j["at"].alias("at"), j["n"].alias("n"), F.element_at(families, j["s"]["place"] + 1).alias("family"), j["s"]["score"].alias("score")),
     )
-    rows = rows.select("doc_id", "n_paragraphs", "n_scored", named.alias("named"))
+    rows = rows.select("doc_id", "lines", "n_paragraphs", "n_scored", named.alias("named"))
     # fewest lines first; a line is listed once
     meets = lambda x, y: (x["at"] < y["at"] + y["n"]) & (y["at"] < x["at"] + x["n"])
     apart = F.aggregate("named", F.slice("named", 1, 0), lambda taken, x: F.when(F.exists(taken, lambda y: meets(x, y)), taken).otherwise(F.concat(taken, F.array(x))))
-    rows = rows.select("doc_id", "n_paragraphs", "n_scored", F.array_sort(apart).alias("named"))
-    listed = F.transform("named", lambda x: F.struct(x["family"].alias("family"), x["score"].alias("score"), x["paragraph"].alias("paragraph")))
+    rows = rows.select("doc_id", "lines", "n_paragraphs", "n_scored", F.array_sort(apart).alias("named"))
+    listed = F.transform("named", lambda x: F.struct(x["family"].alias("family"), x["score"].alias("score"), F.array_join(F.slice("lines", x["at"], x["n"]), "\n").alias("paragraph")))
     return rows.select("doc_id", "n_paragraphs", "n_scored", listed.alias("licences"))
 
 
