@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordgrove.llm import bpe, decontaminate, language_id, secrets, simhash
-from wordgrove.llm.common import written
+from wordgrove.llm.common import new_path, remove_table, written
 
 #: A document whose most likely language has a lower score has no clear language.
 MIN_LANGUAGE_SCORE = 0.3
@@ -30,9 +30,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of each group of near duplicates: the one with the smallest id, null ids last.
 
-    Rows are told apart by id, text and the other columns, so ids may be null or repeated.
+    Rows are told apart by id and the digest of their text, so ids may be null or
+    repeated; of rows equal in both one is left.
     """
-    key = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), F.xxhash64("text", F.lit(1)), F.xxhash64(*docs.columns))
+    key = F.struct(F.col("doc_id").isNull(), "doc_id", F.sha2(F.col("text").cast("binary"), 256))
     groups = simhash.near_duplicates(docs.select(key.alias("key"), "text"), id_col="key")
     kept = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("key")).distinct()
     return docs.withColumn("key", key).join(kept, "key", "left_semi").dropDuplicates(["key"]).select(*docs.columns)
@@ -69,7 +70,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages in their order, over the whole of ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for _, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir))
+        path = new_path(spark)
+        docs = written(stage(spark, docs, sf_dir), path)
+        if before:
+            remove_table(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
