@@ -16,6 +16,7 @@ from wordgrove.llm.simhash import op2_simhash
 from wordgrove.llm.suffix_dedup import op10_suffix_dedup
 from wordgrove.llm.token_counts import op3_token_counts
 from wordgrove.llm.url_filter import OP7_SQL, op7_url_filter
+from wordgrove.llm.whitening import op13_whitening
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -30,6 +31,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_bpe_round_trip,
         op9_language_id,
         op10_suffix_dedup,
+        op13_whitening,
     )
     return {f.__name__: f for f in registered}
 

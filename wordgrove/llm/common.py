@@ -8,11 +8,16 @@ import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Largest Arrow batch, in bytes, that is handed to Python at once; very long texts make smaller batches.
 BATCH_BYTES = 8 << 20
+#: States of partitions that one task, and in the end the driver, combines.
+FAN_IN = 32
 
 
 def session_of(df: DataFrame) -> SparkSession:
@@ -90,3 +95,28 @@ def over_batches(work: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Callable[[
             yield work(batch)
 
     return run
+
+
+def partition_states(rows: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], bytes]) -> DataFrame:
+    """``slot`` and ``state``: what ``work`` makes of each partition's batches, those without rows left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = work(batch for batch in batches if batch.num_rows)
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([state], pa.binary())], names=["slot", "state"])
+
+    return rows.mapInArrow(run, "slot long, state binary")
+
+
+def folded(states: DataFrame, combine: Callable[[list[bytes]], bytes]) -> bytes:
+    """The states of all partitions combined, ``FAN_IN`` at a time in a tree; the last ``FAN_IN`` at most by the driver."""
+    level = checkpointed(states)
+    left = level.count()
+
+    def several(rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"slot": [int(rows.slot.min()) // FAN_IN], "state": [combine(list(rows.sort_values("slot").state))]})
+
+    while left > FAN_IN:
+        # groups of FAN_IN states at most
+        level = checkpointed(level.groupBy(F.floor(F.col("slot") / FAN_IN).alias("up")).applyInPandas(several, "slot long, state binary"))
+        left = level.count()
+    return combine([row.state for row in level.orderBy("slot").collect()])
