@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wordgrove.llm.bpe import op8_bpe_round_trip
+from wordgrove.llm.hard_negatives import OP11_SQL, op11_hard_negatives
 from wordgrove.llm.licences import op1_licence_scan
 from wordgrove.llm.decontaminate import op4_decontaminate
 from wordgrove.llm.language_id import op9_language_id
@@ -31,10 +32,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_bpe_round_trip,
         op9_language_id,
         op10_suffix_dedup,
+        op11_hard_negatives,
         op13_whitening,
     )
     return {f.__name__: f for f in registered}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_url_filter": OP7_SQL}
+    return {"op7_url_filter": OP7_SQL, "op11_hard_negatives": OP11_SQL}
