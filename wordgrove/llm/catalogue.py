@@ -18,6 +18,7 @@ from wordgrove.llm.suffix_dedup import op10_suffix_dedup
 from wordgrove.llm.token_counts import op3_token_counts
 from wordgrove.llm.url_filter import OP7_SQL, op7_url_filter
 from wordgrove.llm.whitening import op13_whitening
+from wordgrove.llm.window_dedup import OP12_SQL, op12_window_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -33,10 +34,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_language_id,
         op10_suffix_dedup,
         op11_hard_negatives,
+        op12_window_dedup,
         op13_whitening,
     )
     return {f.__name__: f for f in registered}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_url_filter": OP7_SQL, "op11_hard_negatives": OP11_SQL}
+    return {"op7_url_filter": OP7_SQL, "op11_hard_negatives": OP11_SQL, "op12_window_dedup": OP12_SQL}
