@@ -3,22 +3,25 @@
 A word goes if a window of N words that covers it also starts in a document with a
 smaller id.
 
-1. Shards.  Every window names one of its K-word grams, the first with the least
+1. Chunks.  Documents are packed, a few megabytes together, as rows of a table, so
+   that what is found for them comes back by the number of the chunk.
+2. Shards.  Every window names one of its K-word grams, the first with the least
    hash, so equal windows name equal grams.  Windows of a document that follow one
-   another and name the same gram make a piece of text, and a piece goes to the
-   shard of its gram.  Windows of grams that are very frequent are pieces of their
-   own and go by a hash of all their words, so that no gram fills a shard.  Of equal
-   pieces among the documents that a task has at hand, only those of the least id
-   go on: the others are repeats already.
-2. Index.  A shard's distinct pieces that share a gram with another document make
-   one text, of which the Burrows-Wheeler transform is kept in a wavelet matrix:
-   bits with counts, one level for each bit of a word's number.
-3. Matching statistics.  The pieces stream past the index from right to left, many
+   another and name the same gram make a piece of text.  Chunks send the hashes of
+   their grams, packed, to where they are counted over the corpus; bits come back
+   for those that occur again.  Pieces of these go, packed, to the shard of their
+   gram.  Windows of grams that are very frequent are pieces of their own and go by
+   a hash of all their words, so that no gram fills a shard.  Of equal pieces of a
+   chunk only those of the least id go on: the others are repeats already.
+3. Index.  A shard's distinct pieces make one text, of which the Burrows-Wheeler
+   transform is kept in a wavelet matrix: bits with counts, one level for each bit
+   of a word's number.
+4. Matching statistics.  The pieces stream past the index from right to left, many
    at a time: a backward step takes in the next word, and when N words are reached,
    the interval falls back to that of N - 1 words (its parent).  Each interval of N
    words has the least document id in it; the window is a repeat if that is smaller
    than the document's own.
-4. Runs of repeated windows return to their documents, where the words go.
+5. Runs of repeated windows return to their documents, where the words go.
 """
 
 from __future__ import annotations
@@ -26,22 +29,28 @@ from __future__ import annotations
 import hashlib
 import struct
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordgrove.llm.common import new_path, session_of, written
+from wordgrove.llm.common import session_of, written
 
 WINDOW, GRAM = 13, 4
-#: Bytes of text that a task cuts at a time, and words of pieces that one index holds.
-CHUNK_BYTES, INDEX_WORDS = 8 << 20, 1 << 20
-#: Pieces of a shard, about; grams with more pieces than HOT, and than one in a million of all, go by whole windows.
-SHARD_PIECES, HOT_PIECES, HOT_SHARE = 60_000, 20_000, 1_000_000
+#: Bytes of text in a chunk, and words of pieces that one index holds.
+CHUNK_BYTES, INDEX_WORDS = 4 << 20, 1 << 20
+#: Chunks whose grams one task counts, and pieces of a shard, about.
+COUNTED_CHUNKS, SHARD_PIECES = 64, 60_000
+#: Grams named by more pieces go by whole windows.
+HOT_PIECES = 20_000
 _MIX, _STEP = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15)
+#: Places in a stretch of words; the other bits of a hash put grams in order.
+_PLACE_BITS = 26
 
 
 class _Words(dict):
@@ -61,97 +70,26 @@ def _mixed(values: np.ndarray) -> np.ndarray:
 
 def _grams(hashes: np.ndarray, size: int) -> np.ndarray:
     """Hashes of all runs of ``size`` words."""
-    total = np.zeros(len(hashes) - size + 1, np.uint64)
+    total = np.zeros(max(0, len(hashes) - size + 1), np.uint64)
     for k in range(size):
         total = total * _STEP + hashes[k : k + len(total)]
     return _mixed(total)
 
 
-def named_grams(hashes: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """For runs of windows that name the same gram: the first window of each, and the gram's hash."""
-    grams = _grams(hashes, gram)
-    n = len(hashes) - window + 1
-    least, place = grams[:n].copy(), np.arange(n)
-    for k in range(1, window - gram + 1):
-        lower = grams[k : k + n] < least
-        least[lower] = grams[k : k + n][lower]
-        place[lower] = np.flatnonzero(lower) + k
-    first = np.flatnonzero(np.diff(place, prepend=-1))
-    return first, least[first]
-
-
-class _Chunk:
-    """The pieces of some documents, ready to be dealt to shards."""
-
-    def __init__(self, window: int, gram: int, hot: np.ndarray | None) -> None:
-        # without a list of frequent grams pieces are only counted
-        self.window, self.gram, self.hot = window, gram, hot
-        self.hashes = _Words()
-        self.clear()
-
-    def clear(self) -> None:
-        self.size, self.ids, self.digests, self.seen = 0, [], [], set()
-        self.keys, self.owners, self.firsts, self.counts, self.texts = [], [], [], [], []
-
-    def add(self, doc_id: int, digest: bytes, raw: bytes) -> None:
-        if (doc_id, digest) in self.seen:
-            return
-        self.seen.add((doc_id, digest))
-        self.size += len(raw)
-        words = raw.split()
-        if len(words) < self.window:
-            return
-        hashes = np.fromiter(map(self.hashes.__getitem__, words), np.uint64, len(words))
-        first, keys = named_grams(hashes, self.window, self.gram)
-        counts = np.diff(np.append(first, len(words) - self.window + 1))
-        if self.hot is not None and len(self.hot):
-            found = np.searchsorted(self.hot, keys)
-            split = self.hot[np.minimum(found, len(self.hot) - 1)] == keys
-            if split.any():
-                whole = _grams(hashes, self.window)
-                parts = [(np.arange(f, f + c), whole[f : f + c]) if s else (np.array([f]), np.array([k], np.uint64)) for f, c, k, s in zip(first.tolist(), counts.tolist(), keys.tolist(), split.tolist())]
-                sizes = np.array([len(p) for p, _ in parts])
-                first, keys = np.concatenate([p for p, _ in parts]), np.concatenate([k for _, k in parts])
-                counts = np.where(np.repeat(split, sizes), 1, np.repeat(counts, sizes))
-        if self.hot is not None:
-            plain = b" ".join(words)
-            ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
-            starts = np.concatenate([[0], ends[:-1]])
-            self.texts += [plain[a:b] for a, b in zip(starts[first].tolist(), (ends[first + counts + self.window - 2] - 1).tolist())]
-        self.keys.append(keys)
-        self.owners.append(np.full(len(keys), len(self.ids)))
-        self.firsts.append(first)
-        self.counts.append(counts)
-        self.ids.append(doc_id)
-        self.digests.append(digest)
-
-
-def _documents(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id``, ``digest`` and ``raw`` (UTF-8) of every row."""
-    raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    # half of a SHA-256: different texts don't share it at any size of corpus
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.unhex(F.substring(F.sha2(raw, 256), 1, 32)).alias("digest"), raw.alias("raw"))
-
-
-def _gram_counts(texts: DataFrame, window: int, gram: int) -> DataFrame:
-    """``gram`` and ``n``: in how many pieces a gram is named, those of one chunk of documents being summed up first."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = _Chunk(window, gram, None)
-
-        def flush() -> pa.RecordBatch:
-            keys, n = np.unique(np.concatenate(chunk.keys or [np.zeros(0, np.uint64)]), return_counts=True)
-            chunk.clear()
-            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int32))], names=["gram", "n"])
-
-        for batch in batches:
-            for doc_id, digest, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                chunk.add(doc_id, digest, raw.as_py())
-                if chunk.size >= CHUNK_BYTES:
-                    yield flush()
-        yield flush()
-
-    return texts.mapInArrow(count, "gram long, n int").groupBy("gram").agg(F.sum("n").alias("n"))
+def named_places(grams: np.ndarray, width: int) -> np.ndarray:
+    """For every run of ``width`` grams the place of its first least one."""
+    bits = np.uint64(_PLACE_BITS)
+    stretch, found = (1 << _PLACE_BITS) - width, [np.zeros(0, np.int64)]
+    for start in range(0, len(grams) - width + 1, stretch):
+        part = grams[start : start + stretch + width - 1]
+        least = (part >> bits << bits) | np.arange(len(part), dtype=np.uint64)
+        reach = 1
+        while reach < width:
+            step = min(reach, width - reach)
+            least = np.minimum(least[:-step], least[step:])
+            reach += step
+        found.append((least & np.uint64((1 << _PLACE_BITS) - 1)).astype(np.int64) + start)
+    return np.concatenate(found)
 
 
 def _packed(*parts: np.ndarray | bytes) -> bytes:
@@ -167,46 +105,199 @@ def _unpacked(blob: bytes) -> list[bytes]:
     return [raw[e - s : e] for s, e in zip(sizes, ends.tolist())]
 
 
-def _lists(owners: np.ndarray, starts: np.ndarray, ends: np.ndarray, ids: list[int], digests: list[bytes]) -> pa.RecordBatch:
-    """Spans of words by document: a row for each document that has any."""
-    order = np.argsort(owners, kind="stable")
-    owners, spans = owners[order], np.stack([starts, ends], axis=1)[order].astype(np.int32)
-    first = np.flatnonzero(np.diff(owners, prepend=-1))
-    kept = owners[first].tolist()
-    offsets = np.append(first, len(owners)).astype(np.int32) * 2
-    return pa.RecordBatch.from_arrays(
-        [pa.array([ids[k] for k in kept], pa.int64()), pa.array([digests[k] for k in kept], pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(spans.ravel()))], names=["doc_id", "digest", "spans"]
-    )
-
-
-def _dealt(chunk: _Chunk, shards: int) -> Iterator[tuple[int, bytes]]:
-    """The chunk's pieces by shard; and, under numbers from ``shards`` on, the spans of those that repeat another one of the chunk."""
-    if not chunk.keys:
-        return
-    keys, owners = np.concatenate(chunk.keys), np.concatenate(chunk.owners)
-    firsts, counts = np.concatenate(chunk.firsts), np.concatenate(chunk.counts)
-    _, back, times = np.unique(keys, return_inverse=True, return_counts=True)
-    ids, texts = np.array(chunk.ids, np.int64), chunk.texts
+def _chunks(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``chunk`` and ``blob``: documents packed, each chunk under a number of its own."""
+    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("raw"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, ids, there, texts, size = TaskContext.get().partitionId() << 32, [], [], [], 0
+
+        def flush() -> pa.RecordBatch:
+            lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+            blob = _packed(np.array(ids, np.int64), np.array(there, bool), lengths, b"".join(texts))
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([blob], pa.binary())], names=["chunk", "blob"])
+
+        for batch in batches:
+            for doc_id, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+                raw = raw.as_py()
+                ids.append(doc_id or 0)
+                there.append(doc_id is not None)
+                texts.append(raw)
+                size += len(raw)
+                if size >= CHUNK_BYTES:
+                    yield flush()
+                    number, ids, there, texts, size = number + 1, [], [], [], 0
+        if ids:
+            yield flush()
+
+    return docs.mapInArrow(run, "chunk long, blob binary")
+
+
+def _texts(blob: bytes) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Ids, which of them are there, and texts of a chunk."""
+    ids, there, lengths, raw = _unpacked(blob)
+    ends = np.cumsum(np.frombuffer(lengths, np.int64))
+    starts = ends - np.frombuffer(lengths, np.int64)
+    return np.frombuffer(ids, np.int64), np.frombuffer(there, bool), [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+
+
+@dataclass
+class _Pieces:
+    """The pieces of a chunk: gram or window hash, document by its place in the chunk, first window in it, and number of windows."""
+
+    ids: np.ndarray
+    words: list[bytes]
+    hashes: np.ndarray
+    begins: np.ndarray
+    keys: np.ndarray
+    owners: np.ndarray
+    places: np.ndarray
+    counts: np.ndarray
+
+    @classmethod
+    def of(cls, blob: bytes, window: int, gram: int, table: _Words) -> _Pieces:
+        ids, there, texts = _texts(blob)
+        words: list[bytes] = []
+        sizes = np.zeros(len(ids), np.int64)
+        for k, text in enumerate(texts):
+            if there[k]:
+                own = text.split()
+                if len(own) >= window:
+                    sizes[k] = len(own)
+                    words += own
+        hashes = np.fromiter(map(table.__getitem__, words), np.uint64, len(words))
+        grams = _grams(hashes, gram)
+        named = named_places(grams, window - gram + 1)
+        owner = np.repeat(np.arange(len(ids)), sizes)[: len(named)]
+        begins = np.cumsum(sizes) - sizes
+        # windows that reach into the next document are none
+        inside = np.arange(len(named)) + window <= (begins + sizes)[owner]
+        change = np.ones(len(named), bool)
+        change[1:] = (named[1:] != named[:-1]) | (owner[1:] != owner[:-1]) | (inside[1:] != inside[:-1])
+        first = np.flatnonzero(change)
+        counts = np.diff(np.append(first, len(named)))
+        kept = inside[first] if len(first) else np.zeros(0, bool)
+        first, counts = first[kept], counts[kept]
+        return cls(ids, words, hashes, begins, grams[named[first]], owner[first], first, counts)
+
+    def with_split(self, hot: np.ndarray, window: int) -> _Pieces:
+        """Chosen pieces cut into single windows, under the hash of all their words."""
+        sizes = np.where(hot, self.counts, 1)
+        row = np.repeat(np.arange(len(self.keys)), sizes)
+        within = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        places = self.places[row] + within
+        keys = self.keys[row]
+        if hot.any():
+            keys = np.where(hot[row], _grams(self.hashes, window)[places], keys)
+        return _Pieces(self.ids, self.words, self.hashes, self.begins, keys, self.owners[row], places, np.where(hot[row], 1, self.counts[row]))
+
+    def only(self, kept: np.ndarray) -> _Pieces:
+        return _Pieces(self.ids, self.words, self.hashes, self.begins, self.keys[kept], self.owners[kept], self.places[kept], self.counts[kept])
+
+
+def _dealt(values: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+    """An order of values by their part and themselves, the parts in it, and (part, begin, end) of each."""
+    part = (_mixed(values) % np.uint64(parts)).astype(np.int64)
+    order = np.lexsort((values, part))
+    bounds = np.flatnonzero(np.diff(part[order], prepend=-1, append=-1))
+    return order, part[order], [(int(part[order[a]]), a, b) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+
+
+def _rows(**columns: tuple[list, pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(v, kind) for v, kind in columns.values()], names=list(columns))
+
+
+def _gram_flags(chunks: DataFrame, window: int, gram: int, hot_pieces: int, parts: int) -> DataFrame:
+    """For each ``chunk`` and ``part``: bits of its grams there, in order, that occur again, and that are hot; and ``n``, how many do."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _Words()
+        for batch in batches:
+            for number, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                keys, times = np.unique(_Pieces.of(blob.as_py(), window, gram, table).keys, return_counts=True)
+                order, _, bounds = _dealt(keys, parts)
+                keys, times = keys[order], np.minimum(times[order], 65535).astype(np.uint16)
+                held = [keys[a:b].tobytes() + times[a:b].tobytes() for _, a, b in bounds]
+                yield _rows(part=([p for p, _, _ in bounds], pa.int64()), chunk=([number] * len(bounds), pa.int64()), held=(held, pa.binary()))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, numbers, held = None, [], []
+
+        def close() -> Iterator[pa.RecordBatch]:
+            if not held:
+                return
+            sizes = [len(h) // 10 for h in held]
+            keys = np.concatenate([np.frombuffer(h, np.uint64, n) for h, n in zip(held, sizes)])
+            times = np.concatenate([np.frombuffer(h, np.uint16, n, 8 * n) for h, n in zip(held, sizes)])
+            _, back = np.unique(keys, return_inverse=True)
+            total = np.bincount(back, weights=times)[back]
+            again, hot = np.split(total > 1, np.cumsum(sizes)[:-1]), np.split(total > hot_pieces, np.cumsum(sizes)[:-1])
+            bits = [np.packbits(a).tobytes() + np.packbits(b).tobytes() for a, b in zip(again, hot)]
+            yield _rows(chunk=(numbers, pa.int64()), part=([now] * len(bits), pa.int64()), bits=(bits, pa.binary()), n=([int(t[a].sum()) for t, a in zip(np.split(times, np.cumsum(sizes)[:-1]), again)], pa.int64()))
+
+        for batch in batches:
+            for part, number, blob in zip(*(c.to_pylist() for c in batch.columns)):
+                if part != now:
+                    yield from close()
+                    now, numbers, held = part, [], []
+                numbers.append(number)
+                held.append(blob)
+        yield from close()
+
+    sent = chunks.mapInArrow(send, "part long, chunk long, held binary").repartition(parts, "part").sortWithinPartitions("part")
+    return sent.mapInArrow(count, "chunk long, part long, bits binary, n long")
+
+
+def _sent_pieces(chunks: DataFrame, flags: DataFrame, window: int, gram: int, parts: int, shards: int) -> DataFrame:
+    """``shard``, ``chunk`` and ``blob``: packed pieces by shard; and, under shards from ``shards`` on, spans of those that repeat another one of their chunk."""
+    told = flags.groupBy("chunk").agg(F.collect_list(F.struct("part", "bits")).alias("told"))
+    joined = chunks.join(told, "chunk").select("chunk", "blob", "told.part", "told.bits")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _Words()
+        for batch in batches:
+            for number, blob, in_part, bits in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                pieces = _Pieces.of(blob.as_py(), window, gram, table)
+                keys, back = np.unique(pieces.keys, return_inverse=True)
+                order, _, bounds = _dealt(keys, parts)
+                of_part = dict(zip(in_part, bits))
+                again, hot = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
+                for part, a, b in bounds:
+                    half = (b - a + 7) // 8
+                    both = np.frombuffer(of_part[part], np.uint8)
+                    again[order[a:b]] = np.unpackbits(both[:half], count=b - a)
+                    hot[order[a:b]] = np.unpackbits(both[half:], count=b - a)
+                pieces = pieces.only(again[back])
+                pieces = pieces.with_split(hot[back][again[back]], window)
+                yield _shard_rows(number, pieces, window, shards)
+
+    return joined.mapInArrow(run, "shard long, chunk long, blob binary")
+
+
+def _shard_rows(number: int, pieces: _Pieces, window: int, shards: int) -> pa.RecordBatch:
+    ids, owners, words = pieces.ids, pieces.owners, pieces.words
+    texts = [b" ".join(words[a:b]) for a, b in zip(pieces.places.tolist(), (pieces.places + pieces.counts + window - 1).tolist())]
+    firsts = pieces.places - pieces.begins[owners]
+    _, back, times = np.unique(pieces.keys, return_inverse=True, return_counts=True)
     least: dict[bytes, int] = {}
-    shared = np.flatnonzero(times[back] > 1)
-    for k in shared.tolist():
-        doc = int(ids[owners[k]])
-        if doc < least.get(texts[k], doc + 1):
-            least[texts[k]] = doc
-    gone = np.zeros(len(keys), bool)
-    gone[shared] = [least[texts[k]] < ids[owners[k]] for k in shared.tolist()]
+    shared = np.flatnonzero(times[back] > 1).tolist()
+    docs = ids[owners].tolist()
+    for k in shared:
+        if docs[k] < least.get(texts[k], docs[k] + 1):
+            least[texts[k]] = docs[k]
+    gone = np.zeros(len(texts), bool)
+    gone[shared] = [least[texts[k]] < docs[k] for k in shared]
+    out = []
     if gone.any():
-        own, a = owners[gone], firsts[gone]
-        yield shards + int(ids[own[0]]) % shards, _packed(own, a, a + counts[gone] + chunk.window - 1, ids, b"".join(chunk.digests))
+        out.append((shards + number % shards, _packed(owners[gone].astype(np.int32), firsts[gone].astype(np.int32), (firsts + pieces.counts + window - 1)[gone].astype(np.int32))))
     left = np.flatnonzero(~gone)
-    shard = (_mixed(keys[left]) % np.uint64(shards)).astype(np.int64)
-    order = np.argsort(shard, kind="stable")
-    left, shard = left[order], shard[order]
-    bounds = np.flatnonzero(np.diff(shard, prepend=-1, append=-1))
-    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-        part = left[a:b]
-        docs, own = np.unique(owners[part], return_inverse=True)
-        yield int(shard[a]), _packed(keys[part], own, firsts[part], counts[part], ids[docs], b"".join(chunk.digests[d] for d in docs.tolist()), b"\n".join(texts[k] for k in part.tolist()))
+    order, _, bounds = _dealt(pieces.keys[left], shards)
+    for shard, a, b in bounds:
+        part = left[order[a:b]]
+        out.append(
+            (shard, _packed(pieces.keys[part], owners[part].astype(np.int32), firsts[part].astype(np.int32), pieces.counts[part].astype(np.int32), ids[owners[part]], b"\n".join(texts[k] for k in part.tolist())))
+        )
+    return _rows(shard=([s for s, _ in out], pa.int64()), chunk=([number] * len(out), pa.int64()), blob=([b for _, b in out], pa.binary()))
 
 
 # --- the index -------------------------------------------------------------------------------------------------------
@@ -307,8 +398,8 @@ class FMIndex:
         return found
 
 
-def _repeats(keys: np.ndarray, owners: np.ndarray, firsts: np.ndarray, counts: np.ndarray, texts: list[bytes], ids: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Spans of repeated words in the pieces of a shard: document, first word and end."""
+def _repeats(keys: np.ndarray, ids: np.ndarray, firsts: np.ndarray, counts: np.ndarray, texts: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans of repeated words in the pieces of a shard: which piece, first word and end."""
     order = np.argsort(keys, kind="stable")
     ranked = keys[order]
     alone = np.ones(len(keys), bool)
@@ -326,10 +417,10 @@ def _repeats(keys: np.ndarray, owners: np.ndarray, firsts: np.ndarray, counts: n
             k = int(order[at])
             kind = distinct.setdefault(texts[k], len(distinct))
             if kind == len(least):
-                least.append(ids[owners[k]])
+                least.append(ids[k])
                 words += counts[k] + window
-            elif ids[owners[k]] < least[kind]:
-                least[kind] = ids[owners[k]]
+            elif ids[k] < least[kind]:
+                least[kind] = ids[k]
             kinds.append(kind)
             at += 1
         numbers: dict[bytes, int] = {}
@@ -343,58 +434,86 @@ def _repeats(keys: np.ndarray, owners: np.ndarray, firsts: np.ndarray, counts: n
         index = FMIndex(text, np.repeat(np.array(least, np.int64), sizes + 1), window)
         lows = index.least_ids(text, ends, sizes)
         # every row's windows beside the least ids of its piece
-        rows, kinds = order[begin:at], np.array(kinds)
+        rows, of_kind = order[begin:at], np.array(kinds)
         n = counts[rows]
         row = np.repeat(np.arange(len(rows)), n)
         within = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-        hit = lows[(ends - sizes)[kinds][row] + within] < ids[owners[rows]][row]
+        hit = lows[(ends - sizes)[of_kind][row] + within] < ids[rows][row]
         row, within = row[hit], within[hit]
         new = np.ones(len(row), bool)
         new[1:] = (row[1:] != row[:-1]) | (within[1:] != within[:-1] + 1)
         last = np.append(np.flatnonzero(new)[1:], len(row)) - 1 if len(row) else np.zeros(0, np.int64)
         base = firsts[rows][row]
-        found.append((owners[rows][row[new]], base[new] + within[new], (base + within)[last] + window))
+        found.append((rows[row[new]], base[new] + within[new], (base + within)[last] + window))
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def _searched(pieces: DataFrame, shards: int, window: int) -> DataFrame:
-    """``doc_id``, ``digest`` and ``spans`` of repeated words, from packed pieces that come in the order of ``shard``."""
+    """``chunk`` and ``spans`` (packed: document in the chunk, first word, end) of repeated words, from packed pieces in the order of ``shard``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, blobs = None, []
+        now, numbers, blobs = None, [], []
 
         def close() -> Iterator[pa.RecordBatch]:
             if not blobs:
                 return
-            keys, owners, firsts, counts, ids, digests, texts, docs = [], [], [], [], [], [], [], 0
-            for key, owner, first, count, own, digest, text in map(_unpacked, blobs):
-                keys.append(np.frombuffer(key, np.uint64))
-                owners.append(np.frombuffer(owner, np.int64) + docs)
-                firsts.append(np.frombuffer(first, np.int64))
-                counts.append(np.frombuffer(count, np.int64))
-                ids.append(np.frombuffer(own, np.int64))
-                digests += [digest[i : i + 16] for i in range(0, len(digest), 16)]
-                texts += text.split(b"\n")
-                docs += len(ids[-1])
-            blobs.clear()
-            every = np.concatenate(ids)
-            own, a, b = _repeats(np.concatenate(keys), np.concatenate(owners), np.concatenate(firsts), np.concatenate(counts), texts, every, window)
-            if len(own):
-                yield _lists(own, a, b, every.tolist(), digests)
+            kinds = (np.uint64, np.int32, np.int32, np.int32, np.int64)
+            parts = [_unpacked(b) for b in blobs]
+            keys, owners, firsts, counts, ids = (np.concatenate([np.frombuffer(p[i], kind) for p in parts]).astype(kind if i in (0, 4) else np.int64) for i, kind in enumerate(kinds))
+            chunk = np.repeat(np.arange(len(parts)), [len(p[0]) // 8 for p in parts])
+            texts = [text for p in parts for text in p[5].split(b"\n")]
+            own, a, b = _repeats(keys, ids, firsts, counts, texts, window)
+            order = np.argsort(chunk[own], kind="stable")
+            own, a, b = own[order], a[order], b[order]
+            bounds = np.flatnonzero(np.diff(chunk[own], prepend=-1, append=-1)) if len(own) else np.zeros(1, np.int64)
+            made = [(numbers[chunk[own[x]]], _packed(*(v[x:y].astype(np.int32) for v in (owners[own], a, b)))) for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+            yield _rows(chunk=([m[0] for m in made], pa.int64()), spans=([m[1] for m in made], pa.binary()))
 
         for batch in batches:
-            for shard, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for shard, number, blob in zip(*(c.to_pylist() for c in batch.columns)):
                 if shard >= shards:
-                    own, a, b, ids, digests = _unpacked(blob)
-                    yield _lists(*(np.frombuffer(x, np.int64) for x in (own, a, b)), np.frombuffer(ids, np.int64).tolist(), [digests[i : i + 16] for i in range(0, len(digests), 16)])
+                    yield _rows(chunk=([number], pa.int64()), spans=([blob], pa.binary()))
                     continue
                 if shard != now:
                     yield from close()
-                    now = shard
+                    now, numbers, blobs = shard, [], []
+                numbers.append(number)
                 blobs.append(blob)
         yield from close()
 
-    return pieces.mapInArrow(run, "doc_id long, digest binary, spans array<int>")
+    return pieces.mapInArrow(run, "chunk long, spans binary")
+
+
+def _shortened(chunks: DataFrame, spans: DataFrame, digest_only: bool) -> DataFrame:
+    """The documents of all chunks without the words in their spans."""
+    gathered = spans.groupBy("chunk").agg(F.collect_list("spans").alias("spans"))
+
+    def left_over(words: list[bytes], spans: np.ndarray) -> list[bytes]:
+        ends = np.zeros(len(words) + 1, np.int64)
+        np.add.at(ends, spans[0], 1)
+        np.add.at(ends, spans[1], -1)
+        return [words[k] for k in np.flatnonzero(np.cumsum(ends)[:-1] == 0).tolist()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for blob, blobs in zip(batch.column(0), batch.column(1).to_pylist()):
+                ids, there, texts = _texts(blob.as_py())
+                held = [np.stack([np.frombuffer(x, np.int32) for x in _unpacked(b)]) for b in blobs or []]
+                every = np.concatenate(held, axis=1) if held else np.zeros((3, 0), np.int32)
+                every = every[:, np.argsort(every[0], kind="stable")]
+                bounds = np.searchsorted(every[0], np.arange(len(ids) + 1)).tolist()
+                sizes, removed, kept = [], [], []
+                for k, text in enumerate(texts):
+                    words = text.split()
+                    sizes.append(len(words))
+                    if bounds[k] < bounds[k + 1]:
+                        words = left_over(words, every[1:, bounds[k] : bounds[k + 1]])
+                    removed.append(sizes[-1] - len(words))
+                    rest = b" ".join(words)
+                    kept.append(hashlib.sha256(rest).hexdigest() if digest_only else rest.decode())
+                yield pa.RecordBatch.from_arrays([pa.array(ids, mask=~there), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
+
+    return chunks.join(gathered, "chunk", "left").select("blob", "spans").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
 
 
 def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, hot_pieces: int = HOT_PIECES, digest_only: bool = False) -> DataFrame:
@@ -411,56 +530,14 @@ def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     spark = session_of(df)
     if not 1 <= gram <= window:
         raise ValueError("a gram has one word at least and no more than a window")
-    texts = _documents(df, id_col, text_col)
-    known = texts.where(F.col("doc_id").isNotNull())
-    counted = written(_gram_counts(known, window, gram))
-    total = counted.agg(F.sum("n")).first()[0] or 0
-    # at most HOT_SHARE grams can have more than a HOT_SHARE-th part of all pieces each, which bounds what is sent to the tasks
-    limit = max(hot_pieces, total // HOT_SHARE)
-    hot = np.sort(counted.where(F.col("n") > limit).select("gram").toArrow()["gram"].to_numpy().view(np.uint64))
-    sent = spark.sparkContext.broadcast(hot)
+    chunks = written(_chunks(df, id_col, text_col))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shards = max(parts, total // SHARD_PIECES + 1)
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = _Chunk(window, gram, sent.value)
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for shard, blob in _dealt(chunk, shards):
-                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([blob], pa.binary())], names=["shard", "blob"])
-            chunk.clear()
-
-        for batch in batches:
-            for doc_id, digest, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                chunk.add(doc_id, digest, raw.as_py())
-                if chunk.size >= CHUNK_BYTES:
-                    yield from flush()
-        yield from flush()
-
-    pieces = known.mapInArrow(cut, "shard long, blob binary").repartition(max(parts, shards // 4), F.col("shard")).sortWithinPartitions("shard")
-    spans = _searched(pieces, shards, window).groupBy("doc_id", "digest").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-
-    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, removed, kept = [], [], []
-            for raw, spans in zip(batch.column(1), batch.column(2).to_pylist()):
-                words = raw.as_py().split()
-                sizes.append(len(words))
-                gone = 0
-                if spans:
-                    ends = np.zeros(len(words) + 1, np.int64)
-                    np.add.at(ends, spans[::2], 1)
-                    np.add.at(ends, spans[1::2], -1)
-                    stays = np.cumsum(ends)[:-1] == 0
-                    gone = len(words) - int(stays.sum())
-                    words = [words[k] for k in np.flatnonzero(stays).tolist()]
-                removed.append(gone)
-                left = b" ".join(words)
-                kept.append(hashlib.sha256(left).hexdigest() if digest_only else left.decode())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
-
-    joined = texts.join(spans, ["doc_id", "digest"], "left").select("doc_id", "raw", "spans")
-    return joined.mapInArrow(shorten, "doc_id long, n_words long, n_removed long, kept string")
+    counters = max(parts, chunks.count() // COUNTED_CHUNKS)
+    flags = written(_gram_flags(chunks, window, gram, hot_pieces, counters))
+    shards = max(parts, (flags.agg(F.sum("n")).first()[0] or 0) // SHARD_PIECES)
+    sent = _sent_pieces(chunks, flags, window, gram, counters, shards)
+    pieces = sent.repartition(max(parts, shards // 4), "shard").sortWithinPartitions("shard")
+    return _shortened(chunks, _searched(pieces, shards, window), digest_only)
 
 
 def op12_window_dedup(spark, sf_dir: str) -> DataFrame:
