@@ -12,9 +12,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wordgrove.common import checkpointed
 from wordgrove.functions.text import common_prefix_length
 from wordgrove.operators.candidates import endings
-from wordgrove.operators.forest import below, closure, connected, dfs_ids, on_cycles, roots_of, subtree_agg
+from wordgrove.operators.forest import below, connected, contracted, intervals, numbered, on_cycles, roots_of, subtree_agg
+from wordgrove.operators.linkcut import LinkCut
 from wordgrove.operators.resolve import resolve_all
 
 
@@ -47,55 +49,84 @@ def check_arity(edits: DataFrame) -> DataFrame:
     return edits.select("line", problem.alias("problem")).where("problem IS NOT NULL")
 
 
-def _replayed(edges: DataFrame, edits: DataFrame, on_cycle: str) -> DataFrame:
-    """Edges after edits (``line``, ``parent``, ``node``) that make cycles, line by line within each affected component.
+#: Rows of one task when lines are replayed, but for a single component that has more.
+REPLAY_ROWS = 100_000
 
-    ``reject`` leaves an edit out whose node is an ancestor of the new parent;
+
+def _in_buckets(rows: DataFrame, component: str) -> DataFrame:
+    """Rows with a ``bucket`` for whole components, so that small ones share a task."""
+    buckets = rows.count() // REPLAY_ROWS + 1
+    return rows.withColumn("bucket", F.pmod(F.xxhash64(component), F.lit(buckets)))
+
+
+def _replayed(core: DataFrame, edits: DataFrame, on_cycle: str) -> DataFrame:
+    """``node`` and ``parent`` of nodes on or between cycles of old and new edges, after their edits, line by line.
+
+    ``core`` has ``component``, ``node``, ``parent`` and ``up``, the nearest node of
+    the core above it: a path between two of them can't change, so it is one step
+    here.  ``reject`` leaves an edit out whose node is above the new parent;
     ``detach`` takes the new parent off its own parent first.
     """
-    linked = edges.where("parent IS NOT NULL").select(F.col("node").alias("a"), F.col("parent").alias("b"))
-    label = connected(linked.unionByName(edits.select(F.col("node").alias("a"), F.col("parent").alias("b"))))
-    kind = dict(edges.dtypes)["node"]
-    old = edges.join(label, "node", "left").select("component", "node", "parent", F.lit(-1).cast("long").alias("line"))
-    new = edits.join(label, "node", "left").select("component", "node", "parent", F.col("line").cast("long").alias("line"))
+    kind = dict(core.dtypes)["node"]
+    old = core.select("component", "node", "parent", "up", F.lit(-1).cast("long").alias("line"))
+    new = edits.join(core.select("component", "node"), "node").select("component", "node", "parent", F.lit(None).cast(kind).alias("up"), F.col("line").cast("long").alias("line"))
 
     def replay(rows: pd.DataFrame) -> pd.DataFrame:
-        parent = {r.node: r.parent for r in rows[rows.line < 0].itertuples() if pd.notna(r.parent)}
-        nodes = list(rows[rows.line < 0].node)
-        for r in rows[rows.line >= 0].sort_values("line", kind="stable").itertuples():
-            if on_cycle == "reject" and r.node in parent:
+        held, lines = rows[rows.line < 0], rows[rows.line >= 0].sort_values("line", kind="stable")
+        nodes = held.node.tolist()
+        number = {node: i for i, node in enumerate(nodes)}
+        parent = [None if pd.isna(p) else p for p in held.parent.tolist()]
+        trees = LinkCut(len(nodes))
+        linked = [False] * len(nodes)
+        for i, up in enumerate(held.up.tolist()):
+            if up in number:
+                trees.link(i, number[up])
+                linked[i] = True
+
+        def take_off(i: int) -> None:
+            if linked[i]:
+                trees.cut(i)
+            linked[i], parent[i] = False, None
+
+        for node, up in zip(lines.node.tolist(), lines.parent.tolist()):
+            i, above = number[node], number.get(up)
+            if on_cycle == "reject" and parent[i] is not None:
                 continue
-            at, seen = r.parent, set()
-            while at is not None and at != r.node and at not in seen:
-                seen.add(at)
-                at = parent.get(at)
-            if at == r.node:
-                if on_cycle == "reject" or r.parent == r.node:
+            if above is not None and trees.is_above(i, above):
+                if on_cycle == "reject":
                     continue
-                parent.pop(r.parent, None)
-            parent[r.node] = r.parent
-        return pd.DataFrame({"node": pd.Series(nodes, dtype="object"), "parent": pd.Series([parent.get(n) for n in nodes], dtype="object")})
+                take_off(above)
+            take_off(i)
+            parent[i] = up
+            if above is not None:
+                trees.link(i, above)
+                linked[i] = True
+        return pd.DataFrame({"node": pd.Series(nodes, dtype="object"), "parent": pd.Series(parent, dtype="object")})
 
-    # each group is one component that an edit has closed into a cycle
-    return old.unionByName(new).groupBy("component").applyInPandas(replay, f"node {kind}, parent {kind}")
+    return _in_buckets(old.unionByName(new), "component").groupBy("bucket").applyInPandas(replay, f"node {kind}, parent {kind}")
 
 
 def _with_edits(edges: DataFrame, chosen: DataFrame, edits: DataFrame, on_cycle: str) -> DataFrame:
-    """Edges with the chosen parents; where old and new edges together hold a cycle, the component's ``edits`` are replayed.
+    """Edges with the chosen parents; nodes on cycles of old and new edges together have their ``edits`` replayed.
 
-    Without such a cycle no order of the lines can close one on the way.
+    Without such a cycle no order of the lines can close one on the way, and an edit
+    outside of them can't either.  Cycles are looked for between the ends of edits
+    only, the paths between these being one step each.
     """
+    kind = dict(edges.dtypes)["node"]
     changed = edges.select("node", F.col("parent").alias("_old")).join(chosen.select("node", F.col("parent").alias("_new")), "node", "left")
     after = changed.select("node", F.coalesce("_new", "_old").alias("parent"))
-    loops = on_cycles(edges.where("parent IS NOT NULL").select("node", "parent").unionByName(edits.select("node", "parent")).distinct())
-    if loops.isEmpty():
+    ends = edits.select("node").unionByName(edits.select(F.col("parent").alias("node"))).distinct()
+    short = checkpointed(contracted(edges, ends))
+    steps = checkpointed(short.where("up IS NOT NULL").select("node", F.col("up").alias("parent")).unionByName(edits.select("node", "parent")).distinct())
+    core = checkpointed(on_cycles(steps))
+    if core.isEmpty():
         return after
-    linked = edges.where("parent IS NOT NULL").select(F.col("node").alias("a"), F.col("parent").alias("b")).unionByName(edits.select(F.col("node").alias("a"), F.col("parent").alias("b")))
-    label = connected(linked)
-    bad = label.join(loops, "node", "left_semi").select("component").distinct()
-    affected = label.join(bad, "component", "left_semi").select("node")
-    replayed = _replayed(edges.join(affected, "node", "left_semi"), edits.join(affected, "node", "left_semi"), on_cycle)
-    return after.join(affected, "node", "left_anti").unionByName(replayed)
+    inner = steps.join(core, "node", "left_semi").join(core.select(F.col("node").alias("parent")), "parent", "left_semi")
+    label = connected(inner.select(F.col("node").alias("a"), F.col("parent").alias("b")))
+    held = short.join(label, "node").join(core.select(F.col("node").alias("up"), F.col("node").alias("_up")), "up", "left").select("component", "node", "parent", F.col("_up").cast(kind).alias("up"))
+    replayed = checkpointed(_replayed(checkpointed(held), edits, on_cycle)).select("node", F.col("parent").alias("_then"), F.lit(True).alias("_core"))
+    return after.join(replayed, "node", "left").select("node", F.when(F.col("_core"), F.col("_then")).otherwise(F.col("parent")).alias("parent"))
 
 
 def check_cycles(edges: DataFrame, edits: DataFrame) -> DataFrame:
@@ -104,7 +135,7 @@ def check_cycles(edges: DataFrame, edits: DataFrame) -> DataFrame:
     A node is an ancestor of those that are numbered after it, depth first, as far
     as its subtree goes; no path is walked.
     """
-    places = dfs_ids(edges, []).join(subtree_agg(edges, edges.select("node", F.lit(1).cast("long").alias("size")), sums=("size",)), "node")
+    places = intervals(edges)
     side = lambda c: places.select(F.col("node").alias(c), *[F.col(x).alias(f"_{c}_{x}") for x in ("tree", "pos", "size")])
     placed = edits.join(side("parent"), "parent", "left").join(side("node"), "node", "left")
     inside = (F.col("_parent_tree") == F.col("_node_tree")) & (F.col("_parent_pos") >= F.col("_node_pos")) & (F.col("_parent_pos") < F.col("_node_pos") + F.col("_node_size"))
@@ -112,24 +143,55 @@ def check_cycles(edges: DataFrame, edits: DataFrame) -> DataFrame:
 
 
 def replace_parent(edges: DataFrame, edits: DataFrame) -> DataFrame:
-    """Nodes hung on new parents, the last line of a node counting; a new parent below its child is detached first."""
-    last = edits.groupBy("node").agg(F.max_by("parent", "line").alias("parent"))
-    return _with_edits(edges, last, edits, "detach")
+    """Nodes hung on new parents, the last line of a node counting; a new parent below its child is detached first.
+
+    A line that hangs a node on itself is no edit.
+    """
+    lines = edits.where("node <> parent").select("line", "parent", "node")
+    last = lines.groupBy("node").agg(F.max_by("parent", "line").alias("parent"))
+    return _with_edits(edges, last, lines, "detach")
 
 
 def fill_parent(edges: DataFrame, edits: DataFrame) -> DataFrame:
     """Roots hung on parents, the first line of a node counting; edits that would close a cycle are left out."""
-    free = edits.join(edges.where("parent IS NULL").select("node"), "node", "left_semi")
-    first = free.groupBy("node").agg(F.min("line").alias("line"), F.min_by("parent", "line").alias("parent"))
-    return _with_edits(edges, first, free.select("line", "parent", "node"), "reject")
+    free = edits.where("node <> parent").join(edges.where("parent IS NULL").select("node"), "node", "left_semi").select("line", "parent", "node")
+    first = free.groupBy("node").agg(F.min_by("parent", "line").alias("parent"))
+    return _with_edits(edges, first, free, "reject")
 
 
 def reverse_edges(edges: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Edges (``parent``, ``node``) turned round: the node takes the parent's place and the parent hangs on it."""
-    turned = pairs.select("node", "parent").join(edges, ["node", "parent"], "left_semi").select(F.col("node").alias("_n"), F.col("parent").alias("_p"))
-    up = turned.join(edges.select(F.col("node").alias("_p"), F.col("parent").alias("_g")), "_p")
-    moved = up.select(F.col("_n").alias("node"), F.col("_g").alias("_to")).unionByName(up.select(F.col("_p").alias("node"), F.col("_n").alias("_to"))).withColumn("_moved", F.lit(True))
-    return edges.join(moved, "node", "left").select("node", F.when(F.col("_moved"), F.col("_to")).otherwise(F.col("parent")).alias("parent"))
+    """Edges (``line``, ``parent``, ``node``) turned round in the order of lines: the node takes the parent's place and the parent hangs on it.
+
+    A line whose node doesn't hang on the parent when its turn comes does nothing.
+    A turn reads and writes the parents of its two nodes only, so lines that share
+    no node with another are turned at once; those that do are replayed, all lines
+    that hang together through nodes in one task.  Without a ``line``, pairs are
+    taken in the order of parent and node.
+    """
+    kind = dict(edges.dtypes)["node"]
+    lines = pairs.select("line", "parent", "node") if "line" in pairs.columns else numbered(pairs.select("parent", "node"), ["parent", "node"], "line")
+    lines = checkpointed(lines.where("node <> parent"))
+    crowded = lines.select(F.explode(F.array("node", "parent")).alias("at")).groupBy("at").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("at")
+    by = lambda side: lines.join(crowded.withColumnRenamed("at", side), side, "left_semi").select(*lines.columns)
+    shared = checkpointed(by("node").unionByName(by("parent")).distinct())
+    own = edges.select("node", F.col("parent").alias("_p"))
+    above = edges.select(F.col("node").alias("parent"), F.col("parent").alias("_g"))
+    alone = lines.join(shared, ["line", "parent", "node"], "left_anti").join(own, "node").where("_p = parent").join(above, "parent")
+    moved = alone.select("node", F.col("_g").alias("_to")).unionByName(alone.select(F.col("parent").alias("node"), F.col("node").alias("_to")))
+    if not shared.isEmpty():
+        label = connected(shared.select(F.col("node").alias("a"), F.col("parent").alias("b")))
+        rows = shared.join(label, "node").join(own, "node", "left").join(above, "parent", "left").select("component", "line", "node", "parent", F.col("_p").alias("own"), F.col("_g").alias("above"))
+
+        def replay(held: pd.DataFrame) -> pd.DataFrame:
+            up = dict(zip(held.node, held.own)) | dict(zip(held.parent, held.above))
+            up = {node: None if pd.isna(p) else p for node, p in up.items()}
+            for row in held.sort_values(["line", "parent", "node"]).itertuples():
+                if up[row.node] == row.parent:
+                    up[row.node], up[row.parent] = up[row.parent], row.node
+            return pd.DataFrame({"node": pd.Series(list(up), dtype="object"), "_to": pd.Series(list(up.values()), dtype="object")})
+
+        moved = moved.unionByName(_in_buckets(checkpointed(rows), "component").groupBy("bucket").applyInPandas(replay, f"node {kind}, _to {kind}"))
+    return edges.join(moved.withColumn("_moved", F.lit(True)), "node", "left").select("node", F.when(F.col("_moved"), F.col("_to")).otherwise(F.col("parent")).alias("parent"))
 
 
 def force_reconnect(edges: DataFrame, edits: DataFrame) -> DataFrame:
@@ -209,25 +271,115 @@ def retype_conversions(relations: DataFrame, lexemes: DataFrame) -> DataFrame:
     return joined.withColumn("type", F.when(F.col("_source") == F.col("_target"), "Conversion").otherwise(F.col("type"))).drop("_source", "_target")
 
 
+class _Variants:
+    """Nodes of a forest that become variants of others, one after another.
+
+    A node's children hang in its bag.  When it becomes a variant, its bag goes into
+    that of its representative, with all that is in it, so children are lifted
+    without being touched one by one; a bag in another one belongs to the owner of
+    that one.
+    """
+
+    def __init__(self, parents: list, above: list[int]) -> None:
+        n = len(parents)
+        self.trees = LinkCut(2 * n)
+        #: a parent outside, as it is, or the number of a bag
+        self.outside: list = [None] * n
+        self.bag_of = [-1] * n
+        #: the bag that stands over a node in the trees
+        self.over = [-1] * n
+        self.bags = [n + i for i in range(n)]
+        self.within = {n + i: n + i for i in range(n)}
+        self.owner = {n + i: i for i in range(n)}
+        self.is_variant = [False] * n
+        for i in range(n):
+            self.trees.link(n + i, i)
+        for i, (parent, up) in enumerate(zip(parents, above)):
+            if parent is not None:
+                self._hang(i, *parent, n + up if up >= 0 else -1)
+
+    def _find(self, bag: int) -> int:
+        while self.within[bag] != bag:
+            self.within[bag] = bag = self.within[self.within[bag]]
+        return bag
+
+    def _hang(self, i: int, outside, bag: int, over: int) -> None:
+        self.outside[i], self.bag_of[i], self.over[i] = outside, bag, over
+        if over >= 0:
+            self.trees.link(i, over)
+
+    def has_parent(self, i: int) -> bool:
+        return self.outside[i] is not None or self.bag_of[i] >= 0
+
+    def take_off(self, i: int) -> None:
+        if self.over[i] >= 0:
+            self.trees.cut(i)
+        self.outside[i], self.bag_of[i], self.over[i] = None, -1, -1
+        if self.is_variant[i]:
+            # what it had stays with its representative
+            self.is_variant[i] = False
+            self.bags[i] = bag = self.trees.add()
+            self.trees.link(bag, i)
+            self.within[bag], self.owner[bag] = bag, i
+
+    def merge(self, first: int, variant: int) -> None:
+        if self.trees.is_above(variant, first):
+            self.take_off(first)
+        if self.trees.is_above(first, variant):
+            self.take_off(variant)
+        if self.has_parent(variant):
+            place = self.outside[variant], self.bag_of[variant], self.over[variant]
+            self.take_off(variant)
+            if not self.has_parent(first):
+                self._hang(first, *place)
+        bag, lifted = self.bags[first], self.bags[variant]
+        self._hang(variant, None, bag, bag)
+        self.is_variant[variant] = True
+        self.trees.cut(lifted)
+        self.trees.link(lifted, bag)
+        self.within[self._find(lifted)] = self._find(bag)
+
+    def parent(self, i: int, names: list):
+        return names[self.owner[self._find(self.bag_of[i])]] if self.bag_of[i] >= 0 else self.outside[i]
+
+
 def merge_variants(edges: DataFrame, sets: DataFrame) -> DataFrame:
     """Sets of variants (``set_id``, ``node``, ``seq``) hung on their first node, and their children lifted to it.
 
-    The representative takes the place of the first variant that hangs on a node
-    outside the set.  A variant of two sets goes with the first of them.
+    Sets are taken in the order of their ids, members in that of ``seq``.  A
+    representative below its variant is taken off its parent first, and so is a
+    variant below its representative.  A representative without a parent then takes
+    the variant's place.  What hangs on a variant in the end hangs on its
+    representative.  Only the members of sets come together, with what lies between
+    them as one step, and only those of trees that sets connect.
     """
-    once = sets.groupBy("node").agg(F.min(F.struct("set_id", "seq")).alias("s")).select("node", "s.set_id", "s.seq")
-    rep = once.groupBy("set_id").agg(F.min_by("node", "seq").alias("rep"))
-    member = once.join(rep, "set_id")
-    variant = member.where("node <> rep").select("node", "rep")
-    into = lambda c: variant.select(F.col("node").alias(c), F.col("rep").alias(f"_{c}"))
-    lifted = edges.join(into("parent"), "parent", "left").select("node", F.coalesce("_parent", "parent").alias("parent"))
-    out = lifted.join(into("node"), "node", "left").select("node", F.coalesce("_node", "parent").alias("parent"))
-    own = once.join(rep, "set_id").join(edges.where("parent IS NOT NULL"), "node")
-    outside = own.join(into("parent"), "parent", "left").withColumn("up", F.coalesce("_parent", "parent")).where("up <> rep")
-    placed = outside.groupBy(F.col("rep").alias("node")).agg(F.min_by("up", "seq").alias("_up"))
-    reps = rep.select(F.col("rep").alias("node"), F.lit(True).alias("_rep"))
-    done = out.join(reps, "node", "left").join(placed, "node", "left").select("node", F.when(F.col("_rep"), F.col("_up")).otherwise(F.col("parent")).alias("parent"))
-    return done
+    kind = dict(edges.dtypes)["node"]
+    members = sets.select("set_id", "seq", "node").distinct()
+    short = checkpointed(contracted(edges, members.select("node")))
+    placed = checkpointed(members.join(short, "node"))
+    first = placed.groupBy("set_id").agg(F.min("root").alias("a"))
+    label = connected(placed.join(first, "set_id").select("a", F.col("root").alias("b")).where("a <> b"))
+    rows = placed.join(label.select(F.col("node").alias("root"), "component"), "root", "left").withColumn("component", F.coalesce("component", "root"))
+
+    def replay(held: pd.DataFrame) -> pd.DataFrame:
+        once = held.drop_duplicates("node")
+        names = once.node.tolist()
+        number = {name: i for i, name in enumerate(names)}
+        n = len(names)
+        parents = [None if pd.isna(p) else (None, n + number[p]) if p in number else (p, -1) for p in once.parent.tolist()]
+        state = _Variants(parents, [number.get(up, -1) if not pd.isna(up) else -1 for up in once.up.tolist()])
+        first_of: dict = {}
+        for set_id, node in held.sort_values(["set_id", "seq", "node"])[["set_id", "node"]].itertuples(index=False):
+            leading = first_of.setdefault(set_id, number[node])
+            if leading != number[node]:
+                state.merge(leading, number[node])
+        owners = [names[state.owner[state._find(n + i)]] for i in range(n)]
+        return pd.DataFrame({c: pd.Series(v, dtype="object") for c, v in (("node", names), ("_to", [state.parent(i, names) for i in range(n)]), ("_owner", owners))})
+
+    done = checkpointed(_in_buckets(checkpointed(rows), "component").groupBy("bucket").applyInPandas(replay, f"node {kind}, _to {kind}, _owner {kind}"))
+    lifted = edges.select("node", "parent").join(done.select(F.col("node").alias("parent"), "_owner"), "parent", "left")
+    own = done.select("node", "_to", F.lit(True).alias("_member"))
+    return lifted.join(own, "node", "left").select("node", F.when(F.col("_member"), F.col("_to")).otherwise(F.coalesce("_owner", "parent")).alias("parent"))
 
 
 def merge_labelled_variants(edges: DataFrame, sets: DataFrame) -> DataFrame:
@@ -235,13 +387,16 @@ def merge_labelled_variants(edges: DataFrame, sets: DataFrame) -> DataFrame:
 
     The representative keeps its parent, unless that lies in the subtree of one of
     its variants: then it becomes a root.  A variant of two sets goes with the
-    first of them.
+    first of them.  Whether a node lies in a subtree is told by their places in
+    depth-first order.
     """
     once = sets.groupBy("node").agg(F.min(F.struct("set_id", "seq")).alias("s")).select("node", "s.set_id", "s.seq")
     rep = once.groupBy("set_id").agg(F.min_by("node", "seq").alias("rep"))
     variant = once.join(rep, "set_id").where("node <> rep").select("node", "rep")
-    above = closure(edges, rep.select(F.col("rep").alias("node")), include_self=False).join(variant.select(F.col("node").alias("ancestor"), F.col("rep").alias("node")), ["ancestor", "node"], "left_semi")
-    freed = above.select("node").distinct().withColumn("_freed", F.lit(True))
+    places = checkpointed(intervals(edges))
+    side = lambda c: places.select(F.col("node").alias(c), *[F.col(x).alias(f"_{c}_{x}") for x in ("tree", "pos", "size")])
+    inside = (F.col("_rep_tree") == F.col("_node_tree")) & (F.col("_rep_pos") > F.col("_node_pos")) & (F.col("_rep_pos") < F.col("_node_pos") + F.col("_node_size"))
+    freed = variant.join(side("node"), "node").join(side("rep"), "rep").where(inside).select(F.col("rep").alias("node")).distinct().withColumn("_freed", F.lit(True))
     into = lambda c: variant.select(F.col("node").alias(c), F.col("rep").alias(f"_{c}"))
     out = edges.join(into("node"), "node", "left").join(into("parent"), "parent", "left").join(freed, "node", "left")
     up = F.when(F.col("_node").isNotNull(), F.col("_node")).when(F.col("_freed"), None).otherwise(F.coalesce("_parent", "parent"))

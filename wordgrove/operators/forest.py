@@ -15,6 +15,8 @@ from wordgrove.common import checkpointed, written
 
 #: Pointer doubling reaches 2**MAX_ROUNDS generations.
 MAX_ROUNDS = 40
+#: Parts of a reached set that are held apart before they are put together.
+REACHED_PARTS = 8
 
 
 def _doubled(edges: DataFrame) -> tuple[DataFrame, int]:
@@ -69,19 +71,50 @@ def find_cycles(edges: DataFrame) -> DataFrame:
 def on_cycles(pairs: DataFrame) -> DataFrame:
     """Nodes of pairs (``node``, ``parent``), of which a node may have several, on or between cycles.
 
-    Pairs whose node is nobody's parent, or whose parent is no node, are peeled
-    off until no more go.
+    By contraction: every round peels off nodes that are nobody's parent or have
+    none, and puts one pair in place of each chain of nodes with one pair in and one
+    out, whose ends pointer doubling finds.  Chains and trees are gone after
+    log rounds, however long; what is left at last, with the chains between what is
+    left, lies on or between cycles.
     """
-    left = checkpointed(pairs.select("node", "parent"))
-    count = left.count()
+    left = checkpointed(pairs.select("node", "parent").distinct())
+    count, chains, rings = left.count(), [], []
     while count:
-        left = left.join(left.select(F.col("parent").alias("node")).distinct(), "node", "left_semi").join(left.select(F.col("node").alias("parent")).distinct(), "parent", "left_semi")
-        left = checkpointed(left.select("node", "parent"))
+        peeled = left.join(left.select(F.col("parent").alias("node")).distinct(), "node", "left_semi").join(left.select(F.col("node").alias("parent")).distinct(), "parent", "left_semi")
+        peeled = checkpointed(peeled.select("node", "parent"))
+        chain, ring = _chains(peeled)
+        inner = chain.select("node").unionByName(ring)
+        passed = chain.select(F.col("entry").alias("node"), F.col("exit").alias("parent")).distinct()
+        rest = peeled.join(inner, "node", "left_anti").join(inner.select(F.col("node").alias("parent")), "parent", "left_anti").select("node", "parent")
+        left = checkpointed(rest.unionByName(passed).distinct())
+        chains.append(chain)
+        rings.append(ring)
         now = left.count()
         if now == count:
             break
         count = now
-    return left.select("node").distinct()
+    found = left.select("node").distinct()
+    for chain, ring in zip(reversed(chains), reversed(rings)):
+        ends = chain.join(found.select(F.col("node").alias("entry")), "entry", "left_semi").join(found.select(F.col("node").alias("exit")), "exit", "left_semi")
+        found = checkpointed(found.unionByName(ends.select("node")).unionByName(ring).distinct())
+    return found
+
+
+def _chains(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Nodes with one pair in and one out, with the ``entry`` and ``exit`` of their chain; and those that make up rings by themselves."""
+    own = pairs.where("node = parent").select("node").distinct()
+    outs = pairs.groupBy("node").agg(F.count(F.lit(1)).alias("_n"), F.first("parent").alias("exit")).where("_n = 1").drop("_n")
+    ins = pairs.groupBy(F.col("parent").alias("node")).agg(F.count(F.lit(1)).alias("_n"), F.first("node").alias("entry")).where("_n = 1").drop("_n")
+    state = checkpointed(outs.join(ins, "node").join(own, "node", "left_anti").select("node", "entry", "exit", F.lit(True).alias("moved")))
+    limit = state.count().bit_length() + 1
+    for _ in range(limit):
+        if state.where("moved").isEmpty():
+            break
+        step = state.select(F.col("node").alias("_at"), F.col("entry").alias("_entry"), F.col("exit").alias("_exit"))
+        ahead = state.join(step.select(F.col("_at").alias("exit"), "_exit"), "exit", "left")
+        both = ahead.join(step.select(F.col("_at").alias("entry"), "_entry"), "entry", "left")
+        state = written(both.select("node", F.coalesce("_entry", "entry").alias("entry"), F.coalesce("_exit", "exit").alias("exit"), (F.col("_entry").isNotNull() | F.col("_exit").isNotNull()).alias("moved")))
+    return state.where("NOT moved").drop("moved"), state.where("moved").select("node")
 
 
 def closure(edges: DataFrame, seeds: DataFrame | None = None, include_self: bool = True) -> DataFrame:
@@ -138,6 +171,20 @@ def path_fold(edges: DataFrame, values: DataFrame, merge: dict[str, Callable[[Co
     return state.where("_up IS NULL").select("node", *merge)
 
 
+def contracted(edges: DataFrame, terminals: DataFrame) -> DataFrame:
+    """For each of some nodes (``node``): its ``parent``, the nearest of them above it (``up``), and the ``root`` of its tree.
+
+    The paths between them are left out, so what comes of a forest is no larger than
+    the list of nodes; by pointer doubling, as in ``path_fold``.
+    """
+    kind = dict(edges.dtypes)["node"]
+    named = terminals.select("node", F.col("node").alias("term")).distinct()
+    values = edges.select("node").join(named, "node", "left").select("node", "term", F.col("node").alias("root"))
+    above = path_fold(edges, values, {"term": lambda upper, lower: F.coalesce(lower, upper), "root": lambda upper, lower: upper})
+    known = edges.select("node", "parent").join(named.select("node"), "node", "left_semi").join(above.select("node", "root"), "node")
+    return known.join(above.select(F.col("node").alias("parent"), F.col("term").cast(kind).alias("up")), "parent", "left").select("node", "parent", "up", "root")
+
+
 def subtree_agg(edges: DataFrame, nodes: DataFrame, sums: tuple[str, ...] = (), maxima: tuple[str, ...] = (), height: str | None = None) -> DataFrame:
     """Sums and greatest values of columns of ``nodes`` (keyed by ``node``) over the subtree of each node, itself included.
 
@@ -200,20 +247,38 @@ def singletons(edges: DataFrame) -> DataFrame:
 
 
 def has_ancestor(relations: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Of ``nodes`` (``node``), those with an ancestor in ``wanted`` (``node``) over all ``relations`` (``source``, ``target``)."""
-    up = relations.select(F.col("target").alias("at"), "source").distinct()
-    goal = checkpointed(wanted.select(F.col("node").alias("at")).distinct())
-    front = checkpointed(nodes.select("node", F.col("node").alias("at")).distinct())
-    seen, found = front, None
+    """Of ``nodes`` (``node``), those with an ancestor in ``wanted`` (``node``) over all ``relations`` (``source``, ``target``).
+
+    Reached nodes are told to their targets, each once, however many ways lead to
+    it: what is kept is never more than the nodes.
+    """
+    down = relations.select(F.col("source").alias("node"), "target").distinct()
+    front = checkpointed(wanted.select("node").distinct())
+    reached: list[DataFrame] = []
     while True:
-        step = front.join(up, "at").select("node", F.col("source").alias("at")).distinct()
-        front = checkpointed(step.join(seen, ["node", "at"], "left_anti"))
+        step = front.join(down, "node").select(F.col("target").alias("node")).distinct()
+        for part in reached:
+            step = step.join(part, "node", "left_anti")
+        front = checkpointed(step)
         if front.isEmpty():
             break
-        hit = front.join(goal, "at", "left_semi").select("node").distinct()
-        found = hit if found is None else found.unionByName(hit)
-        seen = checkpointed(seen.unionByName(front))
-    return nodes.select("node").limit(0) if found is None else found.distinct()
+        reached.append(front)
+        # parts of like size are put together, so that there are few of them
+        if len(reached) >= REACHED_PARTS:
+            reached = [checkpointed(_united(reached))]
+    return nodes.join(_united(reached), "node", "left_semi").select("node").distinct() if reached else nodes.select("node").limit(0)
+
+
+def _united(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame)
+    return out
+
+
+def intervals(edges: DataFrame) -> DataFrame:
+    """``node``, ``tree``, ``pos`` and ``size``: a node is above those of its tree whose ``pos`` lies in the ``size`` places from its own on."""
+    return dfs_ids(edges, []).join(subtree_agg(edges, edges.select("node", F.lit(1).cast("long").alias("size")), sums=("size",)), "node")
 
 
 def dfs_ids(edges: DataFrame, sort_cols: list[str]) -> DataFrame:
@@ -261,15 +326,60 @@ def render_trees(edges: DataFrame, label: str, sort_cols: list[str]) -> DataFram
 
 
 def signatures(edges: DataFrame, label: str) -> DataFrame:
-    """``root`` and ``sig``: the labels of a tree as ``A->(B->(C),D)``, children's signatures sorted."""
-    height = checkpointed(heights(edges, leaf=0).join(edges.select("node", "parent", F.col(label).cast("string").alias("label")), "node"))
-    top = height.agg(F.max("height")).first()[0] or 0
-    done = checkpointed(height.where("height = 0").select("node", "parent", F.col("label").alias("sig")))
-    for level in range(1, top + 1):
-        below = done.where("parent IS NOT NULL").groupBy(F.col("parent").alias("node")).agg(F.array_join(F.array_sort(F.collect_list("sig")), ",").alias("inner"))
-        more = height.where(F.col("height") == level).join(below, "node").select("node", "parent", F.concat("label", F.lit("->("), "inner", F.lit(")")).alias("sig"))
-        done = checkpointed(done.unionByName(more))
-    return done.where("parent IS NULL").select(F.col("node").alias("root"), "sig")
+    """``root`` and ``sig``: the labels of a tree as ``A->(B->(C),D)``, children's signatures sorted.
+
+    By tree contraction.  A node whose children are all known gets its signature and
+    tells it to its parent (rake).  Where that gets on slowly, chains of nodes that
+    wait for one child each become one node with the levels of them all (compress),
+    so that the rounds grow with the logarithm of the nodes.  Nodes on or below a
+    cycle are left out.
+    """
+    kids = edges.where("parent IS NOT NULL").groupBy(F.col("parent").alias("node")).agg(F.count(F.lit(1)).alias("waits"))
+    level = F.struct(F.col(label).cast("string").alias("label"), F.array().cast("array<string>").alias("known"))
+    known = edges.where("parent IS NOT NULL").join(edges.select(F.col("node").alias("parent")), "parent", "left_semi").select("node", "parent")
+    start = edges.drop("parent").join(known, "node", "left").join(kids, "node", "left").select("node", "parent", F.col("node").alias("top"), F.coalesce("waits", F.lit(0)).alias("waits"), F.array(level).alias("levels"))
+    left, done = written(start), []
+    count = left.count()
+    while count:
+        raked = left.where("waits = 0").select("parent", "top", _signature(F.col("levels"), F.lit(None).cast("string")).alias("sig"))
+        raked = checkpointed(raked)
+        done.append(raked.where("parent IS NULL").select(F.col("top").alias("root"), "sig"))
+        told = raked.where("parent IS NOT NULL").groupBy(F.col("parent").alias("node")).agg(F.collect_list("sig").alias("_sigs"))
+        first = F.col("levels")[0]
+        bottom = F.struct(first["label"].alias("label"), F.concat(first["known"], F.coalesce("_sigs", F.array().cast("array<string>"))).alias("known"))
+        levels = F.concat(F.array(bottom), F.slice("levels", F.lit(2), F.size("levels")))
+        left = written(left.where("waits > 0").join(told, "node", "left").select("node", "parent", "top", (F.col("waits") - F.coalesce(F.size("_sigs"), F.lit(0))).alias("waits"), levels.alias("levels")))
+        now = left.count()
+        if now == count:
+            break
+        if now * 2 > count:
+            left = _compressed(left)
+            now = left.count()
+        count = now
+    return _united(done) if done else edges.select(F.col("node").alias("root"), F.lit("").alias("sig")).limit(0)
+
+
+def _signature(levels: Column, inner: Column) -> Column:
+    """The signature of the top of some levels, the lowest first, above a child of the signature ``inner``, if there is one."""
+
+    def above(below: Column, level: Column) -> Column:
+        every = F.when(below.isNull(), level["known"]).otherwise(F.concat(level["known"], F.array(below)))
+        return F.when(F.size(every) == 0, level["label"]).otherwise(F.concat(level["label"], F.lit("->("), F.array_join(F.array_sort(every), ","), F.lit(")")))
+
+    return F.aggregate(levels, inner, above)
+
+
+def _compressed(waiting: DataFrame) -> DataFrame:
+    """Chains of nodes that wait for one child each made one: it goes by the name of the lowest, at which the child will ask."""
+    single = waiting.where("waits = 1").select("node", "parent")
+    inside = single.join(single.select(F.col("node").alias("parent")), "parent", "left_semi").select("node", F.col("parent").alias("_up"))
+    placed = depths(single.select("node").join(inside, "node", "left").select("node", F.col("_up").alias("parent")))
+    lowest_first = F.sort_array(F.collect_list(F.struct("depth", "levels")), asc=False)
+    joined = waiting.join(placed.select("node", F.col("root").alias("_chain"), "depth"), "node").groupBy("_chain").agg(
+        F.flatten(F.transform(lowest_first, lambda x: x["levels"])).alias("levels"), F.max_by("node", "depth").alias("node"), F.min_by(F.struct("parent", "top"), "depth").alias("_upper")
+    )
+    made = joined.select("node", F.col("_upper.parent").alias("parent"), F.col("_upper.top").alias("top"), F.lit(1).alias("waits"), "levels")
+    return written(waiting.where("waits <> 1").select(*made.columns).unionByName(made))
 
 
 def parents_report(lexemes: DataFrame, relations: DataFrame, words: DataFrame, attribute: str) -> DataFrame:

@@ -70,6 +70,29 @@ def e06(spark, sf_dir):
     return op.reverse_edges(edges(spark, sf_dir), turned(spark, sf_dir))
 
 
+#: Of trees of three generations the root, its least and greatest child, and of the former's children the least and the greatest.
+PATHS_SQL = """pk AS (SELECT q.node AS r, min(x.node) AS x, max(x.node) AS y FROM f q JOIN f x ON x.parent = q.node WHERE q.parent IS NULL GROUP BY q.node),
+pt AS (SELECT r, x, y, min(v.node) AS v, max(v.node) AS w FROM pk JOIN f v ON v.parent = pk.x GROUP BY r, x, y)"""
+
+
+def paths(spark, sf_dir):
+    f = edges(spark, sf_dir)
+    kids = f.join(f.where("parent IS NULL").select(F.col("node").alias("parent")), "parent").groupBy(F.col("parent").alias("r")).agg(F.min("node").alias("x"), F.max("node").alias("y"))
+    return f.withColumnRenamed("parent", "x").join(kids, "x").groupBy("r", "x", "y").agg(F.min("node").alias("v"), F.max("node").alias("w"))
+
+
+@query(
+    "e06_turns_in_order",
+    f"WITH {F_SQL}, {PATHS_SQL}, m AS (SELECT x AS node, CASE r // 37 % 3 WHEN 0 THEN v WHEN 1 THEN NULL ELSE CASE WHEN x = y THEN NULL END END AS up FROM pt UNION ALL SELECT r, CASE r // 37 % 3 WHEN 2 THEN y ELSE x END FROM pt "
+    "UNION ALL SELECT v, NULL FROM pt WHERE r // 37 % 3 = 0 UNION ALL SELECT y, x FROM pt WHERE r // 37 % 3 = 2 AND y <> x) SELECT f.node, CASE WHEN m.node IS NOT NULL THEN m.up ELSE f.parent END AS parent FROM f LEFT JOIN m ON m.node = f.node",
+)
+def e06_in_order(spark, sf_dir):
+    """Lines that share nodes: two edges of one path, one edge twice, and two children of one node."""
+    case, line = F.floor(F.col("r") / 37) % 3, lambda k, parent, node: F.struct((F.col("r") * 10 + k).alias("line"), F.col(parent).alias("parent"), F.col(node).alias("node"))
+    both = F.when(case == 0, F.array(line(1, "r", "x"), line(2, "x", "v"))).when(case == 1, F.array(line(1, "r", "x"), line(2, "r", "x"))).otherwise(F.array(line(1, "r", "x"), line(2, "r", "y")))
+    return op.reverse_edges(edges(spark, sf_dir), paths(spark, sf_dir).select(F.explode(both).alias("e")).select("e.*"))
+
+
 @query("e07_force_reconnect", f"WITH {F_SQL}, {TURN_SQL} SELECT f.node, CASE WHEN a.node IS NOT NULL THEN NULL WHEN b.parent IS NOT NULL THEN b.node ELSE f.parent END AS parent FROM f LEFT JOIN tr a ON a.node = f.node LEFT JOIN tr b ON b.parent = f.node")
 def e07(spark, sf_dir):
     return op.force_reconnect(edges(spark, sf_dir), turned(spark, sf_dir).select(F.col("node").alias("line"), F.col("node").alias("parent"), F.col("parent").alias("node")))
@@ -167,6 +190,24 @@ def e16(spark, sf_dir):
     return op.merge_variants(f.select("node", "parent"), f.where("parent IS NOT NULL AND n % 3 = 0").select(F.col("parent").alias("set_id"), "node", F.col("node").alias("seq")))
 
 
+@query(
+    "e16_variants_of_their_ancestors",
+    f"WITH {F_SQL}, {PATHS_SQL}, p AS (SELECT *, r // 37 % 4 AS k FROM pt), m AS (SELECT v AS node, r AS up FROM p WHERE k IN (0, 3) UNION ALL SELECT w, r FROM p WHERE k = 3 AND w <> v UNION ALL SELECT r, v FROM p WHERE k = 1 UNION ALL SELECT v, NULL FROM p WHERE k = 1 "
+    "UNION ALL SELECT v, r FROM p WHERE k = 2 UNION ALL SELECT x, v FROM p WHERE k = 2), o AS (SELECT v AS node, r AS owner FROM p WHERE k IN (0, 3) UNION ALL SELECT w, r FROM p WHERE k = 3 AND w <> v UNION ALL SELECT r, v FROM p WHERE k = 1 UNION ALL SELECT x, v FROM p WHERE k = 2) "
+    "SELECT f.node, CASE WHEN m.node IS NOT NULL THEN m.up ELSE coalesce(o.owner, f.parent) END AS parent FROM f LEFT JOIN m ON m.node = f.node LEFT JOIN o ON o.node = f.parent",
+)
+def e16_ancestors(spark, sf_dir):
+    """A representative above its variant, one below, one right below, and a variant that represents another set."""
+    case, part = F.floor(F.col("r") / 37) % 4, lambda k, seq, node: F.struct((F.col("r") * 10 + k).alias("set_id"), F.lit(seq).alias("seq"), F.col(node).alias("node"))
+    listed = (
+        F.when(case == 0, F.array(part(0, 0, "r"), part(0, 1, "v")))
+        .when(case == 1, F.array(part(0, 0, "v"), part(0, 1, "r")))
+        .when(case == 2, F.array(part(0, 0, "v"), part(0, 1, "x")))
+        .otherwise(F.array(part(0, 0, "r"), part(0, 1, "v"), part(1, 0, "v"), part(1, 1, "w")))
+    )
+    return op.merge_variants(edges(spark, sf_dir), paths(spark, sf_dir).select(F.explode(listed).alias("s")).select("s.*"))
+
+
 @query("e17_labelled_variants", f"WITH {F_SQL}, s AS (SELECT parent AS set_id, node, node AS seq FROM f WHERE parent IS NOT NULL AND n % 3 = 0), p AS (SELECT set_id, min(node) AS rep FROM s GROUP BY set_id), v AS (SELECT s.node, p.rep FROM s JOIN p USING (set_id) WHERE s.node <> p.rep) "
        "SELECT f.node, coalesce(v.rep, u.rep, f.parent) AS parent, CASE WHEN v.rep IS NOT NULL THEN 'Variant' END AS label FROM f LEFT JOIN v ON v.node = f.node LEFT JOIN v u ON u.node = f.parent")
 def e17(spark, sf_dir):
