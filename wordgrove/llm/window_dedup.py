@@ -43,7 +43,7 @@ from wordgrove.llm.common import session_of, written
 
 WINDOW, GRAM = 13, 4
 #: Bytes of text in a chunk, and words of pieces that one index holds.
-CHUNK_BYTES, INDEX_WORDS = 4 << 20, 1 << 20
+CHUNK_BYTES, INDEX_WORDS = 2 << 20, 1 << 18
 #: Chunks whose grams one task counts, and pieces of a shard, about.
 COUNTED_CHUNKS, SHARD_PIECES = 64, 60_000
 #: Grams named by more pieces go by whole windows.
@@ -57,7 +57,7 @@ class _Words(dict):
     """Hashes of words, kept for as many as may be met again soon."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1 << 20:
+        if len(self) > 1 << 16:
             self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value
