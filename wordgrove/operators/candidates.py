@@ -6,6 +6,9 @@ that rules have, and joined on them, so that no word meets every rule.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -187,16 +190,95 @@ def sibling_patterns(nodes: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def group_by_suffix(words: DataFrame, max_len: int = 10, min_len: int = 1) -> DataFrame:
-    """Words grouped by ending, the longest first: a word leaves with the first ending that it shares with another left word."""
-    left, found = checkpointed(words.select("lemma").distinct()), None
-    for k in range(max_len, min_len - 1, -1):
-        keyed = left.where(F.length("lemma") >= k).withColumn("suffix", F.right("lemma", F.lit(k)))
-        shared = keyed.groupBy("suffix").agg(F.count(F.lit(1)).alias("n")).where("n >= 2").select("suffix", F.lit(True).alias("_shared"))
-        # each round is kept, so that the next doesn't repeat those before it
-        told = checkpointed(left.withColumn("suffix", F.when(F.length("lemma") >= k, F.right("lemma", F.lit(k)))).join(shared, "suffix", "left"))
-        hit = told.where("_shared").select("suffix", "lemma")
-        found = hit if found is None else found.unionByName(hit)
-        left = told.where("_shared IS NULL").select("lemma")
+    """Words grouped by ending, the longest first: a word leaves with the first ending that it shares with another left word.
+
+    Words are put in the order of their letters from the last on, dealt by ranges, so
+    words of one ending follow one another.  A pass over a range keeps one place for
+    each letter of the ending: the first word that waits there for another one.  Only
+    the endings that go on in the next range are left open, one word each, and put
+    together for all ranges.
+    """
+    turned = words.select("lemma").distinct().withColumn("key", F.substring(F.reverse("lemma"), 1, max_len))
+    dealt = checkpointed(turned.repartitionByRange(F.col("key"), F.col("lemma")).sortWithinPartitions("key", "lemma").withColumn("part", F.spark_partition_id()))
+    # one row for each range
+    ends = dealt.groupBy("part").agg(F.min("key").alias("least"), F.max("key").alias("most")).orderBy("part").collect()
+    around = {row.part: (ends[k - 1].most if k else None, ends[k + 1].least if k + 1 < len(ends) else None) for k, row in enumerate(ends)}
+
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state, near = _Endings(max_len, min_len), (None, None)
+        for batch in batches:
+            for lemma, key, part in zip(*(c.to_pylist() for c in batch.columns)):
+                near = around[part]
+                state.add(key, lemma, near)
+            yield state.taken()
+        state.close(0, near)
+        yield state.taken()
+
+    swept = checkpointed(dealt.mapInArrow(sweep, "suffix string, lemma string, open boolean"))
+    # at most two rows for each letter and range
+    left = _joined_endings([(r.suffix, r.lemma) for r in swept.where("open").collect()], min_len)
+    rest = words.sparkSession.createDataFrame(left, "suffix string, lemma string")
+    return swept.where("NOT open").select("suffix", "lemma").unionByName(rest)
+
+
+class _Endings:
+    """Words that come in order of their turned endings, and those that wait at each letter of the present one."""
+
+    def __init__(self, max_len: int, min_len: int) -> None:
+        self.min_len, self.key = min_len, ""
+        self.waiting: list[str | None] = [None] * (max_len + 1)
+        self.shared = [False] * (max_len + 1)
+        self.rows: list[tuple[str, str | None, bool]] = []
+
+    def _put(self, depth: int, lemma: str) -> None:
+        if depth < self.min_len:
+            return
+        if self.shared[depth]:
+            self.rows.append((self.key[:depth][::-1], lemma, False))
+        elif self.waiting[depth] is None:
+            self.waiting[depth] = lemma
+        else:
+            self.shared[depth] = True
+            self.rows += [(self.key[:depth][::-1], w, False) for w in (self.waiting[depth], lemma)]
+            self.waiting[depth] = None
+
+    def close(self, depth: int, near: tuple[str | None, str | None]) -> None:
+        """Ends all endings longer than ``depth``: a word that has waited in vain goes on to the next shorter one."""
+        for d in range(len(self.key), depth, -1):
+            waits, shared = self.waiting[d], self.shared[d]
+            self.waiting[d], self.shared[d] = None, False
+            if any(other is not None and other.startswith(self.key[:d]) for other in near):
+                # the ending goes on in another range: who waits here, or that it is shared
+                if d >= self.min_len and (waits is not None or shared):
+                    self.rows.append((self.key[:d][::-1], waits, True))
+            elif waits is not None:
+                self._put(d - 1, waits)
+
+    def add(self, key: str, lemma: str, near: tuple[str | None, str | None]) -> None:
+        same = next((i for i, (a, b) in enumerate(zip(self.key, key)) if a != b), min(len(self.key), len(key)))
+        self.close(same, near)
+        self.key = key
+        self._put(len(key), lemma)
+
+    def taken(self) -> pa.RecordBatch:
+        columns = [pa.array([r[i] for r in self.rows], kind) for i, kind in enumerate((pa.string(), pa.string(), pa.bool_()))]
+        self.rows = []
+        return pa.RecordBatch.from_arrays(columns, names=["suffix", "lemma", "open"])
+
+
+def _joined_endings(left: list[tuple[str, str | None]], min_len: int) -> list[tuple[str, str]]:
+    """Groups among words that wait at endings of several ranges; no word says that its range has some already."""
+    at: dict[str, list[str | None]] = {}
+    for suffix, lemma in left:
+        at.setdefault(suffix, []).append(lemma)
+    found = []
+    for size in range(max(map(len, at), default=0), min_len - 1, -1):
+        for suffix in [s for s in at if len(s) == size]:
+            words = [w for w in at[suffix] if w is not None]
+            if len(words) < len(at[suffix]) or len(words) > 1:
+                found += [(suffix, w) for w in words]
+            elif words and size > min_len:
+                at.setdefault(suffix[1:], []).append(words[0])
     return found
 
 

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordgrove.common import checkpointed
+from wordgrove.functions.text import common_prefix_length
+from wordgrove.operators.forest import path_fold
 
 
 def paradigm_class(forms: DataFrame, key: str, tag: str, form: str, tags: list[str], ladder: list[tuple[str, Column]], otherwise: str) -> DataFrame:
@@ -117,40 +122,103 @@ def morphs_from_labels(words: DataFrame, segments: str = "segments", labels: str
     return rows.select(*words.columns, start.alias("start"), (start + F.length("_z.m")).alias("end"), F.lower("_z.m").alias("morph"), F.col("_z.l").alias("type"))
 
 
+_SPAN = "struct<start:int,end:int,how:string,reach:int>"
+
+
 def project_roots(nodes: DataFrame, seeds: DataFrame, stops: DataFrame, allomorphs: DataFrame) -> DataFrame:
     """Root spans (``node``, ``start``, ``end``, ``how``) carried down trees of ``node``, ``parent``, ``lemma``.
 
     A node takes its own annotation (``seeds``); else its parent's prefix and root
     if its word begins with them; else the only ``allomorph`` that its word holds
     once.  Nothing is carried to or below ``stops``.
+
+    What a node makes of its parent's span depends on the end of the span alone: it
+    stays if the two words agree so far, else the node's own match takes its place.
+    Such functions can be put together, a path's becoming the greatest ends that pass
+    each of its bottlenecks and what comes of others, so paths are folded by pointer
+    doubling.
     """
-    open_nodes = nodes.join(stops.select("node"), "node", "left_anti").select("node", "parent", "lemma")
-    own = open_nodes.join(seeds, "node").select("node", "lemma", "start", "end", F.lit("own").alias("how"))
-    top = open_nodes.where("parent IS NULL").select("node", "lemma")
-    hits = _occurrences(open_nodes, "node", allomorphs.select("allomorph").distinct()).select("node", "lemma", "allomorph").distinct()
+    edges = nodes.select("node", "parent")
+    words = nodes.select("node", "parent", "lemma")
+    hits = _occurrences(words.join(stops.select("node"), "node", "left_anti"), "node", allomorphs.select("allomorph").distinct()).select("node", "lemma", "allomorph").distinct()
     only = hits.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("allomorph").alias("allomorph"), F.first("lemma").alias("lemma")).where("n = 1")
-    matched = only.select("node", "lemma", (F.instr("lemma", F.col("allomorph")) - 1).alias("start"), (F.instr("lemma", F.col("allomorph")) - 1 + F.length("allomorph")).alias("end"), F.lit("allomorph").alias("how"))
-    fixed = checkpointed(own)
-    fallback = checkpointed(matched.join(fixed.select("node"), "node", "left_anti"))
-    first = fixed.join(top.select("node"), "node", "left_semi").unionByName(fallback.join(top.select("node"), "node", "left_semi"))
-    front = checkpointed(top.select("node").join(first, "node", "left").select("node", "start", "end", "how", "lemma"))
-    found = front.where("how IS NOT NULL").select("node", "start", "end", "how")
-    rest_own = fixed.select("node", F.col("start").alias("o_start"), F.col("end").alias("o_end"))
-    rest_match = fallback.select("node", F.col("start").alias("m_start"), F.col("end").alias("m_end"))
-    while True:
-        up = front.select(F.col("node").alias("parent"), F.col("start").alias("p_start"), F.col("end").alias("p_end"), F.col("lemma").alias("p_lemma"))
-        kids = open_nodes.join(up, "parent").join(rest_own, "node", "left").join(rest_match, "node", "left")
-        inherits = F.col("p_end").isNotNull() & F.startswith("lemma", F.substring("p_lemma", F.lit(1), F.col("p_end")))
-        pick = lambda o, p, m: F.coalesce(F.col(o), F.when(inherits, F.col(p)), F.col(m))
-        how = F.when(F.col("o_start").isNotNull(), "own").when(inherits, "parent").when(F.col("m_start").isNotNull(), "allomorph")
-        front = checkpointed(kids.select("node", pick("o_start", "p_start", "m_start").alias("start"), pick("o_end", "p_end", "m_end").alias("end"), how.alias("how"), "lemma"))
-        if front.isEmpty():
-            return found
-        found = found.unionByName(front.where("how IS NOT NULL").select("node", "start", "end", "how"))
+    first = F.instr("lemma", F.col("allomorph")) - 1
+    span = lambda start, end, how, reach: F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"), F.lit(how).alias("how"), reach.cast("int").alias("reach"))
+    matched = only.select("node", span(first, first + F.length("allomorph"), "allomorph", first + F.length("allomorph")).alias("match"))
+    own = seeds.select("node", "start", "end")
+    held = words.join(own, "node", "left").join(matched, "node", "left").join(words.select(F.col("node").alias("parent"), F.col("lemma").alias("_up")), "parent", "left")
+    value = F.when(F.col("end").isNotNull(), span(F.col("start"), F.col("end"), "own", F.least("end", F.length("lemma")))).otherwise(F.col("match"))
+    passes = F.when(F.col("end").isNull() & F.col("_up").isNotNull(), common_prefix_length(F.col("_up"), F.col("lemma"))).otherwise(-1).cast("int")
+    steps = held.select("node", F.struct(F.array(F.struct(passes.alias("limit"), value.alias("value"))).alias("limits"), value.alias("none")).alias("step"))
+    shut = edges.select("node").join(stops.select("node", F.lit(True).alias("shut")).distinct(), "node", "left").select("node", F.coalesce("shut", F.lit(False)).alias("shut"))
+    folded = path_fold(edges, steps.join(shut, "node"), {"step": _after, "shut": lambda upper, lower: upper | lower})
+    return folded.where("NOT shut AND step.none IS NOT NULL").select("node", "step.none.start", "step.none.end", "step.none.how")
+
+
+def _after(upper: Column, lower: Column) -> Column:
+    """What two steps of ``project_roots`` do one after the other.
+
+    A step has ``limits``, falling: a span that ends beyond the first of them gives
+    its ``value``, one that passes them all stays; ``none`` is what comes of no span.
+    """
+
+    def through(span: Column) -> Column:
+        stopped = F.get(F.filter(lower["limits"], lambda x: span["reach"] > x["limit"]), F.lit(0))
+        stays = F.struct(span["start"].alias("start"), span["end"].alias("end"), F.lit("parent").alias("how"), span["reach"].alias("reach"))
+        return F.when(span.isNull(), lower["none"]).when(stopped.isNull(), stays).otherwise(stopped["value"]).cast(_SPAN)
+
+    narrowest = F.element_at(upper["limits"], -1)["limit"]
+    passed = F.transform(upper["limits"], lambda x: F.struct(x["limit"].alias("limit"), through(x["value"]).alias("value")))
+    own = F.filter(lower["limits"], lambda x: x["limit"] < narrowest)
+    return F.struct(F.concat(passed, own).alias("limits"), through(upper["none"]).alias("none"))
+
+
+#: Characters of the patterns of one automaton, and automata that are tried before words are cut up instead.
+PATTERN_CHARACTERS, MOST_AUTOMATA = 2_000_000, 8
 
 
 def _occurrences(words: DataFrame, key: str, allomorphs: DataFrame) -> DataFrame:
-    """Every place (``start``, ``size``) at which an ``allomorph`` stands in a ``lemma``: substrings of the lengths that allomorphs have, joined on them."""
+    """Every place (``start``, ``size``) at which an ``allomorph`` stands in a ``lemma``.
+
+    Patterns of a bounded size make an automaton (Aho and Corasick) that words pass
+    through where they lie, so only hits are shuffled; more patterns make some such
+    passes.  Where even that many don't hold them, all substrings of the lengths that
+    allomorphs have are joined with them.  An empty one stands nowhere.
+    """
+    patterns = allomorphs.select("allomorph").where("allomorph <> ''").distinct()
+    groups = (patterns.agg(F.sum(F.length("allomorph"))).first()[0] or 0) // PATTERN_CHARACTERS + 1
+    if groups > MOST_AUTOMATA:
+        return _by_substrings(words, key, allomorphs.where("allomorph <> ''"))
+    found = None
+    for group in range(groups):
+        listed = [r.allomorph for r in patterns.where(F.pmod(F.xxhash64("allomorph"), F.lit(groups)) == group).collect()]
+        part = words.select(key, "lemma").where("lemma IS NOT NULL").mapInArrow(_passed_through(listed), f"{key} {dict(words.dtypes)[key]}, lemma string, start int, size int, allomorph string")
+        found = part if found is None else found.unionByName(part)
+    return found.join(allomorphs, "allomorph")
+
+
+def _passed_through(patterns: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = ahocorasick.Automaton()
+        for pattern in patterns:
+            automaton.add_word(pattern, pattern)
+        automaton.make_automaton()
+        for batch in batches:
+            rows, starts, found = [], [], []
+            if patterns:
+                for k, lemma in enumerate(batch.column(1).to_pylist()):
+                    for end, pattern in automaton.iter(lemma):
+                        rows.append(k)
+                        starts.append(end + 1 - len(pattern))
+                        found.append(pattern)
+            taken = batch.take(pa.array(rows, pa.int64()))
+            columns = [*taken.columns, pa.array(starts, pa.int32()), pa.array([len(p) for p in found], pa.int32()), pa.array(found, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "start", "size", "allomorph"])
+
+    return run
+
+
+def _by_substrings(words: DataFrame, key: str, allomorphs: DataFrame) -> DataFrame:
     spans = words.select(key, "lemma", F.explode(F.sequence(F.lit(1), F.length("lemma"))).alias("start"))
     # the lengths of allomorphs are few, whatever their number
     sizes = F.broadcast(allomorphs.select(F.length("allomorph").alias("size")).distinct())
@@ -161,8 +229,7 @@ def _occurrences(words: DataFrame, key: str, allomorphs: DataFrame) -> DataFrame
 def induce_roots(lex: DataFrame, allomorphs: DataFrame) -> DataFrame:
     """For each word the longest allomorph that occurs in it, less its penalty, with its first place; ties are left out.
 
-    ``allomorphs`` has ``allomorph`` and ``penalty``.  Words are matched by all
-    their substrings of the lengths that allomorphs have.
+    ``allomorphs`` has ``allomorph`` and ``penalty``.
     """
     hits = _occurrences(lex, "lex_id", allomorphs)
     scored = hits.withColumn("score", F.col("size") - F.col("penalty"))

@@ -67,8 +67,13 @@ def tie_percentile(df: DataFrame, col: str, name: str = "percentile") -> DataFra
     return df.join(placed, col, "left")
 
 
-def network_stats(nodes: DataFrame) -> DataFrame:
-    """Long-format statistics (``metric``, ``key``, ``value``) of nodes with ``node``, ``parent``, ``lemma``, ``pos``."""
+def network_stats(nodes: DataFrame, creator: str | None = None) -> DataFrame:
+    """Long-format statistics (``metric``, ``key``, ``value``) of nodes with ``node``, ``parent``, ``lemma``, ``pos``.
+
+    ``creator`` names a column for what made the edge to the parent: then there are
+    also capitalised singletons, and edges by creator, ``unknown`` where it is null;
+    nodes without a parent count under ``no parent``.
+    """
     edges = nodes.where("parent IS NOT NULL").select("parent", F.col("pos").alias("child_pos"))
     kids = edges.groupBy(F.col("parent").alias("node")).agg(F.count(F.lit(1)).alias("degree"))
     with_degree = nodes.join(kids, "node", "left").select("*", F.coalesce("degree", F.lit(0)).cast("long").alias("out"))
@@ -79,7 +84,12 @@ def network_stats(nodes: DataFrame) -> DataFrame:
     by_pos = nodes.groupBy(F.col("pos").alias("key")).agg(F.count(F.lit(1)).alias("value"))
     pairs = edges.join(nodes.select(F.col("node").alias("parent"), "pos"), "parent").groupBy(F.concat_ws("->", "pos", "child_pos").alias("key")).agg(F.count(F.lit(1)).alias("value"))
     degrees = with_degree.groupBy(F.col("out").alias("key")).agg(F.count(F.lit(1)).alias("value"))
-    return long(totals, "total").unionByName(long(by_pos, "pos")).unionByName(long(pairs, "pos_edges")).unionByName(long(degrees, "out_degree"))
+    found = long(totals, "total").unionByName(long(by_pos, "pos")).unionByName(long(pairs, "pos_edges")).unionByName(long(degrees, "out_degree"))
+    if creator is None:
+        return found
+    alone = with_degree.agg(F.lit("capitalised_singletons").alias("key"), F.count_if(capital & F.col("parent").isNull() & (F.col("out") == 0)).alias("value"))
+    made_by = F.when(F.col("parent").isNull(), "no parent").otherwise(F.coalesce(creator, F.lit("unknown")))
+    return found.unionByName(long(alone, "total")).unionByName(long(nodes.groupBy(made_by.alias("key")).agg(F.count(F.lit(1)).alias("value")), "creator"))
 
 
 def cluster_stats(edges: DataFrame) -> DataFrame:
@@ -115,6 +125,19 @@ def homonyms(df: DataFrame, keys: list[str], distinct: str) -> DataFrame:
     return found.where(F.size("_values") > 1).select(*keys, F.size("_values").cast("long").alias("variants"), F.array_join("_values", ",").alias("values"))
 
 
+def odd_homonym_numbers(lexemes: DataFrame) -> DataFrame:
+    """Lemmas (``lemma``, ``pos``) of several ``techlemma``, not all of which have a number: ``lexemes`` and ``unnumbered`` are how many.
+
+    A technical lemma is a word, perhaps with a hyphen and a number, perhaps with
+    comments from ``_`` or a grave accent on.
+    """
+    bare = F.regexp_replace("techlemma", r"(?s)[_`].+", "")
+    number = F.regexp_extract(bare, r"^.+-(\d+)$", 1)
+    named = lexemes.select("pos", F.when(number == "", bare).otherwise(F.regexp_extract(bare, r"^(.+)-\d+$", 1)).alias("lemma"), F.when(number == "", 0).otherwise(F.regexp_replace(number, "^0+(?=.)", "").try_cast("long")).alias("number"))
+    counted = named.groupBy("lemma", "pos").agg(F.count(F.lit(1)).alias("lexemes"), F.count_if(F.col("number") == 0).alias("unnumbered"))
+    return counted.where("lexemes > 1 AND unnumbered > 0")
+
+
 def roots_by_freq(nodes: DataFrame, compounds: DataFrame | None = None) -> DataFrame:
     """Roots with their counts, without capitalised ones and without ``compounds`` if given."""
     found = nodes.where("parent IS NULL").where(~F.col("lemma").rlike(r"^\p{Lu}"))
@@ -142,6 +165,11 @@ def split_by_source_count(cands: DataFrame) -> DataFrame:
     ).withColumn("kind", F.when(F.col("sources") == 1, "mono").otherwise("multi"))
 
 
+def groups_with(df: DataFrame, keys: list[str], condition: Column) -> DataFrame:
+    """The rows of groups in one row of which a condition holds, as of clusters that hold a change."""
+    return df.join(df.where(condition).select(*keys).distinct(), keys, "left_semi")
+
+
 def rule_combinations(cands: DataFrame) -> DataFrame:
     """How many targets each combination of rules gave."""
     return split_by_source_count(cands).groupBy("rules").agg(F.count(F.lit(1)).alias("targets"))
@@ -178,3 +206,15 @@ def first_sentences(sentences: DataFrame, n: int, known: DataFrame) -> DataFrame
     return sentences.where(F.col("sent") < n).join(known.select("word"), "word", "left_anti").groupBy("word").agg(F.min("sent").alias("sent"))
 
 
+def listed_examples(tokens: DataFrame, listed: DataFrame, order: list[str]) -> DataFrame:
+    """For each listed ``lemma`` the first of the ``tokens`` (``lemma``, any other columns) that has it, in whatever case."""
+    wanted = listed.select(F.lower("lemma").alias("_lemma")).distinct()
+    found = tokens.withColumn("_lemma", F.lower("lemma")).join(wanted, "_lemma", "left_semi")
+    # the first of each task is taken before they are brought together
+    first = found.groupBy("_lemma").agg(F.min(F.struct(*order, F.struct(*[c for c in tokens.columns if c not in order]).alias("_rest"))).alias("_first"))
+    return first.select(*[F.col(f"_first.{c}") if c in order else F.col(f"_first._rest.{c}") for c in tokens.columns])
+
+
+def unlisted_tokens(tokens: DataFrame, listed: DataFrame) -> DataFrame:
+    """Tokens whose ``lemma``, as it is written, isn't listed."""
+    return tokens.join(listed.select("lemma").distinct(), "lemma", "left_anti").select(*tokens.columns)

@@ -36,7 +36,7 @@ def kept_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checkpointed(words(spark, sf_dir))
 
 
-W_SQL = TOKENS_SQL + ", w AS (SELECT lemma, pos, count(*) AS n FROM t GROUP BY lemma, pos)"
+W_SQL = TOKENS_SQL + ", w AS MATERIALIZED (SELECT lemma, pos, count(*) AS n FROM t GROUP BY lemma, pos)"
 
 
 def forest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -153,3 +153,14 @@ def s12(spark, sf_dir):
     last = F.when(F.col("n") % 5 == 0, "wrong").otherwise(key)
     value = F.concat_ws("\t", F.concat("lemma", key), F.substring("lemma", 1, 2), F.expr("substring(lemma, 3)"), F.lit(""), last)
     return fl.read_segmentation_table(spark, written(forest(spark, sf_dir).select("node", value.alias("value")), "node"), 0, [1, 2, 3, 4]).drop("line_no")
+
+
+@query("v02_last_newlines", f"WITH {F_SQL} SELECT n AS part, count(*) AS line_no, 'missing trailing newline' AS problem FROM f WHERE n % 2 = 0 GROUP BY n")
+def v02_newlines(spark, sf_dir):
+    """Files of whole lines, and files whose last line ends in a space."""
+    path = scratch_path(spark)
+    texts = forest(spark, sf_dir).groupBy(F.col("n").cast("long").alias("part")).agg(F.concat_ws("\n", F.collect_list("lemma")).alias("value"))
+    for rest, end in ((1, "\n"), (0, " ")):
+        texts.where(F.col("part") % 2 == rest).repartition("part").write.option("lineSep", end).partitionBy("part").mode("append").text(path)
+    found = fl.missing_last_newlines(spark, path)
+    return found.select(F.regexp_extract("file", r"part=(\d+)/", 1).cast("long").alias("part"), "line_no", "problem")

@@ -75,6 +75,18 @@ def a08(spark, sf_dir):
     return op.network_stats(forest(spark, sf_dir))
 
 
+@query(
+    "a08_creators_and_singletons",
+    f"WITH {F_SQL}, c AS (SELECT node, parent, CASE WHEN node % 3 = 0 THEN upper(lemma) ELSE lemma END AS lemma, CASE n % 4 WHEN 0 THEN NULL WHEN 1 THEN 'list' ELSE 'rules' END AS creator FROM f) "
+    "SELECT 'creator' AS metric, CASE WHEN parent IS NULL THEN 'no parent' ELSE coalesce(creator, 'unknown') END AS key, count(*) AS value FROM c GROUP BY 2 UNION ALL "
+    "SELECT 'total', 'capitalised_singletons', count(*) FROM c WHERE parent IS NULL AND regexp_matches(lemma, '^\\p{Lu}') AND node NOT IN (SELECT parent FROM c WHERE parent IS NOT NULL)",
+)
+def a08_creators(spark, sf_dir):
+    f = forest(spark, sf_dir).withColumn("lemma", F.when(F.col("node") % 3 == 0, F.upper("lemma")).otherwise(F.col("lemma")))
+    creator = F.when(F.col("n") % 4 == 1, "list").when(F.col("n") % 4 > 1, "rules")
+    return op.network_stats(f.withColumn("creator", creator), "creator").where("metric = 'creator' OR key = 'capitalised_singletons'")
+
+
 @query(
     "a09_cluster_stats",
     f"{FOREST_SQL}, t AS (SELECT root, count(*) AS size, max(depth) AS depth, sum(depth)::BIGINT AS depths FROM r GROUP BY root) "
@@ -107,6 +119,16 @@ def a11(spark, sf_dir):
     return op.homonyms(words(spark, sf_dir), ["lemma"], "pos")
 
 
+@query(
+    "a11_odd_homonym_numbers",
+    f"WITH {W_SQL}, k AS (SELECT left(lemma, 4) AS lemma, pos, CASE WHEN n % 3 = 0 THEN 0 ELSE length(lemma) END AS number FROM w) "
+    "SELECT lemma, pos, count(*) AS lexemes, count(*) FILTER (WHERE number = 0) AS unnumbered FROM k GROUP BY lemma, pos HAVING count(*) > 1 AND min(number) = 0",
+)
+def a11_odd(spark, sf_dir):
+    number = F.when(F.col("n") % 3 == 0, "").otherwise(F.concat(F.lit("-"), F.length("lemma").cast("string")))
+    return op.odd_homonym_numbers(words(spark, sf_dir).select("pos", F.concat(F.substring("lemma", 1, 4), number, F.lit("_:T"), F.lit("_comment-7")).alias("techlemma")))
+
+
 @query("a12_roots_by_freq", f"WITH {F_SQL} SELECT node, lemma, n FROM f WHERE parent IS NULL AND NOT regexp_matches(lemma, '^\\p{{Lu}}') AND n % 2 = 1")
 def a12(spark, sf_dir):
     f = forest(spark, sf_dir)
@@ -148,6 +170,11 @@ def a15_rules(spark, sf_dir):
     return op.rule_combinations(suffix_candidates(spark, sf_dir))
 
 
+@query("a15_groups_with_change", f"{CANDS_SQL} SELECT source, target, rule FROM cand WHERE source IN (SELECT source FROM cand WHERE rule = 'th' AND length(target) > 4)")
+def a15_change(spark, sf_dir):
+    return op.groups_with(suffix_candidates(spark, sf_dir), ["source"], (F.col("rule") == "th") & (F.length("target") > 4))
+
+
 @query("a16_sample_uniform")
 def a16(spark, sf_dir):
     return op.sample_uniform(words(spark, sf_dir), 500, ["lemma", "pos"], seed=7)
@@ -176,3 +203,26 @@ def a19(spark, sf_dir):
 def a20(spark, sf_dir):
     found = table(spark, sf_dir, "conversations").select(F.col("turn").alias("sent"), F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
     return op.first_sentences(found, 3, found.where("sent >= 5").select("word").distinct())
+
+
+#: Tokens of conversations; the first three letters stand for the lemma, in capitals in every other turn.
+SPOKEN_SQL = r"""k AS (SELECT conv_id, turn, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS form FROM conversations), sp AS (SELECT DISTINCT conv_id, turn, form, CASE WHEN turn % 2 = 0 THEN upper(left(form, 3)) ELSE left(form, 3) END AS lemma FROM k),
+ls AS (SELECT DISTINCT upper(left(form, 3)) AS lemma FROM k WHERE length(form) > 8)"""
+
+
+def spoken(spark, sf_dir):
+    found = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("form"))
+    stem = F.substring("form", 1, 3)
+    tokens = found.withColumn("lemma", F.when(F.col("turn") % 2 == 0, F.upper(stem)).otherwise(stem)).distinct()
+    return tokens, found.where(F.length("form") > 8).select(F.upper(stem).alias("lemma"))
+
+
+@query("a20_listed_examples", f"WITH {SPOKEN_SQL} SELECT conv_id, turn, form, lemma FROM sp WHERE upper(lemma) IN (SELECT lemma FROM ls) QUALIFY row_number() OVER (PARTITION BY lower(lemma) ORDER BY conv_id, turn, form) = 1")
+def a20_examples(spark, sf_dir):
+    tokens, listed = spoken(spark, sf_dir)
+    return op.listed_examples(tokens, listed, ["conv_id", "turn", "form"])
+
+
+@query("a20_unlisted_tokens", f"WITH {SPOKEN_SQL} SELECT conv_id, turn, form, lemma FROM sp WHERE lemma NOT IN (SELECT lemma FROM ls)")
+def a20_unlisted(spark, sf_dir):
+    return op.unlisted_tokens(*spoken(spark, sf_dir))

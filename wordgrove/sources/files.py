@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from wordgrove.common import checkpointed
 from wordgrove.functions.text import kw_format, kw_parse, parse_v1_id, parse_v2_id
 from wordgrove.operators.edits import check_cycles, fill_parent
-from wordgrove.operators.forest import dfs_ids, numbered
+from wordgrove.operators.forest import dfs_ids, numbered, running_sum
 
 
 @dataclass(frozen=True)
@@ -28,10 +28,29 @@ class Bundle:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``file``, ``line_no`` (from 1) and ``value`` of text files, in each file's order."""
+    """``file``, ``line_no`` (from 1) and ``value`` of text files, in each file's order.
+
+    Lines are numbered within the splits that a file is read in, and the splits
+    counted, so that a large file is numbered by as many tasks as it has splits.
+    """
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_in_split"), "value")
-    order = Window.partitionBy("file").orderBy("_block", "_in_split")
-    return lines.select("file", F.row_number().over(order).cast("long").alias("line_no"), "value")
+    # one row for each split
+    sizes = lines.groupBy("file", "_block").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("file", "_block", (F.sum("_n").over(Window.partitionBy("file").orderBy("_block")) - F.col("_n")).alias("_before"))
+    numbered_lines = lines.withColumn("_k", F.row_number().over(Window.partitionBy("file", "_block").orderBy("_in_split")))
+    return numbered_lines.join(before, ["file", "_block"]).select("file", (F.col("_before") + F.col("_k")).cast("long").alias("line_no"), "value")
+
+
+def missing_last_newlines(spark: SparkSession, path: str) -> DataFrame:
+    """Files (``file``, ``line_no``, ``problem``) whose last line doesn't end in a newline.
+
+    Told by their sizes: with one, a file has a byte more for each line than its
+    lines have.  Compressed files can't be told so and are left out.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"), F.octet_length("value").alias("bytes"))
+    plain = lines.where(~F.col("file").rlike(r"\.(gz|bz2|zst|xz|lz4|snappy|deflate)$"))
+    counted = plain.groupBy("file").agg(F.count(F.lit(1)).alias("line_no"), F.sum("bytes").alias("bytes"), F.max("size").alias("size"))
+    return counted.where("size = bytes + line_no - 1").select("file", "line_no", F.lit("missing trailing newline").alias("problem"))
 
 
 def _checked(bundle: Bundle, on_err: str) -> Bundle:
@@ -220,8 +239,10 @@ def write_candidate_blocks(df: DataFrame, group: str, line: Column, path: str, p
 def read_records(spark: SparkSession, path: str, head: str = "word", list_fields: tuple[str, ...] = ()) -> DataFrame:
     """Records of ``key: value`` lines, each begun by the ``head`` key, as maps; the named fields as comma-separated lists."""
     rows = read_lines(spark, path).where("value RLIKE '^[^:]+:'").select("file", "line_no", F.trim(F.split_part("value", F.lit(":"), F.lit(1))).alias("key"), F.trim(F.regexp_replace("value", r"^[^:]*:", "")).alias("text"))
-    numbered = rows.withColumn("record", F.sum(F.when(F.col("key") == head, 1).otherwise(0)).over(Window.partitionBy("file").orderBy("line_no")))
-    made = numbered.where("record > 0").groupBy("file", "record").agg(F.map_from_entries(F.collect_list(F.struct("key", "text"))).alias("fields"))
+    heads = running_sum(rows.withColumn("_head", F.when(F.col("key") == head, 1).otherwise(0).cast("long")), ["file", "line_no"], "_head", "_heads")
+    # heads of earlier files don't count
+    first = heads.groupBy("file").agg(F.min("_heads").alias("_first"))
+    made = heads.join(first, "file").withColumn("record", F.col("_heads") + F.col("_head") - F.col("_first")).where("record > 0").groupBy("file", "record").agg(F.map_from_entries(F.collect_list(F.struct("key", "text"))).alias("fields"))
     return made.select("record", F.col("fields")[head].alias(head), *[F.split(F.col("fields")[f], r",\s*").alias(f) for f in list_fields], "fields")
 
 
