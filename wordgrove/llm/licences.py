@@ -68,8 +68,6 @@ UNKNOWN_PARAGRAPHS, VARIANTS = 2000, 24
 SPECIFICITY = 0.995
 #: Share of a template's n-grams that confirms a prediction.
 CONFIRMED = 0.6
-#: Bits of a line's place in the number of a run of lines.
-_LINE_BITS = 40
 #: Neighbouring lines that are judged together, at most: the longest template at about 25 characters a line.
 WRAPPED = 6
 
@@ -160,6 +158,32 @@ def _scored(grams: Column, model: LicenceModel) -> Column:
     return F.element_at(F.transform(ranked, lambda r: F.struct(place(r).alias("place"), (F.lit(1.0) / odds(r)).alias("score"))), 1)
 
 
+#: Lines that are gone through together when runs are chosen; the choice itself is copied for each of them.
+_STRETCH = 512
+
+
+def _kept(rows: DataFrame) -> DataFrame:
+    """The same rows, their columns computed once: an optimiser that put an array's expression where an element of it is looked up would compute the array for every element."""
+    return rows.select(F.explode(F.array(F.struct(*rows.columns))).alias("_row")).select("_row.*")
+
+
+def _first_apart(fits: Column, n: int) -> Column:
+    """Of places in order at which runs of ``n`` lines may begin (true), those that are taken if each goes before all that overlap it."""
+    stretches = F.transform(F.sequence(F.lit(0), F.floor((F.size(fits) - 1) / _STRETCH).cast("int")), lambda k: F.slice(fits, k * _STRETCH + 1, _STRETCH))
+
+    def take(acc: Column, fit: Column) -> Column:
+        free = fit & (acc["wait"] == 0)
+        return F.struct(F.when(free, n - 1).otherwise(F.greatest(acc["wait"] - 1, F.lit(0))).cast("int").alias("wait"), F.concat(acc["out"], F.array(free)).alias("out"))
+
+    def through(acc: Column, stretch: Column) -> Column:
+        start = F.struct(acc["wait"].alias("wait"), F.array().cast("array<boolean>").alias("out"))
+        inner = F.aggregate(stretch, start, take)
+        return F.struct(inner["wait"].alias("wait"), F.concat(acc["out"], F.array(inner["out"])).alias("out"))
+
+    start = F.struct(F.lit(0).alias("wait"), F.array().cast("array<array<boolean>>").alias("out"))
+    return F.when(F.size(fits) > 0, F.flatten(F.aggregate(stretches, start, through)["out"])).otherwise(F.array().cast("array<boolean>"))
+
+
 def scan(df: DataFrame, model: LicenceModel, *, id_col: str = "doc_id", text_col: str = "text", confirmed: float = CONFIRMED, wrapped: int = WRAPPED) -> DataFrame:
     """``doc_id``, ``n_paragraphs``, ``n_scored`` and ``licences`` (``family``, ``score``, ``paragraph``) of every row.
 
@@ -167,14 +191,15 @@ def scan(df: DataFrame, model: LicenceModel, *, id_col: str = "doc_id", text_col
     likeliest class isn't ``unknown``, the confidence is above the calibrated one
     and a template of that family confirms it.  Up to ``wrapped`` lines one after
     another are listed as one paragraph where they fulfil that together, and no
-    fewer of them do.  A null or empty text has no paragraphs.  Equal rows each
-    give a row; other columns are ignored.
+    fewer of them do; of runs of as many lines that overlap, the first.  A null or
+    empty text has no paragraphs.  Equal rows each give a row; other columns are
+    ignored.  The work grows with the lines, however many of them hold a licence.
     """
     vocabulary, telling = F.lit(list(model.vocabulary)), F.lit(telling_words(model.templates))
     lines = F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), r"\n"), lambda p: F.trim(p) != "")
-    rows = df.select(F.col(id_col).alias("doc_id"), lines.alias("lines"))
+    rows = _kept(df.select(F.col(id_col).alias("doc_id"), lines.alias("lines")))
     told = F.transform("lines", lambda p: F.arrays_overlap(words_of(p), telling))
-    rows = rows.select("doc_id", "lines", told.alias("told"))
+    rows = _kept(rows.select("doc_id", "lines", told.alias("told")))
 
     # words of the lines that may stand in one run with a line with a telling word; nothing else is looked at
     def near(i: Column) -> Column:
@@ -182,56 +207,69 @@ def scan(df: DataFrame, model: LicenceModel, *, id_col: str = "doc_id", text_col
         return F.exists(F.slice("told", first + 1, i + wrapped - first), lambda x: x)
 
     words = F.transform("lines", lambda p, i: F.when(near(i), F.array_remove(words_of(p), "")))
-    rows = rows.select("doc_id", "lines", "told", words.alias("words"))
     # each line is cut in n-grams once: what it has of the templates', and the words that meet those of its neighbours
     part = lambda w: F.struct(F.array_intersect(ngrams_of(w), vocabulary).alias("grams"), F.get(w, F.lit(0)).alias("first"), F.try_element_at(w, F.lit(-1)).alias("last"))
-    at_told = F.filter(F.transform("told", lambda x, i: F.when(x, i + 1)), lambda i: i.isNotNull())
-    rows = rows.select("doc_id", "lines", F.size("lines").cast("long").alias("n_paragraphs"), at_told.alias("told"), F.transform("words", part).alias("parts"))
-
-    # a run is one number, its lines above its first line: so the shortest ones sort first
-    def runs(t: Column, n: int) -> Column:
-        """The runs of ``n`` lines that hold line ``t``."""
-        first, last = F.greatest(t - n + 1, F.lit(1)), F.least(t, F.size("lines") - n + 1)
-        inside = F.when(first <= last, F.sequence(first, F.greatest(first, last))).otherwise(F.array().cast("array<int>"))
-        return F.transform(inside, lambda a: a.cast("long") + F.lit(n << _LINE_BITS))
-
-    spans = F.flatten(F.transform("told", lambda t: F.flatten(F.array(*[runs(t, n) for n in range(1, wrapped + 1)]))))
-    rows = rows.select("doc_id", "lines", "parts", "n_paragraphs", F.size("told").cast("long").alias("n_scored"), F.array_sort(F.array_distinct(spans)).alias("spans"))
-    length, begin = lambda c: F.shiftright(c, _LINE_BITS).cast("int"), lambda c: c.bitwiseAND(F.lit((1 << _LINE_BITS) - 1)).cast("int")
-    taken = lambda c: F.struct(length(c).alias("n"), begin(c).alias("at"), F.filter(F.slice("parts", begin(c), length(c)), lambda p: p["first"].isNotNull()).alias("parts"))
-    rows = rows.select("doc_id", "lines", "n_paragraphs", "n_scored", F.transform("spans", taken).alias("runs"))
-
-    def grams(r: Column) -> Column:
-        rest = F.greatest(F.size(r["parts"]) - 1, F.lit(0))
-        over_ends = F.zip_with(F.slice(r["parts"], 1, rest), F.slice(r["parts"], 2, rest), lambda a, b: F.concat(a["last"], F.lit(" "), b["first"]))
-        return F.array_distinct(F.concat(F.flatten(F.transform(r["parts"], lambda p: p["grams"])), F.array_intersect(over_ends, vocabulary)))
+    n_scored = F.size(F.filter("told", lambda x: x)).cast("long")
+    size = F.when(F.exists("told", lambda x: x), F.size("lines")).otherwise(0)
+    rows = _kept(rows.select("doc_id", "lines", "told", n_scored.alias("n_scored"), size.alias("size"), F.transform(words, part).alias("parts")))
+
+    # a run of n lines stands in the n-th array at the place of its first line
+    def grams(n: int, i: Column) -> Column:
+        parts = F.filter(F.slice("parts", i, n), lambda p: p["first"].isNotNull())
+        rest = F.greatest(F.size(parts) - 1, F.lit(0))
+        over_ends = F.zip_with(F.slice(parts, F.lit(1), rest), F.slice(parts, F.lit(2), rest), lambda a, b: F.concat(a["last"], F.lit(" "), b["first"]))
+        return F.concat(F.flatten(F.transform(parts, lambda p: p["grams"])), over_ends)
+
+    none = F.array().cast("array<int>")
+    places = lambda n: F.when(F.col("size") >= n, F.sequence(F.lit(1), F.greatest(F.col("size") - n + 1, F.lit(1)))).otherwise(none)
+    run = lambda n: F.transform(places(n), lambda i: F.when(F.exists(F.slice("told", i, n), lambda x: x), grams(n, i))).alias(f"run{n}")
+    held = [run(n) for n in range(1, wrapped + 1)]
+    rows = _kept(rows.select("doc_id", "lines", "n_scored", "size", *held))
 
-    fewest = min(math.ceil(confirmed * len(own)) for _, own in model.templates)
-    known = F.filter(F.transform("runs", lambda r: F.struct(r["n"].alias("n"), r["at"].alias("at"), grams(r).alias("grams"))), lambda k: F.size(k["grams"]) >= fewest)
-    rows = rows.select("doc_id", "lines", "n_paragraphs", "n_scored", known.alias("known"))
     place = {family: i for i, family in enumerate(model.families)}
-    templates = F.array(*[F.struct(F.lit(place[family]).alias("place"), F.lit(list(grams)).alias("grams")) for family, grams in model.templates])
-
-    share = lambda t, k: F.size(F.array_intersect(t["grams"], k["grams"])) >= F.lit(confirmed) * F.size(t["grams"])
-    rows = rows.select("doc_id", "lines", "n_paragraphs", "n_scored", F.filter("known", lambda k: F.exists(templates, lambda t: share(t, k))).alias("known"))
-    judged = F.transform("known", lambda k: F.struct(k["n"].alias("n"), k["at"].alias("at"), k["grams"].alias("grams"), _scored(k["grams"], model).alias("s")))
-    rows = rows.select("doc_id", "lines", "n_paragraphs", "n_scored", judged.alias("judged"))
-
-    def is_confirmed(j: Column) -> Column:
-        return (j["s"]["place"] < len(place) - 1) & (j["s"]["score"] > model.least) & F.exists(templates, lambda t: (t["place"] == j["s"]["place"]) & share(t, j))
-
+    templates = F.array(*[F.struct(F.lit(place[family]).alias("place"), F.lit(list(own)).alias("grams")) for family, own in model.templates])
+    share = lambda t, g: F.size(F.array_intersect(t["grams"], g)) >= F.lit(confirmed) * F.size(t["grams"])
+    fewest = min(math.ceil(confirmed * len(own)) for _, own in model.templates)
     families = F.lit(list(model.families))
-    named = F.transform(
-        F.filter("judged", is_confirmed),
-        lambda j: F.struct(j["at"].alias("at"), j["n"].alias("n"), F.element_at(families, j["s"]["place"] + 1).alias("family"), j["s"]["score"].alias("score")),
-    )
-    rows = rows.select("doc_id", "lines", "n_paragraphs", "n_scored", named.alias("named"))
+
+    def judged(g: Column) -> Column:
+        """The family and the score of a run, null where it has none."""
+        # the class is looked at first, and a template of its family confirms it
+        scored = F.filter(F.array(_scored(g, model)), lambda s: (s["place"] < len(place) - 1) & (s["score"] > model.least))
+        sure = F.filter(scored, lambda s: F.exists(templates, lambda t: (t["place"] == s["place"]) & share(t, g)))
+        return F.when(F.size(g) >= fewest, F.get(F.transform(sure, lambda s: F.struct(F.element_at(families, s["place"] + 1).alias("family"), s["score"].alias("score"))), F.lit(0)))
+
+    # all runs are judged in one array and dealt out again
+    runs = F.transform(F.flatten(F.array(*[f"run{n}" for n in range(1, wrapped + 1)])), lambda g: F.array_intersect(g, vocabulary))
+    sizes = [F.size(f"run{n}").alias(f"size{n}") for n in range(1, wrapped + 1)]
+    rows = _kept(rows.select("doc_id", "lines", "n_scored", runs.alias("runs"), *sizes))
+    rows = _kept(rows.select("doc_id", "lines", "n_scored", F.transform("runs", judged).alias("runs"), *[f"size{n}" for n in range(1, wrapped + 1)]))
+    before, dealt = F.lit(1), []
+    for n in range(1, wrapped + 1):
+        dealt.append(F.slice("runs", before, F.col(f"size{n}")).alias(f"run{n}"))
+        before = before + F.col(f"size{n}")
+    rows = _kept(rows.select("doc_id", "lines", "n_scored", *dealt))
+    any_of = lambda n: F.exists(f"run{n}", lambda x: x.isNotNull())
+    found = any_of(1)
+    for n in range(2, wrapped + 1):
+        found = found | any_of(n)
     # fewest lines first; a line is listed once
-    meets = lambda x, y: (x["at"] < y["at"] + y["n"]) & (y["at"] < x["at"] + x["n"])
-    apart = F.aggregate("named", F.slice("named", 1, 0), lambda taken, x: F.when(F.exists(taken, lambda y: meets(x, y)), taken).otherwise(F.concat(taken, F.array(x))))
-    rows = rows.select("doc_id", "lines", "n_paragraphs", "n_scored", F.array_sort(apart).alias("named"))
-    listed = F.transform("named", lambda x: F.struct(x["family"].alias("family"), x["score"].alias("score"), F.array_join(F.slice("lines", x["at"], x["n"]), "\n").alias("paragraph")))
-    return rows.select("doc_id", "n_paragraphs", "n_scored", listed.alias("licences"))
+    rows = _kept(rows.withColumn("found", found).withColumn("free", F.when(F.col("found"), F.transform("lines", lambda _: F.lit(True))).otherwise(F.array().cast("array<boolean>"))))
+    for n in range(1, wrapped + 1):
+        unmet = lambda i: F.forall(F.slice("free", i + 1, n), lambda x: x)
+        fits = F.when(F.col("found"), F.transform(f"run{n}", lambda x, i: x.isNotNull() & unmet(i))).otherwise(F.array().cast("array<boolean>"))
+        rows = _kept(rows.withColumn(f"take{n}", fits))
+        rows = _kept(rows.withColumn(f"take{n}", F.when(F.exists(f"take{n}", lambda x: x), _first_apart(F.col(f"take{n}"), n)).otherwise(F.array().cast("array<boolean>"))))
+        covered = lambda i: F.exists(F.slice(f"take{n}", F.greatest(i - n + 2, F.lit(1)), F.least(i + 1, F.lit(n))), lambda x: x)
+        rows = _kept(rows.withColumn("free", F.when(F.size(f"take{n}") > 0, F.transform("free", lambda x, i: x & ~covered(i))).otherwise(F.col("free"))))
+
+    def listed(i: Column) -> Column:
+        at = lambda n: F.struct(F.get(f"run{n}", i)["family"].alias("family"), F.get(f"run{n}", i)["score"].alias("score"), F.array_join(F.slice("lines", i + 1, n), "\n").alias("paragraph"))
+        return F.filter(F.array(*[F.when(F.coalesce(F.get(f"take{n}", i), F.lit(False)), at(n)) for n in range(1, wrapped + 1)]), lambda x: x.isNotNull())
+
+    every = F.flatten(F.transform("lines", lambda _, i: listed(i)))
+    nothing = F.array().cast("array<struct<family:string,score:double,paragraph:string>>")
+    return rows.select("doc_id", F.size("lines").cast("long").alias("n_paragraphs"), "n_scored", F.when(F.col("found"), every).otherwise(nothing).alias("licences"))
 
 
 def op1_licence_scan(spark, sf_dir: str) -> DataFrame:
