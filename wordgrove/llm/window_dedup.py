@@ -353,6 +353,7 @@ class FMIndex:
         # suffixes that agree in ``depth`` symbols, and in one fewer: where their runs begin and end
         self.depth, self.n = depth, n
         shared = self._shared(text, order)
+        shared[:1] = -1
         self.parents = np.append(np.flatnonzero(shared < depth - 1), n)
         runs = np.flatnonzero(shared < depth)
         self.least = np.repeat(np.minimum.reduceat(docs[order], runs), np.diff(np.append(runs, n)))
