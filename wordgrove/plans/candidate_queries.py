@@ -81,7 +81,8 @@ def c08(spark, sf_dir):
     return op.ending_alternatives(words(spark, sf_dir), "ed", ["er", "en", ""])
 
 
-@query("c09_strip_prefixes", f"WITH {W_SQL}, p(prefix) AS (VALUES ('be'), ('ver'), ('en'), ('re'), ('in')) SELECT s.lemma AS source, t.lemma AS target, t.pos, p.prefix FROM w t JOIN p ON starts_with(t.lemma, p.prefix) AND length(t.lemma) >= length(p.prefix) + 2 JOIN w s ON s.pos = t.pos AND s.lemma = substr(t.lemma, length(p.prefix) + 1) QUALIFY row_number() OVER (PARTITION BY t.lemma, t.pos ORDER BY length(p.prefix) DESC) = 1")
+@query("c09_strip_prefixes", f"WITH {W_SQL}, p(prefix) AS (VALUES ('be'), ('ver'), ('en'), ('re'), ('in')), cut AS MATERIALIZED (SELECT t.lemma AS target, t.pos, p.prefix, substr(t.lemma, length(p.prefix) + 1) AS source FROM w t JOIN p ON starts_with(t.lemma, p.prefix) AND length(t.lemma) >= length(p.prefix) + 2) "
+       "SELECT cut.source, cut.target, cut.pos, cut.prefix FROM cut JOIN w s ON s.pos = cut.pos AND s.lemma = cut.source QUALIFY row_number() OVER (PARTITION BY cut.target, cut.pos ORDER BY length(cut.prefix) DESC) = 1")
 def c09(spark, sf_dir):
     return op.strip_prefixes(words(spark, sf_dir), ["be", "ver", "en", "re", "in"])
 
