@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wordgrove.common import checkpointed
 from wordgrove.operators.forest import roots_of
 
 
@@ -47,7 +48,8 @@ def score_details(nodes: DataFrame, relations: DataFrame, gold: DataFrame, ignor
     ``cluster`` (is a parent that the gold names in the word's family; once,
     however many are).  Outcomes: tp, fp, tn, fn.
     """
-    asked = _asked(nodes, gold, ignore_pos)
+    # both are read several times below
+    asked = checkpointed(_asked(nodes, gold, ignore_pos))
     absent, present = asked.where("node IS NULL"), asked.where("node IS NOT NULL")
     no_rel = F.lit(None).cast(f"struct<target:{dict(relations.dtypes)['target']},ord:int>")
 
@@ -60,7 +62,7 @@ def score_details(nodes: DataFrame, relations: DataFrame, gold: DataFrame, ignor
     out = out.unionByName(rows(absent.where("decision NOT IN ('!', '-')"), ["gold"], F.lit("fn")))
     out = out.unionByName(rows(present, ["lexeme"], F.when(banned, "fp").otherwise("tp")))
     judged = present.where("decision <> '!'")
-    keyed = _relation_keys(nodes, relations.withColumn("ord", F.col("ord").cast("int")))
+    keyed = checkpointed(_relation_keys(nodes, relations.withColumn("ord", F.col("ord").cast("int"))))
     related = judged.join(keyed, "node", "left")
     correct = F.array_contains("keys", F.col("key"))
     underived = F.when(F.array_contains("keys", F.lit("-")), "tn").otherwise("fn")
