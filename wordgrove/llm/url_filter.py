@@ -70,7 +70,9 @@ def judge(pages: DataFrame, rules: DataFrame, *, id_col: str = "page_id", url_co
     spark = session_of(pages)
     urls = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path")).withColumn("key", host_key(F.col("host")))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = written(urls.repartitionByRange(parts, "key", F.xxhash64("page_id")).withColumn("part", F.spark_partition_id()))
+    # rows of one host are told apart by their place, so that neither it nor a repeated or missing id fills a range
+    numbered = urls.withColumn("row", F.monotonically_increasing_id())
+    dealt = written(numbered.repartitionByRange(parts, "key", F.xxhash64("row")).drop("row").withColumn("part", F.spark_partition_id()))
     # at most one range for each shuffle partition, so these are few whatever the input
     ranges = [r for r in dealt.groupBy("part").agg(F.min("key").alias("low"), F.max("key").alias("high")).orderBy("part").collect()]
     held = spark.sparkContext.broadcast(([r.part for r in ranges], [r.low for r in ranges], [r.high for r in ranges]))
