@@ -58,9 +58,9 @@ def test_hard_negatives_with_odd_rows(spark):
 
 
 def test_hard_negatives_by_thresholds_and_blocks(spark, monkeypatch):
-    for name, value in (("FIRST_HITS", 3), ("LABELS", 10), ("MORE_HITS", 2), ("BLOCK_ANCHORS", 4), ("TILE_ROWS", 64), ("TILE_ANCHORS", 2), ("GROUP_DIMS", 4)):
+    for name, value in (("FIRST_HITS", 3), ("LABELS", 10), ("MORE_HITS", 8), ("BLOCK_ANCHORS", 40), ("TILE_ROWS", 64), ("TILE_ANCHORS", 2), ("GROUP_DIMS", 4)):
         monkeypatch.setattr(hn, name, value)
-    rows = [(i * 25, v, label) for i, v, label in vectors(2, 600)]
+    rows = [(i * 25, v, label) for i, v, label in vectors(2, 300)]
     asked = []
     threshold = hn.Moments.threshold
     monkeypatch.setattr(hn.Moments, "threshold", lambda self, v, hits: asked.append(threshold(self, v, hits)) or asked[-1])
