@@ -32,4 +32,4 @@ def test_entry_lists_what_is_there():
     assert set(with_sql) <= set(names)
     numbered = {name.split("_")[0] for name in names if name.startswith("op")}
     if (ROOT / "wordgrove" / "llm").exists() and (ROOT / "corpus_pipeline.py").exists():
-        assert numbered == {f"op{n}" for n in range(1, 11)} and "pipeline" in names
+        assert numbered == {f"op{n}" for n in range(1, 14)} and "pipeline" in names
