@@ -2,42 +2,52 @@
 
 1. Document frequencies of the benchmark's words are counted over the whole
    corpus.
-2. A randomised SVD of the TF-IDF rows of all items gives a latent space, of as
-   many dimensions as every item needs to keep nearly all of its length.  The
-   corpus bears on it by the document frequencies alone, so no text is drawn.
-3. Every text is cut in windows that overlap.  An item is a candidate in a window
-   of one and a half times its length that holds enough of its answer words
-   (those of an item with the highest inverse document frequency).  For passages
-   that are spread out, windows of a wider class are projected too, and compared
-   with the items of that class by their cosine.
+2. A randomised SVD gives a latent space: all texts are cut in passages, the
+   Gram matrix of their TF-IDF rows is sketched by one random matrix task by
+   task, and the sketches are summed in a tree.  The items stand among the rows
+   with a weight of their own, so that the space, whose rank is bounded, lies
+   near them.  Words that no item has can't bear on a cosine and are left out.
+3. Every text is cut in windows that overlap: for an item, windows of one and a
+   half times its length at least, and wider ones for passages that are spread
+   out.  All windows are projected, and an item is a candidate where its cosine
+   with the window is high enough.  Only a window with fewer known words than the
+   common subsequence needs is passed over.
 4. A candidate counts if the longest common subsequence of words covers enough
-   of the item, and if enough of its answer words stand in the window.
+   of the item, and if enough of its answer words (those with the highest inverse
+   document frequency) stand in the window.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordgrove.llm.common import session_of
+from wordgrove.llm.common import folded, partition_states, session_of
 
-RANK, OVERSAMPLE, POWER_ROUNDS = 128, 16, 2
-#: Share of its length that every item keeps in the latent space.
-MIN_KEPT = 0.95
-#: Items of one broadcast; more are taken in blocks of this size, which bounds the dimensions.
+RANK, OVERSAMPLE = 192, 32
+#: Share of the items, against that of all passages of the corpus, in what the latent space is learnt from.
+ITEM_WEIGHT = 0.9
+#: Items of one broadcast; more are taken in blocks of this size.
 BLOCK_ITEMS = 500
-MIN_COSINE, MIN_COMMON, MIN_ANSWERS = 0.4, 0.6, 0.6
+#: Items of fewer words are left out: too many texts hold them by chance.
+MIN_ITEM_WORDS = 4
+MIN_COSINE, MIN_COMMON, MIN_ANSWERS = 0.3, 0.6, 0.6
 ANSWER_WORDS = 6
-#: Wide windows in words: so many for items of up to two thirds of that, twice as many for longer ones, and so on.
-WINDOW = 96
-#: Words of a text whose answer words are counted by item at once.
-SPAN = 4096
+#: Smallest windows in words, and how much wider the next ones are: narrow ones, then wide ones.
+NARROW, WIDE = (12, 1.5), (96, 2)
+#: Words of a passage of the corpus.
+PASSAGE = 96
+#: Words that are projected at once.
+SPAN = 16384
+#: Input splits whose passages one task sketches, so that sketches are small against what is read.
+SPLITS_A_TASK = 8
 #: Bytes that words are made of stay, all others become spaces.
 _WORD_BYTES = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
@@ -72,43 +82,46 @@ class Index:
     item_ids: list
     items: list[list[int]]
     answers: list[list[int]]
-    answer_words: frozenset[bytes]
-    #: Stride of each item's own windows, which are three strides long.
-    strides: np.ndarray
-    #: Of each term, where its items begin in ``holders``; items, and the term's places among their answer words.
-    held_from: np.ndarray
-    holders: np.ndarray
-    slots: np.ndarray
-    #: Wide windows in words, and the items held against them.
+    #: Windows in words, and the items held against them.
     classes: list[tuple[int, np.ndarray]]
 
 
-def _windows(n: int, window: int, stride: int) -> np.ndarray:
-    """Starts of windows that cover ``n`` words; the last ends with them."""
-    if n <= window:
-        return np.zeros(1, np.int64)
-    return np.unique(np.append(np.arange(0, n - window, stride), n - window))
-
-
 def _classes(lengths: list[int]) -> list[tuple[int, np.ndarray]]:
-    """Wide windows, smallest first, and the items of which each holds one and a half times the length."""
-    sizes = []
-    for n in lengths:
-        size = WINDOW
-        while 2 * size < 3 * n:
-            size *= 2
-        sizes.append(size)
-    return [(size, np.flatnonzero(np.array(sizes) == size)) for size in sorted(set(sizes))]
+    """Sizes of windows and their items; every item is in a narrow and in a wide one, each of at least one and a half times its length."""
+    classes = []
+    for least, ratio in (NARROW, WIDE):
+        sizes = []
+        for n in lengths:
+            size = least
+            while 2 * size < 3 * n:
+                size = math.ceil(size * ratio)
+            sizes.append(size)
+        classes += [(size, np.flatnonzero(np.array(sizes) == size)) for size in sorted(set(sizes))]
+    return classes
 
 
 def _tfidf(places: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Terms and unit-length TF-IDF weights of the known words among places."""
     terms, counts = np.unique(places[places >= 0], return_counts=True)
-    weights = (1 + np.log(counts)) * idf[terms]
+    weights = counts * idf[terms]
     norm = np.sqrt((weights * weights).sum())
     return terms, weights / norm if norm else weights
 
 
+def _gram_times(passage: np.ndarray, term: np.ndarray, idf: np.ndarray, test: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Terms, the rows of X'X times ``test`` at them, and the number of rows of X: unit TF-IDF rows of the words' passages."""
+    cells, counts = np.unique(passage * len(idf) + term, return_counts=True)
+    passage, term = np.divmod(cells, len(idf))
+    weights = counts * idf[term]
+    _, begins, place = np.unique(passage, return_index=True, return_inverse=True)
+    weights /= np.sqrt(np.add.reduceat(weights * weights, begins))[place]
+    weights = weights.astype(np.float32)[:, None]
+    projected = np.add.reduceat(weights * test[term], begins)
+    order = np.argsort(term, kind="stable")
+    terms, begins_of = np.unique(term[order], return_index=True)
+    return terms, np.add.reduceat((weights * projected[place])[order], begins_of), len(begins)
+
+
 def document_frequencies(texts: DataFrame, vocabulary: dict[bytes, int]) -> tuple[np.ndarray, int]:
     """In how many texts each word of a vocabulary stands, and how many texts there are, over the whole column ``text``."""
     spark = session_of(texts)
@@ -130,157 +143,159 @@ def document_frequencies(texts: DataFrame, vocabulary: dict[bytes, int]) -> tupl
     return counts, int(numbers[terms < 0].sum())
 
 
-def latent_basis(passages: DataFrame, n_terms: int, rank: int = RANK, seed: int = 0) -> np.ndarray:
-    """Right singular vectors of the rows (``terms``, ``weights``) by a randomised SVD.
+def corpus_sketch(texts: DataFrame, vocabulary: dict[bytes, int], idf: np.ndarray, test: np.ndarray) -> tuple[np.ndarray, int]:
+    """The Gram matrix of all passages' TF-IDF rows times the matrix ``test``, and the number of passages with known words.
 
-    Every round multiplies the rows with a thin basis and back, task by task; only
-    matrices of terms by rank, whose size the benchmark sets, come together.
+    A task adds up matrices of terms by columns of ``test``, whose size the
+    benchmark sets; they are summed in a tree.
     """
-    spark = passages.sparkSession
-    width = min(rank + OVERSAMPLE, n_terms)
-
-    def product(basis: np.ndarray) -> np.ndarray:
-        held = spark.sparkContext.broadcast(basis)
-
-        def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            out = np.zeros(held.value.shape)
-            for batch in batches:
-                for terms, weights in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    if terms:
-                        w = np.array(weights)
-                        out[terms] += np.outer(w, w @ held.value[terms])
-            at = np.flatnonzero(out.any(axis=1))
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array([x.tolist() for x in out[at]], pa.list_(pa.float64()))], names=["term", "row"])
-
-        def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums: dict[int, np.ndarray] = {}
-            for batch in batches:
-                for term, row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    sums[term] = sums[term] + row if term in sums else np.array(row)
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([x.tolist() for x in sums.values()], pa.list_(pa.float64()))], names=["term", "row"])
-
-        schema = "term long, row array<double>"
-        found = passages.mapInArrow(partial, schema).repartition(4, "term").mapInArrow(summed, schema).toArrow()
-        whole = np.zeros(basis.shape)
-        if found.num_rows:
-            whole[found["term"].to_numpy()] = found["row"].combine_chunks().flatten().to_numpy().reshape(-1, basis.shape[1])
-        return whole
-
-    basis = np.linalg.qr(np.random.default_rng(seed).normal(size=(n_terms, width)))[0]
-    for _ in range(POWER_ROUNDS):
-        basis = np.linalg.qr(product(basis))[0]
-    # the rows' Gram matrix within the basis gives the singular vectors
-    inner = basis.T @ product(basis)
-    values, vectors = np.linalg.eigh((inner + inner.T) / 2)
-    order = np.argsort(-values)[: min(rank, width)]
-    return basis @ vectors[:, order]
+    spark = session_of(texts)
+    held = spark.sparkContext.broadcast((vocabulary, idf, test))
+
+    def sketched(batches: Iterator[pa.RecordBatch]) -> bytes:
+        words, idf, test = held.value
+        total, n = np.zeros(test.shape), 0
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        size = base = 0
+
+        def settle() -> None:
+            nonlocal n, size, base
+            if waiting:
+                terms, rows, more = _gram_times(np.concatenate([x for x, _ in waiting]), np.concatenate([x for _, x in waiting]), idf, test)
+                total[terms] += rows
+                n += more
+            waiting.clear()
+            size = base = 0
 
+        for batch in batches:
+            for text in batch.column(0):
+                found = np.array([words.get(w, -1) for w in words_of(text.as_py())], np.int64)
+                # whole passages only, so that none is cut between two products
+                for start in range(0, len(found), SPAN // PASSAGE * PASSAGE):
+                    part = found[start : start + SPAN // PASSAGE * PASSAGE]
+                    at = np.flatnonzero(part >= 0)
+                    waiting.append((base + at // PASSAGE, part[at]))
+                    base += len(part) // PASSAGE + 1
+                    size += len(at)
+                    if size >= SPAN:
+                        settle()
+        settle()
+        at = np.flatnonzero(total.any(axis=1))
+        return pickle.dumps((at, total[at].astype(np.float32), n))
+
+    def summed(states: list[bytes]) -> bytes:
+        total, n = np.zeros(test.shape), 0
+        for state in states:
+            at, rows, more = pickle.loads(state)
+            total[at] += rows
+            n += more
+        at = np.flatnonzero(total.any(axis=1))
+        return pickle.dumps((at, total[at].astype(np.float32), n))
+
+    column = texts.select("text")
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(column.rdd.getNumPartitions() / SPLITS_A_TASK))
+    at, rows, n = pickle.loads(folded(partition_states(column.coalesce(tasks), sketched), summed))
+    whole = np.zeros(test.shape)
+    whole[at] = rows
+    return whole, n
+
+
+def latent_basis(texts: DataFrame, vocabulary: dict[bytes, int], idf: np.ndarray, items: list[list[int]], rank: int = RANK, item_weight: float = ITEM_WEIGHT, seed: int = 0) -> np.ndarray:
+    """Leading right singular vectors of the TF-IDF rows of all passages and items, by a randomised SVD of one pass.
+
+    The sketch Y = A Q of the weighted Gram matrix A gives its Nystrom form
+    Y (Q'Y)^-1 Y', whose eigenvectors are those of Y (Q'Y)^-1/2.
+    """
+    n_terms = len(vocabulary)
+    test = np.linalg.qr(np.random.default_rng(seed).normal(size=(n_terms, min(rank + OVERSAMPLE, n_terms))))[0].astype(np.float32)
+    sketch, n = corpus_sketch(texts, vocabulary, idf, test)
+    sketch *= (1 - item_weight) / max(n, 1)
+    places = np.repeat(np.arange(len(items)), [len(x) for x in items])
+    terms, rows, n_items = _gram_times(places, np.concatenate(items), idf, test)
+    sketch[terms] += rows * (item_weight / n_items)
+    inner = test.T.astype(float) @ sketch
+    values, vectors = np.linalg.eigh((inner + inner.T) / 2)
+    sound = values > 1e-6 * values[-1]
+    left, _, _ = np.linalg.svd(sketch @ (vectors[:, sound] / np.sqrt(values[sound])), full_matrices=False)
+    return left[:, :rank]
 
-def build_index(texts: DataFrame, item_ids: list, item_texts: list[str], *, rank: int = RANK, min_kept: float = MIN_KEPT) -> Index:
-    """An index of items, with document frequencies of the column ``text``.
 
-    The latent space has ``rank`` dimensions, or more where an item would keep less than ``min_kept`` of its length.
-    """
-    spark: SparkSession = session_of(texts)
+def build_index(texts: DataFrame, item_ids: list, item_texts: list[str], *, rank: int = RANK) -> Index:
+    """An index of items, with document frequencies and a latent space of the column ``text``."""
     split = [words_of(t) for t in item_texts]
     vocabulary = {w: i for i, w in enumerate(sorted({w for words in split for w in words}))}
     frequency, n_texts = document_frequencies(texts, vocabulary)
     idf = np.log((n_texts + 1) / (frequency + 1)) + 1e-3
     items = [[vocabulary[w] for w in words] for words in split]
-    classes = _classes(list(map(len, items)))
-    own = [_tfidf(np.array(x, np.int64), idf) for x in items]
-    schema = "terms array<long>, weights array<double>"
-    passages = spark.createDataFrame([(t.tolist(), w.tolist()) for t, w in own], schema)
-    basis = latent_basis(passages, len(vocabulary), max(rank, len(items)))
-    latent = np.array([w @ basis[t] for t, w in own])
-    kept = np.sqrt(np.cumsum(latent * latent, axis=1)) >= min_kept
-    wanted = max(rank, int((~kept).sum(axis=1).max()) + 1)
-    basis, latent = basis[:, :wanted], latent[:, :wanted]
+    basis = latent_basis(texts, vocabulary, idf, items, rank)
+    latent = np.array([w @ basis[t] for t, w in (_tfidf(np.array(x, np.int64), idf) for x in items)])
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
-    listed = list(vocabulary)
     answers = [sorted(set(x), key=lambda t: (-idf[t], t))[:ANSWER_WORDS] for x in items]
-    strides = np.array([(len(x) + 1) // 2 for x in items])
-    postings = sorted((t, i, slot) for i, own_answers in enumerate(answers) for slot, t in enumerate(own_answers))
-    terms, holders, slots = np.array(postings, np.int64).T
-    held_from = np.searchsorted(terms, np.arange(len(vocabulary) + 1))
-    return Index(vocabulary, idf, basis.astype(np.float32), latent.astype(np.float32), list(item_ids), items, answers, frozenset(listed[t] for own in answers for t in own), strides, held_from, holders, slots, classes)
-
-
-def best_match(text: str | None, index: Index, min_cosine: float = MIN_COSINE, min_common: float = MIN_COMMON, min_answers: float = MIN_ANSWERS) -> tuple[int, float, float] | None:
-    """The place, cosine and common share of the item that a text's windows hold most of, if they hold one."""
-    words = words_of(text)
-    needed = min(max(1, math.ceil(min_answers * len(x))) for x in index.answers)
-    if len(index.answer_words.intersection(words)) < needed:
-        return None
-    found = np.array([index.vocabulary.get(w, -1) for w in words], np.int64)
-    best = None
-
-    def judge(i: int, cosine: float, inside: list[int]) -> None:
-        nonlocal best
-        common = common_subsequence(index.items[i], inside) / len(index.items[i])
-        if common >= min_common and (best is None or (common, cosine, -i) > (best[2], best[1], -best[0])):
-            best = (i, cosine, common)
+    return Index(vocabulary, idf, basis.astype(np.float32), latent.astype(np.float32), list(item_ids), items, answers, _classes(list(map(len, items))))
 
-    for i, start, end in _answered(found, index, min_answers):
-        part = found[start:end]
-        judge(i, float(_cosines(part, index, np.array([i]))[0]), part.tolist())
-    told = np.concatenate([[0], np.cumsum([w in index.answer_words for w in words])])
-    for window, members in index.classes:
-        starts = _windows(len(found), window, window // 3)
-        heavy = starts[told[np.minimum(starts + window, len(found))] - told[starts] >= needed]
-        for start in heavy.tolist():
-            part = found[start : start + window]
-            cosines = _cosines(part, index, members)
-            inside = part.tolist()
-            for at in np.flatnonzero(cosines >= min_cosine).tolist():
-                i = int(members[at])
-                if len(set(index.answers[i]).intersection(inside)) >= min_answers * len(index.answers[i]):
-                    judge(i, float(cosines[at]), inside)
-    return best
 
+def _windows(lengths: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The text, start and end of windows a third apart over texts of these lengths laid end to end; the last of a text ends with it."""
+    stride = window // 3
+    each = np.where(lengths > 0, 1 + -(-np.maximum(lengths - window, 0) // stride), 0)
+    text = np.repeat(np.arange(len(lengths)), each)
+    number = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+    start = np.minimum(number * stride, np.maximum(lengths[text] - window, 0))
+    end = np.minimum(start + window, lengths[text])
+    before = (np.cumsum(lengths) - lengths)[text]
+    return text, start + before, end + before
 
-def _cosines(part: np.ndarray, index: Index, members: np.ndarray) -> np.ndarray:
-    """Cosines of a window with some items in the latent space; zero for a window without known words."""
-    terms, values = _tfidf(part, index.idf)
-    if not len(terms):
-        return np.zeros(len(members))
-    latent = values @ index.basis[terms]
-    return index.latent[members] @ latent / max(float(np.linalg.norm(latent)), 1e-12)
 
+def candidates(found: np.ndarray, lengths: np.ndarray, index: Index, min_cosine: float = MIN_COSINE, min_common: float = MIN_COMMON) -> Iterator[tuple[int, int, int, int, float]]:
+    """(text, start, end, item, cosine) of all windows that are near an item in the latent space.
 
-def _answered(found: np.ndarray, index: Index, min_answers: float) -> Iterator[tuple[int, int, int]]:
-    """(item, start, end) of every item's own windows that hold enough of its answer words.
-
-    An item is at most two strides long, and every run of so many words lies
-    in the window that begins at or before it.
+    ``found`` holds the places in the vocabulary of the words of all texts, -1
+    for others, and ``lengths`` the number of words of each text.
     """
-    needed = min_answers * np.array([len(x) for x in index.answers])
-    held = np.where(found >= 0, index.held_from[found + 1] - index.held_from[found], 0)
-
-    def expanded(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in the text, each as often as items have its word as an answer, and their places in ``holders``."""
-        n = held[places]
-        return np.repeat(places, n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(index.held_from[found[places]], n)
-
-    told = np.flatnonzero(held)
-    once = told[np.unique(found[told], return_index=True)[1]]
-    likely = np.bincount(index.holders[expanded(once)[1]], minlength=len(needed)) >= needed
-    if not likely.any():
-        return
-    longest = 3 * int(index.strides.max())
-    for base in range(0, len(found), SPAN):
-        at, posting = expanded(told[(told >= base) & (told < base + SPAN + longest)])
-        kept = likely[index.holders[posting]]
-        at, posting = at[kept] - base, posting[kept]
-        item = index.holders[posting]
-        last = at // index.strides[item]
-        keys = [((item * (SPAN + longest) + last - back) * ANSWER_WORDS + index.slots[posting])[last >= back] for back in range(3)]
-        windows, counts = np.unique(np.unique(np.concatenate(keys)) // ANSWER_WORDS, return_counts=True)
-        items, places = np.divmod(windows, SPAN + longest)
-        enough = counts >= needed[items]
-        for i, place in zip(items[enough].tolist(), places[enough].tolist()):
-            stride = int(index.strides[i])
-            yield i, base + place * stride, base + (place + 3) * stride
+    told = np.concatenate([[0], np.cumsum(found >= 0)])
+    weighted = index.basis * index.idf.astype(np.float32)[:, None]
+    planned = []
+    for window, members in index.classes:
+        text, start, end = _windows(lengths, window)
+        needed = math.ceil(min_common * min(len(index.items[i]) for i in members))
+        kept = told[end] - told[start] >= needed
+        planned.append((window, members, index.latent[members].T, text[kept], start[kept], end[kept]))
+    span = max(SPAN, *(window for window, _ in index.classes))
+    for base in range(0, len(found), span):
+        part = [(x, *np.searchsorted(x[4], [base, base + span])) for x in planned]
+        ends = [int(x[5][high - 1]) for x, low, high in part if high > low]
+        if not ends:
+            continue
+        known = found[base : max(ends)]
+        sums = np.zeros((int(told[max(ends)] - told[base]) + 1, weighted.shape[1]), np.float32)
+        np.cumsum(weighted[known[known >= 0]], axis=0, out=sums[1:])
+        for (_, members, latent, text, start, end), low, high in part:
+            places = sums[told[end[low:high]] - told[base]] - sums[told[start[low:high]] - told[base]]
+            norms = np.maximum(np.sqrt(np.einsum("ij,ij->i", places, places)), 1e-12)
+            cosines = places @ latent
+            rows, columns = np.nonzero(cosines >= min_cosine * norms[:, None])
+            for row, column in zip(rows.tolist(), columns.tolist()):
+                yield int(text[low + row]), int(start[low + row]), int(end[low + row]), int(members[column]), float(cosines[row, column] / norms[row])
+
+
+def best_matches(texts: list[str | None], index: Index, min_cosine: float = MIN_COSINE, min_common: float = MIN_COMMON, min_answers: float = MIN_ANSWERS) -> dict[int, tuple[int, float, float]]:
+    """Of every text that holds an item: the place, cosine and common share of the one that its windows hold most of."""
+    split = [[index.vocabulary.get(w, -1) for w in words_of(text)] for text in texts]
+    lengths = np.array([len(x) for x in split], np.int64)
+    found = np.fromiter((x for words in split for x in words), np.int64, int(lengths.sum()))
+    answers = [(set(x), min_answers * len(x)) for x in index.answers]
+    best: dict[int, tuple[int, float, float]] = {}
+    at, inside = None, []
+    for text, start, end, i, cosine in candidates(found, lengths, index, min_cosine, min_common):
+        if at != (start, end):
+            at, inside = (start, end), found[start:end].tolist()
+            present = set(inside)
+        if len(answers[i][0] & present) < answers[i][1]:
+            continue
+        common = common_subsequence(index.items[i], inside) / len(index.items[i])
+        if common >= min_common and (text not in best or (common, cosine, -i) > (best[text][2], best[text][1], -best[text][0])):
+            best[text] = (i, cosine, common)
+    return best
 
 
 def find_leaks(
@@ -301,7 +316,8 @@ def find_leaks(
 
     ``leaked_item`` is the item that the text holds most of (ties: the higher
     cosine, then the smaller id), null where none is found.  Null and empty texts
-    hold nothing; items without a word are left out; an empty benchmark leaves
+    hold nothing; items of fewer than ``MIN_ITEM_WORDS`` words are left out, as single
+    words and short phrases stand in many texts by chance; an empty benchmark leaves
     every row clean.  Every text of an id that has several is an item, and so is
     that of a null id: a row that holds it is a leak whose ``leaked_item`` is null.  Input columns of those four names are
     replaced.  Items come to the driver in blocks of ``block_items``.
@@ -322,7 +338,7 @@ def find_leaks(
         if not rows:
             break
         last = rows[-1]
-        kept = [r for r in rows if words_of(r.item_text)]
+        kept = [r for r in rows if len(words_of(r.item_text)) >= MIN_ITEM_WORDS]
         if kept:
             blocks.append(build_index(df.select(F.col(text_col).alias("text")), [r.item_id for r in kept], [r.item_text for r in kept], rank=rank))
         if len(rows) < block_items:
@@ -344,9 +360,9 @@ def _marked(df: DataFrame, held, text_col: str, item_type: str, min_cosine: floa
         index = held.value
         for batch in batches:
             columns = [list(batch.column(i).to_pylist()) for i in (-4, -3, -2, -1)]
-            for row, text in enumerate(batch.column(at)):
-                best = best_match(text.as_py(), index, min_cosine, min_common, min_answers)
-                if best and (not columns[0][row] or (best[2], best[1]) > (columns[3][row], columns[2][row])):
+            texts = batch.column(at).to_pylist()
+            for row, best in best_matches(texts, index, min_cosine, min_common, min_answers).items():
+                if not columns[0][row] or (best[2], best[1]) > (columns[3][row], columns[2][row]):
                     columns[0][row], columns[1][row], columns[2][row], columns[3][row] = True, index.item_ids[best[0]], best[1], best[2]
             kinds = [batch.schema.field(i).type for i in range(len(names) - 4, len(names))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-4], *(pa.array(c, k) for c, k in zip(columns, kinds))], names=names)
