@@ -23,6 +23,7 @@ import math
 import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,14 +39,14 @@ ITEM_WEIGHT = 0.9
 BLOCK_ITEMS = 500
 #: Items of fewer words are left out: too many texts hold them by chance.
 MIN_ITEM_WORDS = 4
-MIN_COSINE, MIN_COMMON, MIN_ANSWERS = 0.3, 0.6, 0.6
+MIN_COSINE, MIN_COMMON, MIN_ANSWERS = 0.4, 0.6, 0.6
 ANSWER_WORDS = 6
 #: Smallest windows in words, and how much wider the next ones are: narrow ones, then wide ones.
 NARROW, WIDE = (12, 1.5), (96, 2)
 #: Words of a passage of the corpus.
 PASSAGE = 96
-#: Words that are projected at once.
-SPAN = 16384
+#: Words that are projected at once, few enough for their rows to lie in a cache.
+SPAN = 8192
 #: Input splits whose passages one task sketches, so that sketches are small against what is read.
 SPLITS_A_TASK = 8
 #: Bytes that words are made of stay, all others become spaces.
@@ -57,6 +58,12 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").lower().encode().translate(_WORD_BYTES).split()
 
 
+def places_of(text: str | None, vocabulary: dict[bytes, int]) -> np.ndarray:
+    """The places in a vocabulary of a text's words, -1 for those it hasn't."""
+    words = words_of(text)
+    return np.fromiter(map(vocabulary.get, words, repeat(-1)), np.int64, len(words))
+
+
 def common_subsequence(a: list[int], b: list[int]) -> int:
     """The length of the longest common subsequence, a word of ``b`` at a time over bits for ``a``."""
     masks: dict[int, int] = {}
@@ -87,17 +94,19 @@ class Index:
 
 
 def _classes(lengths: list[int]) -> list[tuple[int, np.ndarray]]:
-    """Sizes of windows and their items; every item is in a narrow and in a wide one, each of at least one and a half times its length."""
-    classes = []
-    for least, ratio in (NARROW, WIDE):
-        sizes = []
-        for n in lengths:
-            size = least
-            while 2 * size < 3 * n:
-                size = math.ceil(size * ratio)
-            sizes.append(size)
-        classes += [(size, np.flatnonzero(np.array(sizes) == size)) for size in sorted(set(sizes))]
-    return classes
+    """Sizes of windows and their items; every item is in a wide one and, unless that is hardly less, in a narrow one, each of at least one and a half times its length."""
+
+    def size_for(n: int, size: int, ratio: float) -> int:
+        while 2 * size < 3 * n:
+            size = math.ceil(size * ratio)
+        return size
+
+    members: dict[int, list[int]] = {}
+    for i, n in enumerate(lengths):
+        narrow, wide = size_for(n, *NARROW), size_for(n, *WIDE)
+        for size in {wide, narrow} if 3 * narrow <= 2 * wide else {wide}:
+            members.setdefault(size, []).append(i)
+    return [(size, np.array(members[size])) for size in sorted(members)]
 
 
 def _tfidf(places: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -110,16 +119,12 @@ def _tfidf(places: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def _gram_times(passage: np.ndarray, term: np.ndarray, idf: np.ndarray, test: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """Terms, the rows of X'X times ``test`` at them, and the number of rows of X: unit TF-IDF rows of the words' passages."""
-    cells, counts = np.unique(passage * len(idf) + term, return_counts=True)
-    passage, term = np.divmod(cells, len(idf))
-    weights = counts * idf[term]
-    _, begins, place = np.unique(passage, return_index=True, return_inverse=True)
-    weights /= np.sqrt(np.add.reduceat(weights * weights, begins))[place]
-    weights = weights.astype(np.float32)[:, None]
-    projected = np.add.reduceat(weights * test[term], begins)
-    order = np.argsort(term, kind="stable")
-    terms, begins_of = np.unique(term[order], return_index=True)
-    return terms, np.add.reduceat((weights * projected[place])[order], begins_of), len(begins)
+    passages, row = np.unique(passage, return_inverse=True)
+    terms, column = np.unique(term, return_inverse=True)
+    # as many rows and columns as the words at hand have, a few thousand words at most
+    weights = np.bincount(row * len(terms) + column, minlength=len(passages) * len(terms)).reshape(len(passages), -1) * idf[terms]
+    weights = (weights / np.sqrt((weights * weights).sum(axis=1, keepdims=True))).astype(np.float32)
+    return terms, weights.T @ (weights @ test[terms]), len(passages)
 
 
 def document_frequencies(texts: DataFrame, vocabulary: dict[bytes, int]) -> tuple[np.ndarray, int]:
@@ -169,7 +174,7 @@ def corpus_sketch(texts: DataFrame, vocabulary: dict[bytes, int], idf: np.ndarra
 
         for batch in batches:
             for text in batch.column(0):
-                found = np.array([words.get(w, -1) for w in words_of(text.as_py())], np.int64)
+                found = places_of(text.as_py(), words)
                 # whole passages only, so that none is cut between two products
                 for start in range(0, len(found), SPAN // PASSAGE * PASSAGE):
                     part = found[start : start + SPAN // PASSAGE * PASSAGE]
@@ -210,9 +215,9 @@ def latent_basis(texts: DataFrame, vocabulary: dict[bytes, int], idf: np.ndarray
     test = np.linalg.qr(np.random.default_rng(seed).normal(size=(n_terms, min(rank + OVERSAMPLE, n_terms))))[0].astype(np.float32)
     sketch, n = corpus_sketch(texts, vocabulary, idf, test)
     sketch *= (1 - item_weight) / max(n, 1)
-    places = np.repeat(np.arange(len(items)), [len(x) for x in items])
-    terms, rows, n_items = _gram_times(places, np.concatenate(items), idf, test)
-    sketch[terms] += rows * (item_weight / n_items)
+    for item in items:
+        terms, rows, _ = _gram_times(np.zeros(len(item), np.int64), np.array(item), idf, test)
+        sketch[terms] += rows * (item_weight / len(items))
     inner = test.T.astype(float) @ sketch
     values, vectors = np.linalg.eigh((inner + inner.T) / 2)
     sound = values > 1e-6 * values[-1]
@@ -246,8 +251,17 @@ def _windows(lengths: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray,
     return text, start + before, end + before
 
 
-def candidates(found: np.ndarray, lengths: np.ndarray, index: Index, min_cosine: float = MIN_COSINE, min_common: float = MIN_COMMON) -> Iterator[tuple[int, int, int, int, float]]:
-    """(text, start, end, item, cosine) of all windows that are near an item in the latent space.
+def _running_sums(rows: np.ndarray, places: np.ndarray, size: int = 32) -> np.ndarray:
+    """Sums of the first 0, 1, 2 ... of the rows at some places, by products of ``size`` rows with a triangle, which are faster than sums row by row."""
+    padded = np.zeros((-(-(len(places) + 1) // size) * size, rows.shape[1]), np.float32)
+    padded[1 : len(places) + 1] = rows[places]
+    sums = np.tri(size, dtype=np.float32) @ padded.reshape(-1, size, rows.shape[1])
+    sums[1:] += np.cumsum(sums[:-1, -1], axis=0)[:, None]
+    return sums.reshape(padded.shape)
+
+
+def candidates(found: np.ndarray, lengths: np.ndarray, index: Index, min_cosine: float = MIN_COSINE, min_common: float = MIN_COMMON) -> Iterator[tuple[np.ndarray, ...]]:
+    """Texts, starts, ends, items and cosines of all windows that are near an item in the latent space, some at a time.
 
     ``found`` holds the places in the vocabulary of the words of all texts, -1
     for others, and ``lengths`` the number of words of each text.
@@ -267,34 +281,35 @@ def candidates(found: np.ndarray, lengths: np.ndarray, index: Index, min_cosine:
         if not ends:
             continue
         known = found[base : max(ends)]
-        sums = np.zeros((int(told[max(ends)] - told[base]) + 1, weighted.shape[1]), np.float32)
-        np.cumsum(weighted[known[known >= 0]], axis=0, out=sums[1:])
+        sums = _running_sums(weighted, known[known >= 0])
         for (_, members, latent, text, start, end), low, high in part:
             places = sums[told[end[low:high]] - told[base]] - sums[told[start[low:high]] - told[base]]
             norms = np.maximum(np.sqrt(np.einsum("ij,ij->i", places, places)), 1e-12)
             cosines = places @ latent
             rows, columns = np.nonzero(cosines >= min_cosine * norms[:, None])
-            for row, column in zip(rows.tolist(), columns.tolist()):
-                yield int(text[low + row]), int(start[low + row]), int(end[low + row]), int(members[column]), float(cosines[row, column] / norms[row])
+            yield text[low + rows], start[low + rows], end[low + rows], members[columns], cosines[rows, columns] / norms[rows]
 
 
 def best_matches(texts: list[str | None], index: Index, min_cosine: float = MIN_COSINE, min_common: float = MIN_COMMON, min_answers: float = MIN_ANSWERS) -> dict[int, tuple[int, float, float]]:
     """Of every text that holds an item: the place, cosine and common share of the one that its windows hold most of."""
-    split = [[index.vocabulary.get(w, -1) for w in words_of(text)] for text in texts]
+    split = [places_of(text, index.vocabulary) for text in texts]
     lengths = np.array([len(x) for x in split], np.int64)
-    found = np.fromiter((x for words in split for x in words), np.int64, int(lengths.sum()))
-    answers = [(set(x), min_answers * len(x)) for x in index.answers]
+    found = np.concatenate([np.zeros(0, np.int64), *split])
+    # where each word stands, as keys in the order of words and places
+    keys = np.sort(found * (len(found) + 1) + np.arange(len(found)))
+    asked = np.array([[*x, *[-2] * (ANSWER_WORDS - len(x))] for x in index.answers])
+    needed = min_answers * (asked >= 0).sum(axis=1)
     best: dict[int, tuple[int, float, float]] = {}
-    at, inside = None, []
-    for text, start, end, i, cosine in candidates(found, lengths, index, min_cosine, min_common):
-        if at != (start, end):
-            at, inside = (start, end), found[start:end].tolist()
-            present = set(inside)
-        if len(answers[i][0] & present) < answers[i][1]:
-            continue
-        common = common_subsequence(index.items[i], inside) / len(index.items[i])
-        if common >= min_common and (text not in best or (common, cosine, -i) > (best[text][2], best[text][1], -best[text][0])):
-            best[text] = (i, cosine, common)
+    for text, start, end, item, cosine in candidates(found, lengths, index, min_cosine, min_common):
+        present = np.zeros(len(item), np.int64)
+        for word in asked[item].T:
+            first = np.searchsorted(keys, word * (len(found) + 1) + start)
+            present += (word >= 0) & (keys[np.minimum(first, len(keys) - 1)] < word * (len(found) + 1) + end) & (first < len(keys))
+        kept = present >= needed[item]
+        for t, begin, close, i, near in zip(*(x[kept].tolist() for x in (text, start, end, item, cosine))):
+            common = common_subsequence(index.items[i], found[begin:close].tolist()) / len(index.items[i])
+            if common >= min_common and (t not in best or (common, near, -i) > (best[t][2], best[t][1], -best[t][0])):
+                best[t] = (i, near, common)
     return best
 
 
