@@ -41,6 +41,41 @@ def test_latent_space_spans_the_items(spark):
         assert np.linalg.norm(weights @ index.basis[terms]) >= 0.94
 
 
+def test_leaks_by_cosine_lose_few_paraphrases(spark):
+    """Items with words left out and others put between are found as without the bound on the cosine; items of a word or two mark nothing."""
+    draw = random.Random(15)
+    items = [" ".join(rare(draw) if i % 2 else draw.choice(WORDS) for i in range(30)) for _ in range(40)]
+    texts = []
+    for i in range(120):
+        kept = [w for w in items[i % 40].split() if draw.random() < 0.8]
+        spread = [x for w in kept for x in ([w, draw.choice(WORDS)] if draw.random() < 0.25 else [w])]
+        texts.append(prose(i, 60) + " " + " ".join(spread) + " " + prose(500 + i, 60))
+    index = decontaminate.build_index(spark.createDataFrame([(x,) for x in texts], "text string"), list(range(40)), items)
+    whole, near = (decontaminate.best_matches(texts, index, least) for least in (-1.0, decontaminate.MIN_COSINE))
+    # answer words are those in the fewest texts, here the ones left out most, so not all texts hold their item by the final conditions
+    assert len(whole) >= 50 and len(near.keys() & whole.keys()) >= 0.9 * len(whole)
+    assert all(near[i][0] == i % 40 for i in near)
+    frame = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "doc_id long, text string")
+    short = spark.createDataFrame([(0, WORDS[0]), (1, " ".join(WORDS[:3]))], "item_id long, text string")
+    assert not any(r.leak for r in decontaminate.find_leaks(frame, short).collect())
+
+
+def test_running_sums_and_windows():
+    rows = np.random.default_rng(1).normal(size=(50, 7)).astype(np.float32)
+    for n in (0, 1, 31, 32, 33, 100):
+        places = np.random.default_rng(n).integers(0, 50, n)
+        plain = np.concatenate([np.zeros((1, 7)), np.cumsum(rows[places].astype(float), axis=0)])
+        assert np.allclose(decontaminate._running_sums(rows, places)[: n + 1], plain, atol=1e-3)
+    lengths = np.array([0, 1, 12, 13, 100])
+    text, start, end = decontaminate._windows(lengths, 12)
+    first = np.cumsum(lengths) - lengths
+    for t, n in enumerate(lengths):
+        own = [(int(a - first[t]), int(b - first[t])) for x, a, b in zip(text, start, end) if x == t]
+        assert all(0 <= a < b <= n and b - a == min(n, 12) for a, b in own)
+        # every run of two thirds of a window lies in one
+        assert all(any(a <= i and i + 8 <= b for a, b in own) for i in range(n - 7))
+
+
 def test_secrets_of_letters_only_and_short_ones(spark):
     draw = random.Random(14)
     letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
