@@ -60,6 +60,14 @@ def test_leaks_by_cosine_lose_few_paraphrases(spark):
     assert not any(r.leak for r in decontaminate.find_leaks(frame, short).collect())
 
 
+def test_leaks_where_no_text_has_a_word_of_an_item(spark):
+    """Null, empty and unlike texts, and no text at all."""
+    benchmark = spark.createDataFrame([(0, "one two three four five six")], "item_id long, text string")
+    frame = spark.createDataFrame([(1, None), (2, ""), (3, "nothing alike"), (4, "!?")], "doc_id long, text string")
+    assert [r.leak for r in decontaminate.find_leaks(frame, benchmark).collect()] == [False] * 4
+    assert decontaminate.find_leaks(frame.limit(0), benchmark).count() == 0
+
+
 def test_running_sums_and_windows():
     rows = np.random.default_rng(1).normal(size=(50, 7)).astype(np.float32)
     for n in (0, 1, 31, 32, 33, 100):

@@ -165,7 +165,7 @@ def corpus_sketch(texts: DataFrame, vocabulary: dict[bytes, int], idf: np.ndarra
 
         def settle() -> None:
             nonlocal n, size, base
-            if waiting:
+            if size:
                 terms, rows, more = _gram_times(np.concatenate([x for x, _ in waiting]), np.concatenate([x for _, x in waiting]), idf, test)
                 total[terms] += rows
                 n += more
