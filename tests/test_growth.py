@@ -1,7 +1,10 @@
 """Operators on tables of many homonyms, whose work or files must not grow with the square of them."""
 
+import time
+
 from pyspark.sql import functions as F
 
+from wordgrove.operators import forest
 from wordgrove.operators import resolve as rs
 
 
@@ -15,3 +18,18 @@ def test_references_of_a_key_lie_together(spark):
     # one key, one part: in files, its nodes are the same run again and again
     assert len({(r.ref_id % 10, r.part) for r in rows}) == 9
     assert sorted(r.ref_id for r in missing.collect()) == list(range(9, 400, 10))
+
+
+def test_many_layers_keep_plans_small(spark):
+    # while fronts were checkpoints of one another, what was known of their columns doubled with every layer
+    f = spark.range(2000).select(F.col("id").alias("node"), F.when(F.col("id") % 37 != 0, F.floor(F.col("id") / 2).cast("long")).alias("parent"))
+    second = f.where("node > 0").select(F.floor(F.col("node") / 3).cast("long").alias("source"), F.col("node").alias("target"))
+    relations = f.where("parent IS NOT NULL").select(F.col("parent").alias("source"), F.col("node").alias("target")).unionByName(second)
+    start = time.time()
+    found = {r.node for r in forest.has_ancestor(relations, f.select("node"), f.where("node = 1").select("node")).collect()}
+    assert time.time() - start < 60
+    expected = {1}
+    for n in range(2, 2000):
+        if n // 3 in expected or (n % 37 and n // 2 in expected):
+            expected.add(n)
+    assert found == expected - {1}
