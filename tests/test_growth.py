@@ -33,3 +33,39 @@ def test_many_layers_keep_plans_small(spark):
         if n // 3 in expected or (n % 37 and n // 2 in expected):
             expected.add(n)
     assert found == expected - {1}
+
+
+def largest_count(df):
+    """The most rows that an operator of the executed plan gave out."""
+    df.write.format("noop").mode("overwrite").save()
+    rows, plans = [], [df._jdf.queryExecution().executedPlan()]
+    df.collect()
+    while plans:
+        plan = plans.pop()
+        if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            plans.append(plan.executedPlan())
+            continue
+        if hasattr(plan, "plan") and plan.getClass().getSimpleName().endswith("QueryStageExec"):
+            plans.append(plan.plan())
+        found = plan.metrics().get("numOutputRows")
+        rows += [found.get().value()] if found.isDefined() else []
+        plans += [plan.children().apply(i) for i in range(plan.children().size())]
+    return max(rows)
+
+
+def homonyms(spark, n, words=4):
+    return spark.range(n).select(
+        F.col("id").alias("node"), (n - F.col("id")).alias("seq"), (F.col("id") % words).cast("string").alias("lemma"), (F.col("id") % 5).cast("string").alias("pos"), F.concat(F.lit("l"), (F.col("id") % 20).cast("string")).alias("lemid")
+    )
+
+
+def test_preferred_node_is_found_by_lemma(spark):
+    lexemes = homonyms(spark, 400)
+    refs = spark.range(500).select(F.col("id").alias("ref_id"), (F.col("id") % 5).cast("string").alias("lemma"))
+    preferred = spark.createDataFrame([("0", "l8"), ("1", "l2")], "lemma string, lemid string")
+    found = rs.resolve_preferring(refs, lexemes, preferred, "3")
+    rows = [(i, 400 - i, str(i % 4), str(i % 5), f"l{i % 20}") for i in range(400)]
+    wanted = {"0": "l8", "1": "l2"}
+    best = {w: min((lemid != wanted.get(w), pos != "3", seq, node) for node, seq, lemma, pos, lemid in rows if lemma == w)[3] for w in "0123"}
+    assert {r.ref_id: r.node for r in found.collect()} == {i: best[str(i % 5)] for i in range(500) if i % 5 < 4}
+    assert largest_count(found) <= 500

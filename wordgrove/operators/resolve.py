@@ -65,9 +65,12 @@ def best_pair(pairs: DataFrame, lexemes: DataFrame, edges: DataFrame) -> DataFra
 
 def resolve_preferring(refs: DataFrame, lexemes: DataFrame, preferred: DataFrame, first_pos: str | None = None) -> DataFrame:
     """``ref_id`` and ``node`` of a ``lemma``: the preferred ``lemid`` of a side table, then a part of speech, then the first by ``seq``."""
-    named = refs.join(preferred.select("lemma", F.col("lemid").alias("_wanted")), "lemma", "left").join(lexemes.select("lemma", "lemid", "pos", "seq", "node"), "lemma")
-    order = Window.partitionBy("ref_id").orderBy((~F.coalesce(F.col("lemid") == F.col("_wanted"), F.lit(False))), F.col("pos") != F.lit(first_pos) if first_pos else F.lit(0), "seq")
-    return named.withColumn("_k", F.row_number().over(order)).where("_k = 1").select("ref_id", "node")
+    # one row for each lemma, so that no reference meets its homonyms
+    wanted = preferred.select("lemma", "lemid", F.lit(True).alias("_wanted")).distinct()
+    known = lexemes.select("lemma", "lemid", "pos", "seq", "node").join(wanted, ["lemma", "lemid"], "left")
+    place = F.struct(F.col("_wanted").isNull().alias("other"), (F.col("pos") != F.lit(first_pos) if first_pos else F.lit(False)).alias("late"), "seq", "node")
+    best = known.groupBy("lemma").agg(F.min(place).alias("_best"))
+    return refs.join(best, "lemma").groupBy("ref_id").agg(F.min("_best").alias("_best")).select("ref_id", "_best.node")
 
 
 def resolve_all(refs: DataFrame, lexemes: DataFrame, at_least: int | None = None) -> DataFrame:
