@@ -69,3 +69,22 @@ def test_preferred_node_is_found_by_lemma(spark):
     best = {w: min((lemid != wanted.get(w), pos != "3", seq, node) for node, seq, lemma, pos, lemid in rows if lemma == w)[3] for w in "0123"}
     assert {r.ref_id: r.node for r in found.collect()} == {i: best[str(i % 5)] for i in range(500) if i % 5 < 4}
     assert largest_count(found) <= 500
+
+
+def test_best_pair_is_found_by_lemmas(spark):
+    lexemes = homonyms(spark, 240).withColumn("homonym", F.when(F.col("node") % 7 != 0, F.col("node") % 3)).withColumn("parent", F.when(F.col("node") % 11 != 0, F.floor(F.col("node") / 6).cast("long")))
+    pairs = spark.range(60).select(F.col("id").alias("pair_id"), (F.col("id") % 5).cast("string").alias("source"), F.floor(F.col("id") / 15).cast("string").alias("target"))
+    edges = lexemes.where("node < 12").select("node", "parent")
+    rows = [r.asDict() for r in lexemes.collect()]
+    linked = {(r.node, r.parent) for r in edges.collect()}
+
+    def key(s, t):
+        equal = s["homonym"] is not None and s["homonym"] == t["homonym"]
+        rank = 0 if (t["node"], s["node"]) in linked else 1 if equal else 2 if t["parent"] is None else 3
+        return rank, s["seq"], t["seq"], s["node"], t["node"]
+
+    found = rs.best_pair(pairs, lexemes, edges)
+    best = {(a, b): min(key(s, t) for s in rows for t in rows if s["lemma"] == a and t["lemma"] == b) for a in "0123" for b in "0123"}
+    expected = {(p, k[3], k[4], k[0]) for p in range(60) if p % 5 < 4 for k in [best[str(p % 5), str(p // 15)]]}
+    assert {tuple(r) for r in found.select("pair_id", "source_node", "target_node", "rank").collect()} == expected
+    assert largest_count(found) <= 300

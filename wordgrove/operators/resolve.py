@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wordgrove.common import checkpointed
+
 #: Sets of one block of an element that many sets hold.
 BLOCK_SETS = 2048
 
@@ -54,13 +58,21 @@ def best_pair(pairs: DataFrame, lexemes: DataFrame, edges: DataFrame) -> DataFra
     Linked already, then equal homonym numbers, then a target without a parent,
     then the first of both.
     """
-    nodes = lexemes.select("node", "lemma", "seq", "homonym", "parent")
-    side = lambda p: nodes.select(*[F.col(c).alias(f"{p}_{c}") for c in nodes.columns])
-    both = pairs.join(side("s"), F.col("source") == F.col("s_lemma")).join(side("t"), F.col("target") == F.col("t_lemma"))
-    both = both.join(edges.select(F.col("node").alias("t_node"), F.col("parent").alias("s_node"), F.lit(True).alias("linked")), ["t_node", "s_node"], "left")
-    rank = F.when(F.col("linked"), 0).when(F.col("s_homonym") == F.col("t_homonym"), 1).when(F.col("t_parent").isNull(), 2).otherwise(3)
-    best = Window.partitionBy("pair_id").orderBy("rank", "s_seq", "t_seq")
-    return both.withColumn("rank", rank).withColumn("k", F.row_number().over(best)).where("k = 1").select("pair_id", F.col("s_node").alias("source_node"), F.col("t_node").alias("target_node"), "rank")
+    # pairs of equal lemmas have the same best, and the first by homonym number stand for all others
+    wanted = checkpointed(pairs.select("source", "target").where("source IS NOT NULL AND target IS NOT NULL").distinct())
+    side = lambda p, lemma: lexemes.select(F.col("lemma").alias(lemma), F.col("homonym").alias("_h"), F.col("parent").alias("_up"), F.struct("seq", "node").alias(p))
+    s, t = side("s", "source"), side("t", "target")
+    links = edges.select(F.col("node").alias("_t"), F.col("parent").alias("_s")).distinct()
+    linked = links.join(s.withColumn("_s", F.col("s.node")), "_s").drop("_h", "_up").join(t.withColumn("_t", F.col("t.node")), "_t").join(wanted, ["source", "target"], "left_semi")
+    numbered = lambda x, p, lemma: x.where("_h IS NOT NULL").groupBy(lemma, "_h").agg(F.min(p).alias(p))
+    equal = wanted.join(numbered(s, "s", "source"), "source").join(numbered(t, "t", "target"), ["target", "_h"])
+    first = wanted.join(s.groupBy("source").agg(F.min("s").alias("s")), "source")
+    tops = first.join(t.where("_up IS NULL").groupBy("target").agg(F.min("t").alias("t")), "target")
+    any_of = first.join(t.groupBy("target").agg(F.min("t").alias("t")), "target")
+    ranked = [df.select("source", "target", F.struct(F.lit(k).alias("rank"), F.col("s.seq").alias("s_seq"), F.col("t.seq").alias("t_seq"), F.col("s.node").alias("s_node"), F.col("t.node").alias("t_node")).alias("_best")) for k, df in enumerate((linked, equal, tops, any_of))]
+    best = reduce(DataFrame.unionByName, ranked).groupBy("source", "target").agg(F.min("_best").alias("_best"))
+    found = pairs.join(best, ["source", "target"]).groupBy("pair_id").agg(F.min("_best").alias("_best"))
+    return found.select("pair_id", F.col("_best.s_node").alias("source_node"), F.col("_best.t_node").alias("target_node"), "_best.rank")
 
 
 def resolve_preferring(refs: DataFrame, lexemes: DataFrame, preferred: DataFrame, first_pos: str | None = None) -> DataFrame:
