@@ -35,8 +35,8 @@ def test_many_layers_keep_plans_small(spark):
     assert found == expected - {1}
 
 
-def largest_count(df):
-    """The most rows that an operator of the executed plan gave out."""
+def largest_count(df, metric="numOutputRows"):
+    """The most rows that an operator of the executed plan gave out, or another of its figures."""
     df.write.format("noop").mode("overwrite").save()
     rows, plans = [], [df._jdf.queryExecution().executedPlan()]
     df.collect()
@@ -47,7 +47,7 @@ def largest_count(df):
             continue
         if hasattr(plan, "plan") and plan.getClass().getSimpleName().endswith("QueryStageExec"):
             plans.append(plan.plan())
-        found = plan.metrics().get("numOutputRows")
+        found = plan.metrics().get(metric)
         rows += [found.get().value()] if found.isDefined() else []
         plans += [plan.children().apply(i) for i in range(plan.children().size())]
     return max(rows)
@@ -88,3 +88,20 @@ def test_best_pair_is_found_by_lemmas(spark):
     expected = {(p, k[3], k[4], k[0]) for p in range(60) if p % 5 < 4 for k in [best[str(p % 5), str(p // 15)]]}
     assert {tuple(r) for r in found.select("pair_id", "source_node", "target_node", "rank").collect()} == expected
     assert largest_count(found) <= 300
+
+
+def test_external_parents_are_told_once(spark):
+    nodes = homonyms(spark, 120).select("node", "lemma")
+    # a node of two lemmas, and one that stands twice
+    nodes = nodes.unionByName(spark.createDataFrame([(7, "0"), (8, "0")], "node long, lemma string"))
+    edges = spark.range(120).select(F.col("id").alias("node"), F.when(F.col("id") % 5 != 0, F.col("id") - F.col("id") % 5).alias("parent"))
+    pairs = spark.createDataFrame([("0", "3"), ("0", "0"), ("1", "0"), ("0", "0")], "child string, parent string")
+    placed = spark.range(120).select(F.col("id").alias("node"), (F.col("id") - F.col("id") % 5).alias("root"))
+    found = rs.external_parents(edges, nodes, pairs, placed)
+    rows = [tuple(r) for r in found.collect()]
+    lemmas = {n: {str(n % 4)} | ({"0"} if n == 7 else set()) for n in range(120)}
+    met = {("0", "3"), ("0", "0"), ("1", "0")}
+    expected = {(t, p) for t in range(0, 120, 5) for p in range(120) if p - p % 5 != t and any((a, b) in met for a in lemmas[t] for b in lemmas[p])}
+    assert set(rows) == expected and len(rows) == len(expected)
+    # what comes out isn't shuffled again
+    assert largest_count(found, "shuffleRecordsWritten") < len(rows)
