@@ -105,3 +105,14 @@ def test_external_parents_are_told_once(spark):
     assert set(rows) == expected and len(rows) == len(expected)
     # what comes out isn't shuffled again
     assert largest_count(found, "shuffleRecordsWritten") < len(rows)
+
+
+def test_unique_references_meet_no_homonyms(spark):
+    lexemes = homonyms(spark, 400).unionByName(homonyms(spark, 1).withColumn("lemma", F.lit("one")))
+    refs = spark.range(300).select(F.col("id").alias("ref_id"), F.when(F.col("id") == 3, "one").otherwise((F.col("id") % 5).cast("string")).alias("lemma"))
+    hit, rest = rs.resolve(refs, lexemes, ["lemma"], "unique_only")
+    assert [tuple(r) for r in hit.collect()] == [(3, 0)]
+    assert {tuple(r) for r in rest.collect()} == {(i, "missing" if i % 5 == 4 else "ambiguous") for i in range(300) if i != 3}
+    assert largest_count(rest) <= 401
+    first = rs.resolve(refs, lexemes, ["lemma"])[0]
+    assert {tuple(r) for r in first.collect()} == {(i, 0 if i == 3 else 396 + i % 5) for i in range(300) if i % 5 < 4}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordgrove.common import checkpointed
@@ -28,14 +28,14 @@ def resolve(refs: DataFrame, lexemes: DataFrame, on: list[str], policy: str = "f
         known = lexemes.select(*on, "node").where("node IS NOT NULL")
         missing = refs.join(known.select(*on).distinct(), on, "left_anti").select(ref_id, F.lit("missing").alias("reason"))
         return refs.join(known.hint("merge"), on).select(ref_id, "node"), missing
-    homonyms = Window.partitionBy(*on)
-    ranked = lexemes.select(*on, "node", "seq").withColumn("_n", F.count(F.lit(1)).over(homonyms)).withColumn("_k", F.row_number().over(homonyms.orderBy("seq")))
-    found = refs.join(ranked, on, "left")
+    # one row for each key, so that no reference meets its homonyms
+    first = lexemes.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct("seq", "node"))["node"].alias("node"))
+    found = refs.join(first, on, "left")
     missing = found.where("node IS NULL").select(ref_id, F.lit("missing").alias("reason"))
     hit = found.where("node IS NOT NULL")
     if policy == "first":
-        return hit.where("_k = 1").select(ref_id, "node"), missing
-    ambiguous = hit.where("_n > 1 AND _k = 1").select(ref_id, F.lit("ambiguous").alias("reason"))
+        return hit.select(ref_id, "node"), missing
+    ambiguous = hit.where("_n > 1").select(ref_id, F.lit("ambiguous").alias("reason"))
     if policy == "error" and (bad := ambiguous.take(5)):
         raise ValueError(f"ambiguous references: {[r[0] for r in bad]}")
     return hit.where("_n = 1").select(ref_id, "node"), missing.unionByName(ambiguous)
