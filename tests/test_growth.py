@@ -1,10 +1,12 @@
 """Operators on tables of many homonyms, whose work or files must not grow with the square of them."""
 
 import time
+from collections import Counter
 
 from pyspark.sql import functions as F
 
 from wordgrove.operators import forest
+from wordgrove.operators import lookup as op
 from wordgrove.operators import resolve as rs
 
 
@@ -50,7 +52,7 @@ def largest_count(df, metric="numOutputRows"):
         found = plan.metrics().get(metric)
         rows += [found.get().value()] if found.isDefined() else []
         plans += [plan.children().apply(i) for i in range(plan.children().size())]
-    return max(rows)
+    return max(rows, default=0)
 
 
 def homonyms(spark, n, words=4):
@@ -116,3 +118,25 @@ def test_unique_references_meet_no_homonyms(spark):
     assert largest_count(rest) <= 401
     first = rs.resolve(refs, lexemes, ["lemma"])[0]
     assert {tuple(r) for r in first.collect()} == {(i, 0 if i == 3 else 396 + i % 5) for i in range(300) if i % 5 < 4}
+
+
+def test_lookup_meets_only_what_fits(spark):
+    lexemes = homonyms(spark, 200).select("node", "lemma", "pos", F.when(F.col("node") % 9 != 0, (F.col("node") % 7).cast("string")).alias("tech"))
+    made = [(i, str(i % 5), str(i % 5) if i % 3 else None, [str(i % 8), "none", None][i % 7 % 3]) for i in range(40)]
+    keys = spark.createDataFrame([*made, (0, "1", "1", "none"), (None, "2", "2", "none")], "key_id long, lemma string, pos string, tech string")
+    rows, asked = [tuple(r) for r in lexemes.collect()], [tuple(r) for r in keys.collect()]
+    met = [(k, r) for k in asked for r in rows if k[1] == r[1] and (k[2] is None or k[2] == r[2])]
+    exact = op.lookup(lexemes, keys, ["lemma", "pos"])
+    assert Counter(tuple(r) for r in exact.collect()) == Counter((k[0], *r) for k, r in met)
+    hit = lambda k, r: k[3] is None or r[3] is None or k[3] == r[3]
+    some = {k[0] for k, r in met if hit(k, r)}
+    fuzzy = op.lookup(lexemes, keys, ["lemma", "pos", "tech"], fuzzy="tech")
+    assert Counter(tuple(r) for r in fuzzy.collect()) == Counter((k[0], *r) for k, r in met if hit(k, r) or k[0] not in some)
+    # what comes out isn't shuffled
+    many = spark.range(100).select(F.col("id").alias("key_id"), (F.col("id") % 4).cast("string").alias("lemma"), F.lit("none").alias("tech"))
+    wide = op.lookup(lexemes.where("tech IS NOT NULL"), many, ["lemma", "tech"], fuzzy="tech")
+    assert wide.count() > 2000
+    assert largest_count(wide, "shuffleRecordsWritten") <= 400
+    # nothing is met that doesn't fit
+    both = many.select("key_id", "lemma", F.lit("1").alias("pos"))
+    assert largest_count(op.lookup(lexemes, both, ["lemma", "pos"])) <= 1000

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import product
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,12 +19,31 @@ def lookup(lexemes: DataFrame, keys: DataFrame, on: list[str], fuzzy: str | None
     """
     strict = [c for c in on if c != fuzzy]
     wanted = keys.select("key_id", *[F.col(c).alias(f"_{c}") for c in on])
-    condition = reduce(lambda a, b: a & b, [F.col(f"_{c}").isNull() | (F.col(c) == F.col(f"_{c}")) if c != strict[0] else F.col(c) == F.col(f"_{c}") for c in strict])
-    found = lexemes.join(wanted, condition)
-    if fuzzy:
-        hit = F.coalesce(F.col(fuzzy) == F.col(f"_{fuzzy}"), F.lit(True))
-        found = found.withColumn("_hit", hit).withColumn("_any", F.max("_hit").over(Window.partitionBy("key_id"))).where("_hit OR NOT _any").drop("_hit", "_any")
-    return found.select("key_id", *lexemes.columns)
+    # keys with the same columns given are joined on all of them at once, so that nothing is met that doesn't fit
+    ways = []
+    for given in product((True, False), repeat=len(strict) - 1):
+        cols = [strict[0], *[c for c, there in zip(strict[1:], given) if there]]
+        absent = [F.col(f"_{c}").isNull() for c in strict if c not in cols]
+        ways.append((cols, wanted.where(reduce(lambda a, b: a & b, absent)) if absent else wanted))
+    met = lambda some, lexemes, cols: some.join(lexemes, [F.col(c) == F.col(f"_{c}") for c in cols])
+    out = ["key_id", *lexemes.columns]
+    if not fuzzy:
+        return reduce(DataFrame.unionByName, [met(some, lexemes, cols).select(*out) for cols, some in ways])
+    asks, open_ = F.col(f"_{fuzzy}").isNotNull(), lexemes.where(F.col(fuzzy).isNull())
+    agreeing = []
+    for cols, some in ways:
+        agreeing += [
+            met(some, lexemes.select(*cols, fuzzy).distinct(), [*cols, fuzzy]).select("key_id"),
+            met(some.where(asks), open_.select(*cols).distinct(), cols).select("key_id"),
+            met(some.where(~asks), lexemes.select(*cols).distinct(), cols).select("key_id"),
+        ]
+    agreed = reduce(DataFrame.unionByName, agreeing).distinct().select(F.col("key_id").alias("_key"), F.lit(True).alias("_any"))
+    found = []
+    for cols, some in ways:
+        told = some.join(agreed, F.col("key_id").eqNullSafe(F.col("_key")), "left").drop("_key")
+        held = told.where(F.col("_any") & asks)
+        found += [met(told.where(F.col("_any").isNull() | ~asks), lexemes, cols), met(held, lexemes, [*cols, fuzzy]), met(held, open_, cols)]
+    return reduce(DataFrame.unionByName, [df.select(*out) for df in found])
 
 
 def lookup_spec(lexemes: DataFrame, specs: DataFrame, parts: list[str], sep: str = "_") -> DataFrame:
