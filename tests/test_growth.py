@@ -5,7 +5,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from wordgrove.operators import forest
+from wordgrove.operators import edits, forest
 from wordgrove.operators import lookup as op
 from wordgrove.operators import resolve as rs
 
@@ -140,3 +140,15 @@ def test_lookup_meets_only_what_fits(spark):
     # nothing is met that doesn't fit
     both = many.select("key_id", "lemma", F.lit("1").alias("pos"))
     assert largest_count(op.lookup(lexemes, both, ["lemma", "pos"])) <= 1000
+
+
+def test_pairs_of_a_cluster_come_out_once(spark):
+    rows = [(n % 2, n, ["xab", "yb", "zcd", "d"][n % 4], "N") for n in range(80)]
+    members = spark.createDataFrame(rows, "cluster long, node long, lemma string, pos string")
+    rules = [("N", "b", "N", "d", False), ("N", "ab", "N", "cd", False), ("N", "b", "N", "b", True), ("N", "ab", "N", "b", False)]
+    patterns = spark.createDataFrame(rules, "source_pos string, source_suffix string, target_pos string, target_suffix string, drop boolean")
+    found = edits.restructure_clusters(members, patterns)
+    out = [tuple(r) for r in found.select("cluster", "node", "parent", "drop").collect()]
+    expected = {(c, b, a, r[4]) for c, a, x, _ in rows for d, b, y, _ in rows for r in rules if c == d and a != b and x.endswith(r[1]) and y.endswith(r[3])}
+    assert set(out) == expected and len(out) == len(expected)
+    assert largest_count(found, "shuffleRecordsWritten") < len(out) / 2
