@@ -190,6 +190,15 @@ def test_overlaps_of_a_hot_element(spark, monkeypatch):
     assert found == {(a, b): 1 + (a // 2 == b // 2) for a in range(30) for b in range(a + 1, 30)}
 
 
+def test_overlaps_are_counted_by_as_many_tasks_as_pairs_call_for(spark, monkeypatch):
+    monkeypatch.setattr(rs, "OVERLAP_ROWS", 100)
+    rows = [(i, "hot") for i in range(60)] + [(7, "hot"), (7, None), (8, None)]
+    pairs = rs.overlap_pairs(spark.createDataFrame(rows, "set_id long, element string"))
+    assert pairs.count() == 60 * 59 // 2 and pairs.where("shared = 1").count() == 60 * 59 // 2
+    # the number of shuffle partitions, 4 here, doesn't bound it
+    assert pairs.rdd.getNumPartitions() >= 60 * 59 // 2 // 100
+
+
 def test_mined_rules_over_block_ends(spark, monkeypatch):
     monkeypatch.setattr(ca, "BLOCK_WORDS", 7)
     draw = random.Random(3)

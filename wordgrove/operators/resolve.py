@@ -7,10 +7,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordgrove.common import checkpointed
+from wordgrove.common import checkpointed, written
 
 #: Sets of one block of an element that many sets hold.
 BLOCK_SETS = 2048
+#: Rows, or pairs of sets, of one task when overlaps are counted.
+OVERLAP_ROWS = 2_000_000
 #: Tasks that the nodes of one class of lemmas are dealt to.
 CLASS_PARTS = 8
 
@@ -123,20 +125,28 @@ def overlap_pairs(sets: DataFrame, across: str | None = None) -> DataFrame:
 
     Elements are an inverted index; nothing else is compared.  Those of many sets
     are dealt out in pairs of blocks of ``BLOCK_SETS`` sets, so that an element
-    that a third of all sets hold isn't one task.
+    that a third of all sets hold isn't one task.  Pairs outnumber rows and hardly
+    repeat, so they are counted where they are brought together, and there are as
+    many tasks as pairs call for, told from the sizes of elements beforehand.
     """
     cols = ["set_id", "element", *([across] if across else [])]
-    each = sets.select(*cols).distinct()
-    sizes = each.groupBy("element").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(BLOCK_SETS))).cast("int").alias("_blocks"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-    dealt = each.join(sizes, "element").withColumn("_own", F.pmod(F.xxhash64("set_id"), F.col("_blocks")).cast("int"))
+    least = sets.sparkSession.sparkContext.defaultParallelism
+    tasks = lambda rows: max(rows // OVERLAP_ROWS + 1, least)
+    sets = sets.select(*cols).where("set_id IS NOT NULL AND element IS NOT NULL")
+    each = written(sets.repartition(tasks(sets.count()), "set_id", "element").distinct())
+    sizes = checkpointed(each.groupBy("element").agg(F.count(F.lit(1)).alias("_n")))
+    n = tasks(int(sizes.agg(F.sum(F.col("_n").cast("decimal(38,0)") * (F.col("_n") - 1) / 2)).first()[0] or 0))
+    # at most one row for each ``BLOCK_SETS`` rows of sets
+    crowded = sizes.where(F.col("_n") > BLOCK_SETS).select("element", F.ceil(F.col("_n") / F.lit(float(BLOCK_SETS))).cast("int").alias("_blocks"))
+    dealt = each.join(F.broadcast(crowded), "element", "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1))).withColumn("_own", F.pmod(F.xxhash64("set_id"), F.col("_blocks")).cast("int"))
     dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     extra = [F.col(across)] if across else []
     left = dealt.select(F.col("set_id").alias("a"), "element", F.col("_own").alias("_i"), F.col("_other").alias("_j"), *extra)
     right = dealt.select(F.col("set_id").alias("b"), "element", F.col("_other").alias("_i"), F.col("_own").alias("_j"), *([F.col(across).alias("_batch")] if across else []))
-    pairs = left.join(right, ["element", "_i", "_j"]).where("a < b")
+    pairs = left.repartition(n, "element", "_i", "_j").join(right.repartition(n, "element", "_i", "_j").hint("merge"), ["element", "_i", "_j"]).where("a < b")
     if across:
         pairs = pairs.where(F.col(across) != F.col("_batch"))
-    return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
+    return pairs.select("a", "b").repartition(n, "a", "b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
 
 
 def external_parents(edges: DataFrame, nodes: DataFrame, pairs: DataFrame, placed: DataFrame) -> DataFrame:
