@@ -31,6 +31,27 @@ def test_forest_v1_round_trip(spark, tmp_path):
     assert again == V1
 
 
+@pytest.fixture
+def uncoalesced(spark):
+    """Small shuffles keep their partitions, as large ones do."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_forest_v1_in_several_files(spark, tmp_path, uncoalesced):
+    text = "".join(f"{i}\tw{i}\tw{i}\tN\t{i // 2 if i else ''}\n" for i in range(300))
+    bundle = fl.read_forest_v1(spark, written(tmp_path, text))
+    fl.write_forest_v1(bundle.lexemes, bundle.relations, str(tmp_path / "out"))
+    parts = sorted((tmp_path / "out").glob("part-*"))
+    assert len(parts) > 1 and "".join(p.read_text() for p in parts) == text
+    # lines of a folder are numbered over its files, so the later one of two rows of an id is the repeated one
+    (tmp_path / "out" / "part-99999.txt").write_text("7\tagain\tagain\tN\t\n")
+    again = fl.read_forest_v1(spark, str(tmp_path / "out"), on_err="continue")
+    assert {r.lex_id: (r.seq, r.lemma) for r in again.lexemes.collect()} == {i: (i + 1, f"w{i}") for i in range(300)}
+    assert [(r.line_no, r.problem) for r in again.errors.collect()] == [(1, "repeated id")]
+
+
 @pytest.mark.parametrize(
     ("line", "problem"),
     [("0\ta\ta\tN", "not five fields"), ("-1\ta\ta\tN\t", "bad id"), ("0\t\ta\tN\t", "empty lemma"), ("0\ta\ta\tN\t9", "unknown parent"), ("0\ta\ta\tN\t0", "own parent"), ("0\ta\ta\tN\tx", "bad parent id")],
@@ -76,6 +97,20 @@ def test_network_v2_round_trip(spark, tmp_path):
     assert edges(first) == edges(second)
 
 
+def test_network_v2_in_several_files(spark, tmp_path, uncoalesced):
+    """A tree that lies in several files, its parents in other ones."""
+    lexemes = spark.range(300).selectExpr("cast(id AS string) AS lex_id", "concat('w', id, '#N') AS lemid", "concat('w', id) AS lemma", "'N' AS pos", "map() :: map<string,string> AS feats", "cast(array() AS array<struct<start:int,end:int,morph:string,type:string>>) AS morphs", "'{}' AS misc")
+    relations = spark.range(2, 300).selectExpr("'Derivation' AS type", "cast(id - 2 AS string) AS main_source", "array(cast(id - 2 AS string)) AS sources", "cast(id AS string) AS target", "0 AS ord", "map() :: map<string,string> AS feats")
+    fl.write_network_v2(lexemes, relations, str(tmp_path / "out"))
+    parts = sorted((tmp_path / "out").glob("part-*"))
+    text = "".join(p.read_text() for p in parts)
+    assert len(parts) > 1 and text.count("\n\n") == 1
+    order = [f"{i % 2}.{i // 2}" for i in [*range(0, 300, 2), *range(1, 300, 2)]]
+    assert [line.split("\t")[0] for line in text.splitlines() if line] == order
+    again = fl.read_network_v2(spark, str(tmp_path / "out"))
+    assert [r.lex_id for r in again.lexemes.orderBy("seq").collect()] == order and again.relations.count() == 298
+
+
 @pytest.mark.parametrize(
     ("old", "new", "problem"),
     [("0.1\t", "00.1\t", "bad id"), ("\twork\tN", "\t\tN", "empty lemma"), ("{}\n\n", "{\n\n", "bad JSON"), ("\t0.0\tType=Derivation", "\t0.9\tType=Derivation", "unknown parent"), ("Type=Derivation", "Type=Other", "unknown type"), ("Type=Derivation", "x=y", "missing type"), ("\t0.0\tType=Derivation", "\t1.0\tType=Derivation", "parent in another tree")],

@@ -2,7 +2,9 @@
 
 Readers give the good rows and the bad ones with what is wrong (``errors``);
 with ``on_err='raise'`` a bad row is an error.  Lines are numbered within each
-file by the order of its splits and of the lines in them.
+file by the order of its splits and of the lines in them.  A folder is read as one
+text, its files in order of their names, and networks are written as such folders,
+so that no task holds them whole; put together in that order they are the release file.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ class Bundle:
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``file``, ``line_no`` (from 1) and ``value`` of text files, in each file's order.
+    """``file``, ``line_no`` (from 1) and ``value`` of text files, in each file's order, and ``place``, the number over all files in order of their names.
 
     Lines are numbered within the splits that a file is read in, and the splits
     counted, so that a large file is numbered by as many tasks as it has splits.
@@ -36,9 +38,9 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_in_split"), "value")
     # one row for each split
     sizes = lines.groupBy("file", "_block").agg(F.count(F.lit(1)).alias("_n"))
-    before = sizes.select("file", "_block", (F.sum("_n").over(Window.partitionBy("file").orderBy("_block")) - F.col("_n")).alias("_before"))
+    before = sizes.select("file", "_block", *[(F.sum("_n").over(w.orderBy("file", "_block")) - F.col("_n")).alias(c) for w, c in ((Window.partitionBy("file"), "_before"), (Window.partitionBy(), "_before_all"))])
     numbered_lines = lines.withColumn("_k", F.row_number().over(Window.partitionBy("file", "_block").orderBy("_in_split")))
-    return numbered_lines.join(before, ["file", "_block"]).select("file", (F.col("_before") + F.col("_k")).cast("long").alias("line_no"), "value")
+    return numbered_lines.join(before, ["file", "_block"]).select("file", (F.col("_before") + F.col("_k")).cast("long").alias("line_no"), (F.col("_before_all") + F.col("_k")).cast("long").alias("place"), "value")
 
 
 def missing_last_newlines(spark: SparkSession, path: str) -> DataFrame:
@@ -65,8 +67,8 @@ def read_forest_v1(spark: SparkSession, path: str, on_err: str = "raise") -> Bun
     """Five tab-separated columns: id, lemma, techlemma, part of speech with marks C and U, parent id."""
     rows = read_lines(spark, path).withColumn("f", F.split("value", "\t", -1))
     field = lambda i: F.get("f", F.lit(i))
-    parsed = rows.select("line_no", F.size("f").alias("n"), parse_v1_id(field(0)).alias("lex_id"), field(1).alias("lemma"), field(2).alias("techlemma"), field(3).alias("p"), field(4).alias("parent_text"), parse_v1_id(field(4)).alias("parent"))
-    parsed = parsed.withColumn("k", F.row_number().over(Window.partitionBy("lex_id").orderBy("line_no")))
+    parsed = rows.select("line_no", "place", F.size("f").alias("n"), parse_v1_id(field(0)).alias("lex_id"), field(1).alias("lemma"), field(2).alias("techlemma"), field(3).alias("p"), field(4).alias("parent_text"), parse_v1_id(field(4)).alias("parent"))
+    parsed = parsed.withColumn("k", F.row_number().over(Window.partitionBy("lex_id").orderBy("place")))
     ids = parsed.where("lex_id IS NOT NULL").select(F.col("lex_id").alias("parent")).distinct().withColumn("there", F.lit(True))
     parsed = parsed.join(ids, "parent", "left")
     problem = (
@@ -81,7 +83,7 @@ def read_forest_v1(spark: SparkSession, path: str, on_err: str = "raise") -> Bun
     parsed = parsed.withColumn("problem", problem)
     good = parsed.where("problem IS NULL")
     lexemes = good.select(
-        "lex_id", F.col("line_no").alias("seq"), "lemma", F.when(F.col("techlemma") != "", F.col("techlemma")).alias("techlemma"), F.substring("p", 1, 1).alias("pos"),
+        "lex_id", F.col("place").alias("seq"), "lemma", F.when(F.col("techlemma") != "", F.col("techlemma")).alias("techlemma"), F.substring("p", 1, 1).alias("pos"),
         F.contains(F.expr("substring(p, 2)"), F.lit("C")).alias("is_compound"), F.contains(F.expr("substring(p, 2)"), F.lit("U")).alias("unmotivated"),
     )
     kept = good.select(F.col("lex_id").alias("parent"))
@@ -90,7 +92,7 @@ def read_forest_v1(spark: SparkSession, path: str, on_err: str = "raise") -> Bun
 
 
 def write_forest_v1(lexemes: DataFrame, relations: DataFrame, path: str, on_err: str = "raise") -> None:
-    """The reverse, ids renumbered from 0 by ``seq``; several parents are an error, or only the main one is written."""
+    """The reverse, as files in order of ids, these renumbered from 0 by ``seq``; several parents are an error, or only the main one is written."""
     if on_err == "raise" and relations.where("ord > 0 OR size(sources) > 1").take(1):
         raise ValueError("nodes with several parents")
     given = numbered(lexemes, ["seq", "lex_id"], "id").withColumn("id", F.col("id") - 1)
@@ -99,7 +101,7 @@ def write_forest_v1(lexemes: DataFrame, relations: DataFrame, path: str, on_err:
     rows = given.join(up, "lex_id", "left").join(parent, "_p", "left")
     pos = F.concat("pos", F.when(F.coalesce("is_compound", F.lit(False)), "C").otherwise(""), F.when(F.coalesce("unmotivated", F.lit(False)), "U").otherwise(""))
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    rows.select("id", F.concat_ws("\t", text("id"), text("lemma"), F.coalesce("techlemma", "lemma"), pos, text("parent")).alias("value")).coalesce(1).sortWithinPartitions("id").select("value").write.mode("overwrite").text(path)
+    rows.select("id", F.concat_ws("\t", text("id"), text("lemma"), F.coalesce("techlemma", "lemma"), pos, text("parent")).alias("value")).repartitionByRange("id").sortWithinPartitions("id").select("value").write.mode("overwrite").text(path)
 
 
 _MORPH = "struct<start:int,end:int,morph:string,type:string>"
@@ -121,10 +123,10 @@ def read_network_v2(spark: SparkSession, path: str, on_err: str = "raise", known
     """
     lines = read_lines(spark, path).where("value <> '' AND NOT startswith(value, '#')").withColumn("f", F.split("value", "\t", 10))
     field = lambda i: F.get("f", F.lit(i))
-    rows = lines.select("line_no", F.size("f").alias("n"), field(0).alias("id"), parse_v2_id(field(0)).alias("pid"), *[field(i).alias(c) for i, c in enumerate(("lemid", "lemma", "pos", "feats", "seg", "parent", "rel", "other", "misc"), 1)])
-    rows = rows.withColumn("k", F.row_number().over(Window.partitionBy("id").orderBy("line_no")))
+    rows = lines.select("line_no", "place", F.size("f").alias("n"), field(0).alias("id"), parse_v2_id(field(0)).alias("pid"), *[field(i).alias(c) for i, c in enumerate(("lemid", "lemma", "pos", "feats", "seg", "parent", "rel", "other", "misc"), 1)])
+    rows = rows.withColumn("k", F.row_number().over(Window.partitionBy("id").orderBy("place")))
     kind = F.regexp_extract("rel", r"(?:^|&)Type=([^&]*)", 1)
-    ids = rows.where("pid IS NOT NULL").select(F.col("id").alias("parent"), F.col("line_no").alias("p_line")).groupBy("parent").agg(F.min("p_line").alias("p_line"))
+    ids = rows.where("pid IS NOT NULL").select(F.col("id").alias("parent"), F.col("place").alias("p_line")).groupBy("parent").agg(F.min("p_line").alias("p_line"))
     rows = rows.join(ids, "parent", "left").withColumn("kind", kind)
     problem = (
         F.when(F.col("n") != 10, "not ten fields")
@@ -135,7 +137,7 @@ def read_network_v2(spark: SparkSession, path: str, on_err: str = "raise", known
         .when(F.contains("feats", F.lit("|")), "several groups of features")
         .when((F.col("parent") != "") & F.col("p_line").isNull(), "unknown parent")
         .when((F.col("parent") != "") & (F.split_part("parent", F.lit("."), F.lit(1)) != F.col("pid.tree").cast("string")), "parent in another tree")
-        .when((F.col("parent") != "") & (F.col("p_line") >= F.col("line_no")), "parent not before")
+        .when((F.col("parent") != "") & (F.col("p_line") >= F.col("place")), "parent not before")
     )
     if on_err == "raise":
         problem = problem.when((F.col("parent") != "") & (F.col("kind") == ""), "missing type").when((F.col("parent") != "") & ~F.col("kind").isin(*known_types), "unknown type")
@@ -143,7 +145,7 @@ def read_network_v2(spark: SparkSession, path: str, on_err: str = "raise", known
     good = rows.where("problem IS NULL")
     first = lambda c: F.coalesce(F.try_element_at(kw_parse(F.col(c)), F.lit(1)), F.create_map().cast("map<string,string>"))
     lexemes = good.select(
-        F.col("id").alias("lex_id"), F.col("line_no").alias("seq"), F.when(F.col("lemid") == "", F.concat("lemma", F.lit("#"), "pos")).otherwise(F.col("lemid")).alias("lemid"), "lemma", "pos", first("feats").alias("feats"), _morphs(F.col("seg")).alias("morphs"), "misc"
+        F.col("id").alias("lex_id"), F.col("place").alias("seq"), F.when(F.col("lemid") == "", F.concat("lemma", F.lit("#"), "pos")).otherwise(F.col("lemid")).alias("lemid"), "lemma", "pos", first("feats").alias("feats"), _morphs(F.col("seg")).alias("morphs"), "misc"
     )
     sources = lambda m, main: F.when(m["Sources"].isNull(), F.array(main)).otherwise(F.split(m["Sources"], ","))
     feats = lambda m: F.map_filter(m, lambda k, v: ~k.isin("Type", "Sources", "MainSource"))
@@ -155,7 +157,7 @@ def read_network_v2(spark: SparkSession, path: str, on_err: str = "raise", known
 
 
 def write_network_v2(lexemes: DataFrame, relations: DataFrame, path: str) -> None:
-    """The reverse: trees in order of their roots' lemmas, nodes depth first, a blank line between trees."""
+    """The reverse, as files in order: trees in order of their roots' lemmas, nodes depth first, a blank line between trees."""
     main = relations.where("ord = 0")
     edges = lexemes.select(F.col("lex_id").alias("node"), "lemma", "pos", "lemid").join(main.select(F.col("target").alias("node"), F.col("main_source").alias("parent")), "node", "left")
     ids = dfs_ids(edges, ["lemma", "pos", "lemid"]).select("node", "tree", "pos", F.concat_ws(".", F.col("tree").cast("string"), F.col("pos").cast("string")).alias("id"))
@@ -176,7 +178,7 @@ def write_network_v2(lexemes: DataFrame, relations: DataFrame, path: str) -> Non
     line = F.concat_ws("\t", "id", text("lemid"), "lemma", text("word_class"), kw_format(F.when(F.size("feats") > 0, F.array("feats")).otherwise(F.array().cast("array<map<string,string>>"))), F.coalesce(kw_format(F.col("seg")), F.lit("")), text("parent_id"), text("rel"), text("other"), F.coalesce("misc", F.lit("{}")))
     # a blank line goes before each tree but the first
     value = F.when((F.col("pos") == 0) & (F.col("tree") > 0), F.concat(F.lit("\n"), line)).otherwise(line)
-    rows.select("tree", "pos", value.alias("value")).coalesce(1).sortWithinPartitions("tree", "pos").select("value").write.mode("overwrite").text(path)
+    rows.select("tree", "pos", value.alias("value")).repartitionByRange("tree", "pos").sortWithinPartitions("tree", "pos").select("value").write.mode("overwrite").text(path)
 
 
 def read_pairs_unimorph(spark: SparkSession, path: str, on_err: str = "raise") -> Bundle:
