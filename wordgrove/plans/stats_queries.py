@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from wordgrove.common import checkpointed
 from wordgrove.operators import stats as op
 from wordgrove.operators.forest import subtree_agg
 from wordgrove.plans.bindings import FOREST_SQL, F_SQL, SIGNATURES_SQL, TOKENS_SQL, W_SQL, forest, table, tokens, words
@@ -152,7 +153,8 @@ CANDS_SQL = f"WITH {W_SQL}, x AS (SELECT DISTINCT lemma FROM w), r(suffix) AS (V
 
 
 def suffix_candidates(spark, sf_dir):
-    lemmas = words(spark, sf_dir).select("lemma").distinct()
+    # told once, as every suffix and every use of the candidates asks for them again
+    lemmas = checkpointed(words(spark, sf_dir).select("lemma").distinct())
     made = None
     for suffix in ("en", "er", "th", "an"):
         cut = lemmas.where(F.endswith("lemma", F.lit(suffix))).select(F.expr(f"substring(lemma, 1, length(lemma) - {len(suffix)})").alias("source"), F.col("lemma").alias("target"), F.lit(suffix).alias("rule"))
