@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -143,16 +144,32 @@ def edit_distance(a: Column, b: Column) -> Column:
     return F.levenshtein(a, b)
 
 
+def _lcs_length(a: list | None, b: list | None) -> int | None:
+    if a is None or b is None:
+        return None
+    at: dict = {}
+    for j, word in enumerate(b):
+        if word is not None:
+            at[word] = at.get(word, 0) | 1 << j
+    full = row = (1 << len(b)) - 1
+    for word in a:
+        if same := at.get(word, 0):
+            met = row & same
+            row = (row + met | row - met) & full
+    return len(b) - row.bit_count()
+
+
 def lcs_length(a: Column, b: Column) -> Column:
-    """The length of the longest common subsequence of two arrays, row by row of the usual table."""
-    empty = F.array_repeat(F.lit(0), F.size(b) + 1)
+    """The length of the longest common subsequence of two arrays of strings; a null string equals none.
+
+    A row of the usual table is one whole number, a bit for each place of ``b``, and
+    the next row comes from it by one addition.
+    """
 
-    def row(above: Column, x: Column) -> Column:
-        cells = F.transform(F.sequence(F.lit(1), F.greatest(F.size(b), F.lit(1))), lambda j: F.struct(F.element_at(above, j).alias("corner"), F.element_at(above, j + 1).alias("top"), (F.element_at(b, j) == x).alias("same")))
-        grown = F.aggregate(cells, F.array(F.lit(0)), lambda acc, c: F.concat(acc, F.array(F.when(c["same"], c["corner"] + 1).otherwise(F.greatest(c["top"], F.element_at(acc, -1))))))
-        return grown
+    def lengths(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([_lcs_length(x, y) for x, y in zip(a, b)], dtype="Int32")
 
-    return F.when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0)).otherwise(F.element_at(F.aggregate(a, empty, row), -1))
+    return F.pandas_udf(lengths, "int")(a, b)
 
 
 def first_rule(word: Column, pos: Column, rules: list[tuple[str, str, str | None]]) -> Column:
