@@ -1,13 +1,16 @@
 """Steps that queries share: what is told once, what isn't sent through the driver."""
 
 import random
+import re
 
 from pyspark.sql import functions as F
 
 from wordgrove.common import written
 from wordgrove.functions import text as fn
+from wordgrove.operators import edits, forest
 from wordgrove.operators.forest import path_fold
 from wordgrove.plans.stats_queries import suffix_candidates
+from wordgrove.sources import files
 
 
 def plan(df):
@@ -50,3 +53,32 @@ def test_states_are_not_broadcast(spark):
     edges = spark.range(1, 1000).selectExpr("id AS node", "nullif(id div 2, 0) AS parent")
     folded = path_fold(edges, edges.selectExpr("node", "1L AS n"), {"n": lambda upper, lower: upper + lower})
     assert "Broadcast" not in plan(edges.join(folded, "node"))
+
+
+def broadcasts(df):
+    """Joins of the plan that broadcast a side, but for those on a row of each partition or split."""
+    return [x for x in plan(df).splitlines() if "BroadcastHashJoin" in x and not re.search(r"\[(_part|file#\d+, _block)#", x) or "BroadcastNestedLoopJoin" in x]
+
+
+def watched(monkeypatch):
+    """What is broadcast for the states that are kept from here on."""
+    found = []
+    for module in (edits, files, forest):
+        for name in ("checkpointed", "written"):
+            if hasattr(module, name):
+                kept = getattr(module, name)
+                monkeypatch.setattr(module, name, lambda df, kept=kept: (found.extend(broadcasts(df)), kept(df))[1])
+    return found
+
+
+def test_pairs_are_not_broadcast(spark, tmp_path, monkeypatch):
+    """Pairs (S4) whose names rise and fall along edges, some closing cycles: neither words nor states go through the driver."""
+    found = watched(monkeypatch)
+    rows = [(i // 4, i) for i in range(1, 120)] + [(i, i // 4) for i in range(4, 120, 11)] + [(200, 201), (201, 202), (202, 200)]
+    (tmp_path / "pairs.tsv").write_text("".join(f"w{a}\tw{b}\tN:N\tx\n" for a, b in rows))
+    bundle = files.read_pairs_unimorph(spark, str(tmp_path), on_err="continue")
+    assert bundle.relations.where("ord = 0").count() == 119 + 2
+    assert sorted(r.line_no for r in bundle.errors.collect()) == [*range(120, 120 + len(range(4, 120, 11))), len(rows)]
+    for frame in (bundle.lexemes, bundle.relations, bundle.errors):
+        found += broadcasts(frame)
+    assert not found

@@ -193,11 +193,11 @@ def read_pairs_unimorph(spark: SparkSession, path: str, on_err: str = "raise") -
     parsed = rows.select("line", "line_no", F.size("f").alias("n"), field(0).alias("parent"), field(1).alias("child"), F.split_part(field(2), F.lit(":"), F.lit(1)).alias("p_pos"), F.split_part(field(2), F.lit(":"), F.lit(2)).alias("c_pos"), field(3).alias("affix"))
     problem = F.when(F.col("n") != 4, "not four fields").when((F.col("parent") == "") | (F.col("child") == ""), "empty word").when(F.col("c_pos") == "", "bad parts of speech").when((F.col("parent") == F.col("child")) & (F.col("p_pos") == F.col("c_pos")), "derives itself")
     parsed = parsed.withColumn("problem", problem)
-    good = checkpointed(parsed.where("problem IS NULL").select("line", "line_no", "affix", F.concat_ws("#", "parent", "p_pos").alias("main_source"), F.concat_ws("#", "child", "c_pos").alias("target"), "parent", "p_pos", "child", "c_pos"))
+    good = checkpointed(parsed.where("problem IS NULL").select("line", "line_no", "affix", F.concat_ws("#", "parent", "p_pos").alias("main_source"), F.concat_ws("#", "child", "c_pos").alias("target"), "parent", "p_pos", "child", "c_pos")).hint("merge")
     ends = good.select(F.col("parent").alias("lemma"), F.col("p_pos").alias("pos"), "line").unionByName(good.select(F.col("child").alias("lemma"), F.col("c_pos").alias("pos"), "line"))
     lexemes = ends.groupBy("lemma", "pos").agg(F.min("line").alias("seq")).withColumn("lex_id", F.concat_ws("#", "lemma", "pos"))
     edits = good.select("line", F.col("main_source").alias("parent"), F.col("target").alias("node"))
-    forest = checkpointed(fill_parent(lexemes.select(F.col("lex_id").alias("node"), F.lit(None).cast("string").alias("parent")), edits))
+    forest = checkpointed(fill_parent(lexemes.select(F.col("lex_id").alias("node"), F.lit(None).cast("string").alias("parent")), edits)).hint("merge")
     cyclic = check_cycles(forest, edits).select("line", F.lit(True).alias("cyclic"))
     told = good.join(cyclic, "line", "left").join(forest.select(F.col("node").alias("target"), F.col("parent").alias("_main")), "target")
     order = Window.partitionBy("target").orderBy(F.col("main_source") != F.col("_main"), "line")
