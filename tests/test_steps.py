@@ -82,3 +82,21 @@ def test_pairs_are_not_broadcast(spark, tmp_path, monkeypatch):
     for frame in (bundle.lexemes, bundle.relations, bundle.errors):
         found += broadcasts(frame)
     assert not found
+
+
+def test_variants_are_not_broadcast(spark, monkeypatch):
+    """Sets and places of variants (E16, E17) are merged."""
+    found = watched(monkeypatch)
+    edges = spark.range(1, 200).selectExpr("id AS node", "nullif(id div 4, 0) AS parent")
+    sets = edges.where("parent IS NOT NULL AND node % 3 = 0").selectExpr("parent AS set_id", "node", "node AS seq")
+    made = edits.merge_labelled_variants(edges, sets)
+    members = {}
+    for node in range(4, 200):
+        if node % 3 == 0:
+            members.setdefault(node // 4, []).append(node)
+    rep = {node: m[0] for m in members.values() for node in m[1:]}
+    assert {(r.node, r.parent, r.label) for r in made.collect()} == {(n, rep.get(n, rep.get(n // 4, n // 4 or None)), "Variant" if n in rep else None) for n in range(1, 200)}
+    merged = edits.merge_variants(edges, sets)
+    assert merged.count() == 199
+    found += broadcasts(made) + broadcasts(merged)
+    assert not found
