@@ -34,6 +34,21 @@ def test_products_are_whole(spark, small_blocks):
     assert small_blocks.products(a, b.where("k = 'e'"), ["k"]).collect() == []
 
 
+def test_references_of_a_crowded_key_are_dealt_out(spark, small_blocks):
+    refs = spark.range(600).select(F.col("id").alias("ref_id"), (F.col("id") % 1).cast("string").alias("lemma"))
+    lexemes = spark.range(100).select(F.col("id").alias("node"), (F.col("id") % 1).cast("string").alias("lemma"))
+    rows = rs.resolve(refs, lexemes, ["lemma"], "all")[0].withColumn("part", F.spark_partition_id()).collect()
+    assert sorted((r.ref_id, r.node) for r in rows) == [(a, b) for a in range(600) for b in range(100)]
+    assert len({r.part for r in rows}) > 1
+
+
+def test_files_of_all_homonyms_stay_small(spark, tmp_path):
+    # nodes of a key in runs that repeat, and not more references in a file than a dictionary holds
+    refs = spark.range(20000).select(F.col("id").alias("ref_id"), (F.col("id") % 20).cast("string").alias("lemma"))
+    lexemes = spark.range(20000).select((F.xxhash64("id") % 1_000_000_007).alias("node"), (F.col("id") % 20).cast("string").alias("lemma"))
+    assert file_bytes(rs.resolve(refs, lexemes, ["lemma"], "all")[0], tmp_path / "all") < 0.16 * 20000 * 1000
+
+
 def test_files_of_external_parents_stay_small(spark, tmp_path):
     nodes = spark.range(8000).select(F.col("id").alias("node"), (F.col("id") % 2).cast("string").alias("lemma"))
     edges = nodes.select("node", F.when(F.col("node") % 4 > 1, F.col("node") - 2).alias("parent"))
