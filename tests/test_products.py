@@ -6,6 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from wordgrove.operators import lookup as op
 from wordgrove.operators import resolve as rs
 
 
@@ -69,3 +70,19 @@ def test_external_parents_in_small_blocks(spark, small_blocks):
     found = sorted(tuple(r) for r in rs.external_parents(edges, nodes, pairs, placed).collect())
     roots = {n: {n - n % 4 + n % 2} for n in range(400) if n != 9} | {3: {1, 5}}
     assert found == [(t, p) for t in range(400) if t % 4 < 2 for p in range(1, 400, 2) if p in roots and roots[p] != {t}]
+
+
+def test_fuzzy_lookups_are_dealt_out(spark, small_blocks):
+    # one lemma; keys that find their type, keys that don't, keys without one; lexemes without one
+    keys = [(i, "x", ["a", "zz", None][i % 3]) for i in range(300)]
+    nodes = [(i, "x", ["a", "b", None, "c", "b"][i % 5]) for i in range(100)]
+    shown = lambda rows: Counter(tuple(map(str, r)) for r in rows)
+    for some in (nodes, [n for n in nodes if n[2]]):
+        lexemes = spark.createDataFrame(some, "node long, lemma string, tech string")
+        found = op.lookup(lexemes, spark.createDataFrame(keys, "key_id long, lemma string, tech string"), ["lemma", "tech"], fuzzy="tech", columns=["tech", "node"])
+        rows = found.withColumn("part", F.spark_partition_id()).collect()
+        met = [(k, n) for k in keys for n in some if k[2] is None or n[2] is None or k[2] == n[2] or not any(m[2] in (None, k[2]) for m in some)]
+        assert shown(r[:3] for r in rows) == shown((k[0], n[2], n[0]) for k, n in met)
+        assert len({r.part for r in rows}) > 1
+    alone = op.lookup(spark.createDataFrame(nodes[:5], "node long, lemma string, tech string").select("lemma", "tech"), spark.createDataFrame(keys[:1], "key_id long, lemma string, tech string"), ["lemma", "tech"], fuzzy="tech")
+    assert shown(alone.collect()) == shown([(0, "x", "a"), (0, "x", None)])

@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordgrove.operators.forest import below
+from wordgrove.operators.products import products
 
 
-def lookup(lexemes: DataFrame, keys: DataFrame, on: list[str], fuzzy: str | None = None) -> DataFrame:
-    """Lexemes that match each key (``key_id`` and the columns ``on``).
+def lookup(lexemes: DataFrame, keys: DataFrame, on: list[str], fuzzy: str | None = None, columns: list[str] | None = None) -> DataFrame:
+    """Lexemes that match each key (``key_id`` and the columns ``on``), with all columns or those in ``columns``.
 
     ``fuzzy`` names a column that is only held against the key where some match
     agrees on it; if none does, all matches stay.
@@ -26,7 +27,7 @@ def lookup(lexemes: DataFrame, keys: DataFrame, on: list[str], fuzzy: str | None
         absent = [F.col(f"_{c}").isNull() for c in strict if c not in cols]
         ways.append((cols, wanted.where(reduce(lambda a, b: a & b, absent)) if absent else wanted))
     met = lambda some, lexemes, cols: some.join(lexemes, [F.col(c) == F.col(f"_{c}") for c in cols])
-    out = ["key_id", *lexemes.columns]
+    out = ["key_id", *(columns or lexemes.columns)]
     if not fuzzy:
         return reduce(DataFrame.unionByName, [met(some, lexemes, cols).select(*out) for cols, some in ways])
     asks, open_ = F.col(f"_{fuzzy}").isNotNull(), lexemes.where(F.col(fuzzy).isNull())
@@ -38,11 +39,17 @@ def lookup(lexemes: DataFrame, keys: DataFrame, on: list[str], fuzzy: str | None
             met(some.where(~asks), lexemes.select(*cols).distinct(), cols).select("key_id"),
         ]
     agreed = reduce(DataFrame.unionByName, agreeing).distinct().select(F.col("key_id").alias("_key"), F.lit(True).alias("_any"))
+    # what is asked of lexemes: any, one that agrees, or one that holds nothing against the key
+    kind = lexemes.schema[fuzzy].dataType
+    how = lambda k, value=None: F.struct(F.lit(k).alias("kind"), (F.lit(None) if value is None else F.col(value)).cast(kind).alias("value"))
+    known = lexemes.withColumn("_how", F.explode(F.array(how("any"), F.when(F.col(fuzzy).isNull(), how("open")).otherwise(how("same", fuzzy)))))
     found = []
     for cols, some in ways:
-        told = some.join(agreed, F.col("key_id").eqNullSafe(F.col("_key")), "left").drop("_key")
-        held = told.where(F.col("_any") & asks)
-        found += [met(told.where(F.col("_any").isNull() | ~asks), lexemes, cols), met(held, lexemes, [*cols, fuzzy]), met(held, open_, cols)]
+        told = some.join(agreed, F.col("key_id").eqNullSafe(F.col("_key")), "left")
+        asked = told.withColumn("_how", F.explode(F.when(F.col("_any") & asks, F.array(how("same", f"_{fuzzy}"), how("open"))).otherwise(F.array(how("any")))))
+        on_all = [*cols, "_how"]
+        rest = [c for c in out[1:] if c not in cols]
+        found.append(products(asked.select("key_id", *[F.col(f"_{c}").alias(c) for c in cols], "_how"), known.select(*on_all, *(rest or [F.lit(True).alias("_met")])), on_all, keep=[c for c in out[1:] if c in cols]))
     return reduce(DataFrame.unionByName, [df.select(*out) for df in found])
 
 

@@ -41,7 +41,7 @@ def p01(spark, sf_dir):
 def p01_fuzzy(spark, sf_dir):
     tech = F.when(F.col("s_suppkey") % 2 == 0, F.col("p_type")).otherwise("no such type")
     keys = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "part"), F.col("s_suppkey") == F.col("p_partkey")).select(F.col("s_suppkey").alias("key_id"), F.col("p_name").alias("lemma"), tech.alias("tech"))
-    return op.lookup(lexemes(spark, sf_dir), keys, ["lemma", "tech"], fuzzy="tech").select("key_id", "node", "lemma")
+    return op.lookup(lexemes(spark, sf_dir), keys, ["lemma", "tech"], fuzzy="tech", columns=["node", "lemma"])
 
 
 @query("p02_lookup_spec", f"WITH {LEX_SQL}, s AS (SELECT DISTINCT p_name || CASE WHEN p_size % 2 = 0 THEN '_' || p_brand ELSE '' END AS spec FROM part WHERE p_size < 10) SELECT s.spec, lex.node FROM s JOIN lex ON lex.lemma = split_part(s.spec, '_', 1) AND (NOT contains(s.spec, '_') OR lex.pos = split_part(s.spec, '_', 2))")
